@@ -25,4 +25,4 @@ def cost(prompt: Column, completion: Column, input_price: Column, output_price:
 def cost_text(amount: Column | str) -> Column:
     """Plain decimal text with all 15 fraction digits, as reports carry it."""
     amount = F.col(amount) if isinstance(amount, str) else amount
-    return F.format_number(amount, "0.000000000000000")
+    return F.call_function("format_number", amount, F.lit("0.000000000000000"))

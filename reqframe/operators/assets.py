@@ -98,7 +98,9 @@ def inline_assets(lines: DataFrame, blobs: DataFrame) -> DataFrame:
     )
     stored = blobs.select("path", F.col("bytes")).groupBy("path").agg(F.first("bytes").alias("bytes"))
     loaded = join_on(refs, stored, "path", "inner", row_id="_ref_id", right_unique=True)
-    uri = F.concat(F.lit("data:"), mime_of(F.col("path")), F.lit(";base64,"), F.base64("bytes"))
+    # Some sessions break base64 text into lines; a data URI has none.
+    encoded = F.replace(F.base64("bytes"), F.lit("\r\n"), F.lit(""))
+    uri = F.concat(F.lit("data:"), mime_of(F.col("path")), F.lit(";base64,"), encoded)
     # One group is the references of one line.
     per_line = loaded.groupBy(*identity).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col("_at"), uri.alias("_uri")))).alias("_uris")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reqframe.functions.jsonlines import is_blank, parse_lines
@@ -17,7 +17,7 @@ _TASK_BITS = 33
 MAX_BROADCAST_SPLITS = 1_000_000
 
 
-def _is_dir(spark: SparkSession, path: str) -> bool:
+def is_dir(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     if not fs.exists(hadoop_path):
@@ -33,12 +33,12 @@ def scan_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """
     reader = spark.read.option("lineSep", "\n")
     if isinstance(path, str):
-        if _is_dir(spark, path):
+        if is_dir(spark, path):
             reader = reader.option("pathGlobFilter", "*.jsonl")
         paths = [path]
     else:
         paths = list(dict.fromkeys(path))
-        if any([_is_dir(spark, p) for p in paths]):
+        if any([is_dir(spark, p) for p in paths]):
             raise IsADirectoryError("a list of paths must name files")
     text = reader.text(paths)
     if not text.inputFiles():
@@ -84,25 +84,28 @@ def _given_order(scan: DataFrame, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def index_lines(scan: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
-    """Number the lines of a scan and drop the blank ones.
+def index_rows(
+    scan: DataFrame, kept: Column | None = None, order: Sequence[str] | None = None
+) -> DataFrame:
+    """Number the rows of a file scan that carries ``file`` and ``block``; drop those not kept.
 
-    Adds ``file_ord`` (0-based, by path or by the given paths), ``line`` (1-based, blanks
-    counted), ``pos`` (0-based in the file, blanks skipped) and ``seq`` (``pos`` carried on
+    Adds ``file_ord`` (0-based, by path or by the given paths), ``line`` (1-based, dropped rows
+    counted), ``pos`` (0-based in the file, dropped rows skipped) and ``seq`` (``pos`` carried on
     over the files in order).
 
-    A first job counts the lines of each scan split: one output row per split. Prefix sums over
+    A first job counts the rows of each scan split: one output row per split. Prefix sums over
     that small table give each split its starting numbers, and those are joined back onto the
     scan. Rows stay where they were read; nothing but the per-split counts is shuffled.
     """
+    kept = F.lit(True) if kept is None else kept
     stamped = scan.withColumn("_id", F.monotonically_increasing_id())
     splits = stamped.groupBy("file", "block").agg(
         F.min("_id").alias("_first"),
         F.count(F.lit(1)).alias("_lines"),
-        F.count_if(~is_blank("raw")).alias("_kept"),
+        F.count_if(kept).alias("_kept"),
     )
 
-    def before(column: str, window) -> F.Column:
+    def before(column: str, window) -> Column:
         window = window.rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(column).over(window), F.lit(0))
 
@@ -129,19 +132,24 @@ def index_lines(scan: DataFrame, order: Sequence[str] | None = None) -> DataFram
     if _split_count(scan) <= MAX_BROADCAST_SPLITS:
         starts = F.broadcast(starts)
 
-    kept = stamped.where(~is_blank("raw")).withColumn("_kept_id", F.monotonically_increasing_id())
+    rows = stamped.where(kept).withColumn("_kept_id", F.monotonically_increasing_id())
     row_in_task = F.col("_kept_id").bitwiseAND(F.lit((1 << _TASK_BITS) - 1))
     pos = row_in_task - F.col("_task0") + F.col("_pos0")
-    return kept.join(starts, ["file", "block"]).select(
+    return rows.join(starts, ["file", "block"]).select(
         "file",
         "file_ord",
         (F.col("_id") - F.col("_first") + F.col("_line0") + 1).alias("line"),
         pos.alias("pos"),
         (pos + F.col("_seq0")).alias("seq"),
-        "raw",
+        *[c for c in scan.columns if c not in ("file", "block")],
     )
 
 
+def index_lines(scan: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+    """:func:`index_rows` of a text scan; white-space-only lines count as lines but are dropped."""
+    return index_rows(scan, ~is_blank("raw"), order)
+
+
 def read_lines(
     spark: SparkSession, path: str | Sequence[str], index: bool = True, parse: bool = True
 ) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reqframe.sources.lines import index_rows
+
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """A Parquet table, or a CSV with a header line (its columns are text unless typed)."""
@@ -14,6 +16,16 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     return spark.read.parquet(path)
 
 
+def indexed_table(table: DataFrame) -> DataFrame:
+    """A table read from files with its row numbers in file order: ``line, pos, seq`` and more."""
+    located = table.select(
+        "*",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+    return index_rows(located)
+
+
 def read_blobs(spark: SparkSession, path: str) -> DataFrame:
     """``(path, bytes)`` of the files below a directory, paths without their scheme."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
