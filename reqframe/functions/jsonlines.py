@@ -39,6 +39,17 @@ def is_blank(raw: Column | str) -> Column:
     )
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add or replace a costly column that filters and projections above it must not compute again.
+
+    The optimizer moves a filter below the projection that defines its column and so copies the
+    definition, once per use. It leaves a generator's output where it is, while filters on the
+    other columns still pass. A one-element array yields exactly one row, NULL included.
+    """
+    others = [c for c in df.columns if c != name]
+    return df.select(*others, F.explode_outer(F.array(value)).alias(name))
+
+
 def parse_lines(df: DataFrame, raw: str = "raw", out: str = "v", trim: bool = False) -> DataFrame:
     """Add ``out``: the VARIANT of each line, NULL where the text is not exactly one JSON value.
 
@@ -54,11 +65,8 @@ def parse_lines(df: DataFrame, raw: str = "raw", out: str = "v", trim: bool = Fa
         & F.try_variant_get("_sealed", "$[2]", "variant").isNull()
         & F.is_valid_utf8(F.col(raw))
     )
-    return (
-        df.withColumn("_sealed", sealed)
-        .withColumn(out, F.when(whole, F.try_variant_get("_sealed", "$[0]", "variant")))
-        .drop("_sealed")
-    )
+    value = F.when(whole, F.try_variant_get("_sealed", "$[0]", "variant"))
+    return computed_once(df.withColumn("_sealed", sealed), out, value).drop("_sealed")
 
 
 def path_of(*keys: str | int) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reqframe.functions.jsonlines import _col, items_at, kind, member, text_at
+from reqframe.functions.jsonlines import _col, computed_once, items_at, kind, member, text_at
 
 # The two places a result line may keep its response body.
 FLAT = ("response_body",)
@@ -68,7 +68,7 @@ def extract(lines: DataFrame, v: str = "v") -> DataFrame:
     and ``error`` is set. Both are false for a line that is neither.
     """
     staged = (
-        lines.withColumn("_body", response_body(v))
+        computed_once(lines, "_body", response_body(v))
         .withColumn("_answer", answer("_body"))
         .withColumn("is_result", F.coalesce(F.size(items_at("_body", "choices")) > 0, F.lit(False)))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reqframe.functions.jsonlines import computed_once
 from reqframe.functions.results import extract
 
 # The request envelope.
@@ -63,11 +64,11 @@ def embedding_line(custom_id: Column, text: Column, model: Column) -> Column:
 
 def build_requests(table: DataFrame, *keep: str, **parts) -> DataFrame:
     """``raw`` chat lines from a table's rows, next to the ``keep`` columns."""
-    return table.select(*keep, chat_line(**parts).alias("raw"))
+    return computed_once(table, "raw", chat_line(**parts)).select(*keep, "raw")
 
 
 def build_embeddings(table: DataFrame, custom_id: Column, text: Column, model: Column, *keep: str) -> DataFrame:
-    return table.select(*keep, embedding_line(custom_id, text, model).alias("raw"))
+    return computed_once(table, "raw", embedding_line(custom_id, text, model)).select(*keep, "raw")
 
 
 def next_stage(
@@ -87,4 +88,4 @@ def next_stage(
     """
     prompt = F.concat(F.lit(before), F.coalesce("content", F.lit("")), F.lit(after))
     line = chat_line(numbered(prefix, width, F.col(position)), prompt, model, max_tokens=max_tokens)
-    return extract(results).select(position, line.alias("raw"))
+    return computed_once(extract(results), "raw", line).select(position, "raw")

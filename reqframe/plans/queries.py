@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqframe.functions.jsonlines import parse_lines, text_at
+from reqframe.functions.jsonlines import computed_once, parse_lines, text_at
 from reqframe.functions.money import cost_text
 from reqframe.operators import build, catalog, compare, layout, results, stats, usage, validate
 from reqframe.operators.prepare import append_lines, prepare
@@ -16,6 +16,7 @@ from reqframe.plans import views
 from reqframe.plans.views import Tables
 from reqframe.session import shared_dir
 from reqframe.sources.sinks import as_plain
+from reqframe.sources.tables import spread
 from reqframe.streaming import events as stream_events
 from reqframe.streaming import results as tailing
 
@@ -64,7 +65,7 @@ def build_chat(t: Tables) -> DataFrame:
     """System and user prompt templates over a table's columns."""
     turn = F.concat_ws("-", F.lit("turn"), F.col("conv_id").cast("string"), F.col("turn").cast("string"))
     lines = build.build_requests(
-        t.conversations,
+        spread(t.conversations, "conv_id"),
         custom_id=turn,
         system=F.concat(F.lit("Speak as the "), "role"),
         user=F.concat(F.lit("Turn: "), "text"),
@@ -82,7 +83,7 @@ def build_chat(t: Tables) -> DataFrame:
 
 @query
 def build_embeddings(t: Tables) -> DataFrame:
-    lines = build.build_embeddings(t.documents, build.numbered("emb-", 3, "doc_id"), F.col("text"), views.model())
+    lines = build.build_embeddings(views.documents(t), build.numbered("emb-", 3, "doc_id"), F.col("text"), views.model())
     return parse_lines(lines).select(
         text_at("v", "custom_id").alias("custom_id"),
         text_at("v", "url").alias("url"),
@@ -147,17 +148,17 @@ def validate_files(t: Tables) -> DataFrame:
 
 @query
 def prepare_model(t: Tables) -> DataFrame:
-    return _chat_fields(prepare_again(views.requests(t), model="m-new"))
+    return _chat_fields(prepare_again(views.raw_requests(t), model="m-new"))
 
 
 def prepare_again(lines: DataFrame, **options) -> DataFrame:
     """Rewrite and parse the rewritten text again."""
-    return parse_lines(prepare(lines, **options).drop("v"))
+    return parse_lines(prepare(lines, **options))
 
 
 @query
 def prepare_params(t: Tables) -> DataFrame:
-    lines = prepare_again(views.requests(t), temperature=0.5, max_tokens=50, top_p=0.9)
+    lines = prepare_again(views.raw_requests(t), temperature=0.5, max_tokens=50, top_p=0.9)
     return _chat_fields(
         lines,
         F.try_variant_get("v", "$.body.temperature", "double").alias("temperature"),
@@ -168,7 +169,7 @@ def prepare_params(t: Tables) -> DataFrame:
 @query
 def prepare_set_path(t: Tables) -> DataFrame:
     settings = ["body.stream=false", "body.metadata.run=007", "body.metadata.tag=a=b", "method.x=1", "custom_id.y=2", "ignored"]
-    lines = prepare_again(views.requests(t), settings=settings)
+    lines = prepare_again(views.raw_requests(t), settings=settings)
     return lines.select(
         F.try_variant_get("v", "$.body.stream", "boolean").alias("stream"),
         F.try_variant_get("v", "$.body.metadata.run", "bigint").alias("run"),
@@ -181,13 +182,13 @@ def prepare_set_path(t: Tables) -> DataFrame:
 
 @query
 def prepare_remove(t: Tables) -> DataFrame:
-    return _chat_fields(prepare_again(views.requests(t), remove="1"))
+    return _chat_fields(prepare_again(views.raw_requests(t), remove="1"))
 
 
 @query
 def prepare_append(t: Tables) -> DataFrame:
     added = ['{"custom_id":"extra-1","body":{"model":"m-extra"}}', ' {"custom_id":"extra-2"} ']
-    lines = append_lines(prepare(views.requests(t), model="m-new"), added)
+    lines = parse_lines(append_lines(prepare(views.raw_requests(t), model="m-new"), added))
     return lines.select(
         "file",
         "section",
@@ -213,7 +214,7 @@ def inline_assets(t: Tables) -> DataFrame:
 
 @query
 def merge_lines(t: Tables) -> DataFrame:
-    merged = layout.renumber(layout.merge(views.requests(t), views.results_a(t)))
+    merged = layout.renumber(layout.merge(views.raw_requests(t), views.raw_results_a(t)))
     return parse_lines(merged).select(
         "merged_seq", "set_ord", "line", text_at("v", "custom_id").alias("custom_id")
     )
@@ -222,7 +223,7 @@ def merge_lines(t: Tables) -> DataFrame:
 @query
 def split_chunks(t: Tables) -> DataFrame:
     lines = layout.chunks(views.indexed_requests(t), 100, F.lit("documents"))
-    return lines.select(text_at("v", "custom_id").alias("custom_id"), "chunk", "chunk_name")
+    return parse_lines(lines).select(text_at("v", "custom_id").alias("custom_id"), "chunk", "chunk_name")
 
 
 @query
@@ -232,8 +233,7 @@ def chunk_sizes(t: Tables) -> DataFrame:
 
 @query
 def sample_k(t: Tables) -> DataFrame:
-    lines = views.requests(t).drop("v")
-    return parse_lines(layout.sample(lines, 100, "line", seed=7)).select(
+    return parse_lines(layout.sample(views.raw_requests(t), 100, "line", seed=7)).select(
         "line", text_at("v", "custom_id").alias("custom_id")
     )
 
@@ -248,10 +248,9 @@ def sample_large(t: Tables) -> DataFrame:
 
 
 def _batched_results(t: Tables) -> DataFrame:
-    raw = views.results_a_raw()
     place = F.col("doc_id")
-    return t.documents.select(
-        F.concat(F.lit("batch-"), "source").alias("batch_id"), place.alias("line"), place.alias("pos"), raw.alias("raw")
+    return computed_once(views.documents(t), "raw", views.results_a_raw()).select(
+        F.concat(F.lit("batch-"), "source").alias("batch_id"), place.alias("line"), place.alias("pos"), "raw"
     )
 
 
@@ -332,7 +331,7 @@ def diff_detail(t: Tables) -> DataFrame:
 @query
 def diff_warnings(t: Tables) -> DataFrame:
     dirty = views.dirty_lines(t).where(~validate.is_blank("raw"))
-    return compare.input_warnings(parse_lines(dirty.unionByName(views.requests(t).drop("v"))))
+    return compare.input_warnings(parse_lines(dirty.unionByName(views.raw_requests(t))))
 
 
 @query

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqframe.functions.jsonlines import parse_lines
+from reqframe.functions.jsonlines import computed_once, parse_lines
 from reqframe.operators.build import CHAT_URL, METHOD, chat_line, numbered
 from reqframe.session import configure
 from reqframe.sources.lines import is_dir
-from reqframe.sources.tables import indexed_table
+from reqframe.sources.tables import indexed_table, spread
 
 
 class Tables:
@@ -32,6 +32,10 @@ class Tables:
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(self.folder)
 
 
+def documents(t: Tables) -> DataFrame:
+    return spread(t.documents, "doc_id")
+
+
 def doc_id() -> Column:
     return numbered("doc-", 6, "doc_id")
 
@@ -47,20 +51,24 @@ def request_raw() -> Column:
 def _as_lines(df: DataFrame, line: Column, file: Column, raw: Column) -> DataFrame:
     """Lines of a table with a dense key; the key stands for the line's place in its file."""
     place = line.cast("bigint")
-    return df.select(
-        file.alias("file"), (place + 1).alias("line"), place.alias("pos"), place.alias("seq"), raw.alias("raw")
+    return computed_once(df, "raw", raw).select(
+        file.alias("file"), (place + 1).alias("line"), place.alias("pos"), place.alias("seq"), "raw"
     )
 
 
-def requests(t: Tables) -> DataFrame:
+def raw_requests(t: Tables) -> DataFrame:
     """One chat request per document."""
-    return parse_lines(_as_lines(t.documents, F.col("doc_id"), F.lit("requests.jsonl"), request_raw()))
+    return _as_lines(documents(t), F.col("doc_id"), F.lit("requests.jsonl"), request_raw())
+
+
+def requests(t: Tables) -> DataFrame:
+    return parse_lines(raw_requests(t))
 
 
 def indexed_requests(t: Tables) -> DataFrame:
-    """The same requests, numbered by the scan itself instead of by a key."""
+    """The same requests, numbered by the scan itself instead of by a key. Not parsed."""
     rows = indexed_table(t.documents.select("doc_id", "text", "lang", "n_chars"))
-    return parse_lines(rows.withColumn("raw", request_raw()))
+    return computed_once(spread(rows, "line"), "raw", request_raw())
 
 
 def _json(**members: Column) -> Column:
@@ -92,8 +100,12 @@ def results_a_raw() -> Column:
     return F.when(F.col("source") == "src4", _error(doc_id())).otherwise(good)
 
 
+def raw_results_a(t: Tables) -> DataFrame:
+    return _as_lines(documents(t), F.col("doc_id"), F.lit("a.jsonl"), results_a_raw())
+
+
 def results_a(t: Tables) -> DataFrame:
-    return parse_lines(_as_lines(t.documents, F.col("doc_id"), F.lit("a.jsonl"), results_a_raw()))
+    return parse_lines(raw_results_a(t))
 
 
 def results_b(t: Tables) -> DataFrame:
@@ -117,7 +129,7 @@ def results_b(t: Tables) -> DataFrame:
         .otherwise(line(text))
     )
     lines = F.array_compact(F.array(first, F.when(source == "src1", line(text))))
-    rows = t.documents.select("doc_id", "source", F.posexplode(lines).alias("k", "raw"))
+    rows = documents(t).select("doc_id", "source", F.posexplode(lines).alias("k", "raw"))
     place = F.col("doc_id") * 2 + F.col("k")
     return parse_lines(_as_lines(rows, place, F.lit("b.jsonl"), F.col("raw")))
 
@@ -142,7 +154,7 @@ def dirty_lines(t: Tables) -> DataFrame:
         .when(s == "src9", _json(custom_id=F.lit(None).cast("string"), method=F.lit(1), url=url, body=body))
         .otherwise(F.col("_good"))
     )
-    return _as_lines(t.documents.withColumn("_good", good), F.col("doc_id"), F.concat("source", F.lit(".jsonl")), raw)
+    return _as_lines(documents(t).withColumn("_good", good), F.col("doc_id"), F.concat("source", F.lit(".jsonl")), raw)
 
 
 def multimodal_requests(t: Tables) -> DataFrame:
@@ -172,7 +184,7 @@ def multimodal_requests(t: Tables) -> DataFrame:
             body.alias("body"),
         )
     )
-    return parse_lines(_as_lines(t.pages, F.col("page_id"), F.lit("pages.jsonl"), raw))
+    return parse_lines(_as_lines(spread(t.pages, "page_id"), F.col("page_id"), F.lit("pages.jsonl"), raw))
 
 
 def blobs(t: Tables) -> DataFrame:
@@ -185,7 +197,7 @@ def structured_results(t: Tables) -> DataFrame:
     message = F.struct(content.alias("content"))
     body = F.struct(F.array(F.struct(message.alias("message"))).alias("choices"))
     raw = _json(custom_id=numbered("event-", 8, "event_id"), response=F.struct(body.alias("body")))
-    return parse_lines(_as_lines(t.events, F.col("event_id"), F.lit("events.jsonl"), raw))
+    return parse_lines(_as_lines(spread(t.events, "event_id"), F.col("event_id"), F.lit("events.jsonl"), raw))
 
 
 def price(text: str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reqframe.session import plan_bytes
 from reqframe.sources.lines import index_rows
 
 
@@ -16,6 +17,21 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     return spark.read.parquet(path)
 
 
+# A table below this size may sit in one or two row groups, which only as many tasks can read.
+_SPREAD_BELOW = 1 << 30
+
+
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """Hand a small table to all cores before per-row JSON work; large tables are left alone.
+
+    The shuffle is bounded by the size checked here. A table of normal size already has more
+    row groups than the cluster has cores and gains nothing from it.
+    """
+    if plan_bytes(table) >= _SPREAD_BELOW:
+        return table
+    return table.repartition(table.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def indexed_table(table: DataFrame) -> DataFrame:
     """A table read from files with its row numbers in file order: ``line, pos, seq`` and more."""
     located = table.select(
