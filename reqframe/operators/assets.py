@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reqframe.functions.jsonlines import (
+    computed_once,
     items_at,
-    member,
     members_at,
     put,
     text_at,
@@ -80,23 +80,17 @@ def inline_assets(lines: DataFrame, blobs: DataFrame) -> DataFrame:
 
     A path that ``blobs`` lacks makes the line bad (column ``_bad``). Lines need ``file, line``
     or ``line`` as their identity. Only the references travel to the blobs, and a much used
-    image is spread over many tasks; the lines themselves are joined once to their own URIs.
-    Lines without a reference take no part in either shuffle.
+    image is spread over many tasks; the lines are then joined once to their own URIs.
     """
     identity = [c for c in ("file", "line") if c in lines.columns]
-    found = lines.withColumn("_refs", references("v"))
-    if "_bad" not in lines.columns:
-        found = found.withColumn("_bad", F.lit(None).cast("string"))
-    none = F.coalesce(F.size("_refs"), F.lit(0)) <= 0
-    plain = found.where(none).drop("_refs")
-    some = found.where(~none).withColumn("_ref_count", F.size("_refs"))
-    refs = some.select(*identity, F.explode("_refs").alias("_r")).select(
+    found = computed_once(lines, "_refs", references("v"))
+    refs = found.select(*identity, F.explode("_refs").alias("_r")).select(
         *identity,
         F.concat_ws(":", "_r.m", "_r.p").alias("_at"),
         local_path(F.col("_r.url")).alias("path"),
         F.xxhash64(*identity, "_r.m", "_r.p").alias("_ref_id"),
     )
-    stored = blobs.select("path", F.col("bytes")).groupBy("path").agg(F.first("bytes").alias("bytes"))
+    stored = blobs.groupBy("path").agg(F.first("bytes").alias("bytes"))
     loaded = join_on(refs, stored, "path", "inner", row_id="_ref_id", right_unique=True)
     # Some sessions break base64 text into lines; a data URI has none.
     encoded = F.replace(F.base64("bytes"), F.lit("\r\n"), F.lit(""))
@@ -105,12 +99,12 @@ def inline_assets(lines: DataFrame, blobs: DataFrame) -> DataFrame:
     per_line = loaded.groupBy(*identity).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col("_at"), uri.alias("_uri")))).alias("_uris")
     )
-    joined = some.join(per_line, identity, "left")
-    complete = F.coalesce(F.size("_uris"), F.lit(0)) == F.col("_ref_count")
-    filled = joined.withColumn(
-        "_bad", F.coalesce("_bad", F.when(~complete, F.lit("could not read an image")))
-    ).withColumn("v", F.when(complete, _with_uris("v", "_uris")).otherwise(F.col("v")))
-    return plain.unionByName(filled.drop("_refs", "_ref_count", "_uris"))
-
-
-__all__ = ["inline_assets", "local_path", "member", "mime_of", "references"]
+    joined = found.join(per_line, identity, "left")
+    wanted, got = F.coalesce(F.size("_refs"), F.lit(0)), F.coalesce(F.size("_uris"), F.lit(0))
+    if "_bad" not in lines.columns:
+        joined = joined.withColumn("_bad", F.lit(None).cast("string"))
+    return (
+        joined.withColumn("_bad", F.coalesce("_bad", F.when(got < wanted, F.lit("could not read an image"))))
+        .withColumn("v", F.when((wanted > 0) & (got >= wanted), _with_uris("v", "_uris")).otherwise(F.col("v")))
+        .drop("_refs", "_uris")
+    )

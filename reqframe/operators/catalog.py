@@ -33,14 +33,22 @@ def models_by_type(models: DataFrame, model_type: str | None = None) -> DataFram
 def uuid_text(key: Column) -> Column:
     """The lower-case hyphenated UUID a key spells, or NULL if it is not UUID-shaped.
 
-    Accepted spellings: 32 digits, hyphenated, hyphenated in braces, or as a URN.
+    Accepted spellings: 32 digits, hyphenated, hyphenated in braces, or as a URN. Lengths are
+    looked at first, so that aliases rarely meet a regular expression.
     """
-    low = F.lower(key)
-    hyphened = r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
-    shaped = low.rlike(rf"^([0-9a-f]{{32}}|{hyphened}|\{{{hyphened}\}}|urn:uuid:{hyphened})$")
-    digits = F.regexp_replace(F.regexp_replace(low, "^urn:uuid:", ""), "[^0-9a-f]", "")
-    parts = [F.substring(digits, start, size) for start, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return F.when(shaped, F.concat_ws("-", *parts))
+    hyphened = "[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
+    low, size = F.lower(key), F.length(key)
+
+    def grouped(digits: Column) -> Column:
+        cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+        return F.concat_ws("-", *[F.substring(digits, start, n) for start, n in cuts])
+
+    return (
+        F.when((size == 36) & low.rlike(f"^{hyphened}$"), low)
+        .when((size == 32) & low.rlike("^[0-9a-f]{32}$"), grouped(low))
+        .when((size == 38) & low.rlike(rf"^\{{{hyphened}\}}$"), F.substring(low, 2, 36))
+        .when((size == 45) & low.rlike(f"^urn:uuid:{hyphened}$"), F.substring(low, 10, 36))
+    )
 
 
 def resolve_models(requests: DataFrame, models: DataFrame, key: str = "model", row_id: str | None = None) -> DataFrame:
@@ -53,13 +61,9 @@ def resolve_models(requests: DataFrame, models: DataFrame, key: str = "model", r
     by_id = models.select(F.concat(F.lit("id:"), F.lower("id")).alias("_key"), F.col("id").alias("model_id"))
     by_alias = models.select(F.concat(F.lit("alias:"), ascii_lower("alias")).alias("_key"), F.col("id").alias("model_id"))
     lookup = by_id.unionAll(by_alias).groupBy("_key").agg(F.min("model_id").alias("model_id"))
-    as_uuid = uuid_text(F.col(key))
-    asked = requests.withColumn(
-        "_key",
-        F.when(as_uuid.isNotNull(), F.concat(F.lit("id:"), as_uuid)).otherwise(
-            F.concat(F.lit("alias:"), ascii_lower(key))
-        ),
-    )
+    by_uuid = F.concat(F.lit("id:"), uuid_text(F.col(key)))
+    by_name = F.concat(F.lit("alias:"), ascii_lower(key))
+    asked = requests.withColumn("_key", F.coalesce(by_uuid, by_name))
     return join_on(asked, lookup, "_key", "left", row_id=row_id, right_unique=True).drop("_key")
 
 

@@ -12,9 +12,9 @@ from reqframe.operators.joins import join_on
 CHUNK_SIZE = 1000
 
 # Samples up to this size are picked by a per-task top-k.
-TOP_K_LIMIT = 100_000
-# Buckets of the draw for larger samples: one bucket holds about a millionth of the lines.
-_DRAW_BITS = 20
+TOP_K_LIMIT = 1_000
+# Lots that may be ordered together to find where a large sample ends.
+_ORDERED_AT_ONCE = 1_000_000
 
 
 def merge(*sets: DataFrame) -> DataFrame:
@@ -116,27 +116,41 @@ def draw(seed: int, *key: str) -> Column:
 def sample(lines: DataFrame, count: int, *key: str, seed: int = 0, top_k: int = TOP_K_LIMIT) -> DataFrame:
     """Exactly ``min(count, n)`` lines without replacement; ``key`` names a line uniquely.
 
-    The lines with the lowest lots win. A small sample keeps ``count`` rows per task. A large one
-    first counts lines per leading bits of the lot: all lines below the bucket in which the count
-    is reached are in, and only that bucket is ordered. No task or driver holds the whole sample.
+    The lines with the lowest lots win. A small sample keeps ``count`` rows per task. For a large
+    one the last lot that is in is found first, from lots and keys alone; the lines themselves are
+    then filtered where they are, and none is shuffled or collected.
     """
     if count < 1:
         raise ValueError("sample count must be at least 1")
     drawn = lines.withColumn("_lot", draw(seed, *key))
     if count <= top_k:
         return drawn.orderBy("_lot", *key).limit(count).drop("_lot")
-    drawn = drawn.withColumn("_bucket", F.conv(F.substring("_lot", 1, _DRAW_BITS // 4), 16, 10).cast("int"))
-    sizes = drawn.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # At most 2**_DRAW_BITS rows of two numbers.
-    upto = F.sum("_n").over(Window.orderBy("_bucket"))
-    reached = sizes.select("_bucket", (count - (upto - F.col("_n"))).alias("_need"), upto.alias("_upto"))
-    cut = reached.where(F.col("_upto") >= count).agg(F.min(F.struct("_bucket", "_need")).alias("c"))
-    edge = cut.select("c.*").first()
-    if edge["_bucket"] is None:
-        return lines
-    inside = drawn.where(F.col("_bucket") < edge["_bucket"])
-    rest = drawn.where(F.col("_bucket") == edge["_bucket"]).orderBy("_lot", *key).limit(edge["_need"])
-    return inside.unionAll(rest).drop("_lot", "_bucket")
+    place = F.struct("_lot", *key)
+    last = _last_place(drawn.select("_lot", *key), count, place)
+    return lines if last is None else drawn.where(place <= last.scalar()).drop("_lot")
+
+
+def _last_place(lots: DataFrame, count: int, place: Column) -> DataFrame | None:
+    """One row with the ``count``-th lowest place, or None if there are fewer.
+
+    Counts by the next two digits of the lot, 256 rows at most, lead to the range that holds it;
+    ranges are refined until one is small enough to order.
+    """
+    prefix, need = "", count
+    while True:
+        inside = lots.where(F.col("_lot").startswith(prefix))
+        digits = F.left("_lot", F.lit(len(prefix) + 2)).alias("digits")
+        sizes = inside.groupBy(digits).agg(F.count(F.lit(1)).alias("n")).orderBy("digits").collect()
+        for size in sizes:
+            if need <= size["n"]:
+                break
+            need -= size["n"]
+        else:
+            return None
+        prefix = size["digits"]
+        if size["n"] <= _ORDERED_AT_ONCE:
+            inside = lots.where(F.col("_lot").startswith(prefix))
+            return inside.orderBy(place).limit(need).agg(F.max(place))
 
 
 def require_lines(lines: DataFrame) -> DataFrame:

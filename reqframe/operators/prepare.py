@@ -8,7 +8,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reqframe.functions.jsonlines import (
@@ -22,6 +22,9 @@ from reqframe.functions.jsonlines import (
     put,
     text_at,
 )
+from reqframe.operators.assets import inline_assets
+from reqframe.sources.lines import file_list, index_lines, scan_lines
+from reqframe.sources.sinks import write_by_file
 
 _FLOAT = re.compile(r"[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|inf|infinity|nan)", re.I | re.A)
 _INT = re.compile(r"[+-]?\d+", re.A)
@@ -99,10 +102,6 @@ def _patched(v: str, at: tuple[str, ...], patch: _Patch) -> Column:
     return put(F.coalesce(members_at(v, *at), no_members()), values)
 
 
-def _row_error(message: str, on_bad: str) -> Column:
-    return F.raise_error(F.concat(F.lit(message + ": "), F.left("raw", F.lit(200)))) if on_bad == "fail" else F.lit(message)
-
-
 def parse_settings(settings: Sequence[str]) -> list[tuple[list[str], object]]:
     """``path=value`` texts, split at the first ``=``; a text without one is ignored."""
     pairs = [s.split("=", 1) for s in settings if "=" in s]
@@ -188,8 +187,6 @@ def prepare(
     if settings:
         work = _apply_settings(work, settings)
     if blobs is not None:
-        from reqframe.operators.assets import inline_assets
-
         work = inline_assets(work, blobs)
     if on_bad == "fail":
         fault = F.concat(F.col("_bad"), F.lit(": "), F.left("raw", F.lit(200)))
@@ -199,6 +196,20 @@ def prepare(
     return work.withColumn("raw", text).withColumn("error", F.col("_bad")).select(*keep, "error")
 
 
+def prepare_directory(
+    spark: SparkSession, source: str, target: str, added: Sequence[str] = (), **options
+) -> None:
+    """Rewrite every ``.jsonl`` file of a folder, or one file, into the new folder ``target``.
+
+    One job covers all files; each keeps its name and its line order.
+    """
+    scan = scan_lines(spark, source)
+    lines = prepare(index_lines(scan).drop("seq", "pos"), **options)
+    files = file_list(scan) if added else None
+    whole = append_lines(lines.drop("file_ord"), added, files)
+    write_by_file(whole, target, ("section", "line"))
+
+
 def append_lines(lines: DataFrame, added: Sequence[str], files: DataFrame | None = None) -> DataFrame:
     """Add literal lines after the last line of every file.
 

@@ -132,19 +132,3 @@ def batch_analytics_list(log: DataFrame, ids: DataFrame) -> DataFrame:
         0, ["total_requests", "total_prompt_tokens", "total_completion_tokens", "total_tokens"]
     )
     return rows.orderBy("ordinal")
-
-
-# Plain report columns, in the order the reports print them.
-def plain_analytics(with_id: bool = True) -> list[str | Column]:
-    return (["batch_id"] if with_id else []) + [
-        "total_requests",
-        "total_tokens",
-        F.coalesce("avg_duration_ms", F.lit(0.0)),
-        F.coalesce(F.col("total_cost").cast("string"), F.lit("0")),
-    ]
-
-
-def analytics_envelope(analytics: DataFrame) -> DataFrame:
-    """``{batch_id, analytics}`` rows for the JSON report over several batches."""
-    inner = [c for c in analytics.columns if c not in ("batch_id", "ordinal")]
-    return analytics.select("batch_id", F.struct(*inner).alias("analytics"))

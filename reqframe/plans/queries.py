@@ -12,10 +12,10 @@ from reqframe.functions.jsonlines import computed_once, parse_lines, text_at
 from reqframe.functions.money import cost_text
 from reqframe.operators import build, catalog, compare, layout, results, stats, usage, validate
 from reqframe.operators.prepare import append_lines, prepare
+from reqframe.operators.reports import as_plain
 from reqframe.plans import views
 from reqframe.plans.views import Tables
 from reqframe.session import shared_dir
-from reqframe.sources.sinks import as_plain
 from reqframe.sources.tables import spread
 from reqframe.streaming import events as stream_events
 from reqframe.streaming import results as tailing
@@ -241,9 +241,10 @@ def sample_k(t: Tables) -> DataFrame:
 @query
 def sample_large(t: Tables) -> DataFrame:
     """A sample too large for one top-k."""
-    items = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    items = spread(t.lineitem.select(*columns), "l_orderkey")
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
-    drawn = layout.sample(items.withColumn("l_quantity", F.col("l_quantity").cast("int")), 25_000, *keys, seed=3, top_k=10_000)
+    drawn = layout.sample(items.withColumn("l_quantity", F.col("l_quantity").cast("int")), 25_000, *keys, seed=3)
     return drawn.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
 
 
@@ -478,7 +479,7 @@ def models_by_type(t: Tables) -> DataFrame:
 
 @query
 def resolve_models(t: Tables) -> DataFrame:
-    by_id = t.lineitem.select(F.upper(views.uuid_of("l_partkey")).alias("model"))
+    by_id = spread(t.lineitem.select("l_partkey"), "l_partkey").select(F.upper(views.uuid_of("l_partkey")).alias("model"))
     by_alias = t.part.select(F.upper("p_name").alias("model"))
     unknown = t.customer.select(F.col("c_name").alias("model"))
     asked = by_id.unionAll(by_alias).unionAll(unknown)

@@ -40,6 +40,10 @@ def build_session(app: str = "reqframe", master: str | None = None, **conf: str)
     return configure(builder.getOrCreate())
 
 
+# Working folders of local sessions that name none, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
@@ -51,9 +55,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="reqframe-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="reqframe-")
+    return _LOCAL_DIRS[app]
 
 
 def plan_bytes(df) -> int:

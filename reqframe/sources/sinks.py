@@ -1,10 +1,10 @@
-"""Sinks: raw lines, chunk folders, and reports."""
+"""Sinks of lines: as they are, in order, by file, in chunks."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows per output file when order or chunk bounds decide the layout.
@@ -36,14 +36,18 @@ def write_ordered(
     ordered.select(F.col(column).alias("value")).write.text(path, lineSep="\n")
 
 
-def write_by_file(df: DataFrame, path: str, column: str = "raw") -> None:
-    """A new folder with one sub-folder per input file name.
+def write_by_file(
+    df: DataFrame, path: str, order: Sequence[str] = ("line",), column: str = "raw"
+) -> None:
+    """A new folder with one sub-folder per input file name, its part files in ``order``.
 
-    Tasks write what they hold, so one very large file needs no single task. The input is never
-    overwritten: Spark reads lazily, and a lost executor would have nothing left to read.
+    Ranges of ``(file, order)`` make up the tasks, so a very large file is written by many. The
+    input is never overwritten: Spark reads lazily, and a lost executor would have nothing left
+    to read again.
     """
-    name = F.element_at(F.split("file", "/"), -1)
-    df.select(name.alias("file"), F.col(column).alias("value")).write.partitionBy("file").text(
+    named = df.withColumn("file", F.element_at(F.split("file", "/"), -1))
+    placed = named.repartitionByRange("file", *order).sortWithinPartitions("file", *order)
+    placed.select("file", F.col(column).alias("value")).write.partitionBy("file").text(
         path, lineSep="\n"
     )
 
@@ -64,20 +68,3 @@ def write_chunks(
         .write.partitionBy("chunk_name")
         .text(path, lineSep="\n")
     )
-
-
-def as_json(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One compact JSON object per row."""
-    fields = F.struct(*(columns or df.columns))
-    return df.select(F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"))
-
-
-def as_plain(df: DataFrame, columns: Sequence[str | Column]) -> DataFrame:
-    """Tab-separated text without a header."""
-    parts = [F.col(c) if isinstance(c, str) else c for c in columns]
-    return df.select(F.concat_ws("\t", *[p.cast("string") for p in parts]).alias("value"))
-
-
-def write_report(report: DataFrame, path: str) -> None:
-    """Write the single text column of :func:`as_json` or :func:`as_plain`."""
-    report.write.text(path, lineSep="\n")

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from reqframe.operators import layout
 from reqframe.operators.layout import (
     chunk_summary,
     chunks,
@@ -77,7 +78,9 @@ def test_ordered_sink(spark, put_file, tmp_path):
 
 
 @pytest.mark.parametrize("k", [1, 7, 400, 1000, 5000])
-def test_sample_size(spark, k):
+@pytest.mark.parametrize("at_once", [5, 1_000_000])
+def test_sample_size(spark, monkeypatch, k, at_once):
+    monkeypatch.setattr(layout, "_ORDERED_AT_ONCE", at_once)
     df = spark.range(1000).withColumnRenamed("id", "line")
     small = [r.line for r in sample(df, k, "line", seed=3).collect()]
     large = [r.line for r in sample(df, k, "line", seed=3, top_k=0).collect()]
