@@ -50,6 +50,18 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select(*others, F.explode_outer(F.array(value)).alias(name))
 
 
+# A \\u escape of half a surrogate pair. The parser takes it, strict JSON readers do not.
+_HALF_PAIR = (
+    r"(?i)(?<!\\)(?:\\\\)*\\ud[89ab][0-9a-f]{2}(?!\\ud[c-f][0-9a-f]{2})"
+    r"|(?i)(?<!\\ud[89ab][0-9a-f]{2})(?<!\\)(?:\\\\)*\\ud[c-f][0-9a-f]{2}"
+)
+
+
+def _half_pair(raw: Column) -> Column:
+    escaped = raw.contains("\\ud") | raw.contains("\\uD")
+    return F.when(escaped, raw.rlike(_HALF_PAIR)).otherwise(F.lit(False))
+
+
 def parse_lines(df: DataFrame, raw: str = "raw", out: str = "v", trim: bool = False) -> DataFrame:
     """Add ``out``: the VARIANT of each line, NULL where the text is not exactly one JSON value.
 
@@ -64,6 +76,7 @@ def parse_lines(df: DataFrame, raw: str = "raw", out: str = "v", trim: bool = Fa
         (F.try_variant_get("_sealed", "$[1]", "string") == _SEAL)
         & F.try_variant_get("_sealed", "$[2]", "variant").isNull()
         & F.is_valid_utf8(F.col(raw))
+        & ~_half_pair(F.col(raw))
     )
     value = F.when(whole, F.try_variant_get("_sealed", "$[0]", "variant"))
     return computed_once(df.withColumn("_sealed", sealed), out, value).drop("_sealed")

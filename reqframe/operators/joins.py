@@ -72,7 +72,8 @@ def join_on(
         return left.join(F.broadcast(right), key, how)
     if how in ("left_semi", "left_anti"):
         right, right_unique = right.select(key).distinct(), True
-    if plan_bytes(left) + right_bytes < look_from:
+    # With one right row per key only the left side can be lopsided.
+    if plan_bytes(left) + (0 if right_unique else right_bytes) < look_from:
         return left.join(right, key, how)
 
     left_hot = hot_values(left, key, look_share)

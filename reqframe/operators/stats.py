@@ -48,8 +48,9 @@ def _tokens(column: str) -> Column:
     return F.expr(f"sum({column}) div {BYTES_PER_TOKEN}")
 
 
-def _measured(lines: DataFrame) -> DataFrame:
+def _measured(lines: DataFrame, *keep: str) -> DataFrame:
     return lines.select(
+        *keep,
         F.col("v").isNull().alias("_bad"),
         text_at("v", "body", "model").alias("model"),
         prompt_bytes().alias("_bytes"),
@@ -57,12 +58,13 @@ def _measured(lines: DataFrame) -> DataFrame:
     )
 
 
-def request_stats(lines: DataFrame) -> DataFrame:
-    """One row: ``lines`` (unparsable ones included), ``parse_errors``, ``estimated_input_tokens``.
+def request_stats(lines: DataFrame, *by: str) -> DataFrame:
+    """``lines`` (unparsable ones included), ``parse_errors``, ``estimated_input_tokens``.
 
-    Bytes are summed over all lines and divided once.
+    One row, or one for each value of the ``by`` columns (such as ``file``). Bytes are summed
+    over all lines and divided once.
     """
-    return _measured(lines).agg(
+    return _measured(lines, *by).groupBy(*by).agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_if("_bad").alias("parse_errors"),
         F.coalesce(_tokens("_bytes"), F.lit(0)).alias("estimated_input_tokens"),

@@ -16,6 +16,7 @@ from reqframe.operators.reports import as_plain
 from reqframe.plans import views
 from reqframe.plans.views import Tables
 from reqframe.session import shared_dir
+from reqframe.sources.literal import literal_rows
 from reqframe.sources.tables import spread
 from reqframe.streaming import events as stream_events
 from reqframe.streaming import results as tailing
@@ -261,7 +262,7 @@ def _source_ids(t: Tables) -> DataFrame:
     ids = t.documents.select(number.alias("n")).distinct()
     twice = ids.select((100 - F.col("n")).alias("ordinal"), "n").unionAll(ids.select((200 - F.col("n")).alias("ordinal"), "n"))
     named = twice.select("ordinal", F.concat(F.lit("batch-src"), F.col("n").cast("string")).alias("id"))
-    return named.unionAll(t.spark.createDataFrame([(300, "batch-none")], "ordinal bigint, id string"))
+    return named.unionAll(literal_rows(t.spark, [(300, "batch-none")], "ordinal bigint, id string"))
 
 
 @query
@@ -281,8 +282,8 @@ def results_missing(t: Tables) -> DataFrame:
 
 @query
 def results_page(t: Tables) -> DataFrame:
-    page = layout.results_page(views.results_a(t), 100, 250)
-    return page.select("pos", text_at("v", "custom_id").alias("custom_id"), "incomplete", "last_line")
+    page = layout.results_page(views.raw_results_a(t), 100, 250)
+    return parse_lines(page).select("pos", text_at("v", "custom_id").alias("custom_id"), "incomplete", "last_line")
 
 
 @query
@@ -382,7 +383,7 @@ def usage_by_model(t: Tables) -> DataFrame:
 @query
 def usage_plain(t: Tables) -> DataFrame:
     rows = usage.usage_by_model(views.request_log(t))
-    return as_plain(rows, ["model", "request_count", "input_tokens", "output_tokens", cost_text("cost")])
+    return as_plain(rows, ["model", "request_count", "input_tokens", "output_tokens", "cost"])
 
 
 @query
@@ -396,7 +397,7 @@ def batch_analytics_list(t: Tables) -> DataFrame:
     name = F.concat(F.lit("batch-"), F.col("user_id").cast("string")).alias("id")
     ids = users.select((1000 - F.col("user_id")).alias("ordinal"), name).unionAll(
         users.select((5000 - F.col("user_id")).alias("ordinal"), name)
-    ).unionAll(t.spark.createDataFrame([(0, "batch-none")], "ordinal bigint, id string"))
+    ).unionAll(literal_rows(t.spark, [(0, "batch-none")], "ordinal bigint, id string"))
     rows = usage.batch_analytics_list(views.request_log(t), ids)
     return rows.withColumn("total_cost", cost_text("total_cost"))
 

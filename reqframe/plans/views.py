@@ -9,6 +9,7 @@ from reqframe.functions.jsonlines import computed_once, parse_lines
 from reqframe.operators.build import CHAT_URL, METHOD, chat_line, numbered
 from reqframe.session import configure
 from reqframe.sources.lines import is_dir
+from reqframe.sources.literal import literal_rows
 from reqframe.sources.tables import indexed_table, spread
 
 
@@ -248,11 +249,11 @@ REALTIME = [
 
 def prices(t: Tables) -> DataFrame:
     columns = "model string, completion_window string, input_price string, output_price string"
-    return t.spark.createDataFrame(PRICES, columns)
+    return literal_rows(t.spark, PRICES, columns)
 
 
 def realtime_prices(t: Tables) -> DataFrame:
-    return t.spark.createDataFrame(REALTIME, "model string, input_price string, output_price string")
+    return literal_rows(t.spark, REALTIME, "model string, input_price string, output_price string")
 
 
 def batches(t: Tables) -> DataFrame:

@@ -14,6 +14,10 @@ _SEMANTICS = {
 }
 
 _SPEED = {
+    # Streaming state outside the heap: one row per batch or per recent line adds up.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

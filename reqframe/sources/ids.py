@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reqframe.functions.jsonlines import WHITE_SPACE
+from reqframe.sources.literal import literal_rows
 from reqframe.sources.lines import index_lines, scan_lines
 
 
@@ -18,7 +19,7 @@ def read_ids(
 
     Order and repeats are kept. No id at all is an error.
     """
-    given = spark.createDataFrame(list(enumerate(ids)), "ordinal bigint, id string")
+    given = literal_rows(spark, list(enumerate(ids)), "ordinal bigint, id string")
     if from_file is None:
         if not ids:
             raise ValueError("no ids: pass ids or a file of them")

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reqframe.functions.jsonlines import is_blank, parse_lines
+from reqframe.session import plan_bytes
+from reqframe.sources.literal import literal_rows
 
 # A task id sits above this bit of monotonically_increasing_id, the row in the task below it.
 _TASK_BITS = 33
@@ -25,6 +28,16 @@ def is_dir(spark: SparkSession, path: str) -> bool:
     return fs.getFileStatus(hadoop_path).isDirectory()
 
 
+def _path_of(spark: SparkSession, path: str) -> str:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.makeQualified(hadoop_path).toUri().getPath()
+
+
+def _parent(uri: str) -> str:
+    return unquote(urlsplit(uri).path).rsplit("/", 1)[0]
+
+
 def scan_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Raw lines of one file, of a directory's ``*.jsonl`` children, or of several files.
 
@@ -34,7 +47,8 @@ def scan_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     reader = spark.read.option("lineSep", "\n")
     if isinstance(path, str):
         if is_dir(spark, path):
-            reader = reader.option("pathGlobFilter", "*.jsonl")
+            # Without this, sub-folders named like partitions would add columns.
+            reader = reader.option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", True)
         paths = [path]
     else:
         paths = list(dict.fromkeys(path))
@@ -43,6 +57,13 @@ def scan_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     text = reader.text(paths)
     if not text.inputFiles():
         raise ValueError(f"no .jsonl files found in {path}")
+    if isinstance(path, str) and is_dir(spark, path):
+        # Only direct children count.
+        direct = [f for f in text.inputFiles() if _parent(f) == _path_of(spark, path)]
+        if not direct:
+            raise ValueError(f"no .jsonl files found in {path}")
+        if len(direct) < len(text.inputFiles()):
+            text = spark.read.option("lineSep", "\n").text([unquote(f) for f in direct])
     return text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -58,13 +79,11 @@ def _input_files(scan: DataFrame) -> list[str]:
 def file_list(scan: DataFrame) -> DataFrame:
     """The files behind a scan, empty ones included, as the driver already lists them."""
     spark = scan.sparkSession
-    return spark.createDataFrame([(f,) for f in _input_files(scan)], "file string")
+    return literal_rows(spark, [(f,) for f in _input_files(scan)], "file string")
 
 
 def _split_count(scan: DataFrame) -> int:
     """Upper estimate of a scan's splits from what the driver knows of its files."""
-    from reqframe.session import plan_bytes
-
     conf = scan.sparkSession.conf
     size = conf.get("spark.sql.files.maxPartitionBytes", "128m")
     split = int(
@@ -79,9 +98,8 @@ def _given_order(scan: DataFrame, paths: Sequence[str]) -> DataFrame:
     """``(file, file_ord)`` in argument order; a path given twice appears twice."""
     spark = scan.sparkSession
     name = {p: _input_files(spark.read.text(p))[0] for p in dict.fromkeys(paths)}
-    return spark.createDataFrame(
-        [(name[p], i) for i, p in enumerate(paths)], "file string, file_ord int"
-    )
+    rows = [(name[p], i) for i, p in enumerate(paths)]
+    return literal_rows(spark, rows, "file string, file_ord int")
 
 
 def index_rows(

@@ -24,7 +24,7 @@ def land_results(lines: DataFrame, landing: str) -> None:
 
 
 def result_stream(spark: SparkSession, landing: str, files_per_trigger: int | None = None) -> DataFrame:
-    """A stream of ``batch_id, raw`` over the part files of all batches."""
+    """A stream of ``batch_id, raw, landed_at`` over the part files of all batches."""
     reader = spark.readStream.option("lineSep", "\n").option("recursiveFileLookup", "true")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -32,19 +32,25 @@ def result_stream(spark: SparkSession, landing: str, files_per_trigger: int | No
     raw = F.expr(r"CASE WHEN endswith(value, '\r') THEN left(value, length(value) - 1) ELSE value END")
     return (
         reader.text(landing)
-        .select(F.url_decode(F.regexp_extract(path, _FOLDER, 1)).alias("batch_id"), raw.alias("raw"))
+        .select(
+            F.url_decode(F.regexp_extract(path, _FOLDER, 1)).alias("batch_id"),
+            raw.alias("raw"),
+            F.col("_metadata.file_modification_time").alias("landed_at"),
+        )
         .where(~is_blank("raw"))
     )
 
 
-def drop_relanded(stream: DataFrame) -> DataFrame:
+def drop_relanded(stream: DataFrame, within: str = "7 days") -> DataFrame:
     """Guard against producers that land the same part twice: equal lines of a batch pass once.
 
-    The file log already delivers each part exactly once. Repeated ids are no duplicates here: an
-    error line and the success of its retry are different lines and both pass.
+    Needed only for such producers, as the file log already delivers each part exactly once.
+    Repeated ids are no duplicates: an error line and the success of its retry are different
+    lines and both pass. Lines are remembered for ``within`` of the landing time, which bounds
+    the state; the digest in the key spreads a large batch.
     """
-    keyed = stream.withColumn("_digest", F.sha2("raw", 256))
-    return keyed.dropDuplicates(["batch_id", "_digest"]).drop("_digest")
+    keyed = stream.withColumn("_digest", F.sha2("raw", 256)).withWatermark("landed_at", within)
+    return keyed.dropDuplicatesWithinWatermark(["batch_id", "_digest"]).drop("_digest")
 
 
 def tail_results(
@@ -56,7 +62,7 @@ def tail_results(
     ``follow`` the query drains what is there and stops; with it (``"10 seconds"``) it keeps
     looking at that interval.
     """
-    writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    writer = stream.select("batch_id", "raw").writeStream.format("parquet").option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=follow) if follow else writer.trigger(availableNow=True)
     return writer.option("path", out).outputMode("append").start()
 

@@ -10,10 +10,12 @@ from reqframe.sources.lines import file_list, index_lines, read_lines, scan_line
 
 @pytest.mark.parametrize("trim", [False, True])
 def test_strict_json(spark, trim):
-    good = ['{"a":1}', ' {"b":[1]} ', "null", "true", "1", '"x"', '{"a":1,"a":2}', "[[1],[2]]", '"],["']
+    good = ['{"a":1}', ' {"b":[1]} ', "null", "true", "1", '"x"', '{"a":1,"a":2}', "[[1],[2]]", '"],["',
+            r'"\ud83d\ude00"', r'"\\ud800"', r'"x\\\uD83D\uDE00 \ud83d\ude00"']
     bad = [
         '{"a":1} x', "1 2", "1],[2", '1},{"v":2', '1,"v":3', "]", "", "  ", "NaN", "Infinity", "[1,2",
-        '"a\tb"', "01", '{"a":1}//c', "-", "1,2", '{"a":NaN}', "{'a':1}", "﻿{}", '1,"x"],["',
+        '"a\tb"', "01", '{"a":1}//c', "-", "1,2", '{"a":NaN}', "{'a':1}", "﻿{}", '1,"x"],["', r'"\ud800"',
+        r'"\ud800\ud800\udc00"', r'"\udc00"', r'"\\\ud800"', r'"\ud83d\ude00\ude00"',
     ]
     frame = spark.createDataFrame([(r, r in good) for r in good + bad], "raw string, good boolean")
     wrong = parse_lines(frame, trim=trim).where(F.col("v").isNotNull() != F.col("good"))
@@ -48,6 +50,7 @@ def test_line_numbers_over_many_splits(spark, put_file, tmp_path):
         put_file(f"d/{name}", "\r\n".join(body) + "\n")
     put_file("d/skip.txt", "{}")
     put_file("d/sub/x.jsonl", "{}\n")
+    put_file("d/k=v/x.jsonl", "{}\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     spark.conf.set("spark.sql.files.openCostInBytes", "1000")
     try:
