@@ -204,10 +204,13 @@ def prepare_directory(
     One job covers all files; each keeps its name and its line order.
     """
     scan = scan_lines(spark, source)
-    lines = prepare(index_lines(scan).drop("seq", "pos"), **options)
-    files = file_list(scan) if added else None
-    whole = append_lines(lines.drop("file_ord"), added, files)
-    write_by_file(whole, target, ("section", "line"))
+    indexed = index_lines(scan).drop("pos")
+    lines = prepare(indexed, **options)
+    if added:
+        whole = append_lines(lines.drop("file_ord", "seq"), added, file_list(scan))
+        write_by_file(whole, target, ("section", "line"))
+    else:
+        write_by_file(lines, target, rows=indexed.count())
 
 
 def append_lines(lines: DataFrame, added: Sequence[str], files: DataFrame | None = None) -> DataFrame:

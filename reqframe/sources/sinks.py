@@ -16,6 +16,14 @@ def write_lines(df: DataFrame, path: str, column: str = "raw") -> None:
     df.select(F.col(column).alias("value")).write.text(path, lineSep="\n")
 
 
+def _placed(df: DataFrame, rows: int, position: str, rows_per_file: int) -> DataFrame:
+    """Rows moved to the partition their dense position names: equal shares, and no sampling
+    pass that would run the whole job twice, as ordering by ranges does."""
+    parts = max(1, -(-rows // rows_per_file))
+    part = F.least((F.col(position) / rows_per_file).cast("int"), F.lit(parts - 1))
+    return df.repartitionById(parts, part)
+
+
 def write_ordered(
     df: DataFrame,
     path: str,
@@ -24,34 +32,42 @@ def write_ordered(
     column: str = "raw",
     rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
-    """Lines in ``position`` order across the part files.
-
-    The dense position names its part directly, so every part gets the same number of rows
-    and no sampling pass is needed. ``rows`` is the row count the positions run up to.
-    """
-    parts = max(1, -(-rows // rows_per_file))
-    part = F.least((F.col(position) / rows_per_file).cast("int"), F.lit(parts - 1))
-    placed = df.select(position, column).repartitionById(parts, part)
+    """Lines in ``position`` order across the part files; positions run below ``rows``."""
+    placed = _placed(df.select(position, column), rows, position, rows_per_file)
     ordered = placed.sortWithinPartitions(position)
     ordered.select(F.col(column).alias("value")).write.text(path, lineSep="\n")
 
 
 def write_by_file(
-    df: DataFrame, path: str, order: Sequence[str] = ("line",), column: str = "raw"
+    df: DataFrame,
+    path: str,
+    order: Sequence[str] = ("line",),
+    rows: int | None = None,
+    column: str = "raw",
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
     """A new folder with one sub-folder per input file name, its part files in ``order``.
 
-    Ranges of ``(file, order)`` make up the tasks, so a very large file is written by many. The
-    input is never overwritten: Spark reads lazily, and a lost executor would have nothing left
-    to read again.
+    With ``rows`` the tasks are cut by ``seq``, otherwise by ranges of ``(file, order)``; either
+    way a very large file is written by many. The input is never overwritten: Spark reads lazily,
+    and a lost executor would have nothing left to read again.
     """
     named = df.withColumn("file", F.element_at(F.split("file", "/"), -1))
-    placed = named.repartitionByRange("file", *order).sortWithinPartitions("file", *order)
-    placed.select("file", F.col(column).alias("value")).write.partitionBy("file").text(
+    if rows is None:
+        placed = named.repartitionByRange("file", *order)
+    else:
+        placed = _placed(named, rows, "seq", rows_per_file)
+    ordered = placed.sortWithinPartitions("file", *order)
+    ordered.select("file", F.col(column).alias("value")).write.partitionBy("file").text(
         path, lineSep="\n"
     )
 
 
+def write_csv(df: DataFrame, path: str, header: bool = False) -> None:
+    """Flat columns as CSV, such as the typed fields of structured results."""
+    df.write.csv(path, header=header, escape='"')
+
+
 def write_chunks(
     df: DataFrame, path: str, chunk_size: int, rows_per_file: int = ROWS_PER_FILE
 ) -> None:

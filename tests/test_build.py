@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from reqframe.functions.jsonlines import parse_lines
 from reqframe.operators.build import build_embeddings, build_requests, next_stage, numbered
 from reqframe.operators.prepare import prepare_directory
+from reqframe.operators.results import structured
 from reqframe.sources.lines import read_lines
+from reqframe.sources.sinks import write_csv
 from reqframe.sources.tables import indexed_table, read_blobs, read_table
 from tests.test_compare import err, res_a, res_b
 
@@ -55,6 +57,13 @@ def test_next_stage(lines):
     ]
 
 
+def test_structured_csv(spark, lines, tmp_path):
+    rows = structured(lines(res_a("a", '{"n":"x, \\"y\\"","ok":true}'), res_a("b", '{"n":null}')), "n string, ok boolean")
+    write_csv(rows.orderBy("line").select("data.*").coalesce(1), str(tmp_path / "csv"))
+    text = "".join(p.read_text() for p in (tmp_path / "csv").glob("part-*"))
+    assert text == '"x, ""y""",true\n,\n'
+
+
 def test_blobs(spark, put_file, tmp_path):
     path = put_file("img/a.png", b"\x00\x01")
     row = read_blobs(spark, str(tmp_path / "img")).first()
@@ -74,4 +83,8 @@ def test_prepare_directory(spark, put_file, tmp_path):
         want = [{**r, "body": {**r["body"], "model": "n"}} for r in rows if "a4" not in r["custom_id"]]
         assert got == want + [{"custom_id": "z"}]
     assert [p.read_text() for p in (tmp_path / "out" / "file=empty.jsonl").glob("part-*")] == ['{"custom_id":"z"}\n']
+    prepare_directory(spark, str(tmp_path / "in"), out + "2", settings=["body.z..y=1"])
+    parts = sorted((tmp_path / "out2" / "file=b.jsonl").glob("part-*"))
+    got = [json.loads(x) for p in parts for x in p.read_text().splitlines()]
+    assert got == [{**r, "body": {**r["body"], "z": {"": {"y": 1}}}} for r in body["b"]]
     assert parse_lines(read_lines(spark, str(tmp_path / "in"), parse=False)).where("v is null").count() == 0
