@@ -82,6 +82,11 @@ def parse_lines(df: DataFrame, raw: str = "raw", out: str = "v", trim: bool = Fa
     return computed_once(df.withColumn("_sealed", sealed), out, value).drop("_sealed")
 
 
+def parsed(lines: DataFrame) -> DataFrame:
+    """Lines with ``v``, parsed here unless the caller already did."""
+    return lines if "v" in lines.columns else parse_lines(lines)
+
+
 def path_of(*keys: str | int) -> str:
     """A VARIANT path through object keys and array positions."""
     steps = []

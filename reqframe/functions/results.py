@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reqframe.functions.jsonlines import _col, computed_once, items_at, kind, member, text_at
+from reqframe.functions.jsonlines import _col, computed_once, items_at, kind, member, parsed, text_at
 
 # The two places a result line may keep its response body.
 FLAT = ("response_body",)
@@ -52,23 +52,24 @@ def canonical(content: Column) -> Column:
     )
 
 
-def with_content(lines: DataFrame, v: str = "v", nested_only: bool = False) -> DataFrame:
-    """Add ``custom_id`` (JSON strings only) and canonical ``content`` to parsed lines."""
+def with_content(lines: DataFrame, nested_only: bool = False) -> DataFrame:
+    """Add ``custom_id`` (JSON strings only) and canonical ``content``."""
     return (
-        lines.withColumn("_answer", answer(response_body(v, nested_only)))
-        .withColumns({"custom_id": text_at(v, "custom_id"), "content": canonical(F.col("_answer"))})
+        parsed(lines)
+        .withColumn("_answer", answer(response_body("v", nested_only)))
+        .withColumns({"custom_id": text_at("v", "custom_id"), "content": canonical(F.col("_answer"))})
         .drop("_answer")
     )
 
 
-def extract(lines: DataFrame, v: str = "v") -> DataFrame:
-    """Add the result columns to parsed lines.
+def extract(lines: DataFrame) -> DataFrame:
+    """Add the result columns to lines, and ``v``.
 
     ``content`` is NULL when absent, ``content_kind`` its JSON type. ``is_result``: some choice exists. ``is_error``: none does
     and ``error`` is set. Both are false for a line that is neither.
     """
     staged = (
-        computed_once(lines, "_body", response_body(v))
+        computed_once(parsed(lines), "_body", response_body("v"))
         .withColumn("_answer", answer("_body"))
         .withColumn("is_result", F.coalesce(F.size(items_at("_body", "choices")) > 0, F.lit(False)))
     )
@@ -78,13 +79,13 @@ def extract(lines: DataFrame, v: str = "v") -> DataFrame:
 
     return staged.withColumns(
         {
-            "custom_id": text_at(v, "custom_id"),
+            "custom_id": text_at("v", "custom_id"),
             "content": F.when(F.col("_answer").isNotNull(), canonical(F.col("_answer"))),
             "content_kind": kind(F.col("_answer")),
             "prompt_tokens": tokens("prompt_tokens"),
             "completion_tokens": tokens("completion_tokens"),
             "total_tokens": tokens("total_tokens"),
-            "is_error": ~F.col("is_result") & truthy(member(v, "error")),
+            "is_error": ~F.col("is_result") & truthy(member("v", "error")),
         }
     ).drop("_answer", "_body")
 

@@ -83,7 +83,7 @@ def next_stage(
 ) -> DataFrame:
     """Requests whose prompt holds the content of earlier results.
 
-    ``results`` are parsed lines with a 0-based ``position``; the id carries that number. A
+    ``results`` are lines with a 0-based ``position``; the id carries that number. A
     result without content gives an empty insert.
     """
     prompt = F.concat(F.lit(before), F.coalesce("content", F.lit("")), F.lit(after))

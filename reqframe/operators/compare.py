@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reqframe.functions.jsonlines import items_at, text_at
+from reqframe.functions.jsonlines import items_at, parsed, text_at
 from reqframe.functions.results import canonical, extract, with_content
-from reqframe.operators.joins import join_on
+from reqframe.operators.joins import join_on, looked_at
 
 SIDES = ("a", "b")
 
@@ -64,11 +64,14 @@ def diff_detail(
     return per_id.select("custom_id", _status().alias("status"))
 
 
+def _ids(lines: DataFrame) -> DataFrame:
+    ids = parsed(lines).select(text_at("v", "custom_id").alias("custom_id"))
+    return ids.where(F.col("custom_id").isNotNull())
+
+
 def only_in_a(a: DataFrame, b: DataFrame) -> DataFrame:
     """Ids of side A that side B lacks."""
-    ids_a = a.select(text_at("v", "custom_id").alias("custom_id")).where(F.col("custom_id").isNotNull())
-    ids_b = b.select(text_at("v", "custom_id").alias("custom_id")).where(F.col("custom_id").isNotNull())
-    return join_on(ids_a.distinct(), ids_b, "custom_id", "left_anti")
+    return join_on(_ids(a).distinct(), _ids(b), "custom_id", "left_anti")
 
 
 def diff_summary(
@@ -104,7 +107,7 @@ def diff_summary(
 
 def input_warnings(lines: DataFrame) -> DataFrame:
     """One row for one side: ``parse_errors``, ``missing_id``, ``duplicates``."""
-    ids = lines.select(F.col("v").isNull().alias("bad"), text_at("v", "custom_id").alias("custom_id"))
+    ids = parsed(lines).select(F.col("v").isNull().alias("bad"), text_at("v", "custom_id").alias("custom_id"))
     per_id = ids.groupBy("custom_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad"))
     with_id = F.col("custom_id").isNotNull()
     return per_id.agg(
@@ -130,7 +133,7 @@ def compare_runs(
     messages = items_at("v", "body", "messages")
     last = F.try_element_at(messages, F.lit(-1))
     prompt = canonical(F.try_variant_get(last, "$.content", "variant"))
-    stacked = requests.select(
+    stacked = parsed(requests).select(
         F.lit("").alias("run"),
         text_at("v", "custom_id").alias("custom_id"),
         F.col(position).cast("bigint").alias("at"),
@@ -179,7 +182,7 @@ def match_results(requests: DataFrame, results: DataFrame, keep: Sequence[str] =
 
     A request whose id has several result lines appears once for each.
     """
-    left = requests.select(*keep, text_at("v", "custom_id").alias("custom_id"), F.col("line").alias("request_line"))
+    left = parsed(requests).select(*keep, text_at("v", "custom_id").alias("custom_id"), F.col("line").alias("request_line"))
     right = extract(results).where(F.col("custom_id").isNotNull()).select(
         "custom_id",
         F.col("line").alias("result_line"),
@@ -189,7 +192,16 @@ def match_results(requests: DataFrame, results: DataFrame, keep: Sequence[str] =
         "is_result",
         "is_error",
     )
-    return join_on(left, right, "custom_id", "left", row_id="request_line", right_row_id="result_line")
+    return join_on(
+        left,
+        right,
+        "custom_id",
+        "left",
+        row_id="request_line",
+        right_row_id="result_line",
+        look_at=_ids(looked_at(requests)),
+        right_look_at=_ids(looked_at(results)),
+    )
 
 
 def retry_set(requests: DataFrame, results: DataFrame) -> DataFrame:
@@ -202,5 +214,6 @@ def retry_set(requests: DataFrame, results: DataFrame) -> DataFrame:
         .where(F.col("_failed") & ~F.col("_done"))
         .select("custom_id")
     )
-    left = requests.withColumn("custom_id", text_at("v", "custom_id")).drop("v")
-    return join_on(left, failed, "custom_id", "left_semi", row_id="line")
+    left = parsed(requests).withColumn("custom_id", text_at("v", "custom_id")).drop("v")
+    look_at = _ids(looked_at(requests))
+    return join_on(left, failed, "custom_id", "left_semi", row_id="line", look_at=look_at)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +18,14 @@ LOOK_FROM_BYTES = 8 << 30
 LOOK_SHARE = 0.01
 
 
-def hot_values(df: DataFrame, key: str, share: float = LOOK_SHARE, most: int = HOT_KEYS) -> list:
-    """The keys holding more than ``1/most`` of the (sampled) rows; at most ``most`` values."""
-    looked = df.select(key) if share >= 1 else df.select(key).sample(share, seed=17)
-    counts = looked.where(F.col(key).isNotNull()).groupBy(key).count()
+def looked_at(df: DataFrame) -> DataFrame:
+    """The share of the rows that is enough to find hot keys."""
+    return df if LOOK_SHARE >= 1 else df.sample(LOOK_SHARE, seed=17)
+
+
+def hot_values(looked: DataFrame, key: str, most: int = HOT_KEYS) -> list:
+    """The keys holding more than ``1/most`` of the given rows; at most ``most`` values."""
+    counts = looked.select(key).where(F.col(key).isNotNull()).groupBy(key).count()
     floor = counts.agg(F.sum("count") / most).scalar()
     return [r[0] for r in counts.where((F.col("count") > floor) & (F.col("count") > 1)).collect()]
 
@@ -50,8 +52,8 @@ def join_on(
     row_id: str | None = None,
     right_row_id: str | None = None,
     right_unique: bool = False,
-    look_from: int = LOOK_FROM_BYTES,
-    look_share: float = LOOK_SHARE,
+    look_at: DataFrame | None = None,
+    right_look_at: DataFrame | None = None,
 ) -> DataFrame:
     """Join on one column with ``how`` in inner, left, left_semi, left_anti.
 
@@ -63,6 +65,8 @@ def join_on(
 
     ``row_id`` and ``right_row_id`` name columns that tell rows of one key apart.
     ``right_unique`` states that the right side has one row per key, so only the left is hot.
+    ``look_at`` and ``right_look_at`` are samples of the sides' keys, for callers that can draw
+    them before costly steps; else the sides themselves are sampled.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(how)
@@ -73,11 +77,11 @@ def join_on(
     if how in ("left_semi", "left_anti"):
         right, right_unique = right.select(key).distinct(), True
     # With one right row per key only the left side can be lopsided.
-    if plan_bytes(left) + (0 if right_unique else right_bytes) < look_from:
+    if plan_bytes(left) + (0 if right_unique else right_bytes) < LOOK_FROM_BYTES:
         return left.join(right, key, how)
 
-    left_hot = hot_values(left, key, look_share)
-    right_hot = [] if right_unique else hot_values(right, key, look_share)
+    left_hot = hot_values(look_at or looked_at(left), key)
+    right_hot = [] if right_unique else hot_values(right_look_at or looked_at(right), key)
     if not left_hot and not right_hot:
         return left.join(right, key, how)
 
@@ -98,7 +102,3 @@ def join_on(
     # whose slice happens to be empty carry no pair and no unmatched row either.
     joined = spread_left.join(spread_right.withColumn("_hit", F.lit(True)), on, "left")
     return joined.where(~_among(key, right_hot) | F.col("_hit")).drop("_i", "_j", "_hit")
-
-
-def null_safe_and(*conditions: Column) -> Column:
-    return reduce(lambda a, b: a & F.coalesce(b, F.lit(False)), conditions)

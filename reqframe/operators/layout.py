@@ -82,11 +82,17 @@ def missing_outputs(ids: DataFrame, batches: DataFrame) -> DataFrame:
     return join_on(ids, ready, "id", "left_anti")
 
 
+# Pages that start further in than this are found by counting instead of by a top-k.
+_TOP_K_PAGE = 10_000
+# Lines counted together for such a page.
+_PAGE_RANGE = 1_000_000
+
+
 def results_page(results: DataFrame, skip: int, limit: int, status: str | None = None) -> DataFrame:
     """Result lines ``skip`` to ``skip + limit`` by position, with ``incomplete`` and ``last_line``.
 
-    Without a status the page is a plain range filter on ``pos``. With one, positions are those
-    among the matching lines, found by a top-k over ``skip + limit + 1`` of them.
+    Without a status the page is a plain range filter on ``pos``. With one (``completed`` or
+    ``failed``), positions are those among the matching lines.
     """
     if status is None:
         upper = results.agg(F.coalesce(F.max("pos") + 1, F.lit(0))).scalar()
@@ -96,17 +102,39 @@ def results_page(results: DataFrame, skip: int, limit: int, status: str | None =
         )
     wanted = {"completed": "is_result", "failed": "is_error"}[status]
     matching = extract(results).where(F.col(wanted)).select(*results.columns)
-    some = matching.orderBy("pos").limit(skip + limit + 1)
-    ranked = some.withColumn("_n", F.row_number().over(Window.orderBy("pos")))
-    ranked = ranked.withColumn("_found", F.max("_n").over(Window.partitionBy()))
+    if skip <= _TOP_K_PAGE:
+        some = matching.orderBy("pos").limit(skip + limit + 1)
+        ranked = some.withColumn("_n", F.row_number().over(Window.orderBy("pos")))
+        ranked = ranked.withColumn("_found", F.max("_n").over(Window.partitionBy()))
+    else:
+        ranked = _ranked_ranges(matching, skip, limit)
     return (
         ranked.where((F.col("_n") > skip) & (F.col("_n") <= skip + limit))
         .withColumn("incomplete", F.col("_found") > skip + limit)
-        .withColumn("last_line", F.least("_found", F.lit(skip + limit)))
+        .withColumn("last_line", F.least("_found", F.lit(skip + limit)).cast("bigint"))
         .drop("_n", "_found")
     )
 
 
+def _ranked_ranges(matching: DataFrame, skip: int, limit: int) -> DataFrame:
+    """The matching lines of the position ranges a page touches, with rank ``_n`` and ``_found``.
+
+    Counts per range, one row for a million lines, tell which ranges hold the page; only their
+    lines are ranked, each range for itself.
+    """
+    span = F.expr(f"pos div {_PAGE_RANGE}")
+    sizes = matching.groupBy(span.alias("_range")).agg(F.count(F.lit(1)).alias("_size"))
+    upto = F.sum("_size").over(Window.orderBy("_range"))
+    counted = sizes.select(
+        "_range", (upto - F.col("_size")).alias("_before"), upto.alias("_upto"), F.sum("_size").over(Window.partitionBy()).alias("_found")
+    )
+    touched = counted.where((F.col("_upto") > skip) & (F.col("_before") < skip + limit))
+    # Every touched range holds a line of the page, so there are at most ``limit`` of them.
+    inside = matching.withColumn("_range", span).join(F.broadcast(touched), "_range")
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy("pos"))
+    return inside.withColumn("_n", rank + F.col("_before")).drop("_range", "_before", "_upto")
+
+
 def draw(seed: int, *key: str) -> Column:
     """A line's lot: hexadecimal text, the same for the same seed and key on every run."""
     parts = [F.lit(str(seed)), *[F.col(k).cast("string") for k in key]]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reqframe.functions.jsonlines import items_at, kind, member, text_at
+from reqframe.functions.jsonlines import items_at, kind, member, parsed, text_at
 from reqframe.functions.money import COST, PRICE, cost
 
 # Fixed value: bytes of prompt text that count as one token.
@@ -49,7 +49,7 @@ def _tokens(column: str) -> Column:
 
 
 def _measured(lines: DataFrame, *keep: str) -> DataFrame:
-    return lines.select(
+    return parsed(lines).select(
         *keep,
         F.col("v").isNull().alias("_bad"),
         text_at("v", "body", "model").alias("model"),
@@ -74,7 +74,7 @@ def request_stats(lines: DataFrame, *by: str) -> DataFrame:
 def requests_per_model(lines: DataFrame) -> DataFrame:
     """``model, requests`` sorted by model; only string models count."""
     model = text_at("v", "body", "model").alias("model")
-    counts = lines.select(model).where(F.col("model").isNotNull()).groupBy("model")
+    counts = parsed(lines).select(model).where(F.col("model").isNotNull()).groupBy("model")
     return counts.agg(F.count(F.lit(1)).alias("requests")).orderBy("model")
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqframe.functions.jsonlines import computed_once, parse_lines, text_at
+from reqframe.functions.jsonlines import computed_once, parse_lines, parsed, text_at
 from reqframe.functions.money import cost_text
 from reqframe.operators import build, catalog, compare, layout, results, stats, usage, validate
 from reqframe.operators.prepare import append_lines, prepare
@@ -32,7 +32,7 @@ def query(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
 
 def _chat_fields(lines: DataFrame, *more) -> DataFrame:
     """A request's fields, read back from its JSON text."""
-    return lines.select(
+    return parsed(lines).select(
         text_at("v", "custom_id").alias("custom_id"),
         text_at("v", "body", "model").alias("model"),
         text_at("v", "body", "messages", 0, "content").alias("content"),
@@ -96,7 +96,7 @@ def build_embeddings(t: Tables) -> DataFrame:
 @query
 def next_stage_requests(t: Tables) -> DataFrame:
     lines = build.next_stage(views.results_a(t), "Given this:\n\n", "\n\nList the facts.", F.lit("m-next"))
-    return _chat_fields(parse_lines(lines))
+    return _chat_fields(lines)
 
 
 # --- statistics, cost, validation ------------------------------------------------------------
@@ -105,7 +105,7 @@ def next_stage_requests(t: Tables) -> DataFrame:
 @query
 def request_stats(t: Tables) -> DataFrame:
     dirty = views.dirty_lines(t)
-    return stats.request_stats(parse_lines(dirty.where(~validate.is_blank("raw"))))
+    return stats.request_stats(dirty.where(~validate.is_blank("raw")))
 
 
 @query
@@ -149,7 +149,7 @@ def validate_files(t: Tables) -> DataFrame:
 
 @query
 def prepare_model(t: Tables) -> DataFrame:
-    return _chat_fields(prepare_again(views.raw_requests(t), model="m-new"))
+    return _chat_fields(prepare_again(views.requests(t), model="m-new"))
 
 
 def prepare_again(lines: DataFrame, **options) -> DataFrame:
@@ -159,7 +159,7 @@ def prepare_again(lines: DataFrame, **options) -> DataFrame:
 
 @query
 def prepare_params(t: Tables) -> DataFrame:
-    lines = prepare_again(views.raw_requests(t), temperature=0.5, max_tokens=50, top_p=0.9)
+    lines = prepare_again(views.requests(t), temperature=0.5, max_tokens=50, top_p=0.9)
     return _chat_fields(
         lines,
         F.try_variant_get("v", "$.body.temperature", "double").alias("temperature"),
@@ -170,7 +170,7 @@ def prepare_params(t: Tables) -> DataFrame:
 @query
 def prepare_set_path(t: Tables) -> DataFrame:
     settings = ["body.stream=false", "body.metadata.run=007", "body.metadata.tag=a=b", "method.x=1", "custom_id.y=2", "ignored"]
-    lines = prepare_again(views.raw_requests(t), settings=settings)
+    lines = prepare_again(views.requests(t), settings=settings)
     return lines.select(
         F.try_variant_get("v", "$.body.stream", "boolean").alias("stream"),
         F.try_variant_get("v", "$.body.metadata.run", "bigint").alias("run"),
@@ -183,13 +183,13 @@ def prepare_set_path(t: Tables) -> DataFrame:
 
 @query
 def prepare_remove(t: Tables) -> DataFrame:
-    return _chat_fields(prepare_again(views.raw_requests(t), remove="1"))
+    return _chat_fields(prepare_again(views.requests(t), remove="1"))
 
 
 @query
 def prepare_append(t: Tables) -> DataFrame:
     added = ['{"custom_id":"extra-1","body":{"model":"m-extra"}}', ' {"custom_id":"extra-2"} ']
-    lines = parse_lines(append_lines(prepare(views.raw_requests(t), model="m-new"), added))
+    lines = parse_lines(append_lines(prepare(views.requests(t), model="m-new"), added))
     return lines.select(
         "file",
         "section",
@@ -215,7 +215,7 @@ def inline_assets(t: Tables) -> DataFrame:
 
 @query
 def merge_lines(t: Tables) -> DataFrame:
-    merged = layout.renumber(layout.merge(views.raw_requests(t), views.raw_results_a(t)))
+    merged = layout.renumber(layout.merge(views.requests(t), views.results_a(t)))
     return parse_lines(merged).select(
         "merged_seq", "set_ord", "line", text_at("v", "custom_id").alias("custom_id")
     )
@@ -234,7 +234,7 @@ def chunk_sizes(t: Tables) -> DataFrame:
 
 @query
 def sample_k(t: Tables) -> DataFrame:
-    return parse_lines(layout.sample(views.raw_requests(t), 100, "line", seed=7)).select(
+    return parse_lines(layout.sample(views.requests(t), 100, "line", seed=7)).select(
         "line", text_at("v", "custom_id").alias("custom_id")
     )
 
@@ -282,15 +282,15 @@ def results_missing(t: Tables) -> DataFrame:
 
 @query
 def results_page(t: Tables) -> DataFrame:
-    page = layout.results_page(views.raw_results_a(t), 100, 250)
+    page = layout.results_page(views.results_a(t), 100, 250)
     return parse_lines(page).select("pos", text_at("v", "custom_id").alias("custom_id"), "incomplete", "last_line")
 
 
 @query
 def results_page_failed(t: Tables) -> DataFrame:
     page = layout.results_page(views.results_a(t), 10, 25, "failed")
-    return page.select(
-        "pos", text_at("v", "custom_id").alias("custom_id"), "incomplete", F.col("last_line").cast("bigint").alias("last_line")
+    return parse_lines(page).select(
+        "pos", text_at("v", "custom_id").alias("custom_id"), "incomplete", "last_line"
     )
 
 
@@ -333,7 +333,7 @@ def diff_detail(t: Tables) -> DataFrame:
 @query
 def diff_warnings(t: Tables) -> DataFrame:
     dirty = views.dirty_lines(t).where(~validate.is_blank("raw"))
-    return compare.input_warnings(parse_lines(dirty.unionByName(views.raw_requests(t))))
+    return compare.input_warnings(dirty.unionByName(views.requests(t)))
 
 
 @query
@@ -429,7 +429,7 @@ def batch_progress(t: Tables) -> DataFrame:
 def results_progress(t: Tables) -> DataFrame:
     """Progress per source counted from result lines, against the documents of that source."""
     totals = t.documents.groupBy(F.concat(F.lit("batch-"), "source").alias("id")).agg(F.count(F.lit(1)).alias("total"))
-    found = results.result_columns(parse_lines(_batched_results(t)))
+    found = results.result_columns(_batched_results(t))
     return catalog.progress_from_results(found, totals).select("id", "total", "completed", "failed", "progress", "progress_text")
 
 
@@ -506,7 +506,7 @@ def stream_results(t: Tables) -> DataFrame:
     folder = _workspace(t)
     tailing.tail_results(_landed(t, folder), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     out = t.spark.read.schema("batch_id string, raw string").parquet(f"{folder}/out")
-    return results.result_columns(parse_lines(out)).select("batch_id", "custom_id", "content", "is_error")
+    return results.result_columns(out).select("batch_id", "custom_id", "content", "is_error")
 
 
 @query

@@ -1,11 +1,14 @@
-"""The engine's inputs derived from the test tables. Every view covers its whole table."""
+"""The engine's inputs derived from the test tables. Every view covers its whole table.
+
+Lines come unparsed, as from files.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqframe.functions.jsonlines import computed_once, parse_lines
+from reqframe.functions.jsonlines import computed_once
 from reqframe.operators.build import CHAT_URL, METHOD, chat_line, numbered
 from reqframe.session import configure
 from reqframe.sources.lines import is_dir
@@ -57,17 +60,13 @@ def _as_lines(df: DataFrame, line: Column, file: Column, raw: Column) -> DataFra
     )
 
 
-def raw_requests(t: Tables) -> DataFrame:
+def requests(t: Tables) -> DataFrame:
     """One chat request per document."""
     return _as_lines(documents(t), F.col("doc_id"), F.lit("requests.jsonl"), request_raw())
 
 
-def requests(t: Tables) -> DataFrame:
-    return parse_lines(raw_requests(t))
-
-
 def indexed_requests(t: Tables) -> DataFrame:
-    """The same requests, numbered by the scan itself instead of by a key. Not parsed."""
+    """The same requests, numbered by the scan itself instead of by a key."""
     rows = indexed_table(t.documents.select("doc_id", "text", "lang", "n_chars"))
     return computed_once(spread(rows, "line"), "raw", request_raw())
 
@@ -101,13 +100,10 @@ def results_a_raw() -> Column:
     return F.when(F.col("source") == "src4", _error(doc_id())).otherwise(good)
 
 
-def raw_results_a(t: Tables) -> DataFrame:
+def results_a(t: Tables) -> DataFrame:
     return _as_lines(documents(t), F.col("doc_id"), F.lit("a.jsonl"), results_a_raw())
 
 
-def results_a(t: Tables) -> DataFrame:
-    return parse_lines(raw_results_a(t))
-
 
 def results_b(t: Tables) -> DataFrame:
     """Flat shape with differences by document attributes.
@@ -132,11 +128,11 @@ def results_b(t: Tables) -> DataFrame:
     lines = F.array_compact(F.array(first, F.when(source == "src1", line(text))))
     rows = documents(t).select("doc_id", "source", F.posexplode(lines).alias("k", "raw"))
     place = F.col("doc_id") * 2 + F.col("k")
-    return parse_lines(_as_lines(rows, place, F.lit("b.jsonl"), F.col("raw")))
+    return _as_lines(rows, place, F.lit("b.jsonl"), F.col("raw"))
 
 
 def dirty_lines(t: Tables) -> DataFrame:
-    """Request lines with faults by source; each source is a file of its own. Not parsed."""
+    """Request lines with faults by source; each source is a file of its own."""
     s = F.col("source")
     url, method = F.lit(CHAT_URL), F.lit(METHOD)
     messages = F.array(F.struct(F.lit("user").alias("role"), F.col("text").alias("content")))
@@ -185,7 +181,7 @@ def multimodal_requests(t: Tables) -> DataFrame:
             body.alias("body"),
         )
     )
-    return parse_lines(_as_lines(spread(t.pages, "page_id"), F.col("page_id"), F.lit("pages.jsonl"), raw))
+    return _as_lines(spread(t.pages, "page_id"), F.col("page_id"), F.lit("pages.jsonl"), raw)
 
 
 def blobs(t: Tables) -> DataFrame:
@@ -198,7 +194,7 @@ def structured_results(t: Tables) -> DataFrame:
     message = F.struct(content.alias("content"))
     body = F.struct(F.array(F.struct(message.alias("message"))).alias("choices"))
     raw = _json(custom_id=numbered("event-", 8, "event_id"), response=F.struct(body.alias("body")))
-    return parse_lines(_as_lines(spread(t.events, "event_id"), F.col("event_id"), F.lit("events.jsonl"), raw))
+    return _as_lines(spread(t.events, "event_id"), F.col("event_id"), F.lit("events.jsonl"), raw)
 
 
 def price(text: str) -> Column:

@@ -8,7 +8,7 @@ from urllib.parse import unquote, urlsplit
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reqframe.functions.jsonlines import is_blank, parse_lines
+from reqframe.functions.jsonlines import is_blank
 from reqframe.session import plan_bytes
 from reqframe.sources.literal import literal_rows
 
@@ -168,16 +168,13 @@ def index_lines(scan: DataFrame, order: Sequence[str] | None = None) -> DataFram
     return index_rows(scan, ~is_blank("raw"), order)
 
 
-def read_lines(
-    spark: SparkSession, path: str | Sequence[str], index: bool = True, parse: bool = True
-) -> DataFrame:
-    """Non-blank lines of a request set: ``file, file_ord, line, pos, seq, raw, v``.
+def read_lines(spark: SparkSession, path: str | Sequence[str], index: bool = True) -> DataFrame:
+    """Non-blank lines of a request set: ``file, file_ord, line, pos, seq, raw``.
 
-    Without ``index`` only ``file, raw, v`` are there and one pass is enough.
+    Without ``index`` only ``file`` and ``raw`` are there and one pass is enough. Operators parse
+    the lines when they need to; parse them yourself (``parse_lines``) to share one parse.
     """
     scan = scan_lines(spark, path)
-    if index:
-        lines = index_lines(scan, None if isinstance(path, str) else path)
-    else:
-        lines = scan.where(~is_blank("raw")).select("file", "raw")
-    return parse_lines(lines) if parse else lines
+    if not index:
+        return scan.where(~is_blank("raw")).select("file", "raw")
+    return index_lines(scan, None if isinstance(path, str) else path)

@@ -73,12 +73,10 @@ def write_chunks(
 ) -> None:
     """Chunk folders from ``chunk_name``/``pos``: one file per chunk up to ``rows_per_file`` rows,
     several ordered ones beyond that, so no chunk size puts unbounded rows into one task."""
-    spark = df.sparkSession
     within = F.col("pos") % F.lit(chunk_size)
     placed = df.withColumn("_slice", (within / rows_per_file).cast("int"))
-    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     (
-        placed.repartition(tasks, "chunk_name", "_slice")
+        placed.repartition("chunk_name", "_slice")
         .sortWithinPartitions("chunk_name", "_slice", "pos")
         .select("chunk_name", F.col("raw").alias("value"))
         .write.partitionBy("chunk_name")

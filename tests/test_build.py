@@ -87,4 +87,4 @@ def test_prepare_directory(spark, put_file, tmp_path):
     parts = sorted((tmp_path / "out2" / "file=b.jsonl").glob("part-*"))
     got = [json.loads(x) for p in parts for x in p.read_text().splitlines()]
     assert got == [{**r, "body": {**r["body"], "z": {"": {"y": 1}}}} for r in body["b"]]
-    assert parse_lines(read_lines(spark, str(tmp_path / "in"), parse=False)).where("v is null").count() == 0
+    assert parse_lines(read_lines(spark, str(tmp_path / "in"))).where("v is null").count() == 0

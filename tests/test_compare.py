@@ -135,16 +135,17 @@ def test_match_and_retry(lines):
 @pytest.mark.parametrize("unique", [True, False])
 def test_spread_join_equals_plain_join(spark, monkeypatch, how, unique):
     monkeypatch.setattr(joins, "broadcast_limit", lambda _: -1)
-    monkeypatch.setattr(joins, "HOT_KEYS", 10)
+    monkeypatch.setattr(joins, "LOOK_FROM_BYTES", 0)
+    monkeypatch.setattr(joins, "LOOK_SHARE", 1.0)
     left_key = F.expr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL WHEN id % 5 = 0 THEN 'hot2' ELSE concat('k', id) END")
     left = spark.range(3000).select(F.col("id").alias("l"), left_key.alias("key"))
     right_key = "concat('k', id)" if unique else "CASE WHEN id % 2 = 0 THEN 'hot' WHEN id % 11 = 0 THEN NULL ELSE concat('k', id % 400) END"
     right = spark.range(900).select(F.col("id").alias("r"), F.expr(right_key).alias("key"))
     if unique:
         right = right.unionAll(spark.sql("select 9999L r, 'hot' key"))
-    assert "hot" in hot_values(left, "key", 1.0, 10) and "hot2" in hot_values(left, "key", 1.0, 10)
+    assert "hot" in hot_values(left, "key", 10) and "hot2" in hot_values(left, "key", 10)
     plain = left.join(right, "key", how)
-    ours = join_on(left, right, "key", how, row_id="l", right_row_id="r", right_unique=unique, look_from=0, look_share=1.0)
+    ours = join_on(left, right, "key", how, row_id="l", right_row_id="r", right_unique=unique)
     assert ours.columns == plain.columns
     assert ours.exceptAll(plain).count() == 0 and plain.exceptAll(ours).count() == 0
     assert ours.count() == plain.count()

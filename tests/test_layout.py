@@ -104,7 +104,10 @@ def test_concat(spark, lines):
     assert [r.id for r in missing_outputs(ids, batches).collect()] == ["n"]
 
 
-def test_page(lines):
+@pytest.mark.parametrize("top_k", [10_000, -1])
+def test_page(lines, monkeypatch, top_k):
+    monkeypatch.setattr(layout, "_TOP_K_PAGE", top_k)
+    monkeypatch.setattr(layout, "_PAGE_RANGE", 2)
     df = lines(res_a("a", "1"), err("b"), res_a("c", "2"), res_a("d", "3"), err("e"))
 
     def page(*a):

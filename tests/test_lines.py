@@ -54,7 +54,7 @@ def test_line_numbers_over_many_splits(spark, put_file, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     spark.conf.set("spark.sql.files.openCostInBytes", "1000")
     try:
-        df = read_lines(spark, str(tmp_path / "d")).cache()
+        df = parse_lines(read_lines(spark, str(tmp_path / "d"))).cache()
         assert scan_lines(spark, str(tmp_path / "d")).rdd.getNumPartitions() > 10
         rows = df.select(F.element_at(F.split("file", "/"), -1), "file_ord", "line", "pos", "seq", "raw").collect()
     finally:

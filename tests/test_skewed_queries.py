@@ -14,13 +14,8 @@ JOINING = [
 
 @pytest.mark.parametrize("name", JOINING)
 def test_query_without_broadcasts(spark, con, monkeypatch, name):  # noqa: F811
-    plain = joins.join_on
-
-    def forced(left, right, key, how="inner", **options):
-        return plain(left, right, key, how, **{**options, "look_from": 0, "look_share": 1.0})
-
-    for module in ("compare", "usage", "catalog", "layout", "assets"):
-        monkeypatch.setattr(f"reqframe.operators.{module}.join_on", forced)
+    monkeypatch.setattr(joins, "LOOK_FROM_BYTES", 0)
+    monkeypatch.setattr(joins, "LOOK_SHARE", 1.0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         test_queries.test_query_agrees_with_sql(spark, con, name)
@@ -38,15 +33,15 @@ def test_hot_asset_and_hot_id(spark, lines, monkeypatch):
     from tests.test_prepare import image
     from tests.test_validate_stats import req
 
-    plain = joins.join_on
-    seen = []
+    plain, seen = joins.hot_values, []
 
-    def forced(left, right, key, how="inner", **options):
-        seen.append(joins.hot_values(left, key, 1.0))
-        return plain(left, right, key, how, **{**options, "look_from": 0, "look_share": 1.0})
+    def watched(*args):
+        seen.append(plain(*args))
+        return seen[-1]
 
-    monkeypatch.setattr("reqframe.operators.assets.join_on", forced)
-    monkeypatch.setattr("reqframe.operators.compare.join_on", forced)
+    monkeypatch.setattr(joins, "hot_values", watched)
+    monkeypatch.setattr(joins, "LOOK_FROM_BYTES", 0)
+    monkeypatch.setattr(joins, "LOOK_SHARE", 1.0)
     monkeypatch.setattr(joins, "broadcast_limit", lambda _: -1)
     paths = ["hot.png" if i % 3 == 0 else f"{i}.png" for i in range(120)]
     blobs = spark.createDataFrame([(p, bytearray(p.encode())) for p in set(paths)], "path string, bytes binary")
