@@ -100,10 +100,10 @@ def test_result_columns(lines):
 
 
 def test_structured(lines):
-    good = '{"canonical_name":"Acme","is_fictional":true}'
-    df = structured(lines(res_a("a", good), res_a("b", "{oops"), res_a("c"), res_a("d", "[]")), "canonical_name string, is_fictional boolean")
+    good = '{"title":"Tide","checked":true}'
+    df = structured(lines(res_a("a", good), res_a("b", "{oops"), res_a("c"), res_a("d", "[]")), "title string, checked boolean")
     rows = df.orderBy("line").collect()
-    assert rows[0].data.asDict() == {"canonical_name": "Acme", "is_fictional": True}
+    assert rows[0].data.asDict() == {"title": "Tide", "checked": True}
     assert [r.bad_content for r in rows[:3]] == [False, True, True]
     assert rows[1].data is None
 

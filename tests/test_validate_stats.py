@@ -21,9 +21,9 @@ def req(cid, text, model="m", **body):
 
 
 F1 = [
-    req("req-001", "What is 2+2?"),
-    req("req-002", "What is the capital of France?"),
-    req("req-003", "Explain quantum computing in one sentence."),
+    req("req-001", "Count to ten"),
+    req("req-002", "Name three rivers of the north"),
+    req("req-003", "Describe how a tide forms, in a few words."),
 ]
 
 
