@@ -16,11 +16,19 @@ from reqframe.functions.results import extract
 _FOLDER = r"/batch_id=([^/]+)/[^/]*$"
 
 
+# Lines of a batch that a landed part file may hold.
+_LINES_PER_PART = 1_000_000
+
+
 def land_results(lines: DataFrame, landing: str) -> None:
-    """Write result lines (``batch_id, raw``) as part files the way a producer would."""
-    lines.select("batch_id", F.col("raw").alias("value")).write.mode("append").partitionBy(
-        "batch_id"
-    ).text(landing, lineSep="\n")
+    """Write result lines (``batch_id, pos, raw``) as part files the way a producer would.
+
+    Lines are gathered by batch, so that each task does not leave a small file for every batch,
+    but in slices, so that a very large batch is written by many tasks.
+    """
+    part = (F.col("pos") / _LINES_PER_PART).cast("int")
+    placed = lines.repartition("batch_id", part).select("batch_id", F.col("raw").alias("value"))
+    placed.write.mode("append").partitionBy("batch_id").text(landing, lineSep="\n")
 
 
 def result_stream(spark: SparkSession, landing: str, files_per_trigger: int | None = None) -> DataFrame:

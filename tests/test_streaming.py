@@ -17,8 +17,8 @@ from tests.test_compare import err, res_a
 
 
 def land(spark, folder, batch, *items):
-    rows = [(batch, i if isinstance(i, str) else json.dumps(i)) for i in items]
-    land_results(spark.createDataFrame(rows, "batch_id string, raw string"), folder)
+    rows = [(batch, n, i if isinstance(i, str) else json.dumps(i)) for n, i in enumerate(items)]
+    land_results(spark.createDataFrame(rows, "batch_id string, pos bigint, raw string"), folder)
 
 
 def drain(query):
