@@ -104,3 +104,12 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, usable,
     ]
     chosen = F.broadcast(picks[0].unionByName(picks[1]))  # 2 * rows ids at most
     return docs.join(chosen, "doc_id").orderBy("doc_id", F.xxhash64("text")).select("text", "label", "weight").toArrow()
+
+
+#: Rows of a few bytes each (ids) that may be broadcast; their number is counted first.
+BROADCAST_IDS = 1_000_000
+
+
+def checked(ids: DataFrame) -> DataFrame:
+    """A frame of ids, to be broadcast if it was counted to be small, else joined by shuffle."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids

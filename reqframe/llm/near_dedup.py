@@ -14,10 +14,11 @@ hashes, so a confirmed link is exact up to hash collisions.
   is let through if a similarity of 0.75 lies within four standard errors.
 * Confirmation on full sets of the two texts.
 
-Buckets are never expanded into all pairs. First each bucket's members are paired with its smallest
-member and each node confirms its best such pair; that joins a large group of copies through
-linear work. Then only buckets that still hold nodes of different components are compared, and
-only across components, which leaves no bucket pair untested.
+Buckets are never expanded into pairs. First each node is held against one other, the smallest member
+of a bucket that it shares the most buckets with; that joins a large group of copies by linear work.
+Then only buckets that still hold nodes of different components are compared: their registers meet in
+blocks of at most about ``BLOCK`` nodes a side, across components only, and just the pairs that pass
+the estimate leave the task. So no pair of a bucket stays untested.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reqframe.llm.common import components, saved
+from reqframe.llm.common import checked, components, saved
 
 WORDS = 5
 BINS = 256
@@ -36,6 +37,7 @@ MANTISSA = 10
 ROWS = 6
 BANDS = 42
 EMPTY = 0xFFFF
+BLOCK = 512
 
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
@@ -145,21 +147,74 @@ def _bands(batches):
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(node)], names=["band", "node"])
 
 
+def _passes(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether ``similarity`` lies within four standard errors of the estimate, and sizes allow it."""
+    value, count = estimate(a, b, n_a, n_b)
+    count = np.maximum(count, 1)
+    slack = 4 * np.sqrt(similarity * (1 - similarity) / count) + 1 / count
+    return (value >= similarity - slack) & (np.minimum(n_a, n_b) >= similarity * np.maximum(n_a, n_b))
+
+
+def _registers_of(batch, name: str) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint16).reshape(-1, BINS)
+
+
 def _estimated(similarity: float):
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [np.stack([np.frombuffer(x, np.uint16) for x in batch.column(k).to_pylist()]) for k in ("regs_a", "regs_b")]
             sizes = [batch.column(k).to_numpy(zero_copy_only=False).astype(float) for k in ("n_a", "n_b")]
-            value, count = estimate(*rows, *sizes)
-            slack = 4 * np.sqrt(similarity * (1 - similarity) / np.maximum(count, 1)) + 1 / np.maximum(count, 1)
-            keep = pa.array(value >= similarity - slack)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(keep), batch.column("b").filter(keep), batch.column("key_a").filter(keep),
-                 batch.column("key_b").filter(keep), pa.array(value[np.asarray(keep)])],
-                names=["a", "b", "key_a", "key_b", "likely"],
-            )
+            keep = pa.array(_passes(_registers_of(batch, "regs_a"), _registers_of(batch, "regs_b"), *sizes, similarity))
+            yield batch.select(["a", "b", "key_a", "key_b"]).filter(keep)
+
+    return run
+
+
+def _across(similarity: float):
+    """Pairs of different components in one group ``(band, low, high)``; rows come group by group."""
+
+    def pairs(group: pa.Table):
+        side = group.column("side").to_numpy()
+        node, part, n = (group.column(k).to_numpy() for k in ("node", "part", "n"))
+        key, regs = group.column("set_key").to_pylist(), _registers_of(group, "regs")
+        same = group.column("low")[0].as_py() == group.column("high")[0].as_py()
+        left = np.arange(len(node)) if same else np.flatnonzero(side == 0)
+        right = left if same else np.flatnonzero(side == 1)
+        found = []
+        for i in left.tolist():
+            j = right[(part[right] != part[i]) & ((right > i) | (not same))]
+            for at in range(0, len(j), BLOCK):
+                k = j[at : at + BLOCK]
+                # a quick look at the share of equal registers, then the estimate
+                k = k[(regs[k] == regs[i]).sum(axis=1) >= 1]
+                if len(k):
+                    one = np.broadcast_to(regs[i], (len(k), BINS))
+                    ok = _passes(one, regs[k], np.full(len(k), n[i], float), n[k].astype(float), similarity)
+                    found += [(i, x) for x in k[ok].tolist()]
+        ordered = [(i, j) if node[i] < node[j] else (j, i) for i, j in found]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([int(node[i]) for i, _ in ordered], pa.int64()), pa.array([int(node[j]) for _, j in ordered], pa.int64()),
+             pa.array([key[i] for i, _ in ordered], pa.binary()), pa.array([key[j] for _, j in ordered], pa.binary())],
+            names=["a", "b", "key_a", "key_b"],
+        )
+
+    def run(batches):
+        held, at = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("band", "low", "high")])
+            cuts = [0, *(np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1).tolist(), len(keys)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                now = tuple(keys[lo].tolist())
+                if held and now != at:
+                    yield pairs(pa.Table.from_batches(held))
+                    held = []
+                at = now
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield pairs(pa.Table.from_batches(held))
 
     return run
 
@@ -220,22 +275,16 @@ def near_groups(documents: DataFrame, similarity: float = 0.75) -> DataFrame:
         "members",
     )
 
-    def likely(pairs: DataFrame) -> DataFrame:
-        """Pairs ``a < b`` whose estimate lets them through."""
-        side = {
-            k: nodes.select(F.col("node").alias(k), F.col("set_key").alias(f"key_{k}"), F.col("n").alias(f"n_{k}"), F.col("regs").alias(f"regs_{k}"))
-            for k in "ab"
-        }
-        both = pairs.join(side["b"], "b").join(side["a"], "a")
-        both = both.where((F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")))
-        return both.select("a", "b", "key_a", "key_b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(
-            _estimated(similarity), "a long, b long, key_a binary, key_b binary, likely double"
-        )
+    side = {
+        k: nodes.select(F.col("node").alias(k), F.col("set_key").alias(f"key_{k}"), F.col("n").alias(f"n_{k}"), F.col("regs").alias(f"regs_{k}"))
+        for k in "ab"
+    }
+    pair = "a long, b long, key_a binary, key_b binary"
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Links among saved pairs, by the full sets of their texts."""
         wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        texts = docs.join(wanted, "doc_id")
+        texts = docs.join(checked(wanted), "doc_id")
         return (
             pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
             .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -243,18 +292,29 @@ def near_groups(documents: DataFrame, similarity: float = 0.75) -> DataFrame:
             .mapInArrow(_confirmed(similarity), "a long, b long")
         )
 
-    stars = members.where("head < node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    best = likely(stars).groupBy("b", "key_b").agg(F.max(F.struct("likely", -F.col("a"), "key_a")).alias("x"))
-    best = saved(best.select((-F.col("x").getField("col2")).alias("a"), "b", F.col("x.key_a").alias("key_a"), "key_b"), "stars")
-    links = saved(confirmed(best), "confirmed")
+    # one pair for each node, chosen from ids alone
+    shared = members.where("head < node").groupBy("node", "head").count()
+    nearest = shared.groupBy("node").agg(F.max(F.struct("count", -F.col("head"))).alias("x"))
+    nearest = nearest.select((-F.col("x").getField("col2")).alias("a"), F.col("node").alias("b"))
+    held = nearest.join(side["b"], "b").join(side["a"], "a").select("a", "b", "key_a", "key_b", "n_a", "n_b", "regs_a", "regs_b")
+    links = saved(confirmed(saved(held.mapInArrow(_estimated(similarity), pair), "stars")), "confirmed")
     label = components(links)
 
     labelled = members.join(label, "node", "left").select("band", "node", F.coalesce("component", "node").alias("part"))
-    open_bands = labelled.groupBy("band").agg(F.min("part").alias("one"), F.max("part").alias("two")).where("one < two").select("band")
-    rest = saved(labelled.join(open_bands, "band"), "open")
-    left, right = (rest.select("band", F.col("node").alias(n), F.col("part").alias(f"part_{n}")) for n in "ab")
-    across = left.join(right, "band").where("a < b and part_a <> part_b").select("a", "b").distinct()
-    more = saved(likely(across).join(best.select("a", "b"), ["a", "b"], "left_anti").select("a", "b", "key_a", "key_b"), "across")
+    open_bands = labelled.groupBy("band").agg(F.min("part").alias("one"), F.max("part").alias("two"), F.count("*").alias("size"))
+    open_bands = open_bands.where("one < two").select(F.col("band").alias("key"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    rest = labelled.join(open_bands, F.col("band") == F.col("key")).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    dealt = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(
+        "band",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"),
+        "node",
+        "part",
+    ).join(nodes, "node")
+    dealt = dealt.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
+    more = saved(dealt.mapInArrow(_across(similarity), pair).distinct(), "across")
     label = components(links.unionByName(confirmed(more)))
 
     group = sets.join(label, "node", "left").select(F.col("set_key").alias("key"), F.coalesce("component", "node").alias("component_id"))
