@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reqframe.llm.common import saved
+from reqframe.llm.common import checked, saved
 
 END = 2
 SCALE = 18
@@ -50,22 +51,38 @@ BLOCK_SCHEMA = (
 # ---------------------------------------------------------------- tokenizing
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable character by which byte-level models write each byte (a fixed rule)."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class Encoder:
     """Texts to ids (uint32) with a tokenizer given as JSON.
 
     A byte-level BPE splits text by a pattern that always breaks before a space after a character that
-    is no white space. For those, each word is tokenized once and kept; other tokenizers get texts whole.
-    Strings of special tokens in a text are ordinary text.
+    is no white space, around a single line end, and between a letter and a mark. For those, each word
+    is tokenized once and kept, up to ``2 * WORDS`` of them; other tokenizers get texts whole. Strings of
+    special tokens in a text are ordinary text.
     """
 
-    WORDS = 800_000
+    WORDS = 350_000
     _APART = re.compile(r"(?<=\S)(?= )")
     _RUNS = re.compile(r"(?:\A|\s) ")
-    _SPACE = re.compile(r"\s")
 
     def __init__(self, definition: str):
         import tokenizers
 
+        # kept on the library's module, which lives as long as the worker process
+        store = tokenizers.__dict__.setdefault("_reqframe_words", {})
+        if definition not in store:
+            store.clear()
+            tokenizer = tokenizers.Tokenizer.from_str(definition)
+            tokenizer.encode_special_tokens = True
+            store[definition] = (tokenizer, {}, {}, {}, {})
+        # words: after a space; heads: without one
+        self.tokenizer, self.words, self.old, self.heads, self.old_heads = store[definition]
         spec = json.loads(definition)
         pre = spec.get("pre_tokenizer") or {}
         self.by_word = (
@@ -74,57 +91,91 @@ class Encoder:
             and pre.get("type") == "ByteLevel"
             and pre.get("use_regex", True)
             and not pre.get("add_prefix_space")
+            and all(x.get("special") for x in spec.get("added_tokens", []))
         )
-        # kept on the library's module, which lives as long as the worker process
-        store = tokenizers.__dict__.setdefault("_reqframe_words", {})
-        self.tokenizer, self.words, self.newline = store.get(definition, (None, None, None))
-        if self.tokenizer is None:
-            self.tokenizer = tokenizers.Tokenizer.from_str(definition)
-            self.tokenizer.encode_special_tokens = True
-            self.words = {}
-            got = self.tokenizer.encode("\n", add_special_tokens=False).ids
-            self.newline = got[0] if len(got) == 1 else None
-            store.clear()
-            store[definition] = (self.tokenizer, self.words, self.newline)
-
-    def _learn(self, words: list[str]) -> None:
-        """Tokenize new words: many at a time, apart by line ends; those with white space inside alone."""
-        plain = [w for w in words if self.newline is not None and not self._SPACE.search(w, 1) and not (w != " " and w[:1].isspace() and w[0] != " ") and w.strip()]
-        seen = set(plain)
-        for at in range(0, len(plain), 2000):
-            part = plain[at : at + 2000]
-            ids = np.array(self.tokenizer.encode("\n".join(part), add_special_tokens=False).ids, np.uint32)
-            cuts = np.flatnonzero(ids == self.newline)
-            if len(cuts) != len(part) - 1:
-                seen.difference_update(part)
-                continue
-            data = ids.tobytes()
-            lows, highs = [0, *(4 * (cuts + 1)).tolist()], [*(4 * cuts).tolist(), len(data)]
-            for w, lo, hi in zip(part, lows, highs, strict=True):
-                self.words[w] = data[lo:hi]
-        rest = [w for w in words if w not in seen]
-        for w, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
-            self.words[w] = np.array(e.ids, np.uint32).tobytes()
+        self.letters = _byte_letters()
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    @staticmethod
+    def _parts(piece: str) -> list[str]:
+        """A piece cut where the pattern breaks for certain."""
+        lines = piece.split("\n")
+        if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in [lines[0].strip(" "), *lines[1:]]):
+            return [piece]
+        out = []
+        for k, line in enumerate(lines):
+            if k:
+                out.append("\n")
+            if len(line) > 2 and line[-1] in ".," and line[-2].isalpha():
+                out += [line[:-1], line[-1]]
+            else:
+                out.append(line)
+        return out
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of new pieces; words of letters alone go straight to the model."""
+        model, letters = self.tokenizer.model, self.letters
+        cut, rest = [], []
+        for piece in pieces:
+            parts = self._parts(piece)
+            if len(parts) > 1:
+                cut.append((piece, parts))
+            for part in parts:
+                if part[:1] == " ":
+                    words, old, word = self.words, self.old, part[1:]
+                else:
+                    words, old, word = self.heads, self.old_heads, part
+                if word in words:
+                    continue
+                if word in old:
+                    words[word] = old[word]
+                elif word.isalpha():
+                    shown = part.encode("utf-8", "surrogatepass").decode("latin-1").translate(letters)
+                    words[word] = array("I", [t.id for t in model.tokenize(shown)]).tobytes()
+                else:
+                    rest.append(part)
+        rest = list(dict.fromkeys(rest))
+        for part, ids in zip(rest, self._whole(rest), strict=True):
+            self._keep(part, ids)
+        for piece, parts in cut:
+            self._keep(piece, b"".join(self.words[p[1:]] if p[:1] == " " else self.heads[p] for p in parts))
+
+    def _keep(self, part: str, ids: bytes) -> None:
+        if part[:1] == " ":
+            self.words[part[1:]] = ids
+        else:
+            self.heads[part] = ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian uint32."""
         if not self.by_word:
-            return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        pieces = []
+            return self._whole(texts)
+        heads, pieces = [], []
         for text in texts:
             if self._RUNS.search(text):
-                pieces.append(self._APART.split(text))
+                # the first piece may begin with a space that belongs to no cut: it is learned alone
+                head, *rest = self._APART.split(text)
+                rest = [p[1:] for p in rest]
             else:
                 head, *rest = text.split(" ")
-                pieces.append([head, *[f" {w}" for w in rest]])
-        if len(self.words) > self.WORDS:
-            self.words.clear()
-        fresh = set().union(*pieces).difference(self.words)
-        fresh.discard("")
-        self.words[""] = b""
+            heads.append(head)
+            pieces.append(rest)
+        for new, old in ((self.words, self.old), (self.heads, self.old_heads)):
+            if len(new) > self.WORDS:
+                old.clear()
+                old.update(new)
+                new.clear()
+        fresh = [f" {w}" for w in set().union(*pieces).difference(self.words)]
+        fresh += [h for h in set(heads).difference(self.heads) if h and h[0] != " "]
         if fresh:
             self._learn(sorted(fresh))
-        return [b"".join(map(self.words.__getitem__, p)) for p in pieces]
+        odd = {h: ids for h in set(heads) if h[:1] in ("", " ") for ids in (self._whole([h])[0] if h else b"",)}
+        return [
+            b"".join([odd[h] if h in odd else self.heads[h], *map(self.words.__getitem__, p)])
+            for h, p in zip(heads, pieces, strict=True)
+        ]
 
 
 def _tokenized(definition, end: int):
@@ -397,7 +448,7 @@ def read_tokens(blocks: DataFrame, frequencies: DataFrame) -> DataFrame:
     parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("size"))  # one row for each task that wrote
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select(F.col("part").alias("of"), F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
-    return rows.join(starts, F.col("part") == F.col("of")).select("doc_id", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids")
+    return rows.join(checked(starts), F.col("part") == F.col("of")).select("doc_id", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids")
 
 
 def token_digests(documents: DataFrame, definition: str) -> DataFrame:
