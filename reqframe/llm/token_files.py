@@ -67,7 +67,7 @@ class Encoder:
     special tokens in a text are ordinary text.
     """
 
-    WORDS = 350_000
+    WORDS = 500_000
     _APART = re.compile(r"(?<=\S)(?= )")
     _RUNS = re.compile(r"(?:\A|\s) ")
 
