@@ -76,14 +76,14 @@ def next_stage(
     before: str,
     after: str,
     model: Column | None,
-    prefix: str = "stage2-",
+    prefix: str = "stage2-",  # fixed values: prefix, width and max_tokens by default
     width: int = 4,
-    position: str = "pos",
+    position: str = "seq",
     max_tokens: int | None = 256,
 ) -> DataFrame:
     """Requests whose prompt holds the content of earlier results.
 
-    ``results`` are lines with a 0-based ``position``; the id carries that number. A
+    ``results`` are lines with a 0-based ``position`` in their whole set; the id carries that number. A
     result without content gives an empty insert.
     """
     prompt = F.concat(F.lit(before), F.coalesce("content", F.lit("")), F.lit(after))

@@ -86,8 +86,8 @@ def cursor_page(
 ) -> DataFrame:
     """Rows strictly after the cursor id, newest first, with ``has_more`` on every row.
 
-    The page is a keyset range: the cursor's sort key comes from a one-row sub-query, the rows
-    after it are filtered during the scan, and only the best ``limit + 1`` are kept per task.
+    The page is a keyset range: the cursor's row is fetched first, an unknown id raises, the rows
+    after it are filtered by literals, and only the best ``limit + 1`` are kept per task.
     """
     order = _newest_first(active_first)
     if everything:
@@ -95,10 +95,16 @@ def cursor_page(
     if not 1 <= limit <= MAX_LIMIT:
         raise ValueError(f"limit must be in 1..{MAX_LIMIT}")
     rank = [is_active("status")] if active_first else []
-    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate([*rank, F.col("created_at"), F.col("id")])])
     if after is not None:
-        cursor = rows.where(F.col("id") == after).agg(F.max(key))
-        rows = rows.where(key < cursor.scalar())
+        fields = [*rank, F.col("created_at"), F.col("id")]
+        found = rows.where(F.col("id") == after).select(*[c.alias(f"k{i}") for i, c in enumerate(fields)]).take(1)
+        if not found:
+            raise ValueError(f"unknown cursor {after!r}")
+        # literals, so that the comparison can reach the scan
+        later, equal = F.lit(False), F.lit(True)
+        for c, value in zip(fields, found[0], strict=True):
+            later, equal = later | (equal & (c < F.lit(value))), equal & (c == F.lit(value))
+        rows = rows.where((F.col("created_at") <= F.lit(found[0][0])) & later if not rank else later)
     some = rows.orderBy(*order).limit(limit + 1)
     # At most limit + 1 rows reach this window.
     ranked = some.withColumn("_n", F.row_number().over(Window.orderBy(*order)))

@@ -14,18 +14,23 @@ from reqframe.operators.joins import join_on, looked_at
 SIDES = ("a", "b")
 
 
-def _keyed(lines: DataFrame, side: str, position: str, nested_only: bool) -> DataFrame:
+def _place(lines: DataFrame, position: str | None) -> Column:
+    """A line's place in its whole set: ``seq`` over all files, else ``line`` of a single file."""
+    return F.col(position or ("seq" if "seq" in lines.columns else "line")).cast("bigint")
+
+
+def _keyed(lines: DataFrame, side: str, position: str | None, nested_only: bool) -> DataFrame:
     """What the shuffle needs of a line: its id, position and the digest of its content."""
     return with_content(lines, nested_only=nested_only).select(
         F.lit(side).alias("side"),
         "custom_id",
         F.col("v").isNull().alias("bad"),
-        F.col(position).cast("bigint").alias("at"),
+        _place(lines, position).alias("at"),
         F.unhex(F.sha2("content", 256)).alias("digest"),
     )
 
 
-def _per_id(a: DataFrame, b: DataFrame, position: str, nested_only: bool) -> DataFrame:
+def _per_id(a: DataFrame, b: DataFrame, position: str | None, nested_only: bool) -> DataFrame:
     """One row per id with both sides' last digest, by one aggregation of the two sides together.
 
     Grouping the union replaces two de-duplications and an outer join. Partial aggregation
@@ -54,11 +59,12 @@ def _status() -> Column:
 
 
 def diff_detail(
-    a: DataFrame, b: DataFrame, position: str = "line", strict_shape_a: bool = False
+    a: DataFrame, b: DataFrame, position: str | None = None, strict_shape_a: bool = False
 ) -> DataFrame:
     """``custom_id, status`` with status identical, different, only_in_a or only_in_b.
 
-    An id that repeats within a side counts with its last line by ``position``.
+    An id that repeats within a side counts with its last line by ``position`` (``seq`` if the lines
+    have it, so that a set may have several files; else ``line``).
     """
     per_id = _per_id(a, b, position, strict_shape_a).where(F.col("custom_id").isNotNull())
     return per_id.select("custom_id", _status().alias("status"))
@@ -75,7 +81,7 @@ def only_in_a(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def diff_summary(
-    a: DataFrame, b: DataFrame, position: str = "line", strict_shape_a: bool = False
+    a: DataFrame, b: DataFrame, position: str | None = None, strict_shape_a: bool = False
 ) -> DataFrame:
     """One row with the counts of :func:`diff_detail` and each side's input warnings."""
     per_id = _per_id(a, b, position, strict_shape_a).withColumn(
@@ -122,7 +128,7 @@ NO_RESPONSE = "(no response)"
 
 
 def compare_runs(
-    requests: DataFrame, runs: dict[str, DataFrame], position: str = "line"
+    requests: DataFrame, runs: dict[str, DataFrame], position: str | None = None
 ) -> DataFrame:
     """One row per id of the first run: the prompt and every run's answer and token counts.
 
@@ -136,7 +142,7 @@ def compare_runs(
     stacked = parsed(requests).select(
         F.lit("").alias("run"),
         text_at("v", "custom_id").alias("custom_id"),
-        F.col(position).cast("bigint").alias("at"),
+        _place(requests, position).alias("at"),
         prompt.alias("content"),
         F.lit(None).cast("bigint").alias("prompt_tokens"),
         F.lit(None).cast("bigint").alias("completion_tokens"),
@@ -146,7 +152,7 @@ def compare_runs(
             extract(runs[name]).select(
                 F.lit(name),
                 "custom_id",
-                F.col(position).cast("bigint"),
+                _place(runs[name], position),
                 F.when(~F.col("content_kind").isin("VOID"), F.col("content")),
                 "prompt_tokens",
                 "completion_tokens",

@@ -66,13 +66,17 @@ def chunk_summary(chunked: DataFrame) -> DataFrame:
     return chunked.groupBy("chunk_name").agg(F.count(F.lit(1)).alias("lines"))
 
 
-def concat_results(results: DataFrame, ids: DataFrame) -> DataFrame:
+def concat_results(results: DataFrame, ids: DataFrame, batches: DataFrame | None = None) -> DataFrame:
     """Result lines of the requested batches with their ``ordinal``; order by ``(ordinal, line)``.
 
-    A repeated id repeats its lines. Use :func:`missing_outputs` first: a batch without an output
-    file is an error there, not an empty part here.
+    A repeated id repeats its lines. With ``batches`` (``id``, ``output_file_id``) a requested batch
+    that is unknown or has no output file stops the job here, before any line is joined.
     """
     asked = ids.select("ordinal", F.col("id").alias("batch_id"))
+    if batches is not None:
+        missing = [r[0] for r in missing_outputs(ids, batches).select("id").distinct().limit(5).collect()]
+        if missing:
+            raise ValueError(f"no output file for {', '.join(map(str, missing))}")
     return join_on(results, asked, "batch_id", "inner", row_id="line", right_row_id="ordinal")
 
 
@@ -82,32 +86,32 @@ def missing_outputs(ids: DataFrame, batches: DataFrame) -> DataFrame:
     return join_on(ids, ready, "id", "left_anti")
 
 
-# Pages that start further in than this are found by counting instead of by a top-k.
+# Pages that end further in than this are found by counting instead of by a top-k.
 _TOP_K_PAGE = 10_000
 # Lines counted together for such a page.
 _PAGE_RANGE = 1_000_000
 
 
-def results_page(results: DataFrame, skip: int, limit: int, status: str | None = None) -> DataFrame:
-    """Result lines ``skip`` to ``skip + limit`` by position, with ``incomplete`` and ``last_line``.
+def results_page(results: DataFrame, skip: int, limit: int, status: str | None = None, position: str = "seq") -> DataFrame:
+    """Result lines ``skip`` to ``skip + limit`` by ``position`` in the whole set, with ``incomplete`` and ``last_line``.
 
-    Without a status the page is a plain range filter on ``pos``. With one (``completed`` or
+    Without a status the page is a plain range filter. With one (``completed`` or
     ``failed``), positions are those among the matching lines.
     """
     if status is None:
-        upper = results.agg(F.coalesce(F.max("pos") + 1, F.lit(0))).scalar()
-        page = results.where((F.col("pos") >= skip) & (F.col("pos") < skip + limit))
+        upper = results.agg(F.coalesce(F.max(position) + 1, F.lit(0))).scalar()
+        page = results.where((F.col(position) >= skip) & (F.col(position) < skip + limit))
         return page.withColumn("incomplete", upper > skip + limit).withColumn(
             "last_line", F.least(upper, F.lit(skip + limit))
         )
     wanted = {"completed": "is_result", "failed": "is_error"}[status]
     matching = extract(results).where(F.col(wanted)).select(*results.columns)
-    if skip <= _TOP_K_PAGE:
-        some = matching.orderBy("pos").limit(skip + limit + 1)
-        ranked = some.withColumn("_n", F.row_number().over(Window.orderBy("pos")))
+    if skip + limit <= _TOP_K_PAGE:
+        some = matching.orderBy(position).limit(skip + limit + 1)
+        ranked = some.withColumn("_n", F.row_number().over(Window.orderBy(position)))
         ranked = ranked.withColumn("_found", F.max("_n").over(Window.partitionBy()))
     else:
-        ranked = _ranked_ranges(matching, skip, limit)
+        ranked = _ranked_ranges(matching, skip, limit, position)
     return (
         ranked.where((F.col("_n") > skip) & (F.col("_n") <= skip + limit))
         .withColumn("incomplete", F.col("_found") > skip + limit)
@@ -116,13 +120,13 @@ def results_page(results: DataFrame, skip: int, limit: int, status: str | None =
     )
 
 
-def _ranked_ranges(matching: DataFrame, skip: int, limit: int) -> DataFrame:
+def _ranked_ranges(matching: DataFrame, skip: int, limit: int, position: str) -> DataFrame:
     """The matching lines of the position ranges a page touches, with rank ``_n`` and ``_found``.
 
     Counts per range, one row for a million lines, tell which ranges hold the page; only their
     lines are ranked, each range for itself.
     """
-    span = F.expr(f"pos div {_PAGE_RANGE}")
+    span = F.expr(f"`{position}` div {_PAGE_RANGE}")
     sizes = matching.groupBy(span.alias("_range")).agg(F.count(F.lit(1)).alias("_size"))
     upto = F.sum("_size").over(Window.orderBy("_range"))
     counted = sizes.select(
@@ -131,7 +135,7 @@ def _ranked_ranges(matching: DataFrame, skip: int, limit: int) -> DataFrame:
     touched = counted.where((F.col("_upto") > skip) & (F.col("_before") < skip + limit))
     # Every touched range holds a line of the page, so there are at most ``limit`` of them.
     inside = matching.withColumn("_range", span).join(F.broadcast(touched), "_range")
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy("pos"))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy(position))
     return inside.withColumn("_n", rank + F.col("_before")).drop("_range", "_before", "_upto")
 
 

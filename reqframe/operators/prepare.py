@@ -210,7 +210,7 @@ def prepare_directory(
         whole = append_lines(lines.drop("file_ord", "seq"), added, file_list(scan))
         write_by_file(whole, target, ("section", "line"))
     else:
-        write_by_file(lines, target, rows=indexed.count())
+        write_by_file(lines, target, rows=indexed.agg(F.coalesce(F.max("seq") + 1, F.lit(0))).first()[0])
 
 
 def append_lines(lines: DataFrame, added: Sequence[str], files: DataFrame | None = None) -> DataFrame:
@@ -229,6 +229,7 @@ def append_lines(lines: DataFrame, added: Sequence[str], files: DataFrame | None
         return data
     at = [c for c in ("file", "file_ord") if c in lines.columns]
     if files is None:
+        # the files of the lines that are left: pass ``files`` when lines were removed before
         files = lines.select(*at).distinct()
     literal = F.array(*[F.struct(F.lit(i + 1).alias("line"), F.lit(t.strip(WHITE_SPACE)).alias("raw")) for i, t in enumerate(added)])
     extra = files.select(*at, F.explode(literal).alias("_x")).select(

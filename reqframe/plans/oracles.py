@@ -155,7 +155,7 @@ ORACLES: dict[str, str] = {
     "build_embeddings": """SELECT printf('emb-%03d', doc_id) AS custom_id, '/v1/embeddings' AS url, 'm-' || lang AS model,
         text AS input FROM documents""",
     "next_stage_requests": f"""WITH {_A} SELECT printf('stage2-%04d', doc_id) AS custom_id, 'm-next' AS model,
-        'Given this:' || chr(10) || chr(10) || coalesce(content, '') || chr(10) || chr(10) || 'List the facts.' AS content,
+        'Source record <' || coalesce(content, '') || '> Which numbers does it state?' AS content,
         256::BIGINT AS max_tokens FROM a""",
     "request_stats": """SELECT count(*) AS lines, count(*) FILTER (source IN ('src4', 'src5')) AS parse_errors,
         (sum(CASE WHEN source NOT IN ('src2', 'src4', 'src5', 'src7', 'src8') THEN strlen(text) ELSE 0 END) // 4)::BIGINT

@@ -95,7 +95,7 @@ def build_embeddings(t: Tables) -> DataFrame:
 
 @query
 def next_stage_requests(t: Tables) -> DataFrame:
-    lines = build.next_stage(views.results_a(t), "Given this:\n\n", "\n\nList the facts.", F.lit("m-next"))
+    lines = build.next_stage(views.results_a(t), "Source record <", "> Which numbers does it state?", F.lit("m-next"))
     return _chat_fields(lines)
 
 
@@ -514,7 +514,7 @@ def stream_progress(t: Tables) -> DataFrame:
     folder = _workspace(t)
     tailing.track_progress(_landed(t, folder), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     totals = t.documents.groupBy(F.concat(F.lit("batch-"), "source").alias("batch_id")).agg(F.count(F.lit(1)).alias("total"))
-    counts = t.spark.read.schema("batch_id string, done bigint, failed bigint, epoch bigint").parquet(f"{folder}/out")
+    counts = t.spark.read.schema("batch_id string, custom_id string, results bigint, errors bigint, epoch bigint").parquet(f"{folder}/out")
     return tailing.latest_progress(counts, totals)
 
 
@@ -530,6 +530,6 @@ def stream_terminal(t: Tables) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", ended).otherwise("in_progress").alias("status"),
         F.col("l_shipdate").cast("timestamp").alias("at"),
     )
-    found = stream_events.terminal_events(snapshots, "4000 days")
+    found = stream_events.terminal_events(snapshots)
     stream_events.emit_events(found, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    return t.spark.read.schema("batch_id string, event string").parquet(f"{folder}/out")
+    return stream_events.read_events(t.lineitem, f"{folder}/out").select("batch_id", "event")

@@ -41,6 +41,8 @@ def _parent(uri: str) -> str:
 def scan_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Raw lines of one file, of a directory's ``*.jsonl`` children, or of several files.
 
+    A directory that the line sinks wrote is read by its ``part-*.txt`` children, in their order.
+
     Columns: ``file``, ``block`` (byte offset of the scan split) and ``raw``. Lines end at
     ``\\n``; one trailing ``\\r`` is dropped.
     """
@@ -48,7 +50,7 @@ def scan_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     if isinstance(path, str):
         if is_dir(spark, path):
             # Without this, sub-folders named like partitions would add columns.
-            reader = reader.option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", True)
+            reader = reader.option("pathGlobFilter", "{*.jsonl,part-*.txt}").option("recursiveFileLookup", True)
         paths = [path]
     else:
         paths = list(dict.fromkeys(path))

@@ -12,31 +12,52 @@ from reqframe.functions.results import is_terminal
 COMPLETED = "batch.completed"
 FAILED = "batch.failed"
 
-# Snapshots of one batch are first reduced in this many groups, then as one.
-_GROUPS = 16
+_WRITTEN = "batch_id string, event string, seen_at timestamp, epoch bigint"
 
 
 def event_kind(status: str = "status"):
     return F.when(F.col(status) == "completed", F.lit(COMPLETED)).otherwise(F.lit(FAILED))
 
 
-def terminal_events(snapshots: DataFrame, delay: str = "1 day") -> DataFrame:
-    """``batch_id, event, seen_at`` from a stream of status snapshots (``batch_id, status, at``).
+def terminal_events(snapshots: DataFrame) -> DataFrame:
+    """``batch_id, event, seen_at`` of the terminal ones of status snapshots (``batch_id, status, at``).
 
-    ``delay`` bounds the state: a batch's terminal snapshots must arrive within it. Repeats are
-    removed in two steps so that a batch polled very often is not handled by one task alone.
+    Snapshots may come late and repeat; :func:`emit_events` makes them one event for each batch.
     """
-    ended = snapshots.where(is_terminal("status")).withWatermark("at", delay)
-    group = F.pmod(F.xxhash64("at"), F.lit(_GROUPS))
-    some = ended.withColumn("_group", group).dropDuplicatesWithinWatermark(["batch_id", "_group"])
-    once = some.dropDuplicatesWithinWatermark(["batch_id"])
-    return once.select("batch_id", event_kind().alias("event"), F.col("at").alias("seen_at"))
+    ended = snapshots.where(is_terminal("status") & F.col("batch_id").isNotNull())
+    return ended.select("batch_id", event_kind().alias("event"), F.col("at").alias("seen_at"))
+
+
+def _exists(frame: DataFrame, path: str) -> bool:
+    spark = frame.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
 
 
 def emit_events(
     events: DataFrame, out: str, checkpoint: str, follow: str | None = None
 ) -> StreamingQuery:
-    """Append the events to ``out``; see :func:`reqframe.streaming.results.tail_results`."""
-    writer = events.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    """Append one event per batch to ``out``, one folder per trigger; see :func:`read_events`.
+
+    No time bound decides what is an event: a trigger is reduced to the earliest snapshot of each
+    batch, before any shuffle, and batches with an event from an earlier trigger are left out. A
+    repeated trigger overwrites its own folder, so a restart emits nothing twice.
+    """
+
+    def write(rows: DataFrame, epoch: int) -> None:
+        first = rows.groupBy("batch_id").agg(
+            F.min_by("event", "seen_at").alias("event"), F.min("seen_at").alias("seen_at")
+        )
+        if _exists(rows, out):
+            told = read_events(rows, out).where(F.col("epoch") < epoch).select("batch_id")
+            first = first.join(told, "batch_id", "left_anti")
+        first.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=follow) if follow else writer.trigger(availableNow=True)
-    return writer.option("path", out).outputMode("append").start()
+    return writer.start()
+
+
+def read_events(frame: DataFrame, out: str) -> DataFrame:
+    """The events below ``out`` with the trigger (``epoch``) that wrote them; ``frame`` gives the session."""
+    return frame.sparkSession.read.schema(_WRITTEN).parquet(out)

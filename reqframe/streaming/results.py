@@ -13,9 +13,6 @@ from pyspark.sql.streaming import StreamingQuery
 from reqframe.functions.jsonlines import is_blank, parse_lines
 from reqframe.functions.results import extract
 
-_FOLDER = r"/batch_id=([^/]+)/[^/]*$"
-
-
 # Lines of a batch that a landed part file may hold.
 _LINES_PER_PART = 1_000_000
 
@@ -32,16 +29,18 @@ def land_results(lines: DataFrame, landing: str) -> None:
 
 
 def result_stream(spark: SparkSession, landing: str, files_per_trigger: int | None = None) -> DataFrame:
-    """A stream of ``batch_id, raw, landed_at`` over the part files of all batches."""
-    reader = spark.readStream.option("lineSep", "\n").option("recursiveFileLookup", "true")
+    """A stream of ``batch_id, raw, landed_at`` over the part files of all batches.
+
+    The batch id is the folders' partition column, read as text, so that any id survives.
+    """
+    reader = spark.readStream.schema("value string, batch_id string").option("lineSep", "\n")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    path = F.col("_metadata.file_path")
     raw = F.expr(r"CASE WHEN endswith(value, '\r') THEN left(value, length(value) - 1) ELSE value END")
     return (
         reader.text(landing)
         .select(
-            F.url_decode(F.regexp_extract(path, _FOLDER, 1)).alias("batch_id"),
+            "batch_id",
             raw.alias("raw"),
             F.col("_metadata.file_modification_time").alias("landed_at"),
         )
@@ -49,16 +48,17 @@ def result_stream(spark: SparkSession, landing: str, files_per_trigger: int | No
     )
 
 
-def drop_relanded(stream: DataFrame, within: str = "7 days") -> DataFrame:
+def drop_relanded(stream: DataFrame) -> DataFrame:
     """Guard against producers that land the same part twice: equal lines of a batch pass once.
 
     Needed only for such producers, as the file log already delivers each part exactly once.
     Repeated ids are no duplicates: an error line and the success of its retry are different
-    lines and both pass. Lines are remembered for ``within`` of the landing time, which bounds
-    the state; the digest in the key spreads a large batch.
+    lines and both pass. No time bound applies, as a part with an old time may hold new lines:
+    the state keeps a digest of every line, so use the RocksDB state store for long streams. The
+    digest in the key spreads a large batch.
     """
-    keyed = stream.withColumn("_digest", F.sha2("raw", 256)).withWatermark("landed_at", within)
-    return keyed.dropDuplicatesWithinWatermark(["batch_id", "_digest"]).drop("_digest")
+    keyed = stream.withColumn("_digest", F.sha2("raw", 256))
+    return keyed.dropDuplicates(["batch_id", "_digest"]).drop("_digest")
 
 
 def tail_results(
@@ -76,18 +76,20 @@ def tail_results(
 
 
 def progress_counts(stream: DataFrame) -> DataFrame:
-    """Running ``batch_id, done, failed`` of a result stream; one state row per batch."""
-    parsed = extract(parse_lines(stream))
-    return parsed.groupBy("batch_id").agg(
-        F.count_if(F.col("is_result") | F.col("is_error")).alias("done"),
-        F.count_if("is_error").alias("failed"),
+    """Running ``batch_id, custom_id, results, errors`` of a result stream; one state row per request.
+
+    Lines without an id share one row per batch, in which every line counts for itself.
+    """
+    parsed = extract(parse_lines(stream)).where(F.col("is_result") | F.col("is_error"))
+    return parsed.groupBy("batch_id", "custom_id").agg(
+        F.count_if("is_result").alias("results"), F.count_if("is_error").alias("errors")
     )
 
 
 def track_progress(
     stream: DataFrame, out: str, checkpoint: str, follow: str | None = None
 ) -> StreamingQuery:
-    """Write each trigger's changed batches to ``out``, one folder per trigger.
+    """Write each trigger's changed requests to ``out``, one folder per trigger.
 
     A repeated trigger overwrites its own folder, so a restart cannot count twice.
     """
@@ -101,9 +103,16 @@ def track_progress(
 
 
 def latest_progress(progress: DataFrame, totals: DataFrame | None = None) -> DataFrame:
-    """The newest counts per batch, with ``total`` and whole ``percent`` where totals are known."""
-    newest = progress.groupBy("batch_id").agg(
-        F.max_by("done", "epoch").alias("done"), F.max_by("failed", "epoch").alias("failed")
+    """``batch_id, done, failed`` by request, with ``total`` and whole ``percent`` where totals are known.
+
+    ``progress`` are rows of :func:`progress_counts`; counts only grow, so the largest are the newest.
+    A request that failed and then succeeded is done once and not failed.
+    """
+    request = progress.groupBy("batch_id", "custom_id").agg(F.max("results").alias("r"), F.max("errors").alias("e"))
+    alone = F.col("custom_id").isNull()
+    newest = request.groupBy("batch_id").agg(
+        F.sum(F.when(alone, F.col("r") + F.col("e")).otherwise(1)).cast("bigint").alias("done"),
+        F.sum(F.when(alone, F.col("e")).when(F.col("r") > 0, 0).otherwise(1)).cast("bigint").alias("failed"),
     )
     if totals is None:
         return newest

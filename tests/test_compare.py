@@ -36,7 +36,7 @@ def summary(a, b, **kw):
 
 
 def test_simple_difference(lines):
-    got = summary(lines(res_a("a", "Hi")), lines(res_a("a", "Hey")))
+    got = summary(lines(res_a("q7", "42 km")), lines(res_a("q7", "43 km")))
     assert got == dict(
         entries_a=1, entries_b=1, common=1, identical=0, different=1, only_in_a=0, only_in_b=0,
         parse_errors_a=0, missing_id_a=0, duplicates_a=0, parse_errors_b=0, missing_id_b=0, duplicates_b=0,

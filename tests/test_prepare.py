@@ -18,10 +18,10 @@ def test_nothing_to_do(lines):
 
 
 def test_overrides(lines):
-    got = out(prepare(lines(*F1), model="new", temperature=0.5, max_tokens=50, top_p=1.0))
+    got = out(prepare(lines(*F1), model="new", temperature=0.25, max_tokens=90, top_p=1.0))
     want = json.loads(json.dumps(F1))
     for w in want:
-        w["body"].update(model="new", temperature=0.5, max_tokens=50, top_p=1)
+        w["body"].update(model="new", temperature=0.25, max_tokens=90, top_p=1)
     assert got == want
 
 

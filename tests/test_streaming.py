@@ -42,6 +42,15 @@ def test_tail_delivers_each_line_once(spark, tmp_path):
     assert len(run()) == 4
 
 
+def test_batch_ids_survive_the_landing_path(spark, tmp_path):
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+    ids = ["a+b:c", "007", "50%", "x y", "é"]
+    for i in ids:
+        land(spark, landing, i, res_a("k", "v"))
+    drain(tail_results(result_stream(spark, landing), out, str(tmp_path / "cp")))
+    assert sorted(r[0] for r in spark.read.parquet(out).select("batch_id").collect()) == sorted(ids)
+
+
 def test_relanded_part_is_dropped_on_request(spark, tmp_path):
     landing = str(tmp_path / "in")
     land(spark, landing, "b", res_a("x", "1"), err("x"))
@@ -66,8 +75,10 @@ def test_progress_equals_batch_counts(spark, tmp_path):
     land(spark, landing, "a", res_a("3", "x"))
     assert run() == [("a", 3, 1, 4, 75), ("b", 1, 1, 0, None)]
     assert run() == [("a", 3, 1, 4, 75), ("b", 1, 1, 0, None)]
+    land(spark, landing, "a", res_a("2", "retried"), res_a("1", "again"))
+    assert run() == [("a", 3, 0, 4, 75), ("b", 1, 1, 0, None)]
     whole = parse_lines(spark.read.text(landing).select(F.col("value").alias("raw")))
-    assert result_columns(whole).where("is_result").count() == 2
+    assert result_columns(whole).where("is_result").count() == 4
 
 
 def test_terminal_event_once(spark, tmp_path):
@@ -86,5 +97,5 @@ def test_terminal_event_once(spark, tmp_path):
     add(("a", "validating", "2026-01-01 00:00:00"), *[("a", "completed", f"2026-01-01 00:00:{i:02}") for i in range(1, 40)])
     add(("b", "cancelling", "2026-01-01 00:00:00"), ("c", "expired", "2026-01-01 00:01:00"))
     assert run() == [("a", "batch.completed"), ("c", "batch.failed")]
-    add(("a", "completed", "2026-01-01 00:02:00"), ("b", "cancelled", "2026-01-01 00:02:00"))
+    add(("a", "completed", "2026-02-01 00:02:00"), ("b", "cancelled", "2025-06-01 00:02:00"))
     assert run() == [("a", "batch.completed"), ("b", "batch.failed"), ("c", "batch.failed")]

@@ -132,7 +132,8 @@ def test_pages(batches):
     assert page(catalog.cursor_page(batches, 2, after="a")) == (["e"], {False})
     assert page(catalog.cursor_page(batches, 5)) == (["c", "b", "d", "a", "e"], {False})
     assert page(catalog.cursor_page(batches, 2, after="e")) == ([], set())
-    assert page(catalog.cursor_page(batches, 2, after="unknown")) == ([], set())
+    with pytest.raises(ValueError, match="unknown cursor"):
+        catalog.cursor_page(batches, 2, after="nowhere")
     assert page(catalog.cursor_page(batches, 2, active_first=True)) == (["b", "e"], {True})
     assert page(catalog.cursor_page(batches, 2, after="e", active_first=True)) == (["c", "d"], {True})
     assert page(catalog.cursor_page(batches, everything=True)) == (["c", "b", "d", "a", "e"], {False})

@@ -39,8 +39,8 @@ def test_valid_lines(lines):
 @pytest.mark.parametrize(
     "line, found",
     [
-        ('{"bad": "json"', ["Invalid JSON"]),
-        ({"custom_id": "x"}, ["method", "url", "body"]),
+        ('[{"k": 3', ["Invalid JSON"]),
+        ({"custom_id": "only"}, ["method", "url", "body"]),
         ('{"custom_id":null,"method":1,"url":[],"body":{"model":null}}', []),
         ("[1]", ["custom_id", "method", "url", "body"]),
         ({"custom_id": 1, "method": 1, "url": 1, "body": "s"}, ["body.model"]),
@@ -81,7 +81,7 @@ def test_stats_by_file(lines):
 
 
 def test_stats_edges(lines):
-    bare = [{"custom_id": c, "body": {"messages": [{"role": "user", "content": t}]}} for c, t in (("a", "Hello"), ("b", "World"))]
+    bare = [{"custom_id": c, "body": {"messages": [{"role": "user", "content": t}]}} for c, t in (("p", "rain?"), ("q", "storm"))]
     assert stats(lines(*bare)) == (2, 0, 2)
     assert requests_per_model(lines(*bare)).count() == 0
     assert stats(lines(req("a", "é" * 2))) == (1, 0, 1)
