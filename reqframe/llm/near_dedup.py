@@ -91,21 +91,22 @@ _ROW_SALT = mix(np.arange(BINS, dtype=np.uint64) + np.uint64(1 << 40))
 
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
-    """One 64-bit key for each band; empty buckets borrow from hashed others first."""
+    """``BANDS`` 64-bit keys for each row of registers; empty buckets borrow from hashed others first."""
     full = regs.astype(np.uint64)
-    empty = regs == EMPTY
+    row, col = np.nonzero(regs == EMPTY)
     for tries in _TRIES:
-        if not empty.any():
+        if not len(row):
             break
-        lent = regs[tries.astype(np.int64)]
-        take = empty & (lent != EMPTY)
-        full[take] = lent[take] + (tries[take] << np.uint64(16))
-        empty &= ~take
-    if empty.any():  # a handful of registers: take the first one in use
-        used = int(np.flatnonzero(regs != EMPTY)[0])
-        full[empty] = int(regs[used]) + (used << 16)
-    rows = mix(full[: ROWS * BANDS] + _ROW_SALT[: ROWS * BANDS]).reshape(BANDS, ROWS)
-    return mix(rows.sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+        source = tries[col].astype(np.int64)
+        lent = regs[row, source]
+        ok = lent != EMPTY
+        full[row[ok], col[ok]] = lent[ok].astype(np.uint64) + (source[ok].astype(np.uint64) << np.uint64(16))
+        row, col = row[~ok], col[~ok]
+    if len(row):  # a handful of registers: take the first one in use
+        used = (regs != EMPTY).argmax(axis=1)[row]
+        full[row, col] = regs[row, used].astype(np.uint64) + (used.astype(np.uint64) << np.uint64(16))
+    cells = mix(full[:, : ROWS * BANDS] + _ROW_SALT[: ROWS * BANDS]).reshape(-1, BANDS, ROWS)
+    return mix(cells.sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
 _LEVELS = 2.0 ** -np.arange(56)
@@ -142,16 +143,24 @@ def _bands(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = [band_keys(np.frombuffer(x, np.uint16)) for x in batch.column("regs").to_pylist()]
-        node = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(node)], names=["band", "node"])
+        for at in range(0, batch.num_rows, 1024):
+            part = batch.slice(at, 1024)
+            keys = band_keys(_registers_of(part, "regs")).reshape(-1)
+            node = np.repeat(part.column("node").to_numpy(zero_copy_only=False), BANDS)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(node)], names=["band", "node"])
 
 
 def _passes(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether ``similarity`` lies within four standard errors of the estimate, and sizes allow it."""
+    """Whether ``similarity`` lies within four standard errors of the estimate, and sizes allow it.
+
+    Buckets in use draw one shingle each from the union without replacement, so the error shrinks as
+    the number of buckets in use comes near the size of the union.
+    """
     value, count = estimate(a, b, n_a, n_b)
     count = np.maximum(count, 1)
-    slack = 4 * np.sqrt(similarity * (1 - similarity) / count) + 1 / count
+    union = np.maximum((n_a + n_b) / (1 + similarity), 2)
+    left = np.clip((union - count) / (union - 1), 0.05, 1)
+    slack = 4 * np.sqrt(similarity * (1 - similarity) / count * left) + 2 / count
     return (value >= similarity - slack) & (np.minimum(n_a, n_b) >= similarity * np.maximum(n_a, n_b))
 
 
@@ -182,12 +191,15 @@ def _across(similarity: float):
         left = np.arange(len(node)) if same else np.flatnonzero(side == 0)
         right = left if same else np.flatnonzero(side == 1)
         found = []
+        bands = band_keys(regs)
+        here = group.column("band")[0].as_py()
+        order = (bands == here).argmax(axis=1)  # which of its bands this is
         for i in left.tolist():
             j = right[(part[right] != part[i]) & ((right > i) | (not same))]
             for at in range(0, len(j), BLOCK):
                 k = j[at : at + BLOCK]
-                # a quick look at the share of equal registers, then the estimate
-                k = k[(regs[k] == regs[i]).sum(axis=1) >= 1]
+                # a pair that shares several bands is left to the first of them
+                k = k[(bands[k] == bands[i]).argmax(axis=1) == order[i]]
                 if len(k):
                     one = np.broadcast_to(regs[i], (len(k), BINS))
                     ok = _passes(one, regs[k], np.full(len(k), n[i], float), n[k].astype(float), similarity)
