@@ -127,16 +127,18 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 def _sketch(batches):
     hashes = WordHashes()
     for batch in batches:
-        rows = [shingles(x, hashes) for x in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                pa.array([len(x) for x in rows], pa.int64()),
-                pa.array([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in rows], pa.binary()),
-                pa.array([registers(x).tobytes() if len(x) else None for x in rows], pa.binary()),
-            ],
-            names=["doc_id", "n_shingles", "set_key", "regs"],
-        )
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
+            rows = [shingles(x, hashes) for x in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
+                    pa.array([len(x) for x in rows], pa.int64()),
+                    pa.array([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in rows], pa.binary()),
+                    pa.array([registers(x).tobytes() if len(x) else None for x in rows], pa.binary()),
+                ],
+                names=["doc_id", "n_shingles", "set_key", "regs"],
+            )
 
 
 def _bands(batches):
