@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -76,7 +77,7 @@ class Model:
 def fit(texts: list[str], labels: np.ndarray, weight: np.ndarray) -> Model:
     """Descend the noisy-or's log loss (Adam, full batches); features in under three texts are left out."""
     index: dict[str, int] = {}
-    word, sentence, document = [], [], []
+    word, sentence, document = array("i"), array("i"), array("i")
     count = 0
     for d, text in enumerate(texts):
         fresh = True  # the next word begins a sentence
@@ -95,11 +96,14 @@ def fit(texts: list[str], labels: np.ndarray, weight: np.ndarray) -> Model:
         rate = float(np.average(labels, weights=weight)) if len(labels) else 0.0
         return Model(float(np.log((rate + 1e-4) / (1 - rate + 1e-4))) - 4.0, weights)
     document = np.array(document)
-    once = np.unique(np.array(sentence, np.int64) * len(index) + np.array(word, np.int64))
+    once = np.unique(np.array(sentence).astype(np.int64) * len(index) + np.array(word))
+    del word, sentence
     sentence, word = once // len(index), once % len(index)
-    table = [features(w) for w in index]
-    owner = np.repeat(np.arange(len(table)), [len(x) for x in table])
-    feature = np.concatenate([np.array(x) for x in table])
+    feature, sizes = array("i"), array("i")
+    for w in index:
+        feature.extend(got := features(w))
+        sizes.append(len(got))
+    owner, feature = np.repeat(np.arange(len(sizes)), np.array(sizes)), np.array(feature)
     # texts that hold each word, then each feature (an upper count: words of one feature add up)
     pairs = np.unique(word.astype(np.int64) * len(texts) + document[sentence])
     in_texts = np.bincount(feature, np.bincount(pairs // len(texts), minlength=len(index))[owner], 1 << BITS)
