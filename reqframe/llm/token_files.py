@@ -70,6 +70,7 @@ class Encoder:
     WORDS = 500_000
     _APART = re.compile(r"(?<=\S)(?= )")
     _RUNS = re.compile(r"(?:\A|\s) ")
+    _PAIRS = tuple(f"{chr(c)} " for c in range(128) if chr(c).isspace())  # the same within ASCII
 
     def __init__(self, definition: str):
         import tokenizers
@@ -116,23 +117,25 @@ class Encoder:
 
     def _learn(self, pieces: list[str]) -> None:
         """Ids of new pieces; words of letters alone go straight to the model."""
-        model, letters = self.tokenizer.model, self.letters
+        model, letters, space = self.tokenizer.model, self.letters, self.letters[32]
         cut, rest = [], []
         for piece in pieces:
-            parts = self._parts(piece)
+            # letters behind the first character hold nothing to cut at
+            parts = (piece,) if piece[1:].isalpha() else self._parts(piece)
             if len(parts) > 1:
                 cut.append((piece, parts))
             for part in parts:
                 if part[:1] == " ":
-                    words, old, word = self.words, self.old, part[1:]
+                    words, old, word, before = self.words, self.old, part[1:], space
                 else:
-                    words, old, word = self.heads, self.old_heads, part
+                    words, old, word, before = self.heads, self.old_heads, part, ""
                 if word in words:
                     continue
                 if word in old:
                     words[word] = old[word]
                 elif word.isalpha():
-                    shown = part.encode("utf-8", "surrogatepass").decode("latin-1").translate(letters)
+                    # ASCII letters stand for themselves
+                    shown = before + (word if word.isascii() else word.encode("utf-8", "surrogatepass").decode("latin-1").translate(letters))
                     words[word] = array("I", [t.id for t in model.tokenize(shown)]).tobytes()
                 else:
                     rest.append(part)
@@ -154,7 +157,7 @@ class Encoder:
             return self._whole(texts)
         heads, pieces = [], []
         for text in texts:
-            if self._RUNS.search(text):
+            if any(map(text.__contains__, self._PAIRS)) or text[:1] == " " if text.isascii() else self._RUNS.search(text):
                 # the first piece may begin with a space that belongs to no cut: it is learned alone
                 head, *rest = self._APART.split(text)
                 rest = [p[1:] for p in rest]
@@ -170,7 +173,7 @@ class Encoder:
         fresh = [f" {w}" for w in set().union(*pieces).difference(self.words)]
         fresh += [h for h in set(heads).difference(self.heads) if h and h[0] != " "]
         if fresh:
-            self._learn(sorted(fresh))
+            self._learn(fresh)
         odd = {h: ids for h in set(heads) if h[:1] in ("", " ") for ids in (self._whole([h])[0] if h else b"",)}
         return [
             b"".join([odd[h] if h in odd else self.heads[h], *map(self.words.__getitem__, p)])
