@@ -62,6 +62,20 @@ def _half_pair(raw: Column) -> Column:
     return F.when(escaped, raw.rlike(_HALF_PAIR)).otherwise(F.lit(False))
 
 
+# What a number outside the double range must have: a long exponent or very many digits.
+_LONG_NUMBER = r"[0-9][eE]\+?[0-9]{3}|[0-9]{200}"
+_NUMBER = r"[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"
+
+
+def _too_large(raw: Column) -> Column:
+    """True if a number of the line is outside the double range. The parser makes it infinite,
+    strict JSON readers refuse it. Few lines pass the first look, so few are searched."""
+    no_texts = F.regexp_replace(F.regexp_replace(raw, r"\\.", ""), r'"[^"]*"', '""')
+    numbers = F.regexp_extract_all(no_texts, F.lit(_NUMBER), F.lit(0))
+    infinite = F.exists(numbers, lambda n: n.cast("double") == F.lit(float("inf")))
+    return F.when(raw.rlike(_LONG_NUMBER), infinite).otherwise(F.lit(False))
+
+
 def parse_lines(df: DataFrame, raw: str = "raw", out: str = "v", trim: bool = False) -> DataFrame:
     """Add ``out``: the VARIANT of each line, NULL where the text is not exactly one JSON value.
 
@@ -77,6 +91,7 @@ def parse_lines(df: DataFrame, raw: str = "raw", out: str = "v", trim: bool = Fa
         & F.try_variant_get("_sealed", "$[2]", "variant").isNull()
         & F.is_valid_utf8(F.col(raw))
         & ~_half_pair(F.col(raw))
+        & ~_too_large(F.col(raw))
     )
     value = F.when(whole, F.try_variant_get("_sealed", "$[0]", "variant"))
     return computed_once(df.withColumn("_sealed", sealed), out, value).drop("_sealed")

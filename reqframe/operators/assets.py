@@ -78,11 +78,16 @@ def _with_uris(v: str, uris: str) -> Column:
 def inline_assets(lines: DataFrame, blobs: DataFrame) -> DataFrame:
     """Replace image references in ``v`` by data URIs from ``blobs`` (``path, bytes``).
 
-    A path that ``blobs`` lacks makes the line bad (column ``_bad``). Lines need ``file, line``
-    or ``line`` as their identity. Only the references travel to the blobs, and a much used
-    image is spread over many tasks; the lines are then joined once to their own URIs.
+    A path that ``blobs`` lacks makes the line bad (column ``_bad``); different images under one
+    path that is asked for stop the job. A line is told apart by ``seq``, so a file may be listed
+    twice; lines without it need ``line``. Only the references travel to the blobs, blobs that
+    nothing refers to are left out first, and a much used image is spread over many tasks; the
+    lines are then joined once to their own URIs.
     """
-    identity = [c for c in ("file", "line") if c in lines.columns]
+    number = next((c for c in ("seq", "line") if c in lines.columns), None)
+    if number is None:
+        raise ValueError("lines need a number (seq or line) to be told apart")
+    identity = [*(c for c in ("set_ord", "file") if c in lines.columns), number]
     found = computed_once(lines, "_refs", references("v"))
     refs = found.select(*identity, F.explode("_refs").alias("_r")).select(
         *identity,
@@ -90,7 +95,11 @@ def inline_assets(lines: DataFrame, blobs: DataFrame) -> DataFrame:
         local_path(F.col("_r.url")).alias("path"),
         F.xxhash64(*identity, "_r.m", "_r.p").alias("_ref_id"),
     )
-    stored = blobs.groupBy("path").agg(F.first("bytes").alias("bytes"))
+    asked = join_on(blobs.select("path", "bytes"), refs.select("path"), "path", "left_semi")
+    digest = F.sha2("bytes", 256)
+    stored = asked.groupBy("path").agg(F.first("bytes").alias("bytes"), (F.min(digest) < F.max(digest)).alias("_differ"))
+    clash = F.raise_error(F.concat(F.lit("different images under "), F.col("path")))
+    stored = stored.select("path", F.when(F.col("_differ"), clash).otherwise(F.col("bytes")).alias("bytes"))
     loaded = join_on(refs, stored, "path", "inner", row_id="_ref_id", right_unique=True)
     # Some sessions break base64 text into lines; a data URI has none.
     encoded = F.replace(F.base64("bytes"), F.lit("\r\n"), F.lit(""))

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reqframe.operators.prepare import append_lines, prepare, typed_value
+from reqframe.sources.lines import read_lines
 from tests.test_validate_stats import F1, req
 
 
@@ -129,3 +130,29 @@ def test_missing_asset(spark, lines):
 def test_many_settings_stay_one_pass(lines):
     df = prepare(lines(*F1), settings=[f"body.k{i}=1" for i in range(20)])
     assert df.select(F.col("raw")).count() == 3
+
+
+def _with_image(url):
+    part = {"type": "image_url", "image_url": {"url": url}}
+    return json.dumps(req("p", [part]))
+
+
+def test_images_of_a_file_listed_twice(spark, put_file):
+    path = put_file("i.jsonl", _with_image("a.png") + "\n" + _with_image("b.png") + "\n")
+    blobs = spark.createDataFrame([(p, bytearray(p.encode())) for p in ("a.png", "b.png", "c.png")], "path string, bytes binary")
+    rows = prepare(read_lines(spark, [path, path]), blobs=blobs).orderBy("seq").collect()
+    urls = [json.loads(r.raw)["body"]["messages"][0]["content"][0]["image_url"]["url"] for r in rows]
+    want = ["data:image/png;base64," + base64.b64encode(p).decode() for p in (b"a.png", b"b.png")]
+    assert urls == want * 2
+
+
+def test_two_images_under_one_path(spark, lines):
+    blobs = spark.createDataFrame([("a.png", bytearray(b"1")), ("a.png", bytearray(b"2")), ("u.png", bytearray(b"3")), ("u.png", bytearray(b"3"))], "path string, bytes binary")
+    assert prepare(lines(_with_image("u.png")), blobs=blobs).count() == 1
+    with pytest.raises(Exception, match="different images under a.png"):
+        prepare(lines(_with_image("a.png")), blobs=blobs).collect()
+
+
+def test_number_out_of_range_stops(lines):
+    with pytest.raises(Exception, match="invalid JSON"):
+        prepare(lines('{"body":{"x":1e400}}'), model="n").collect()

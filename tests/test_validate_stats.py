@@ -47,6 +47,9 @@ def test_valid_lines(lines):
         ('{"a":1} x', ["Invalid JSON"]),
         ('\xa0{"custom_id":1,"method":1,"url":1,"body":{"model":1}}\x0c', []),
         ("null", ["custom_id", "method", "url", "body"]),
+        ('{"custom_id":1,"method":1,"url":1,"body":{"model":"m","top":1e400}}', ["Invalid JSON"]),
+        ('{"custom_id":-1' + "0" * 400 + ',"method":1,"url":1,"body":{"model":1}}', ["Invalid JSON"]),
+        ('{"custom_id":1e300,"method":1e-400,"url":"1e400","body":{"model":"\\"1e999"}}', []),
     ],
 )
 def test_findings(lines, line, found):
