@@ -70,6 +70,7 @@ class Encoder:
     WORDS = 500_000
     _APART = re.compile(r"(?<=\S)(?= )")
     _RUNS = re.compile(r"(?:\A|\s) ")
+    _SHAPE = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]*)(\n?)([^\W\d_]*)([!-&(-/:-@\[-^`{-~]*)")
     _PAIRS = tuple(f"{chr(c)} " for c in range(128) if chr(c).isspace())  # the same within ASCII
 
     def __init__(self, definition: str):
@@ -99,57 +100,54 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    @staticmethod
-    def _parts(piece: str) -> list[str]:
-        """A piece cut where the pattern breaks for certain."""
-        lines = piece.split("\n")
-        if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in [lines[0].strip(" "), *lines[1:]]):
-            return [piece]
-        out = []
-        for k, line in enumerate(lines):
-            if k:
-                out.append("\n")
-            if len(line) > 2 and line[-1] in ".," and line[-2].isalpha():
-                out += [line[:-1], line[-1]]
-            else:
-                out.append(line)
-        return out
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Ids of new pieces; words of letters alone go straight to the model."""
-        model, letters, space = self.tokenizer.model, self.letters, self.letters[32]
-        cut, rest = [], []
-        for piece in pieces:
-            # letters behind the first character hold nothing to cut at
-            parts = (piece,) if piece[1:].isalpha() else self._parts(piece)
-            if len(parts) > 1:
-                cut.append((piece, parts))
-            for part in parts:
-                if part[:1] == " ":
-                    words, old, word, before = self.words, self.old, part[1:], space
-                else:
-                    words, old, word, before = self.heads, self.old_heads, part, ""
-                if word in words:
+    def _model(self, words: list[str], space: bool) -> Iterator[bytes]:
+        """Ids of words of letters alone, straight from the model, as the splitter would hand them over."""
+        mark = self.letters[32]
+        # one translation for all; a space stands between words and nowhere else
+        plain = " ".join(words)
+        if not plain.isascii():
+            plain = plain.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+            plain = plain.replace(mark, " ")
+        tokenize, before = self.tokenizer.model.tokenize, mark if space else ""
+        for shown in plain.split(" ") if words else ():
+            yield array("I", [t.id for t in tokenize(before + shown)]).tobytes()
+
+    def _learn(self, tails: set[str], heads: set[str]) -> None:
+        """Ids of new pieces: ``tails`` stand behind a space, ``heads`` do not.
+
+        A piece of letters, ASCII marks, a line end, letters and marks is cut there and its parts are
+        looked up or learned; other pieces go through the whole tokenizer.
+        """
+        for pieces, new, old in ((tails, self.words, self.old), (heads, self.heads, self.old_heads)):
+            known = pieces & old.keys()
+            new.update((k, old[k]) for k in known)
+            pieces -= known
+        letters = set(filter(str.isalpha, tails))
+        first = set(filter(str.isalpha, heads))
+        rest, cut, marks = [], [], {""}
+        for pieces, mine, before, store in ((tails - letters, letters, " ", self.words), (heads - first, first, "", self.heads)):
+            for piece, shape in zip(pieces, map(self._SHAPE.fullmatch, pieces), strict=True):
+                # some numerals count as letters in a Python pattern
+                if shape is None or not (shape[1] + shape[4]).isalpha():
+                    rest.append((store, piece, before + piece))
                     continue
-                if word in old:
-                    words[word] = old[word]
-                elif word.isalpha():
-                    # ASCII letters stand for themselves
-                    shown = before + (word if word.isascii() else word.encode("utf-8", "surrogatepass").decode("latin-1").translate(letters))
-                    words[word] = array("I", [t.id for t in model.tokenize(shown)]).tobytes()
-                else:
-                    rest.append(part)
-        rest = list(dict.fromkeys(rest))
-        for part, ids in zip(rest, self._whole(rest), strict=True):
-            self._keep(part, ids)
-        for piece, parts in cut:
-            self._keep(piece, b"".join(self.words[p[1:]] if p[:1] == " " else self.heads[p] for p in parts))
-
-    def _keep(self, part: str, ids: bytes) -> None:
-        if part[:1] == " ":
-            self.words[part[1:]] = ids
-        else:
-            self.heads[part] = ids
+                parts = shape.groups()
+                mine.add(parts[0])
+                marks.update((parts[1], parts[2], parts[4]))
+                if parts[3]:
+                    first.add(parts[3])
+                cut.append((store, piece, parts))
+        for words, new, old, space in ((letters, self.words, self.old, True), (first, self.heads, self.old_heads, False)):
+            for word in words & old.keys():
+                new.setdefault(word, old[word])
+            unseen = list(words.difference(new))
+            new.update(zip(unseen, self._model(unseen, space), strict=True))
+        rest += [(self.heads, m, m) for m in marks.difference(self.heads)]
+        for (store, piece, _), ids in zip(rest, self._whole([r[2] for r in rest]), strict=True):
+            store[piece] = ids
+        words, heads = self.words, self.heads
+        for store, piece, (a, b, c, d, e) in cut:
+            store[piece] = (words if store is words else heads)[a] + heads[b] + heads[c] + (heads[d] if d else b"") + heads[e]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian uint32."""
@@ -170,10 +168,10 @@ class Encoder:
                 old.clear()
                 old.update(new)
                 new.clear()
-        fresh = [f" {w}" for w in set().union(*pieces).difference(self.words)]
-        fresh += [h for h in set(heads).difference(self.heads) if h and h[0] != " "]
-        if fresh:
-            self._learn(fresh)
+        fresh = set().union(*pieces).difference(self.words)
+        fresh_heads = {h for h in set(heads).difference(self.heads) if h and h[0] != " "}
+        if fresh or fresh_heads:
+            self._learn(fresh, fresh_heads)
         odd = {h: ids for h in set(heads) if h[:1] in ("", " ") for ids in (self._whole([h])[0] if h else b"",)}
         return [
             b"".join([odd[h] if h in odd else self.heads[h], *map(self.words.__getitem__, p)])

@@ -210,7 +210,7 @@ def test_blocks_decode_from_their_checkpoints():
 def test_word_cache_equals_whole_texts():
     definition = tokenizer_definition()
     encoder, rng = token_files.Encoder(definition), random.Random(2)
-    bits = ["a", "The", " ", "  ", "\n", "é", "!!", "...", "'s", "12", "\t", "x", "\x1c", "\x85", "日本", "\r\n", "<|endoftext|>", " \n", "are.", "b,", "²", "ïve."]
+    bits = ["a", "The", " ", "  ", "\n", "é", "!!", "...", "'s", "12", "\t", "x", "\x1c", "\x85", "日本", "\r\n", "<|endoftext|>", " \n", "are.", "b,", "²", "ïve.", "foo.\nBar,", "Ⅷ", "\u0301", "_", "a.b", "it's"]
     for _ in range(3000):
         text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 12)))
         assert encoder.encode([text])[0] == encoder._whole([text])[0]
