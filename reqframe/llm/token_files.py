@@ -20,6 +20,7 @@ decoding starts at every checkpoint at the same time.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import zlib
@@ -71,7 +72,8 @@ class Encoder:
     _APART = re.compile(r"(?<=\S)(?= )")
     _RUNS = re.compile(r"(?:\A|\s) ")
     _SHAPE = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]*)(\n?)([^\W\d_]*)([!-&(-/:-@\[-^`{-~]*)")
-    _PAIRS = tuple(f"{chr(c)} " for c in range(128) if chr(c).isspace())  # the same within ASCII
+    _PAIRS = tuple(f"{chr(c)} " for c in range(128) if chr(c).isspace())  # the same without wide spaces
+    _WIDE = tuple(chr(c) for c in range(128, 0x3001) if chr(c).isspace())
 
     def __init__(self, definition: str):
         import tokenizers
@@ -154,8 +156,9 @@ class Encoder:
         if not self.by_word:
             return self._whole(texts)
         heads, pieces = [], []
+        wide = any(map("".join(texts).__contains__, self._WIDE))
         for text in texts:
-            if any(map(text.__contains__, self._PAIRS)) or text[:1] == " " if text.isascii() else self._RUNS.search(text):
+            if self._RUNS.search(text) if wide else text[:1] == " " or any(map(text.__contains__, self._PAIRS)):
                 # the first piece may begin with a space that belongs to no cut: it is learned alone
                 head, *rest = self._APART.split(text)
                 rest = [p[1:] for p in rest]
@@ -182,6 +185,16 @@ class Encoder:
 def _tokenized(definition, end: int):
     def run(batches):
         encoder = Encoder(definition.value)
+        # words are millions of objects without cycles, which the collector would visit over and over
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            yield from tokenize(batches, encoder)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def tokenize(batches, encoder):
         squeeze = zstandard.ZstdCompressor(level=1)
         tail = np.array([end], "<u4").tobytes()
         for batch in batches:
@@ -412,8 +425,11 @@ def write_tokens(documents: DataFrame, definition: str, end: int = END) -> tuple
     def count(batches):
         total, opener = np.zeros(0, np.int64), zstandard.ZstdDecompressor()
         for batch in batches:
-            for n, packed in zip(batch.column("n_tokens").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                got = np.bincount(_ids(packed, n, opener), minlength=len(total))
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sizes, packed = part.column("n_tokens").to_pylist(), part.column("ids").to_pylist()
+                ids = np.concatenate([_ids(x, n, opener) for n, x in zip(sizes, packed, strict=True)])
+                got = np.bincount(ids, minlength=len(total))
                 got[: len(total)] += total
                 total = got
         used = np.flatnonzero(total)
