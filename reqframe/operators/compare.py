@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from reqframe.functions.results import canonical, extract, with_content
 from reqframe.operators.joins import join_on, looked_at
 
 SIDES = ("a", "b")
+# The 64-bit words of a content's digest.
+DIGEST = range(4)
 
 
 def _place(lines: DataFrame, position: str | None) -> Column:
@@ -20,13 +24,19 @@ def _place(lines: DataFrame, position: str | None) -> Column:
 
 
 def _keyed(lines: DataFrame, side: str, position: str | None, nested_only: bool) -> DataFrame:
-    """What the shuffle needs of a line: its id, position and the digest of its content."""
+    """What the shuffle needs of a line: its id, position and the digest of its content.
+
+    The digest's 256 bits are carried as four BIGINTs: with buffers of fixed width the aggregation
+    hashes, where a binary buffer would make it sort.
+    """
+    digest = F.sha2("content", 256)
+    words = [F.conv(F.substring(digest, 16 * i + 1, 16), 16, -10).cast("bigint") for i in DIGEST]
     return with_content(lines, nested_only=nested_only).select(
         F.lit(side).alias("side"),
         "custom_id",
         F.col("v").isNull().alias("bad"),
         _place(lines, position).alias("at"),
-        F.unhex(F.sha2("content", 256)).alias("digest"),
+        *[word.alias(f"digest_{i}") for i, word in zip(DIGEST, words, strict=True)],
     )
 
 
@@ -40,9 +50,9 @@ def _per_id(a: DataFrame, b: DataFrame, position: str | None, nested_only: bool)
     columns = []
     for side in SIDES:
         mine = F.col("side") == side
-        last = F.max_by("digest", F.when(mine, F.col("at")))
+        at = F.when(mine, F.col("at"))
         columns += [
-            last.alias(f"digest_{side}"),
+            *[F.max_by(f"digest_{i}", at).alias(f"digest_{side}_{i}") for i in DIGEST],
             F.count_if(mine).alias(f"rows_{side}"),
             F.count_if(mine & F.col("bad")).alias(f"bad_{side}"),
         ]
@@ -50,10 +60,11 @@ def _per_id(a: DataFrame, b: DataFrame, position: str | None, nested_only: bool)
 
 
 def _status() -> Column:
+    same = reduce(and_, [F.col(f"digest_a_{i}") == F.col(f"digest_b_{i}") for i in DIGEST])
     return (
         F.when(F.col("rows_b") == 0, "only_in_a")
         .when(F.col("rows_a") == 0, "only_in_b")
-        .when(F.col("digest_a") == F.col("digest_b"), "identical")
+        .when(same, "identical")
         .otherwise("different")
     )
 

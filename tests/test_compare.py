@@ -135,7 +135,6 @@ def test_match_and_retry(lines):
 @pytest.mark.parametrize("unique", [True, False])
 def test_spread_join_equals_plain_join(spark, monkeypatch, how, unique):
     monkeypatch.setattr(joins, "broadcast_limit", lambda _: -1)
-    monkeypatch.setattr(joins, "LOOK_FROM_BYTES", 0)
     monkeypatch.setattr(joins, "LOOK_SHARE", 1.0)
     left_key = F.expr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL WHEN id % 5 = 0 THEN 'hot2' ELSE concat('k', id) END")
     left = spark.range(3000).select(F.col("id").alias("l"), left_key.alias("key"))
@@ -149,3 +148,29 @@ def test_spread_join_equals_plain_join(spark, monkeypatch, how, unique):
     assert ours.columns == plain.columns
     assert ours.exceptAll(plain).count() == 0 and plain.exceptAll(ours).count() == 0
     assert ours.count() == plain.count()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_generated_side_is_measured_before_it_is_broadcast(spark, monkeypatch):
+    """Catalyst takes built texts and generated rows for small; the join goes by their bytes."""
+    left = spark.range(1000).withColumnRenamed("id", "key")
+    tall = spark.range(200).select(F.explode(F.sequence(F.lit(0), F.lit(4))).alias("n"), (F.col("id") * 5 + F.col("n")).alias("key"))
+    right = tall.select("key", F.repeat(F.lit("x"), 20_000).alias("text"))
+    assert joins.plan_bytes(right) <= joins.broadcast_limit(spark) < joins.measured_bytes(right)
+    joined = join_on(left, right, "key", right_unique=True)
+    assert "BroadcastHashJoin" not in plan_of(joined) and joined.count() == 1000
+    assert "BroadcastHashJoin" in plan_of(join_on(left, tall, "key"))
+
+
+def test_slices_follow_the_share():
+    assert joins._slices({"a": 0.5, "b": 0.01}, {}, 1000) == {"a": 500, "b": 10}
+    assert joins._slices({"a": 0.4}, {"a": 0.4}, 1000) == {"a": 20}
+
+
+def test_diff_aggregates_by_hash(spark, lines):
+    a, b = lines(res_a("x", "same"), res_a("y", "one")), lines(res_a("x", "same"), res_a("y", "two"))
+    assert "SortAggregate" not in plan_of(diff_detail(a, b))
+    assert sorted(map(tuple, diff_detail(a, b).collect())) == [("x", "identical"), ("y", "different")]
