@@ -147,7 +147,18 @@ def _estimate(window: str) -> str:
             FROM per_model m LEFT JOIN prices p ON p.model = m.model AND completion_window = '{window}')"""
 
 
+def _in_order(model: str) -> str:
+    return f"""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS seq, {_DOC} AS custom_id, {model} AS model FROM documents"""
+
+
 ORACLES: dict[str, str] = {
+    "scan_directory": _in_order("'m-' || lang"),
+    "split_then_merge": _in_order("'m-' || lang"),
+    "prepare_folder": _in_order("'m-new'"),
+    "read_id_list": """SELECT 0::BIGINT AS ordinal, 'first' AS id UNION ALL SELECT 1, 'second'
+        UNION ALL SELECT row_number() OVER (ORDER BY doc_id) + 1, 'doc-' || doc_id FROM documents""",
+    "report_json": f"""SELECT entries_a, entries_b, common, identical AS identical_responses, different AS different_responses,
+        only_in_a, only_in_b FROM (WITH {_A}, {_B}, {_LAST} {_DIFF_COUNTS})""",
     "build_requests": _chat(more=f", 'POST' AS method, {_CHAT} AS url, 'user' AS role"),
     "build_numbered": "SELECT printf('request-%04d', row_number() OVER (ORDER BY doc_id) - 1) AS custom_id, doc_id FROM documents",
     "build_chat": """SELECT 'turn-' || conv_id || '-' || turn AS custom_id, 'Speak as the ' || role AS system,

@@ -15,7 +15,7 @@ from reqframe.sources.lines import index_lines, scan_lines
 def read_ids(
     spark: SparkSession, ids: Sequence[str] = (), from_file: str | None = None
 ) -> DataFrame:
-    """``(ordinal, id)``: arguments first, then the file's non-blank lines, trimmed.
+    """``(ordinal, id)``: arguments first, then the non-blank lines of the file or folder, trimmed.
 
     Order and repeats are kept. No id at all is an error.
     """
@@ -25,7 +25,7 @@ def read_ids(
             raise ValueError("no ids: pass ids or a file of them")
         return given
     lines = index_lines(scan_lines(spark, from_file)).select(
-        (F.col("pos") + len(ids)).alias("ordinal"),
+        (F.col("seq") + len(ids)).alias("ordinal"),
         F.btrim("raw", F.lit(WHITE_SPACE)).alias("id"),
     )
     if not ids and lines.isEmpty():

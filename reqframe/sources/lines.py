@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from urllib.parse import unquote, urlsplit
 
@@ -38,34 +39,47 @@ def _parent(uri: str) -> str:
     return unquote(urlsplit(uri).path).rsplit("/", 1)[0]
 
 
+def _as_named(path: str) -> str:
+    """The path as a pattern that means itself."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def _written_by_name(uri: str, root: str) -> bool:
+    """Whether a file lies in a folder that a sink made for one file or chunk."""
+    above, _, name = _parent(uri).rpartition("/")
+    return above == root and name.startswith(("file=", "chunk_name="))
+
+
 def scan_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Raw lines of one file, of a directory's ``*.jsonl`` children, or of several files.
 
-    A directory that the line sinks wrote is read by its ``part-*.txt`` children, in their order.
+    A directory that a line sink wrote is read by its ``part-*.txt`` children, in their order; one
+    written by file or chunk, by the parts of its ``file=`` or ``chunk_name=`` folders. Characters
+    that a pattern would give a meaning (``[``, ``*``) are part of the names.
 
     Columns: ``file``, ``block`` (byte offset of the scan split) and ``raw``. Lines end at
     ``\\n``; one trailing ``\\r`` is dropped.
     """
     reader = spark.read.option("lineSep", "\n")
-    if isinstance(path, str):
-        if is_dir(spark, path):
-            # Without this, sub-folders named like partitions would add columns.
-            reader = reader.option("pathGlobFilter", "{*.jsonl,part-*.txt}").option("recursiveFileLookup", True)
-        paths = [path]
-    else:
-        paths = list(dict.fromkeys(path))
-        if any([is_dir(spark, p) for p in paths]):
-            raise IsADirectoryError("a list of paths must name files")
-    text = reader.text(paths)
-    if not text.inputFiles():
+    folder = isinstance(path, str) and is_dir(spark, path)
+    if folder:
+        # Without this, sub-folders named like partitions would add columns.
+        reader = reader.option("pathGlobFilter", "{*.jsonl,part-*.txt}").option("recursiveFileLookup", True)
+    paths = [path] if isinstance(path, str) else list(dict.fromkeys(path))
+    if not isinstance(path, str) and any([is_dir(spark, p) for p in paths]):
+        raise IsADirectoryError("a list of paths must name files")
+    text = reader.text([_as_named(p) for p in paths])
+    found = text.inputFiles()
+    if folder:
+        root = _path_of(spark, path)
+        chosen = [f for f in found if _parent(f) == root]
+        if not chosen:
+            chosen = [f for f in found if _written_by_name(f, root)]
+        if chosen and len(chosen) < len(found):
+            text = spark.read.option("lineSep", "\n").text([_as_named(unquote(f)) for f in chosen])
+        found = chosen
+    if not found:
         raise ValueError(f"no .jsonl files found in {path}")
-    if isinstance(path, str) and is_dir(spark, path):
-        # Only direct children count.
-        direct = [f for f in text.inputFiles() if _parent(f) == _path_of(spark, path)]
-        if not direct:
-            raise ValueError(f"no .jsonl files found in {path}")
-        if len(direct) < len(text.inputFiles()):
-            text = spark.read.option("lineSep", "\n").text([unquote(f) for f in direct])
     return text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -99,7 +113,7 @@ def _split_count(scan: DataFrame) -> int:
 def _given_order(scan: DataFrame, paths: Sequence[str]) -> DataFrame:
     """``(file, file_ord)`` in argument order; a path given twice appears twice."""
     spark = scan.sparkSession
-    name = {p: _input_files(spark.read.text(p))[0] for p in dict.fromkeys(paths)}
+    name = {p: _input_files(spark.read.text(_as_named(p)))[0] for p in dict.fromkeys(paths)}
     rows = [(name[p], i) for i, p in enumerate(paths)]
     return literal_rows(spark, rows, "file string, file_ord int")
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reqframe.functions.jsonlines import has, is_blank, parse_lines, text_at, trimmed
+from reqframe.operators.prepare import prepare_directory
 from reqframe.sources.ids import read_ids
 from reqframe.sources.lines import file_list, index_lines, read_lines, scan_lines
 
@@ -101,3 +102,20 @@ def test_id_list(spark, put_file):
         read_ids(spark)
     with pytest.raises(ValueError):
         read_ids(spark, [], put_file("no.txt", "\n \n"))
+
+
+def test_names_are_no_patterns(spark, put_file, tmp_path):
+    one = put_file("set [1]/x[1].jsonl", "1\n2\n")
+    put_file("set [1]/a{b}*.jsonl", "3\n")
+    put_file("set [1]/sub/y.jsonl", "4\n")
+    assert [r.raw for r in read_lines(spark, one).orderBy("seq").collect()] == ["1", "2"]
+    assert [r.raw for r in read_lines(spark, [one, one]).orderBy("seq").collect()] == ["1", "2", "1", "2"]
+    assert [r.raw for r in read_lines(spark, str(tmp_path / "set [1]")).orderBy("seq").collect()] == ["3", "1", "2"]
+
+
+def test_rewritten_folder_is_a_source(spark, put_file, tmp_path):
+    for name in ("a b.jsonl", "c[2].jsonl"):
+        put_file(f"in/{name}", '{"custom_id":"%s","body":{}}\n' % name)
+    prepare_directory(spark, str(tmp_path / "in"), str(tmp_path / "out"), model="m")
+    rows = parse_lines(read_lines(spark, str(tmp_path / "out"))).orderBy("seq")
+    assert [r[0] for r in rows.select(text_at("v", "custom_id")).collect()] == ["a b.jsonl", "c[2].jsonl"]
