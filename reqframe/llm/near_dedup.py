@@ -6,10 +6,16 @@ hashes, so a confirmed link is exact up to hash collisions.
 
 * Sketch: the hash range is cut into ``BINS`` buckets. A register keeps the bucket's smallest hash
   as a count of leading zeros (6 bits) and the ``MANTISSA`` bits behind them: 2 bytes a bucket.
-* Equal sets are one node, named by its smallest doc_id, before anything is compared.
-* Banding: ``BANDS`` bands of ``ROWS`` registers. Empty buckets borrow the register of a hashed
-  non-empty bucket, so short texts band as well as long ones. At a similarity of 0.75 a link is
-  missed with probability (1 - 0.75**6)**42 = 2.6e-4, at 0.8 with 3e-6.
+* Equal sets are one node, named by a hash of the set, before anything is compared. A group is named
+  by its smallest doc_id.
+* Sets under ``SMALL`` shingles lose no link. Sets up to ``SMALL / similarity`` (the largest that can link
+  with one of them) share a bucket for each of their n - ceil(similarity * n) + 1 rarest shingles: two
+  sets that are similar enough have one of these in common. Rarity is the count of the at most ``HOT``
+  commonest shingles, then the hash; any one order will do. Such pairs skip the estimate: registers
+  differ in at most as many buckets as the sets differ in shingles.
+* Banding of the others: ``BANDS`` bands of ``ROWS`` registers; empty buckets borrow the register of a
+  hashed non-empty bucket. With independent bands a link at 0.75 is missed with probability
+  (1 - 0.75**6)**42 = 2.6e-4, at 0.8 with 3e-6; borrowed registers make it more (see the README).
 * Estimate: equal registers less the expected accidental collisions, over the buckets in use. A pair
   is let through if a similarity of 0.75 lies within four standard errors.
 * Confirmation on full sets of the two texts.
@@ -38,6 +44,8 @@ ROWS = 6
 BANDS = 42
 EMPTY = 0xFFFF
 BLOCK = 512
+SMALL = 64
+HOT = 65_536
 
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
@@ -102,13 +110,37 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
         ok = lent != EMPTY
         full[row[ok], col[ok]] = lent[ok].astype(np.uint64) + (source[ok].astype(np.uint64) << np.uint64(16))
         row, col = row[~ok], col[~ok]
-    if len(row):  # a handful of registers: take the first one in use
-        used = (regs != EMPTY).argmax(axis=1)[row]
-        full[row, col] = regs[row, used].astype(np.uint64) + (used.astype(np.uint64) << np.uint64(16))
+    for step in range(1, BINS):  # what is left looks at every bucket in turn
+        if not len(row):
+            break
+        source = (col + step) % BINS
+        lent = regs[row, source]
+        ok = lent != EMPTY
+        full[row[ok], col[ok]] = lent[ok].astype(np.uint64) + (source[ok].astype(np.uint64) << np.uint64(16))
+        row, col = row[~ok], col[~ok]
     cells = mix(full[:, : ROWS * BANDS] + _ROW_SALT[: ROWS * BANDS]).reshape(-1, BANDS, ROWS)
     return mix(cells.sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
+def most_small(percent: int) -> int:
+    """The largest set that can link with one under ``SMALL`` shingles."""
+    return (SMALL - 1) * 100 // percent
+
+
+def prefix(hashes: np.ndarray, percent: int, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The rarest shingles of a sorted set, one of which every similar enough set has among its own.
+
+    ``hot``: sorted hashes of the commonest shingles and their counts.
+    """
+    known, counts = hot
+    rank = np.zeros(len(hashes), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        rank = np.where(known[at] == hashes, counts[at], 0)
+    n = len(hashes)
+    return hashes[np.argsort(rank, kind="stable")[: n - -(-percent * n // 100) + 1]]
+
+
 _LEVELS = 2.0 ** -np.arange(56)
 
 
@@ -124,52 +156,100 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return np.clip((equal - chance * count) / np.maximum(count, 1), 0, 1), count
 
 
-def _sketch(batches):
-    hashes = WordHashes()
-    for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            part = batch.slice(at, 512)
-            rows = [shingles(x, hashes) for x in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    pa.array([len(x) for x in rows], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in rows], pa.binary()),
-                    pa.array([registers(x).tobytes() if len(x) else None for x in rows], pa.binary()),
-                ],
-                names=["doc_id", "n_shingles", "set_key", "regs"],
-            )
-
-
-def _bands(batches):
+def _sketch(most: int):
+    """Registers of every text; sets of at most ``most`` shingles also whole."""
+
+    def run(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                rows = [shingles(x, hashes) for x in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        pa.array([len(x) for x in rows], pa.int64()),
+                        pa.array([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in rows], pa.binary()),
+                        pa.array([registers(x).tobytes() if len(x) else None for x in rows], pa.binary()),
+                        pa.array([x.tobytes() if 0 < len(x) <= most else None for x in rows], pa.binary()),
+                    ],
+                    names=["doc_id", "n_shingles", "set_key", "regs", "small"],
+                )
+
+    return run
+
+
+def _set_of(small: bytes) -> np.ndarray:
+    return np.frombuffer(small, np.uint64)
+
+
+def _all_shingles(batches):
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        for at in range(0, batch.num_rows, 1024):
-            part = batch.slice(at, 1024)
-            keys = band_keys(_registers_of(part, "regs")).reshape(-1)
-            node = np.repeat(part.column("node").to_numpy(zero_copy_only=False), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(node)], names=["band", "node"])
+        if batch.num_rows:
+            yield pa.RecordBatch.from_arrays([pa.array(_set_of(b"".join(batch.column("small").to_pylist())).view(np.int64))], names=["shingle"])
+
+
+def _commonest(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``HOT`` shingles of small sets and their counts, as many powers of two down as there is room for."""
+    shingle = nodes.where("small is not null").select("small").mapInArrow(_all_shingles, "shingle long")
+    counts = saved(shingle.groupBy("shingle").count().where("count > 4"), "shingles")
+    # one row for each power of two
+    levels = dict(counts.groupBy(F.length(F.bin("count")).alias("level")).count().collect())
+    least, total = 64, 0
+    for level in sorted(levels, reverse=True):
+        if (total := total + levels[level]) > HOT:
+            break
+        least = level
+    got = counts.where(F.length(F.bin("count")) >= least).toArrow()
+    known, count = got.column("shingle").to_numpy().view(np.uint64), got.column("count").to_numpy()
+    order = np.argsort(known)
+    return known[order], count[order]
+
+
+def _bands(percent: int, hot):
+    """Buckets of each node: its rarest shingles if its set is small, bands if it is not."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                node, n = (part.column(k).to_numpy(zero_copy_only=False) for k in ("node", "n"))
+                rare = [prefix(_set_of(x), percent, hot.value).view(np.int64) if x is not None else np.empty(0, np.int64) for x in part.column("small").to_pylist()]
+                large = np.flatnonzero(n >= SMALL)
+                keys = band_keys(_registers_of(part, "regs")[large]).reshape(-1)
+                keys = np.concatenate([keys, *rare])
+                owner = np.concatenate([np.repeat(node[large], BANDS), np.repeat(node, [len(x) for x in rare])])
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(owner)], names=["band", "node"])
+
+    return run
 
 
 def _passes(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similarity: float) -> np.ndarray:
     """Whether ``similarity`` lies within four standard errors of the estimate, and sizes allow it.
 
     Buckets in use draw one shingle each from the union without replacement, so the error shrinks as
-    the number of buckets in use comes near the size of the union.
+    the number of buckets in use comes near the size of the union. Small sets are not estimated but
+    bounded, so that no similar pair fails.
     """
     value, count = estimate(a, b, n_a, n_b)
     count = np.maximum(count, 1)
     union = np.maximum((n_a + n_b) / (1 + similarity), 2)
     left = np.clip((union - count) / (union - 1), 0.05, 1)
     slack = 4 * np.sqrt(similarity * (1 - similarity) / count * left) + 2 / count
-    return (value >= similarity - slack) & (np.minimum(n_a, n_b) >= similarity * np.maximum(n_a, n_b))
+    small = np.maximum(n_a, n_b) <= most_small(round(similarity * 100))
+    # a bucket that differs holds a shingle of one set alone
+    apart = (a != b).sum(axis=1)
+    close = np.where(small, apart * (1 + similarity) <= (n_a + n_b) * (1 - similarity) + 1e-9, value >= similarity - slack)
+    return close & (np.minimum(n_a, n_b) >= similarity * np.maximum(n_a, n_b) - 1e-9)
 
 
 def _registers_of(batch, name: str) -> np.ndarray:
     return np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint16).reshape(-1, BINS)
 
 
+PAIR = ["a", "b", "key_a", "key_b", "id_a", "id_b"]
+
+
 def _estimated(similarity: float):
     def run(batches):
         for batch in batches:
@@ -177,40 +257,46 @@ def _estimated(similarity: float):
                 continue
             sizes = [batch.column(k).to_numpy(zero_copy_only=False).astype(float) for k in ("n_a", "n_b")]
             keep = pa.array(_passes(_registers_of(batch, "regs_a"), _registers_of(batch, "regs_b"), *sizes, similarity))
-            yield batch.select(["a", "b", "key_a", "key_b"]).filter(keep)
+            yield batch.select(PAIR).filter(keep)
 
     return run
 
 
-def _across(similarity: float):
+def _across(similarity: float, hot):
     """Pairs of different components in one group ``(band, low, high)``; rows come group by group."""
+    percent = round(similarity * 100)
 
     def pairs(group: pa.Table):
         side = group.column("side").to_numpy()
         node, part, n = (group.column(k).to_numpy() for k in ("node", "part", "n"))
-        key, regs = group.column("set_key").to_pylist(), _registers_of(group, "regs")
+        key, regs, doc = group.column("set_key").to_pylist(), _registers_of(group, "regs"), group.column("doc_id").to_pylist()
         same = group.column("low")[0].as_py() == group.column("high")[0].as_py()
         left = np.arange(len(node)) if same else np.flatnonzero(side == 0)
         right = left if same else np.flatnonzero(side == 1)
         found = []
-        bands = band_keys(regs)
         here = group.column("band")[0].as_py()
+        bands = band_keys(regs)
+        if rare := not (bands[0] == here).any():  # a shingle of small sets
+            sets = group.column("small").to_pylist()
+            below = [set() if x is None else {y for y in prefix(_set_of(x), percent, hot.value).view(np.int64).tolist() if y < here} for x in sets]
         order = (bands == here).argmax(axis=1)  # which of its bands this is
         for i in left.tolist():
             j = right[(part[right] != part[i]) & ((right > i) | (not same))]
             for at in range(0, len(j), BLOCK):
                 k = j[at : at + BLOCK]
                 # a pair that shares several bands is left to the first of them
-                k = k[(bands[k] == bands[i]).argmax(axis=1) == order[i]]
+                if not rare:
+                    k = k[(bands[k] == bands[i]).argmax(axis=1) == order[i]]
                 if len(k):
                     one = np.broadcast_to(regs[i], (len(k), BINS))
                     ok = _passes(one, regs[k], np.full(len(k), n[i], float), n[k].astype(float), similarity)
-                    found += [(i, x) for x in k[ok].tolist()]
+                    found += [(i, x) for x in k[ok].tolist() if not rare or below[i].isdisjoint(below[x])]
         ordered = [(i, j) if node[i] < node[j] else (j, i) for i, j in found]
         return pa.RecordBatch.from_arrays(
             [pa.array([int(node[i]) for i, _ in ordered], pa.int64()), pa.array([int(node[j]) for _, j in ordered], pa.int64()),
-             pa.array([key[i] for i, _ in ordered], pa.binary()), pa.array([key[j] for _, j in ordered], pa.binary())],
-            names=["a", "b", "key_a", "key_b"],
+             pa.array([key[i] for i, _ in ordered], pa.binary()), pa.array([key[j] for _, j in ordered], pa.binary()),
+             pa.array([doc[i] for i, _ in ordered], pa.int64()), pa.array([doc[j] for _, j in ordered], pa.int64())],
+            names=PAIR,
         )
 
     def run(batches):
@@ -244,7 +330,7 @@ def _confirmed(similarity: float):
             if (got := kept.get((node, key))) is None:
                 got = shingles(text, hashes)
                 if xxhash.xxh3_128_digest(got.tobytes()) != key:  # another text under the same id
-                    got = np.empty(0, np.uint64)
+                    return np.empty(0, np.uint64)
                 if len(kept) >= 64:
                     kept.clear()
                 kept[node, key] = got
@@ -272,17 +358,25 @@ def near_groups(documents: DataFrame, similarity: float = 0.75) -> DataFrame:
     one id with different texts are grouped each by its own text. An empty table gives no rows.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = saved(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, set_key binary, regs binary"), "sketch")
+    percent = round(similarity * 100)
+    sketch = saved(
+        docs.mapInArrow(_sketch(most_small(percent)), "doc_id long, n_shingles long, set_key binary, regs binary, small binary"), "sketch"
+    )
     ids = sketch.where("doc_id is not null and n_shingles > 0")
-    sets = saved(ids.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n")), "sets")
+    sets = ids.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"))
+    sets = saved(sets.withColumn("node", F.xxhash64("set_key")), "sets")
     nodes = saved(
         sets.alias("s")
-        .join(ids.select("doc_id", F.col("set_key").alias("own_key"), "regs"), (F.col("node") == F.col("doc_id")) & (F.col("set_key") == F.col("own_key")))
+        .join(
+            ids.select("doc_id", F.col("set_key").alias("own_key"), "regs", "small"),
+            (F.col("first_id") == F.col("doc_id")) & (F.col("set_key") == F.col("own_key")),
+        )
         .dropDuplicates(["node", "set_key"])
-        .select("node", "set_key", "n", "regs"),
+        .select("node", "doc_id", "set_key", "n", "regs", "small"),
         "nodes",
     )
-    bands = nodes.select("node", "regs").mapInArrow(_bands, "band long, node long")
+    hot = documents.sparkSession.sparkContext.broadcast(_commonest(nodes))
+    bands = nodes.select("node", "n", "regs", "small").mapInArrow(_bands(percent, hot), "band long, node long")
     heads = bands.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last")
     members = saved(
         bands.join(heads.select(F.col("band").alias("key"), "head"), F.col("band") == F.col("key")).select("band", "node", "head"),
@@ -290,18 +384,18 @@ def near_groups(documents: DataFrame, similarity: float = 0.75) -> DataFrame:
     )
 
     side = {
-        k: nodes.select(F.col("node").alias(k), F.col("set_key").alias(f"key_{k}"), F.col("n").alias(f"n_{k}"), F.col("regs").alias(f"regs_{k}"))
+        k: nodes.select(F.col("node").alias(k), F.col("doc_id").alias(f"id_{k}"), F.col("set_key").alias(f"key_{k}"), F.col("n").alias(f"n_{k}"), F.col("regs").alias(f"regs_{k}"))
         for k in "ab"
     }
-    pair = "a long, b long, key_a binary, key_b binary"
+    pair = "a long, b long, key_a binary, key_b binary, id_a long, id_b long"
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Links among saved pairs, by the full sets of their texts."""
-        wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+        wanted = pairs.select(F.col("id_a").alias("doc_id")).union(pairs.select("id_b")).distinct()
         texts = docs.join(checked(wanted), "doc_id")
         return (
-            pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+            pairs.join(texts.select(F.col("doc_id").alias("id_b"), F.col("text").alias("text_b")), "id_b")
+            .join(texts.select(F.col("doc_id").alias("id_a"), F.col("text").alias("text_a")), "id_a")
             .select("a", "b", "key_a", "key_b", "text_a", "text_b")
             .mapInArrow(_confirmed(similarity), "a long, b long")
         )
@@ -310,7 +404,7 @@ def near_groups(documents: DataFrame, similarity: float = 0.75) -> DataFrame:
     shared = members.where("head < node").groupBy("node", "head").count()
     nearest = shared.groupBy("node").agg(F.max(F.struct("count", -F.col("head"))).alias("x"))
     nearest = nearest.select((-F.col("x").getField("col2")).alias("a"), F.col("node").alias("b"))
-    held = nearest.join(side["b"], "b").join(side["a"], "a").select("a", "b", "key_a", "key_b", "n_a", "n_b", "regs_a", "regs_b")
+    held = nearest.join(side["b"], "b").join(side["a"], "a").select(*PAIR, "n_a", "n_b", "regs_a", "regs_b")
     links = saved(confirmed(saved(held.mapInArrow(_estimated(similarity), pair), "stars")), "confirmed")
     label = components(links)
 
@@ -328,10 +422,12 @@ def near_groups(documents: DataFrame, similarity: float = 0.75) -> DataFrame:
         "part",
     ).join(nodes, "node")
     dealt = dealt.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
-    more = saved(dealt.mapInArrow(_across(similarity), pair).distinct(), "across")
+    more = saved(dealt.mapInArrow(_across(similarity, hot), pair).distinct(), "across")
     label = components(links.unionByName(confirmed(more)))
 
-    group = sets.join(label, "node", "left").select(F.col("set_key").alias("key"), F.coalesce("component", "node").alias("component_id"))
+    group = sets.join(label, "node", "left").select(F.col("set_key").alias("key"), "first_id", F.coalesce("component", "node").alias("part"))
+    named = group.groupBy(F.col("part").alias("of")).agg(F.min("first_id").alias("component_id"))
+    group = group.join(named, F.col("part") == F.col("of")).select("key", "component_id")
     linked = ids.join(group, F.col("set_key") == F.col("key"), "left").select("doc_id", "n_shingles", "component_id")
     alone = sketch.where("doc_id is null or n_shingles = 0").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id")

@@ -85,6 +85,42 @@ def test_near_groups_with_bands_that_must_be_searched(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == jaccard_groups(rows)
 
 
+def test_no_link_of_short_texts_is_lost(spark):
+    """Pairs at a similarity of exactly 0.75 or just above, each pair with words of its own."""
+    rows = []
+    for k in range(1500):
+        n = (7, 8, 9, 11, 30, 67)[k % 6]  # words; the partner has so many more that 75 percent still holds
+        words = [f"p{k}w{i}" for i in range(n)]
+        more = max(1, (n - 4) // 3)
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words, *(f"p{k}x{i}" for i in range(more))]))]
+    want = {}
+    for (a, x), (b, y) in zip(rows[::2], rows[1::2], strict=True):
+        m, n = len(x.split()) - 4, len(y.split()) - 4
+        want |= {a: a, b: a if 100 * m >= 75 * n else b}
+    got = near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(want[d] != d for d in want) > 1000
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_short_texts_that_share_buckets_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    rng, rows = random.Random(8), []
+    for d in range(90):
+        words = [f"t{i}" for i in range(40)][: rng.randint(9, 40)]
+        for _ in range(rng.randint(0, 2)):
+            words[rng.randrange(len(words))] = f"r{rng.random()}"
+        rows.append((d, " ".join(words)))
+    got = near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == jaccard_groups(rows)
+
+
+def test_texts_of_one_id_are_grouped_each_by_its_own(spark):
+    one, other = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows = [(1, one), (2, one + " more"), (2, other), (3, other + " end")]
+    got = near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (2, 1), (2, 2), (3, 2)]
+
+
 def test_near_groups_of_odd_rows(odd):
     got = rows_of(near_dedup.near_groups(odd).select("doc_id", "component_id", "kept", "n_shingles"))
     assert [r[:3] for r in got] == [
