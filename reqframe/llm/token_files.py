@@ -64,8 +64,8 @@ class Encoder:
 
     A byte-level BPE splits text by a pattern that always breaks before a space after a character that
     is no white space, around a single line end, and between a letter and a mark. For those, each word
-    is tokenized once and kept, up to ``2 * WORDS`` of them; other tokenizers get texts whole. Strings of
-    special tokens in a text are ordinary text.
+    is tokenized once and kept, up to ``2 * WORDS`` of them; other tokenizers get texts whole, and so do
+    texts that hold the string of an added token, which becomes that token's id as in the library.
     """
 
     WORDS = 500_000
@@ -82,9 +82,7 @@ class Encoder:
         store = tokenizers.__dict__.setdefault("_reqframe_words", {})
         if definition not in store:
             store.clear()
-            tokenizer = tokenizers.Tokenizer.from_str(definition)
-            tokenizer.encode_special_tokens = True
-            store[definition] = (tokenizer, {}, {}, {}, {})
+            store[definition] = (tokenizers.Tokenizer.from_str(definition), {}, {}, {}, {})
         # words: after a space; heads: without one
         self.tokenizer, self.words, self.old, self.heads, self.old_heads = store[definition]
         spec = json.loads(definition)
@@ -97,6 +95,7 @@ class Encoder:
             and not pre.get("add_prefix_space")
             and all(x.get("special") for x in spec.get("added_tokens", []))
         )
+        self.added = [x["content"] for x in spec.get("added_tokens", [])]
         self.letters = _byte_letters()
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -155,8 +154,15 @@ class Encoder:
         """The ids of each text as little-endian uint32."""
         if not self.by_word:
             return self._whole(texts)
+        together = "".join(texts)
+        if any(map(together.__contains__, self.added)):
+            holds = [any(map(text.__contains__, self.added)) for text in texts]
+            if any(holds):
+                whole = iter(self._whole([text for text, held in zip(texts, holds, strict=True) if held]))
+                parts = iter(self.encode([text for text, held in zip(texts, holds, strict=True) if not held]))
+                return [next(whole if held else parts) for held in holds]
         heads, pieces = [], []
-        wide = any(map("".join(texts).__contains__, self._WIDE))
+        wide = any(map(together.__contains__, self._WIDE))
         for text in texts:
             if self._RUNS.search(text) if wide else text[:1] == " " or any(map(text.__contains__, self._PAIRS)):
                 # the first piece may begin with a space that belongs to no cut: it is learned alone

@@ -252,6 +252,22 @@ def test_word_cache_equals_whole_texts():
         assert encoder.encode([text])[0] == encoder._whole([text])[0]
 
 
+def test_added_tokens_in_a_text_equal_the_unmodified_library():
+    import json
+
+    from tokenizers import Tokenizer
+
+    definition = tokenizer_definition()
+    plain, encoder, rng = Tokenizer.from_str(definition), token_files.Encoder(definition), random.Random(7)
+    added = [t["content"] for t in json.loads(definition)["added_tokens"]]
+    assert "<|endoftext|>" in added
+    bits = [*added, "a", "The", " ", "  ", "\n", "é", "!!", "<|", "|>", "<|endof", "text|>", "it's", "日本", "x.y"]
+    for _ in range(400):
+        texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 9))) for _ in range(rng.randint(1, 5))]
+        want = [np.array(plain.encode(t, add_special_tokens=False).ids, np.uint32).tobytes() for t in texts]
+        assert encoder.encode(texts) == want
+
+
 def test_boundaries_are_optimal():
     rng = random.Random(1)
     for _ in range(200):
