@@ -6,6 +6,10 @@ is compressed under every dictionary and the sizes are summed over the whole tex
 wins; a margin under ``MARGIN`` of it rejects the decision (``rejected``), while ``lang_pred`` still
 names the best guess.
 
+Languages keep dictionaries of different lengths, and a longer one shrinks any text further. So sizes under
+a shorter dictionary are scaled by what a text of another language gains when a dictionary is as long
+as the longest instead (``gains``); with equal lengths all factors are 1.
+
 Dictionaries are fitted on a bounded sample: at most ``PIECES`` slices of ``SLICE`` characters for
 each language, one slice from each labelled document, those of the smallest hash of their id.
 """
@@ -27,39 +31,66 @@ SLICE = 1024  # characters that one document gives to a dictionary
 PIECES = 256
 LEVEL = 6
 MARGIN = 0.01
+LONGEST = 4  # dictionaries that gains are measured on
+PROBES = 16  # texts of each language that gains are measured with
 
 
 def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
+def _coder(sample: bytes) -> zstandard.ZstdCompressor:
+    options = zstandard.ZstdCompressionParameters.from_level(
+        LEVEL, source_size=PIECE, dict_size=len(sample), min_match=4, write_checksum=0, write_content_size=0, write_dict_id=0
+    )
+    held = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    held.precompute_compress(compression_params=options)
+    return zstandard.ZstdCompressor(dict_data=held, compression_params=options)
+
+
+def gains(samples: dict[str, bytes], probes: dict[str, list[bytes]]) -> dict[str, float]:
+    """For each language, how much smaller texts get by a longest dictionary of another language
+    than by that dictionary cut to the length of this language's."""
+    order = sorted(samples, key=lambda x: (-len(samples[x]), x))
+    longest = order[:LONGEST]
+    full = {lang: _coder(samples[lang]) for lang in longest}
+    out: dict[str, float] = {}
+    for lang in order:
+        ratios = []
+        for other in longest:
+            if len(samples[other]) <= len(samples[lang]):
+                continue
+            short = _coder(samples[other][-len(samples[lang]) :])
+            foreign = [x for k in longest if k != other for x in probes[k]] or [x for k in order if k != other for x in probes[k]]
+            before, after = (sum(len(c.compress(x)) for x in foreign) for c in (short, full[other]))
+            ratios.append(out[other] * after / before)
+        out[lang] = float(np.mean(ratios)) if ratios else 1.0
+    return out
+
+
 class Languages:
     """Raw-content dictionaries by language."""
 
-    def __init__(self, samples: dict[str, bytes]):
+    def __init__(self, samples: dict[str, bytes], factors: dict[str, float] | None = None):
         self.samples = dict(sorted(samples.items()))
+        self.factors = factors or {}
         self.coders: dict[str, zstandard.ZstdCompressor] = {}
 
     def __getstate__(self):
-        return {"samples": self.samples, "coders": {}}
+        return {"samples": self.samples, "factors": self.factors, "coders": {}}
 
     def _ready(self) -> None:
         if self.coders or not self.samples:
             return
         for lang, sample in self.samples.items():
-            options = zstandard.ZstdCompressionParameters.from_level(
-                LEVEL, source_size=PIECE, dict_size=len(sample), min_match=4, write_checksum=0, write_content_size=0, write_dict_id=0
-            )
-            held = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            held.precompute_compress(compression_params=options)
-            self.coders[lang] = zstandard.ZstdCompressor(dict_data=held, compression_params=options)
+            self.coders[lang] = _coder(sample)
 
-    def sizes(self, text: str) -> dict[str, int]:
-        """Compressed bytes of the whole text under each language's dictionary."""
+    def sizes(self, text: str) -> dict[str, float]:
+        """Compressed bytes of the whole text under each language's dictionary, as if all were equally long."""
         self._ready()
         text = unicodedata.normalize("NFC", text)
         pieces = [text[i : i + PIECE].encode("utf-8", "surrogatepass") for i in range(0, len(text), PIECE)]
-        return {lang: sum(len(c.compress(p)) for p in pieces) for lang, c in self.coders.items()}
+        return {lang: sum(len(c.compress(p)) for p in pieces) * self.factors.get(lang, 1.0) for lang, c in self.coders.items()}
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score (how much smaller than the runner-up, mapped to 0..1) and rejection."""
@@ -92,10 +123,8 @@ def train(documents: DataFrame, pieces: int = PIECES) -> Languages:
     for lang, piece in zip(table.column("lang").to_pylist(), table.column("piece").to_pylist(), strict=True):
         if has_letter(piece):
             samples.setdefault(lang, []).append(unicodedata.normalize("NFC", piece).encode("utf-8", "surrogatepass"))
-    size = min((sum(map(len, x)) for x in samples.values()), default=0)
-    cut = {lang: b"\n".join(x) for lang, x in samples.items()}
-    # equal sizes: a longer dictionary would win by its length alone
-    return Languages({lang: x[-max(size, 8) :] for lang, x in cut.items()})
+    whole = {lang: b"\n".join(x) for lang, x in samples.items()}
+    return Languages(whole, gains(whole, {lang: x[:PROBES] for lang, x in samples.items()}))
 
 
 def languages(documents: DataFrame) -> DataFrame:

@@ -303,6 +303,21 @@ def test_languages_and_quality_and_toxicity_hold_out(spark):
     assert np.mean([r.predicted == truth[r.doc_id].toxic for r in got]) > 0.85
 
 
+def test_a_rare_language_does_not_shorten_the_others(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    before = {r.doc_id: r.lang_pred for r in language.languages(docs).collect()}
+    lang = {r.doc_id: r.lang for r in docs.collect()}
+    own = next(k for k in range(10**6, 10**6 + 99) if zlib.crc32(str(k).encode()) % 4 != 2)
+    rare = spark.createDataFrame([(own, "qyx vuzzig kwoqa jyppo zzyqwu x", "qq")], "doc_id long, text string, lang string")
+    model = language.train(docs.unionByName(rare))
+    assert min(len(x) for k, x in model.samples.items() if k != "qq") > 10_000
+    got = {r.doc_id: r.lang_pred for r in language.languages(docs.unionByName(rare)).collect() if r.held_out}
+    assert np.mean([got[d] == lang[d] for d in got]) > 0.9
+    assert np.mean([got[d] == before[d] for d in got]) > 0.98
+    # a small dictionary still wins its own texts
+    assert model.predict("vuzzig kwoqa jyppo zzyqwu")[0] == "qq"
+
+
 def test_scores_of_odd_rows(spark, odd, labels):
     for got in (toxicity.toxic_scores(odd, labels), quality.quality_scores(odd, labels)):
         rows = got.collect()
