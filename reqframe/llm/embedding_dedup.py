@@ -15,6 +15,8 @@ forest of them, never the pairs.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,22 +35,19 @@ def _matrix(column, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, width)
 
 
-def _valid(width: int):
-    """Usable vectors as binary rows of ``width`` doubles."""
-
-    def run(batches):
-        for batch in batches:
-            ids, out = [], []
-            for key, value in zip(batch.column("vec_id").to_pylist(), batch.column("embedding").to_pylist(), strict=True):
-                if key is None or value is None or len(value) != width or None in value:
-                    continue
-                x = np.array(value, np.float64) + 0.0  # -0.0 and 0.0 are one value
-                if np.isfinite(x).all() and x.any():
-                    ids.append(key)
-                    out.append((x + 0.0).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["vec_id", "vec"])
-
-    return run
+def _valid(batches):
+    """Usable vectors as binary rows of doubles, and their lengths."""
+    for batch in batches:
+        ids, width, out = [], [], []
+        for key, value in zip(batch.column("vec_id").to_pylist(), batch.column("embedding").to_pylist(), strict=True):
+            if key is None or value is None or None in value:
+                continue
+            x = np.array(value, np.float64) + 0.0  # -0.0 and 0.0 are one value
+            if np.isfinite(x).all() and x.any():
+                ids.append(key)
+                width.append(len(x))
+                out.append((x + 0.0).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(width, pa.int32()), pa.array(out, pa.binary())], names=["vec_id", "width", "vec"])
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -280,18 +279,31 @@ def near_vectors(embeddings: DataFrame, least: float = 0.9) -> DataFrame:
     """Links of cosine >= ``least``: ``vec_id, n_links, component_id, kept``, a row per vector.
 
     Reads ``vec_id`` and ``embedding`` (an array of numbers); other columns are ignored. Vectors that
-    are null, zero, hold a null or non-finite component, or differ in length from the longest vector
-    link with nothing. Equal vectors are one node with a multiplicity, so a large group of copies
+    are null, zero or hold a null or non-finite component link with nothing. Vectors of different lengths
+    have no cosine: each length (there are few) is compared on its own, with its own axes and tiles. Equal vectors are one node with a multiplicity, so a large group of copies
     costs one comparison. Rows without an id link with nothing, have a null component and are kept.
     Repeated ids count as separate vectors, their links adding up. An empty table gives no rows.
     """
     every = embeddings.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")
     )
-    width = every.agg(F.max(F.size("embedding"))).first()[0] or 0
-    if width <= 0:
+    usable = saved(every.mapInArrow(_valid, "vec_id long, width int, vec binary"), "vectors")
+    widths = [r[0] for r in usable.groupBy("width").count().where("count > 1").orderBy("width").collect()]
+    if not widths:
         return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    usable = saved(every.mapInArrow(_valid(width), "vec_id long, vec binary"), "vectors")
+    linked_rows = reduce(DataFrame.unionByName, [_linked_rows(usable.where(F.col("width") == w).drop("width"), w, least) for w in widths])
+    ids = linked_rows.groupBy("vec_id").agg(F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"), F.count("*").alias("times"))
+    out = every.select("vec_id").join(ids, "vec_id", "left")
+    return out.select(
+        "vec_id",
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("component_id", "vec_id").alias("component_id"),
+        F.coalesce(F.coalesce("component_id", "vec_id") == F.col("vec_id"), F.lit(True)).alias("kept"),
+    )
+
+
+def _linked_rows(usable: DataFrame, width: int, least: float) -> DataFrame:
+    """``vec_id, n_links, component_id`` of usable vectors of one length."""
     nodes = saved(usable.groupBy("vec").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "nodes")
 
     rows = nodes.mapInArrow(_moments(width), "axis long, row array<double>")
@@ -330,12 +342,4 @@ def near_vectors(embeddings: DataFrame, least: float = 0.9) -> DataFrame:
         (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component", "node").alias("component_id"),
     )
-    linked_rows = usable.join(own, F.col("vec") == F.col("key")).select("vec_id", "n_links", "component_id")
-    ids = linked_rows.groupBy("vec_id").agg(F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"), F.count("*").alias("times"))
-    out = every.select("vec_id").join(ids, "vec_id", "left")
-    return out.select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"),
-        F.coalesce(F.coalesce("component_id", "vec_id") == F.col("vec_id"), F.lit(True)).alias("kept"),
-    )
+    return usable.join(own, F.col("vec") == F.col("key")).select("vec_id", "n_links", "component_id")

@@ -43,6 +43,22 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
     assert embedding_dedup.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_vectors_of_each_length_link_among_themselves(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.repeat(rng.normal(size=(10, 4)), 3, axis=0) + rng.normal(size=(30, 4)) * 0.02)]
+    short = [(100 + i, v.tolist()) for i, v in enumerate(np.repeat(rng.normal(size=(5, 3)), 2, axis=0))]
+    stray = [(200, [1.0] * 9)]
+    frame = spark.createDataFrame(rows + short + stray, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_vectors(frame).collect()}
+    want = {k: (n, c, kept) for k, n, c, kept in brute_links(rows)}
+    cos = lambda a, b: float(np.dot(a, b) / np.linalg.norm(a) / np.linalg.norm(b))
+    assert sum(n for n, _, _ in want.values()) > 0
+    assert {k: v for k, v in got.items() if k < 100} == want
+    assert {k: v[0] for k, v in got.items() if 100 <= k < 200} == {k: sum(cos(v, w) >= 0.9 for j, w in short if j != k) for k, v in short}
+    assert all(got[100 + 2 * k + 1][1] == got[100 + 2 * k][1] for k in range(5))
+    assert got[200] == (0, 200, True)
+
+
 def test_vectors_of_the_table(spark):
     table = spark.read.parquet(f"{SF}/embeddings.parquet")
     p = table.toPandas().sort_values("vec_id")
