@@ -7,6 +7,7 @@ return the columns of documents; the last says where each document is packed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reqframe.llm import decontaminate, near_dedup, packing, secrets, toxicity
 from reqframe.llm.common import saved, table
@@ -17,18 +18,34 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+#: The column that tells rows apart within a stage.
+KEY = "_row_key"
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows under a unique key, written once so that the key is stable; and their texts with it as doc_id."""
+    rows = saved(docs.withColumn(KEY, F.monotonically_increasing_id()), "keyed")
+    return rows, rows.select(F.col(KEY).alias("doc_id"), "text")
+
+
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates; rows without an id are kept."""
-    groups = near_dedup.near_groups(docs)
-    gone = groups.where("not kept").select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+    """One row of each group of near duplicates: the smallest doc_id, a row without one last.
+
+    Repeated rows are copies like any other. Texts without words belong to no group and are kept.
+    """
+    rows, texts = _keyed(docs)
+    groups = near_dedup.near_groups(texts).select(F.col("doc_id").alias(KEY), "component_id")
+    ids = rows.select(KEY, F.col("doc_id").cast("long").alias("doc_id"))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", KEY)
+    first = ids.join(groups, KEY).groupBy("component_id").agg(F.min(place).alias("first"))
+    return rows.join(first.select(F.col("first").getField(KEY).alias(KEY)), KEY, "left_semi").drop(KEY).select(docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    hits = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    bad = hits.select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"] == bad["doc_id"], "left_anti")
+    """Rows whose text holds no benchmark item."""
+    rows, texts = _keyed(docs)
+    bad = decontaminate.contaminated(texts, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(KEY)).distinct()
+    return rows.join(bad, KEY, "left_anti").drop(KEY).select(docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

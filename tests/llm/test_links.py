@@ -144,3 +144,25 @@ def test_pipeline_equals_its_parts(spark):
     want = {d: len(secrets.redact(t, scanner.spans(t)).encode()) for d, t in left.items() if not bad(t)}
     got = {r.doc_id: r.length for r in corpus_pipeline.run(spark, SF).collect()}
     assert got == want
+
+
+def test_stages_decide_by_row(spark, tmp_path):
+    """Repeated rows, rows without an id, and different texts under one id."""
+    item = " ".join(f"b{i}" for i in range(20))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
+    rows = [
+        (5, one), (5, one), (5, one), (7, one + " end"), (None, one),  # one group
+        (7, two), (None, three), (None, three), (None, three + " end"),
+        (3, None), (3, ""), (None, ""), (9, f"{one[::-1]} {item}"), (None, item), (9, "clean words only, and nothing more"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    order = lambda rows: sorted((tuple(r) for r in rows), key=str)
+    got = corpus_pipeline.keep_one_of_each(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    kept = order(got.collect())
+    near = [r for r in kept if r[1] and r[1].startswith("z")]
+    assert len(near) == 1 and near[0] in rows[6:9]
+    assert [r for r in kept if r not in near] == order([rows[0], rows[5], *rows[9:]])
+    clean = corpus_pipeline.drop_benchmark_passages(spark, docs, str(tmp_path))
+    assert order(clean.collect()) == order([*rows[:12], rows[14]])
