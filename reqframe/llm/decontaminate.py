@@ -1,6 +1,8 @@
 """Benchmark decontamination by greedy string tiling.
 
-Tokens are maximal runs of word characters, lower-cased. Windows of ``SEED`` tokens are the seeds:
+Tokens are maximal runs of word characters, lower-cased; in scripts written without spaces (Chinese,
+Japanese, Thai, Lao, Khmer, Burmese, Tibetan) each character is a token of its own. An item of fewer than
+``SEED`` tokens is one window of its whole length. Windows of ``SEED`` tokens are the seeds:
 a Karp-Rabin pass rolls over every text, and only windows whose fingerprint occurs in the benchmark
 leave the task, with their tokens, so that the join with the benchmark's windows is exact.
 
@@ -27,6 +29,13 @@ COVERAGE = 0.5
 FINGERPRINTS = 4_000_000
 
 _WORD = re.compile(r"\w+")
+#: Letters of scripts that put no spaces between words.
+_UNSPACED = (
+    "\u0e01-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u19e0-\u19ff\ua9e0-\ua9ff\uaa60-\uaa7f\u3005-\u3007\u3031-\u3035\u303b\u303c"
+    "\u3041-\u30ff\u3105-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U0001aff0-\U0001b16f\U00020000-\U0003ffff"
+)
+_ANY_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_MIXED = re.compile(rf"[^\W{_UNSPACED}]+|(?=\w)[{_UNSPACED}]")
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -41,47 +50,70 @@ class _Codes(dict):
 
 
 def tokens(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    if not text:
+        return []
+    text = text.lower()
+    return (_WORD if text.isascii() or not _ANY_UNSPACED.search(text) else _MIXED).findall(text)
 
 
-def fingerprints(words: list[str], codes: dict) -> np.ndarray:
-    """Karp-Rabin fingerprints of all windows of ``SEED`` tokens (polynomial modulo 2**64)."""
-    if len(words) < SEED:
+def fingerprints(words: list[str], codes: dict, size: int = SEED) -> np.ndarray:
+    """Karp-Rabin fingerprints of all windows of ``size`` tokens (polynomial modulo 2**64)."""
+    return _rolled(_coded(words, codes), size)
+
+
+def _coded(words: list[str], codes: dict) -> np.ndarray:
+    return np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
+
+
+def _rolled(code: np.ndarray, size: int) -> np.ndarray:
+    if len(code) < size:
         return np.empty(0, np.uint64)
-    code = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
-    count = len(words) - SEED + 1
+    count = len(code) - size + 1
     out = np.zeros(count, np.uint64)
-    for k in range(SEED):
+    for k in range(size):
         out = out * np.uint64(_BASE) + code[k : k + count]
     return out
 
 
-def _windows(known: np.ndarray | None, id_name: str):
-    """Windows of each text: id, position, the tokens joined, number of tokens of the text."""
+def _windows(known: dict[int, np.ndarray] | None, id_name: str, sizes: list[int] | None = None):
+    """Windows of each text: id, position, the tokens joined, number of tokens of the text.
+
+    Items (no ``sizes``) have windows of ``SEED`` tokens, or one of all their tokens if they are shorter.
+    Documents have windows of all ``sizes`` whose fingerprints are known (any, if ``known`` is None); of
+    a short item's window, the first in the text.
+    """
 
     def run(batches):
         codes = _Codes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids, pos, gram, size = [], [], [], []
+                ids, pos, gram, count = [], [], [], []
                 for key, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist(), strict=True):
                     words = tokens(text)
-                    prints = fingerprints(words, codes)
-                    if known is None:
-                        hit = np.arange(len(prints))
-                    elif len(known) and len(prints):
-                        found = np.minimum(np.searchsorted(known, prints), len(known) - 1)
-                        hit = np.flatnonzero(known[found] == prints)
-                    else:
-                        continue
-                    for p in hit.tolist():
-                        ids.append(key)
-                        pos.append(p)
-                        gram.append(" ".join(words[p : p + SEED]))
-                        size.append(len(words))
+                    code = _coded(words, codes) if known is not None else None
+                    for size in sizes if sizes is not None else [min(SEED, len(words))] if words else []:
+                        if known is None:
+                            hit = range(len(words) - size + 1)
+                        else:
+                            prints = _rolled(code, size)
+                            if not len(prints):
+                                continue
+                            found = np.minimum(np.searchsorted(known[size], prints), len(known[size]) - 1)
+                            hit = np.flatnonzero(known[size][found] == prints).tolist()
+                        seen = set()
+                        for p in hit:
+                            joined = " ".join(words[p : p + size])
+                            if size < SEED:
+                                if joined in seen:
+                                    continue
+                                seen.add(joined)
+                            ids.append(key)
+                            pos.append(p)
+                            gram.append(joined)
+                            count.append(len(words))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(pos, pa.int32()), pa.array(gram, pa.string()), pa.array(size, pa.int32())],
+                    [pa.array(ids, pa.int64()), pa.array(pos, pa.int32()), pa.array(gram, pa.string()), pa.array(count, pa.int32())],
                     names=[id_name, "pos", "gram", "n_tokens"],
                 )
 
@@ -127,8 +159,8 @@ def tile(pairs: list[tuple[int, int]], seed: int = SEED) -> list[tuple[int, int,
 def _tiled(batches):
     for batch in batches:
         marked, n_tiles, longest = [], [], []
-        for at in batch.column("at").to_pylist():
-            tiles = tile([(x["ipos"], x["pos"]) for x in at])
+        for at, n in zip(batch.column("at").to_pylist(), batch.column("n_tokens").to_pylist(), strict=True):
+            tiles = tile([(x["ipos"], x["pos"]) for x in at], min(SEED, n))
             marked.append(sum(n for _, _, n in tiles))
             n_tiles.append(len(tiles))
             longest.append(max(n for _, _, n in tiles))
@@ -142,8 +174,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
     """Documents holding a benchmark item: ``doc_id, item_id, n_tokens, n_tiles, longest, marked, coverage``.
 
     One row for each pair whose tiles cover at least ``coverage`` of the item's tokens (``n_tokens``).
-    Texts that are null, empty or shorter than ``SEED`` tokens have no seeds and match nothing; rows
-    without an id are left out. Rows of one id count as one text (their windows are pooled); repeated
+    An item shorter than ``SEED`` tokens must occur whole. Texts that are null or without tokens match
+    nothing; rows without an id are left out. Rows of one id count as one text (their windows are pooled); repeated
     rows change nothing. Other columns are ignored. Empty tables give no rows.
     """
     spark = documents.sparkSession
@@ -156,14 +188,21 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
     def prints(batches):
         codes = _Codes()
         for batch in batches:
-            found = [fingerprints(tokens(x), codes) for x in batch.column("text").to_pylist()]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64))], names=["print"])
-
-    distinct = items.mapInArrow(prints, "print long").distinct()
-    got = distinct.limit(FINGERPRINTS + 1).toArrow().column("print").to_numpy().view(np.uint64)
-    known = np.sort(got) if len(got) <= FINGERPRINTS else None
-    hits = docs.mapInArrow(_windows(known, "doc_id"), f"doc_id long, {kinds}").drop("n_tokens")
+            for size in range(1, SEED + 1):
+                words = [w for w in map(tokens, batch.column("text").to_pylist()) if w and min(SEED, len(w)) == size]
+                if words:
+                    found = np.unique(np.concatenate([fingerprints(w, codes, size) for w in words])).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), size, np.int32)), pa.array(found)], names=["size", "print"])
+
+    distinct = items.mapInArrow(prints, "size int, print long").distinct()
+    got = distinct.limit(FINGERPRINTS + 1).toArrow()
+    size, found = got.column("size").to_numpy(), got.column("print").to_numpy().view(np.uint64)
+    if got.num_rows <= FINGERPRINTS:
+        known = {k: np.sort(found[size == k]) for k in np.unique(size).tolist()}
+        sizes = list(known)
+    else:
+        known, sizes = None, list(range(1, SEED + 1))
+    hits = docs.mapInArrow(_windows(known, "doc_id", sizes), f"doc_id long, {kinds}").drop("n_tokens")
     shared = hits.join(seeds, "gram").groupBy("doc_id", "item_id", "n_tokens")
     # a group is one document's windows of one item
     at = shared.agg(F.collect_set(F.struct("ipos", "pos")).alias("at")).where(F.size("at") + (SEED - 1) * F.size("at") >= coverage * F.col("n_tokens"))

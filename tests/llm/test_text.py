@@ -158,6 +158,20 @@ def test_decontamination(spark, odd):
     assert decontaminate.contaminated(odd, empty).count() == 0
 
 
+@pytest.mark.parametrize("most", [decontaminate.FINGERPRINTS, 3])
+def test_short_items_and_texts_without_spaces(spark, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "FINGERPRINTS", most)
+    clause = "春眠不觉晓，处处闻啼鸟，夜来风雨声"
+    items = [(1, "Blue whale song"), (2, "Answer"), (3, clause), (4, "北京"), (5, "!!"), (6, "one two three four")]
+    docs = [
+        (1, "the blue WHALE song, and once more: blue whale song"), (2, "blue whale songs and a blue whale"), (3, "no answers here, an answer"),
+        (4, "他说" + clause[:8] + "然后" + clause[8:] + "走了"), (5, "我住在北京市"), (6, "one two three, then four"), (7, "zero one two three four five"), (8, "!!"),
+    ]
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert rows_of(got.select("doc_id", "item_id", "n_tokens", "marked")) == [(1, 1, 3, 3), (3, 2, 1, 1), (4, 3, 15, 15), (5, 4, 2, 2), (7, 6, 4, 4)]
+    assert decontaminate.tokens("Ünï 12x 日本x語 ab") == ["ünï", "12x", "日", "本", "x", "語", "ab"]
+
+
 def test_tiles_equal_plain_greedy_tiling():
     rng = random.Random(3)
     for _ in range(300):
