@@ -57,12 +57,14 @@ class Model:
     def sentences(self, text: str | None) -> np.ndarray:
         """Probability of each sentence, in order; one without words has none, the text's first excepted."""
         words = _TOKEN.findall(text.lower()) if text else []
-        values = np.fromiter(map(self._value, words), float, len(words))
-        ends = np.isnan(values)
+        index: dict[str, int] = {}
+        word = np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words))
+        value = np.fromiter(map(self._value, index), float, len(index))
+        ends = np.isnan(value)[word]
         at, count = np.cumsum(ends), int(ends.sum()) + 1
-        once = np.unique(at[~ends] + 1j * values[~ends])  # a sentence counts each word's value once
-        at = once.real.astype(np.int64)
-        logit = np.bincount(at, once.imag, count) + self.bias
+        once = np.unique(at[~ends] * len(index) + word[~ends])  # a sentence counts each word once, as fit() does
+        at, word = once // max(len(index), 1), once % max(len(index), 1)
+        logit = np.bincount(at, value[word], count) + self.bias
         some = np.bincount(at, minlength=count) > 0
         some[0] |= not some.any()
         return np.where(some, 1 / (1 + np.exp(-np.clip(logit, -30, 30))), 0.0)

@@ -361,3 +361,11 @@ def test_noisy_or_finds_the_offending_sentence():
     score, worst, _ = model.score(sample)
     start, end = toxicity._span(sample, worst)
     assert score > 0.5 > model.score("word1 word2. word3")[0] and sample[start:end] == " word3 zzbad word4"
+
+
+def test_words_of_equal_value_count_each():
+    weights = np.zeros(1 << toxicity.BITS)
+    weights[toxicity.features("hatefu")[-1]] = 1.5  # the prefix that both forms share
+    model = toxicity.Model(-4.0, weights)
+    p = model.sentences("hatefully hatefulness hatefully. hatefully. calm")
+    assert np.allclose(np.log(p / (1 - p)), [-1.0, -2.5, -4.0])
