@@ -369,3 +369,15 @@ def test_words_of_equal_value_count_each():
     model = toxicity.Model(-4.0, weights)
     p = model.sentences("hatefully hatefulness hatefully. hatefully. calm")
     assert np.allclose(np.log(p / (1 - p)), [-1.0, -2.5, -4.0])
+
+
+def test_packed_long_texts_stay_close_to_the_least_padding(spark):
+    rng = random.Random(9)
+    for low, high, slack in ((1, 2048, 0), (1500, 60_000, 1 / 1024)):
+        sizes = [rng.randint(low, high) for _ in range(12)]
+        sizes += [x + 1 for x in sizes[:4] if x < high]
+        got = packing.packed(spark.createDataFrame([(k, "x" * n) for k, n in enumerate(sizes)], "doc_id long, text string"), buckets=3).collect()
+        assert sorted(r.length for r in got) == sorted(sizes)
+        top = max(sizes)
+        best = min(sum(min(b for b in (*s, top) if b >= x) - x for x in sizes) for r in range(3) for s in itertools.combinations(sorted(set(sizes))[:-1], r))
+        assert best <= sum(r.padding for r in got) <= best + slack * top * len(sizes)
