@@ -6,7 +6,20 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reqframe.llm import decontaminate, embedding_dedup, language, near_dedup, packing, quality, quotation, secrets, token_files, toxicity
+from reqframe.llm import (
+    conversation_trie,
+    decontaminate,
+    embedding_dedup,
+    language,
+    near_dedup,
+    packing,
+    quality,
+    quotation,
+    secrets,
+    token_alignment,
+    token_files,
+    toxicity,
+)
 from reqframe.llm.common import table
 
 
@@ -59,6 +72,26 @@ def packs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def tokenizer_files(ranks: str | None = None, definition: str | None = None, pieces: str | None = None) -> token_alignment.Definitions:
+    """The files of two tokenizers; by default the byte-level BPE and the pieces of ``public_tokenizers``."""
+    import public_tokenizers as public
+
+    return token_alignment.Definitions(
+        ranks or public.path("byte_bpe_50k.tiktoken"),
+        definition or public.path("byte_bpe_50k.json"),
+        pieces or public.path("piece_bpe_32k.model"),
+        public.PATTERN,
+    )
+
+
+def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignments(table(spark, sf_dir, "documents"), tokenizer_files())
+
+
 QUERIES = {
     "op1_decontaminate": decontamination,
     "op2_token_files": tokens,
@@ -70,6 +103,8 @@ QUERIES = {
     "op8_language": lang,
     "op9_near_dedup": near,
     "op10_packing": packs,
+    "op12_conversation_trie": trie,
+    "op13_token_alignment": pairs,
 }
 
 SQL = {
