@@ -16,6 +16,7 @@ from reqframe.llm import (
     quality,
     quotation,
     secrets,
+    suffix_dedup,
     token_alignment,
     token_files,
     toxicity,
@@ -72,6 +73,10 @@ def packs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_digests(table(spark, sf_dir, "documents"))
+
+
 def trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -103,6 +108,7 @@ QUERIES = {
     "op8_language": lang,
     "op9_near_dedup": near,
     "op10_packing": packs,
+    "op11_suffix_dedup": passages,
     "op12_conversation_trie": trie,
     "op13_token_alignment": pairs,
 }
