@@ -352,3 +352,39 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     sums = own.agg(F.sum("leaf").alias("leaves"), (F.sum("all_bytes") - F.sum("own_bytes")).alias("saves")).first()
     root[4:7] = paths.where("x = 0").count(), sums.leaves, sums.saves
     return _rows(conversations, [root]).unionByName(expanded)
+
+
+#: The same rows in SQL: every prefix as a list, and each node added to all of its ancestors.
+ORACLE = """
+WITH convs AS (
+  SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), bits AS (
+  -- crc32 of the decimal id, bit by bit
+  SELECT *, flatten(list_transform(string_split(c::VARCHAR, ''), lambda x: list_transform(range(8), lambda i: ((ascii(x)::BIGINT >> i) & 1)::BIGINT)))::BIGINT[] AS bit FROM convs
+), hashed AS (
+  SELECT c, own, (4294967295 - list_reduce(list_prepend(4294967295::BIGINT, bit),
+    lambda crc, b: xor(crc::BIGINT >> 1, CASE WHEN (crc::BIGINT & 1) <> b THEN 3988292384::BIGINT ELSE 0::BIGINT END))) % 9 AS h FROM bits
+), seqs AS (
+  SELECT x.c, list_concat(list_slice(coalesce(y.own, []), 1, x.h), list_slice(x.own, x.h + 1, len(x.own))) AS seq
+  FROM hashed x LEFT JOIN convs y ON y.c = x.c - x.c % 5
+), members AS (
+  SELECT c, len(seq) AS n, unnest(range(len(seq) + 1)) AS depth, seq FROM seqs
+), nodes AS (
+  SELECT list_slice(seq, 1, depth) AS prefix, depth, min(c) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = depth), '') AS ends
+  FROM members GROUP BY ALL
+), children AS (
+  SELECT list_slice(prefix, 1, depth - 1) AS prefix, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), full_nodes AS (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN children k ON n.depth = k.depth AND n.prefix = k.prefix
+), above AS (
+  SELECT list_slice(prefix, 1, d) AS prefix, d AS depth, sum((n_children = 0)::INT) AS n_leaves,
+    sum(CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(prefix[depth].t) END) AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM full_nodes) GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, a.n_leaves::BIGINT AS n_leaves,
+  a.saved_tokens::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM full_nodes n JOIN above a ON a.depth = n.depth AND a.prefix = n.prefix
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = list_slice(n.prefix, 1, n.depth - 1)
+"""

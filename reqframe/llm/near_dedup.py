@@ -20,22 +20,26 @@ hashes, so a confirmed link is exact up to hash collisions.
   is let through if a similarity of 0.75 lies within four standard errors.
 * Confirmation on full sets of the two texts.
 
-Buckets are never expanded into pairs. First each node is held against one other, the smallest member
-of a bucket that it shares the most buckets with; that joins a large group of copies by linear work.
-Then only buckets that still hold nodes of different components are compared: their registers meet in
-blocks of at most about ``BLOCK`` nodes a side, across components only, and just the pairs that pass
-the estimate leave the task. So no pair of a bucket stays untested.
+Buckets are never expanded into pairs; links are found by contraction. In each round every node of a bucket
+that holds several components is held against one node of another of them; confirmed links contract
+components at once, refused pairs are remembered, and rounds go on while they close buckets. That joins large
+groups of copies by linear work. What is left are buckets whose components are not linked through such nodes:
+their registers meet in blocks of about ``BLOCK`` nodes a side, across components only, and each node hands on
+its best few pairs. If it had more, a further round takes several times as many, of buckets still open. So no
+pair of a bucket stays untested unless its nodes are linked already, and pairs between linked nodes are not listed.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reqframe.llm.common import checked, components, saved
+from reqframe.llm.common import components, forget, saved
 
 WORDS = 5
 BINS = 256
@@ -43,7 +47,12 @@ MANTISSA = 10
 ROWS = 6
 BANDS = 42
 EMPTY = 0xFFFF
-BLOCK = 512
+#: Nodes of a bucket that are compared in one task, nodes compared at a time, and pairs of a node in the first round.
+BLOCK = 4096
+SIDE = 512
+MOST = 4
+#: A round of contraction is followed by another if it leaves at most this share of the rows of open buckets.
+GAIN = 0.9
 SMALL = 64
 HOT = 65_536
 
@@ -224,8 +233,8 @@ def _bands(percent: int, hot):
     return run
 
 
-def _passes(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether ``similarity`` lies within four standard errors of the estimate, and sizes allow it.
+def _compared(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Whether ``similarity`` lies within four standard errors of the estimate, and sizes allow it; and equal registers.
 
     Buckets in use draw one shingle each from the union without replacement, so the error shrinks as
     the number of buckets in use comes near the size of the union. Small sets are not estimated but
@@ -240,36 +249,36 @@ def _passes(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, simi
     # a bucket that differs holds a shingle of one set alone
     apart = (a != b).sum(axis=1)
     close = np.where(small, apart * (1 + similarity) <= (n_a + n_b) * (1 - similarity) + 1e-9, value >= similarity - slack)
-    return close & (np.minimum(n_a, n_b) >= similarity * np.maximum(n_a, n_b) - 1e-9)
+    return close & (np.minimum(n_a, n_b) >= similarity * np.maximum(n_a, n_b) - 1e-9), BINS - apart
 
 
 def _registers_of(batch, name: str) -> np.ndarray:
     return np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint16).reshape(-1, BINS)
 
 
-PAIR = ["a", "b", "key_a", "key_b", "id_a", "id_b"]
-
-
 def _estimated(similarity: float):
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             sizes = [batch.column(k).to_numpy(zero_copy_only=False).astype(float) for k in ("n_a", "n_b")]
-            keep = pa.array(_passes(_registers_of(batch, "regs_a"), _registers_of(batch, "regs_b"), *sizes, similarity))
-            yield batch.select(PAIR).filter(keep)
+            keep, _ = _compared(_registers_of(batch, "regs_a"), _registers_of(batch, "regs_b"), *sizes, similarity)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return run
 
 
-def _across(similarity: float, hot):
-    """Pairs of different components in one group ``(band, low, high)``; rows come group by group."""
+def _across(similarity: float, hot, most: int):
+    """Pairs of different components in one group ``(band, low, high)``; rows come group by group.
+
+    Each node gives the ``most`` best of its pairs with later ones, ``more`` says that it had others.
+    """
     percent = round(similarity * 100)
 
     def pairs(group: pa.Table):
         side = group.column("side").to_numpy()
         node, part, n = (group.column(k).to_numpy() for k in ("node", "part", "n"))
-        key, regs, doc = group.column("set_key").to_pylist(), _registers_of(group, "regs"), group.column("doc_id").to_pylist()
+        regs = _registers_of(group, "regs")
         same = group.column("low")[0].as_py() == group.column("high")[0].as_py()
         left = np.arange(len(node)) if same else np.flatnonzero(side == 0)
         right = left if same else np.flatnonzero(side == 1)
@@ -282,22 +291,26 @@ def _across(similarity: float, hot):
         order = (bands == here).argmax(axis=1)  # which of its bands this is
         for i in left.tolist():
             j = right[(part[right] != part[i]) & ((right > i) | (not same))]
-            for at in range(0, len(j), BLOCK):
-                k = j[at : at + BLOCK]
+            mine, equal = [], []
+            for at in range(0, len(j), SIDE):
+                k = j[at : at + SIDE]
                 # a pair that shares several bands is left to the first of them
                 if not rare:
                     k = k[(bands[k] == bands[i]).argmax(axis=1) == order[i]]
                 if len(k):
                     one = np.broadcast_to(regs[i], (len(k), BINS))
-                    ok = _passes(one, regs[k], np.full(len(k), n[i], float), n[k].astype(float), similarity)
-                    found += [(i, x) for x in k[ok].tolist() if not rare or below[i].isdisjoint(below[x])]
-        ordered = [(i, j) if node[i] < node[j] else (j, i) for i, j in found]
+                    ok, score = _compared(one, regs[k], np.full(len(k), n[i], float), n[k].astype(float), similarity)
+                    if rare:
+                        ok &= np.array([below[i].isdisjoint(below[x]) for x in k.tolist()], bool)
+                    mine.append(k[ok])
+                    equal.append(score[ok])
+            if mine and len(j := np.concatenate(mine)):
+                best = np.argsort(-np.concatenate(equal), kind="stable")[:most]
+                found += [(int(node[i]), int(node[x]), len(j) > most) for x in j[best].tolist()]
         return pa.RecordBatch.from_arrays(
-            [pa.array([int(node[i]) for i, _ in ordered], pa.int64()), pa.array([int(node[j]) for _, j in ordered], pa.int64()),
-             pa.array([key[i] for i, _ in ordered], pa.binary()), pa.array([key[j] for _, j in ordered], pa.binary()),
-             pa.array([doc[i] for i, _ in ordered], pa.int64()), pa.array([doc[j] for _, j in ordered], pa.int64())],
-            names=PAIR,
-        )
+            [pa.array([min(a, b) for a, b, _ in found], pa.int64()), pa.array([max(a, b) for a, b, _ in found], pa.int64()), pa.array([m for *_, m in found], pa.bool_())],
+            names=["a", "b", "more"],
+        )
 
     def run(batches):
         held, at = [], None
@@ -319,36 +332,84 @@ def _across(similarity: float, hot):
     return run
 
 
+def _whole_sets(batches):
+    """The shingles of each text, with the key of their set."""
+    hashes = WordHashes()
+    for batch in batches:
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
+            rows = [shingles(x, hashes).tobytes() for x in part.column("text").to_pylist()]
+            keys = [xxhash.xxh3_128_digest(x) for x in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(rows, pa.binary())], names=["set_key", "shingles"])
+
+
 def _confirmed(similarity: float):
     percent = round(similarity * 100)
 
     def run(batches):
-        hashes = WordHashes()
-        kept: dict[tuple, np.ndarray] = {}
-
-        def of(node, text, key):
-            if (got := kept.get((node, key))) is None:
-                got = shingles(text, hashes)
-                if xxhash.xxh3_128_digest(got.tobytes()) != key:  # another text under the same id
-                    return np.empty(0, np.uint64)
-                if len(kept) >= 64:
-                    kept.clear()
-                kept[node, key] = got
-            return got
-
         for batch in batches:
-            a, b = [], []
-            for x in batch.to_pylist():
-                one, two = of(x["a"], x["text_a"], x["key_a"]), of(x["b"], x["text_b"], x["key_b"])
+            keep = []
+            for one, two in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True):
+                one, two = _set_of(one), _set_of(two)
                 common = len(np.intersect1d(one, two, assume_unique=True))
-                if common and 100 * common >= percent * (len(one) + len(two) - common):
-                    a.append(x["a"])
-                    b.append(x["b"])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                keep.append(common > 0 and 100 * common >= percent * (len(one) + len(two) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
+class _Links:
+    """Confirmed links as components of nodes, contracted batch by batch; pairs once tested are not tested again."""
+
+    def __init__(self, nodes: DataFrame, sets: DataFrame, members: DataFrame, similarity: float):
+        self.sides = {
+            k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("regs").alias(f"regs_{k}")) for k in "ab"
+        }
+        self.sets, self.similarity = sets, similarity
+        self.members = members
+        self.label = saved(members.select("node").distinct().withColumn("part", F.col("node")), "parts")
+        self.tested: DataFrame | None = None
+        self.opened: DataFrame | None = None
+
+    def open(self) -> DataFrame:
+        """``band, node, part, p1, m1, p2, m2`` of buckets with several components, and two nodes of theirs."""
+        labelled = self.members.select("band", "node").join(self.label, "node")
+        firsts = labelled.groupBy("band", "part").agg(F.min("node").alias("m"))
+        ends = firsts.groupBy("band").agg(
+            F.min("part").alias("p1"), F.min_by("m", "part").alias("m1"), F.max("part").alias("p2"), F.max_by("m", "part").alias("m2")
+        )
+        if self.opened is not None:
+            forget(self.opened)
+        self.opened = saved(labelled.join(ends.where("p1 < p2"), "band"), "open")
+        return self.opened
+
+    def untested(self, pairs: DataFrame) -> DataFrame:
+        return pairs if self.tested is None else pairs.join(self.tested, ["a", "b"], "left_anti")
+
+    def test(self, pairs: DataFrame, estimated: bool) -> bool:
+        """Test saved pairs ``a < b`` that were not tested before; whether any is a link. Links contract components."""
+        tried = pairs.select("a", "b")
+        tested = saved(tried if self.tested is None else self.tested.unionByName(tried), "tested")
+        if self.tested is not None:
+            forget(self.tested)
+        self.tested = tested
+        if not estimated:
+            sided = tried.join(self.sides["b"], "b").join(self.sides["a"], "a")
+            tried = saved(sided.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(_estimated(self.similarity), "a long, b long"), "close")
+        full = {k: self.sets.select(F.col("node").alias(k), F.col("shingles").alias(f"set_{k}")) for k in "ab"}
+        links = tried.join(full["b"], "b").join(full["a"], "a").select("a", "b", "set_a", "set_b")
+        links = saved(links.mapInArrow(_confirmed(self.similarity), "a long, b long"), "confirmed")
+        if links.isEmpty():
+            return False
+        parts = {k: self.label.select(F.col("node").alias(k), F.col("part").alias(f"part_{k}")) for k in "ab"}
+        met = components(links.join(parts["a"], "a").join(parts["b"], "b").select(F.col("part_a").alias("a"), F.col("part_b").alias("b")))
+        new = self.label.join(met.select(F.col("node").alias("part"), "component"), "part", "left")
+        new = saved(new.select("node", F.coalesce("component", "part").alias("part")), "parts")
+        forget(self.label)
+        self.label = new
+        return True
+
+
 def near_groups(documents: DataFrame, similarity: float = 0.75) -> DataFrame:
     """Groups of near-duplicate documents: ``doc_id, n_shingles, component_id, kept``.
 
@@ -379,51 +440,53 @@ def near_groups(documents: DataFrame, similarity: float = 0.75) -> DataFrame:
     bands = nodes.select("node", "n", "regs", "small").mapInArrow(_bands(percent, hot), "band long, node long")
     heads = bands.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last")
     members = saved(
-        bands.join(heads.select(F.col("band").alias("key"), "head"), F.col("band") == F.col("key")).select("band", "node", "head"),
+        bands.join(heads.select(F.col("band").alias("key")), F.col("band") == F.col("key")).select("band", "node"),
         "members",
     )
-
-    side = {
-        k: nodes.select(F.col("node").alias(k), F.col("doc_id").alias(f"id_{k}"), F.col("set_key").alias(f"key_{k}"), F.col("n").alias(f"n_{k}"), F.col("regs").alias(f"regs_{k}"))
-        for k in "ab"
-    }
-    pair = "a long, b long, key_a binary, key_b binary, id_a long, id_b long"
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Links among saved pairs, by the full sets of their texts."""
-        wanted = pairs.select(F.col("id_a").alias("doc_id")).union(pairs.select("id_b")).distinct()
-        texts = docs.join(checked(wanted), "doc_id")
-        return (
-            pairs.join(texts.select(F.col("doc_id").alias("id_b"), F.col("text").alias("text_b")), "id_b")
-            .join(texts.select(F.col("doc_id").alias("id_a"), F.col("text").alias("text_a")), "id_a")
-            .select("a", "b", "key_a", "key_b", "text_a", "text_b")
-            .mapInArrow(_confirmed(similarity), "a long, b long")
-        )
-
-    # one pair for each node, chosen from ids alone
-    shared = members.where("head < node").groupBy("node", "head").count()
-    nearest = shared.groupBy("node").agg(F.max(F.struct("count", -F.col("head"))).alias("x"))
-    nearest = nearest.select((-F.col("x").getField("col2")).alias("a"), F.col("node").alias("b"))
-    held = nearest.join(side["b"], "b").join(side["a"], "a").select(*PAIR, "n_a", "n_b", "regs_a", "regs_b")
-    links = saved(confirmed(saved(held.mapInArrow(_estimated(similarity), pair), "stars")), "confirmed")
-    label = components(links)
-
-    labelled = members.join(label, "node", "left").select("band", "node", F.coalesce("component", "node").alias("part"))
-    open_bands = labelled.groupBy("band").agg(F.min("part").alias("one"), F.max("part").alias("two"), F.count("*").alias("size"))
-    open_bands = open_bands.where("one < two").select(F.col("band").alias("key"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rest = labelled.join(open_bands, F.col("band") == F.col("key")).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    dealt = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "band",
-        F.least("block", "other").alias("low"),
-        F.greatest("block", "other").alias("high"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"),
-        "node",
-        "part",
-    ).join(nodes, "node")
-    dealt = dealt.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
-    more = saved(dealt.mapInArrow(_across(similarity, hot), pair).distinct(), "across")
-    label = components(links.unionByName(confirmed(more)))
+    # the full sets of nodes that share a bucket, from one text of each
+    wanted = nodes.join(members.select("node").distinct(), "node").select("node", "doc_id", "set_key")
+    texts = docs.join(wanted.select("doc_id").distinct(), "doc_id").select("text")
+    whole = texts.mapInArrow(_whole_sets, "set_key binary, shingles binary").join(wanted.select("node", "set_key"), "set_key")
+    whole = saved(whole.groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles")
+    links = _Links(nodes, whole, members, similarity)
+
+    # contraction: each node is held against one node of another component, chosen from ids alone, while that closes buckets
+    before, left = math.inf, links.open().count()
+    while 0 < left <= GAIN * before:
+        partner = F.when(F.col("part") == F.col("p1"), F.col("m2")).otherwise(F.col("m1"))
+        offers = links.opened.select(F.least("node", partner).alias("a"), F.greatest("node", partner).alias("b"), "node")
+        shared = links.untested(offers.groupBy("a", "b", "node").count())
+        best = shared.groupBy("node").agg(F.max(F.struct("count", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
+        best = saved(best, "stars")
+        if not links.test(best, estimated=False):
+            break
+        before, left = left, links.open().count()
+
+    # what is left: all pairs across components, the best of each node first
+    most = MOST
+    while True:
+        rest = links.opened.select("band", "node", "part")
+        sizes = rest.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        rest = rest.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+        dealt = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.select(
+            "band",
+            F.least("block", "other").alias("low"),
+            F.greatest("block", "other").alias("high"),
+            (F.col("block") > F.col("other")).cast("int").alias("side"),
+            "node",
+            "part",
+        ).join(nodes.select("node", "n", "regs", "small"), "node")
+        dealt = dealt.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
+        found = dealt.mapInArrow(_across(similarity, hot, most), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
+        found = saved(found, "across")
+        contracted = links.test(saved(links.untested(found.select("a", "b")), "pairs"), estimated=True)
+        if found.where("more").isEmpty():
+            break
+        most *= MOST
+        if contracted:
+            links.open()
+    label = links.label.withColumnRenamed("part", "component")
 
     group = sets.join(label, "node", "left").select(F.col("set_key").alias("key"), "first_id", F.coalesce("component", "node").alias("part"))
     named = group.groupBy(F.col("part").alias("of")).agg(F.min("first_id").alias("component_id"))

@@ -115,4 +115,5 @@ QUERIES = {
 
 SQL = {
     "op5_quotation_links": quotation.ORACLE,
+    "op12_conversation_trie": conversation_trie.ORACLE,
 }
