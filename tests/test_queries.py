@@ -7,6 +7,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
 import check  # noqa: E402
+from reqframe.plans.oracles import ORACLES  # noqa: E402
+from reqframe.plans.queries import REGISTRY  # noqa: E402
 from tests.conftest import SF  # noqa: E402
 
 
@@ -15,13 +17,23 @@ def con():
     return check.duck(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query_agrees_with_sql(spark, con, name):
     assert check.compare(spark, con, SF, name) == ""
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(REGISTRY) == set(ORACLES)
+    assert REGISTRY.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
+
+
+def test_entry_does_without_the_optional_package(monkeypatch):
+    import importlib
+
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    monkeypatch.delitem(sys.modules, "__spark_entry__")
+    alone = importlib.import_module("__spark_entry__")
+    assert alone.queries() == REGISTRY and alone.oracle_sql() == ORACLES
 
 
 def test_entry(spark):
