@@ -145,12 +145,19 @@ def progress(batches: DataFrame) -> DataFrame:
 
 
 def progress_from_results(results: DataFrame, totals: DataFrame) -> DataFrame:
-    """Per batch progress counted from extracted result rows and the batches' totals.
+    """Per batch progress counted by request from extracted result rows and the batches' totals.
 
-    ``results`` carry ``batch_id, is_result, is_error``; ``totals`` are ``id, total``.
+    ``results`` carry ``batch_id, custom_id, is_result, is_error``; ``totals`` are ``id, total``. A request that
+    failed and then succeeded is completed once; lines without an id count each for itself.
     """
-    counts = results.groupBy(F.col("batch_id").alias("id")).agg(
-        F.count_if("is_result").alias("completed"), F.count_if("is_error").alias("failed")
+    requests = results.groupBy(F.col("batch_id").alias("id"), "custom_id").agg(
+        F.count_if("is_result").alias("good"), F.count_if("is_error").alias("bad")
+    )
+    alone = F.col("custom_id").isNull()
+    good, bad = F.col("good"), F.col("bad")
+    counts = requests.groupBy("id").agg(
+        F.sum(F.when(alone, good).otherwise((good > 0).cast("bigint"))).alias("completed"),
+        F.sum(F.when(alone, bad).otherwise(((good == 0) & (bad > 0)).cast("bigint"))).alias("failed"),
     )
     joined = totals.select("id", "total").join(counts, "id", "left").fillna(0, ["completed", "failed"])
     return progress(joined.withColumn("request_counts", F.struct("total", "completed", "failed")))

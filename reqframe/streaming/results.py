@@ -6,9 +6,12 @@ file once, so a part file must be complete and must not grow.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from reqframe.functions.jsonlines import is_blank, parse_lines
 from reqframe.functions.results import extract
@@ -75,29 +78,96 @@ def tail_results(
     return writer.option("path", out).outputMode("append").start()
 
 
-def progress_counts(stream: DataFrame) -> DataFrame:
-    """Running ``batch_id, custom_id, results, errors`` of a result stream; one state row per request.
-
-    Lines without an id share one row per batch, in which every line counts for itself.
+# Kinds of rows that the progress state is fed with; lines without an id are marked besides.
+_SUCCESS, _ERROR, _END, _NO_ID = 1, 2, 4, 8
+
+_PROGRESS = "batch_id string, done bigint, failed bigint"
+_STATE = "digests binary, kinds binary, ended boolean"
+
+
+def _merged(digests: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One entry for each request, with all its kinds."""
+    if not len(digests):
+        return digests, kinds
+    order = np.argsort(digests, kind="stable")
+    digests, kinds = digests[order], kinds[order]
+    first = np.flatnonzero(np.diff(digests, prepend=digests[0] - np.uint64(1)))
+    return digests[first], np.bitwise_or.reduceat(kinds, first)
+
+
+def _counted(key, frames, state: GroupState):
+    """Changes of a slice's counts. Its state is a sorted digest and a byte for each of its requests."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    old, old_kinds, ended = np.zeros(0, np.uint64), np.zeros(0, np.uint8), False
+    if state.exists:
+        blob, kinds, ended = state.get
+        old, old_kinds = np.frombuffer(blob, np.uint64), np.frombuffer(kinds, np.uint8)
+    digests, kinds = old, old_kinds
+    done = failed = now = 0
+    for frame in frames:
+        now = max(now, int(frame["at"].max().timestamp() * 1000))
+        kind = frame["kind"].to_numpy().astype(np.uint8)
+        ended = ended or bool((kind == _END).any())
+        done, failed = done + int((kind > _NO_ID).sum()), failed + int((kind == _NO_ID + _ERROR).sum())
+        mine = kind < _END
+        new = frame["digest"].to_numpy()[mine].view(np.uint64)
+        digests, kinds = _merged(np.concatenate([digests, new]), np.concatenate([kinds, kind[mine]]))
+    done += len(digests) - len(old)
+    failed += int((kinds == _ERROR).sum() - (old_kinds == _ERROR).sum())
+    state.update((digests.tobytes(), kinds.tobytes(), ended))
+    if ended:
+        state.setTimeoutTimestamp(max(now, state.getCurrentWatermarkMs() + 1))
+    if done or failed:
+        yield pd.DataFrame({"batch_id": [key[0]], "done": [done], "failed": [failed]})
+
+
+def progress_changes(stream: DataFrame, ends: DataFrame | None = None, slices: int = 16, grace: str = "10 minutes") -> DataFrame:
+    """Changes ``batch_id, done, failed`` of a result stream's counts by request, a few rows a batch and trigger.
+
+    A request that failed and then succeeded is done once and no longer failed; lines without an id count each
+    for itself. A batch's requests are dealt to ``slices``, so a large batch is many tasks' work and no state row
+    holds all of it; a slice keeps nine bytes a request (a 64-bit digest of the id within its slice).
+
+    ``ends`` is a stream with the ``batch_id`` of batches that have ended. Their requests are dropped by the first trigger
+    later than ``grace`` after their last one; a part that lands even later counts as new. Time is that of triggers,
+    so that no line is ever too late.
     """
     parsed = extract(parse_lines(stream)).where(F.col("is_result") | F.col("is_error"))
-    return parsed.groupBy("batch_id", "custom_id").agg(
-        F.count_if("is_result").alias("results"), F.count_if("is_error").alias("errors")
+    place = F.coalesce(F.crc32(F.col("custom_id").cast("binary")), F.xxhash64("raw"))
+    rows = parsed.select(
+        "batch_id",
+        F.pmod(place, F.lit(slices)).cast("int").alias("slice"),
+        F.xxhash64("custom_id").alias("digest"),
+        (F.when(F.col("is_result"), _SUCCESS).otherwise(_ERROR) + F.when(F.col("custom_id").isNull(), _NO_ID).otherwise(0)).alias("kind"),
     )
+    if ends is not None:
+        every = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
+        end = ends.select("batch_id", every.alias("slice"), F.lit(0).cast("bigint").alias("digest"), F.lit(_END).alias("kind"))
+        rows = rows.unionByName(end)
+    rows = rows.withColumn("at", F.current_timestamp()).withWatermark("at", grace)
+    return rows.groupBy("batch_id", "slice").applyInPandasWithState(_counted, _PROGRESS, _STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def track_progress(
-    stream: DataFrame, out: str, checkpoint: str, follow: str | None = None
+    stream: DataFrame,
+    out: str,
+    checkpoint: str,
+    follow: str | None = None,
+    ends: DataFrame | None = None,
+    grace: str = "10 minutes",
 ) -> StreamingQuery:
-    """Write each trigger's changed requests to ``out``, one folder per trigger.
+    """Write each trigger's changes to ``out``, one folder per trigger with one row for each batch that changed.
 
-    A repeated trigger overwrites its own folder, so a restart cannot count twice.
+    A repeated trigger overwrites its own folder, so a restart cannot count twice. See :func:`progress_changes`.
     """
 
     def write(changed: DataFrame, epoch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+        total = changed.groupBy("batch_id").agg(F.sum("done").alias("done"), F.sum("failed").alias("failed"))
+        total.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
-    writer = progress_counts(stream).writeStream.foreachBatch(write).outputMode("update")
+    writer = progress_changes(stream, ends, grace=grace).writeStream.foreachBatch(write).outputMode("update")
     writer = writer.trigger(processingTime=follow) if follow else writer.trigger(availableNow=True)
     return writer.option("checkpointLocation", checkpoint).start()
 
@@ -105,15 +175,9 @@ def track_progress(
 def latest_progress(progress: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """``batch_id, done, failed`` by request, with ``total`` and whole ``percent`` where totals are known.
 
-    ``progress`` are rows of :func:`progress_counts`; counts only grow, so the largest are the newest.
-    A request that failed and then succeeded is done once and not failed.
+    ``progress`` are the rows that :func:`track_progress` wrote.
     """
-    request = progress.groupBy("batch_id", "custom_id").agg(F.max("results").alias("r"), F.max("errors").alias("e"))
-    alone = F.col("custom_id").isNull()
-    newest = request.groupBy("batch_id").agg(
-        F.sum(F.when(alone, F.col("r") + F.col("e")).otherwise(1)).cast("bigint").alias("done"),
-        F.sum(F.when(alone, F.col("e")).when(F.col("r") > 0, 0).otherwise(1)).cast("bigint").alias("failed"),
-    )
+    newest = progress.groupBy("batch_id").agg(F.sum("done").alias("done"), F.sum("failed").alias("failed"))
     if totals is None:
         return newest
     joined = newest.join(totals.select("batch_id", "total"), "batch_id", "left")
@@ -124,7 +188,7 @@ __all__ = [
     "drop_relanded",
     "land_results",
     "latest_progress",
-    "progress_counts",
+    "progress_changes",
     "result_stream",
     "tail_results",
     "track_progress",

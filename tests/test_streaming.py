@@ -99,3 +99,67 @@ def test_terminal_event_once(spark, tmp_path):
     assert run() == [("a", "batch.completed"), ("c", "batch.failed")]
     add(("a", "completed", "2026-02-01 00:02:00"), ("b", "cancelled", "2025-06-01 00:02:00"))
     assert run() == [("a", "batch.completed"), ("b", "batch.failed"), ("c", "batch.failed")]
+
+
+def test_terminal_event_of_late_untimed_and_later_snapshots(spark, tmp_path):
+    """The state store decides: no trigger reads what earlier ones wrote, and its rows are the new batches alone."""
+    folder, out, point = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    schema = "batch_id string, status string, at timestamp"
+
+    def add(*rows):
+        df = spark.createDataFrame(rows, "batch_id string, status string, at string")
+        df.withColumn("at", F.to_timestamp("at")).coalesce(1).write.mode("append").parquet(folder)
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(folder)
+        query = emit_events(terminal_events(stream), out, point)
+        drain(query)
+        return query, sorted(map(tuple, spark.read.parquet(out).selectExpr("batch_id", "event", "string(seen_at)").collect()), key=str)
+
+    add(("a", "failed", None), ("b", "failed", None), ("b", "completed", "2026-01-02 00:00:00"), (None, "failed", None))
+    add(("c", "expired", "1960-01-01 00:00:00"), ("c", "completed", "2026-01-01 00:00:00"), ("d", "completed", "2026-01-01 00:00:00"), ("d", "failed", "2026-01-01 00:00:00"))
+    query, first = run()
+    assert first == [
+        ("a", "batch.failed", None),
+        ("b", "batch.completed", "2026-01-02 00:00:00"),
+        ("c", "batch.failed", "1960-01-01 00:00:00"),
+        ("d", "batch.completed", "2026-01-01 00:00:00"),
+    ]
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 4
+    # earlier snapshots that come late change nothing that was told
+    add(("a", "completed", "2020-01-01 00:00:00"), ("e", "failed", "2020-01-01 00:00:00"))
+    query, second = run()
+    assert second == sorted([*first, ("e", "batch.failed", "2020-01-01 00:00:00")], key=str)
+    written = spark.read.parquet(f"{out}/epoch=*").inputFiles()
+    query, third = run()
+    assert third == second and spark.read.parquet(f"{out}/epoch=*").count() == 5 and len(written) > 0
+
+
+def test_progress_state_ends_with_its_batch(spark, tmp_path):
+    landing, ended, out, point = (str(tmp_path / n) for n in ("in", "ended", "out", "cp"))
+    spark.createDataFrame([], "batch_id string").write.parquet(ended)
+
+    def run(grace="1 hour"):
+        ends = spark.readStream.schema("batch_id string").parquet(ended)
+        query = track_progress(result_stream(spark, landing, 1), out, point, ends=ends, grace=grace)
+        drain(query)
+        rows = latest_progress(spark.read.schema("batch_id string, done bigint, failed bigint").parquet(out)).orderBy("batch_id")
+        held = [op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]]
+        return [tuple(r) for r in rows.collect()], held
+
+    land(spark, landing, "a", *[res_a(str(i), "x") for i in range(40)], err("x"), err(None))
+    land(spark, landing, "b", err("1"), err("2"))
+    rows, held = run()
+    assert rows == [("a", 42, 2), ("b", 2, 2)]
+    before = held[-1]
+    assert 10 < before <= 16 + 2
+    land(spark, landing, "a", res_a("x", "retried"))
+    land(spark, landing, "b", res_a("2", "retried"))
+    spark.createDataFrame([("a",)], "batch_id string").write.mode("append").parquet(ended)
+    rows, _ = run()
+    assert rows == [("a", 42, 1), ("b", 2, 1)]
+    land(spark, landing, "b", res_a("3", "x"))
+    rows, held = run("1 millisecond")
+    assert rows == [("a", 42, 1), ("b", 3, 1)]
+    assert held[-1] <= 3  # batch b alone
+    assert spark.read.parquet(out).groupBy("batch_id", "epoch").count().where("count > 1").isEmpty()
