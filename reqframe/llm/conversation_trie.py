@@ -10,9 +10,9 @@ compacted: nodes stand where sequences branch or end. An edge belongs to the seq
 * Fat binary search: a sequence looks up the 2-fattest depth between its bounds; a hit raises the lower
   bound to that node's depth, a miss drops the upper one below the handle. Its exit node is found after as
   many steps as its length has bits; the place where it leaves that node's edge comes from the edge itself.
-* Batches: all sequences are located at once. Of those that leave the trie at one place with the same next
-  turn one, drawn by a hash, is inserted with all its turns; the others look on from there in the next
-  round. A sequence meets about half as many rivals in each round, whatever the trie's shape.
+* Batches: all sequences of a batch are located at once. Of those that leave the trie at one place with the same
+  next turn one, drawn by a hash, is inserted with all its turns; the others leave the trie next where they
+  leave that one. A sequence meets about half as many rivals in each round, whatever the trie's shape.
 * Edges are expanded at the end: the turns on an edge have all their node's members.
 
 Copies of a sequence enter once. Prefixes are summed up over ranges of rows, edges are cut in blocks, and
@@ -26,19 +26,24 @@ rebuilt without turns are members of the root alone. An empty table gives no row
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reqframe.llm.common import forget, saved
+from reqframe.llm.common import saved
 from reqframe.llm.ordered import running
 
 #: Original turns that a conversation may take from the first of its family.
 SHARED, FAMILY = 9, 5
 #: Depths of an edge, or marks of a path, that are handled together.
 BLOCK = 1024
+#: Prefixes kept in one row.
+CHUNK = 256
+#: The first batch is one in so many sequences.
+SHARE = 16
 #: Steps of the binary search planned as one job.
 STEPS = 4
 #: Ids joined in one piece of a digest.
@@ -103,77 +108,113 @@ def _fattest(low: str, high: str) -> str:
     return f"shiftleft(shiftright({high}, {bits}), {bits})"
 
 
+class Prefixes:
+    """Prefixes of distinct sequences, ``CHUNK`` depths a row: ``s, chunk, k1, k2, upto`` (arrays)."""
+
+    def __init__(self, prefixes: DataFrame):
+        place = F.floor((F.col("d") - 1) / CHUNK).cast("long")
+        rows = prefixes.groupBy("s", place.alias("chunk")).agg(F.array_sort(F.collect_list(F.struct("d", "k1", "k2", "upto"))).alias("x"))
+        self.chunks = saved(rows.select("s", "chunk", *(F.col("x").getField(n).alias(n) for n in ("k1", "k2", "upto"))), "prefixes")
+
+    def at(self, frame: DataFrame, who: str, depth, **names: str) -> DataFrame:
+        """``frame`` with values of sequence ``who`` at a depth under new names; null where there is none."""
+        chunk, within = F.floor((depth - 1) / CHUNK).cast("long"), (F.pmod(depth - 1, F.lit(CHUNK)) + 1).cast("int")
+        mine = self.chunks.select(F.col("s").alias("_s"), F.col("chunk").alias("_chunk"), *(F.col(n).alias(f"_{n}") for n in names))
+        joined = frame.withColumns({"_at": F.when(depth > 0, chunk), "_within": within})
+        joined = joined.join(mine, (F.col(who) == F.col("_s")) & (F.col("_at") == F.col("_chunk")), "left")
+        found = {new: F.try_element_at(F.col(f"_{n}"), F.col("_within")) for n, new in names.items()}
+        return joined.withColumns(found).drop("_at", "_within", "_s", "_chunk", *(f"_{n}" for n in names))
+
+    def shared(self, pairs: DataFrame, one: str, other: str, low: str, high: str) -> DataFrame:
+        """``one, more`` for pairs of sequences that are equal up to depth ``low``: how many depths more, up to ``high``."""
+        spans = pairs.where(f"{low} < {high}").select(one, other, low, high)
+        blocks = spans.withColumn("chunk", F.explode(F.sequence(F.floor(F.col(low) / CHUNK), F.floor((F.col(high) - 1) / CHUNK))))
+        for who, name in ((one, "a"), (other, "b")):
+            mine = self.chunks.select(F.col("s").alias(who), "chunk", F.col("k1").alias(f"{name}1"), F.col("k2").alias(f"{name}2"))
+            blocks = blocks.join(mine, [who, "chunk"])
+        depths = F.sequence(F.greatest(F.col(low) - F.col("chunk") * CHUNK, F.lit(0)), F.least(F.col(high) - F.col("chunk") * CHUNK, F.lit(CHUNK)) - 1)
+        equal = F.filter(depths, lambda i: (F.get("a1", i) == F.get("b1", i)) & (F.get("a2", i) == F.get("b2", i)))
+        return blocks.select(one, F.size(equal).alias("equal")).groupBy(one).agg(F.sum("equal").alias("more"))
+
+
 class Trie:
     """The compacted trie of distinct sequences.
 
-    ``sequences``: ``s, len, k1, k2, total, n``; ``prefixes``: ``s, d, k1, k2, upto`` for d from 1 to len.
-    After ``build``: ``paths`` (``s, x, onto``: path s leaves path ``onto`` at depth x; the root is depth 0 of
-    no path) and ``nodes`` (``r, e, p``: the node at depth e of path r, its edge beginning at depth p, with
-    ``f`` and its handle, the prefix of its end and that of its first turn).
+    ``sequences``: ``s, len, k1, k2, total, n``. After ``build``: ``paths`` (``s, x, onto``: path s leaves path ``onto`` at
+    depth x; the root is depth 0 of no path) and ``nodes`` (``r, e, p``: the node at depth e of path r, its edge
+    beginning at depth p, with ``f`` and its handle, the prefix of its end and that of its first turn).
     """
 
-    def __init__(self, sequences: DataFrame, prefixes: DataFrame):
+    def __init__(self, sequences: DataFrame, prefixes: Prefixes):
         self.sequences, self.prefixes = sequences, prefixes
         self.paths = self.marks = self.nodes = None
         self.rounds = 0
 
     def build(self) -> Trie:
-        todo = self.sequences.select("s", "len", F.lit(0).cast("long").alias("x"), F.lit(None).cast("long").alias("onto"))
-        while True:
-            todo = saved(self._leaving(todo if self.nodes is None else self._located(todo)), "exits")
-            waiting = todo.where("not first and x < len")
-            self._insert(todo)
-            self.rounds += 1
-            if waiting.isEmpty():
-                return self
-            todo = waiting.select("s", "len", "x", "onto")
-
-    def _at(self, frame: DataFrame, who: str, depth, prefix: str, how: str = "left") -> DataFrame:
-        """``frame`` with the prefix of sequence ``who`` at a depth as ``<prefix>1, <prefix>2``; null where there is none."""
-        named = self.prefixes.select(F.col("s").alias("_s"), F.col("d").alias("_d"), F.col("k1").alias(f"{prefix}1"), F.col("k2").alias(f"{prefix}2"))
-        return frame.withColumn("_at", depth).join(named, (F.col(who) == F.col("_s")) & (F.col("_at") == F.col("_d")), how).drop("_s", "_d", "_at")
-
-    def _leaving(self, located: DataFrame) -> DataFrame:
-        """Which sequence of those that leave at one place with the same next turn is inserted: ``first``."""
-        next_turn = self._at(located, "s", F.col("x") + 1, "q").withColumn("draw", F.xxhash64("s"))  # one to one
-        drawn = next_turn.where("x < len").groupBy("q1", "q2").agg(F.min("draw").alias("drawn")).select("drawn")
-        joined = next_turn.join(drawn, F.col("draw") == F.col("drawn"), "left")
-        return joined.select("s", "len", "x", "onto", F.col("drawn").isNotNull().alias("first"))
+        # the first batch is a share of the sequences, drawn by a hash; the second finds a trie to search
+        first = F.pmod(F.xxhash64("s", F.lit(1)), F.lit(SHARE)) == 0
+        for batch in (self.sequences.where(first), self.sequences.where(~first)):
+            batch = batch.select("s", "len", F.lit(0).cast("long").alias("x"), F.lit(None).cast("long").alias("onto"))
+            if not batch.isEmpty():
+                self._insert(batch if self.nodes is None else self._located(batch))
+        return self
 
     def _insert(self, exits: DataFrame) -> None:
-        """A batch: new paths, and nodes where they leave or end and where sequences end on edges."""
-        added = exits.where("first").select("s", "x", "onto")
-        before = self.paths, self.marks, self.nodes
-        self.paths = saved(added if self.paths is None else self.paths.unionByName(added), "paths")
-        ends = exits.where("first").select(F.col("s").alias("r"), F.col("len").alias("e"))
-        places = exits.where("onto is not null and (first or x = len)").select(F.col("onto").alias("r"), F.col("x").alias("e"))
-        marks = ends.unionByName(places)
-        self.marks = saved((marks if self.marks is None else self.marks.unionByName(marks)).distinct(), "marks")
-        block = self.marks.withColumn("block", F.floor(F.col("e") / BLOCK))
-        inside = block.withColumn("before", F.lag("e").over(Window.partitionBy("r", "block").orderBy("e")))
-        tops = block.groupBy("r", "block").agg(F.max("e").alias("top"))
+        """A batch: where its sequences leave the trie, one of those with the same next turn becomes a path.
+
+        The others follow that path as far as they share it, which is where they leave the trie next.
+        """
+        paths, marks, state = [], [exits.where("onto is not null and x = len").select(F.col("onto").alias("r"), F.col("x").alias("e"))], exits
+        while True:
+            state = state.where("x < len")
+            going = self.prefixes.at(state, "s", F.col("x") + 1, k1="q1", k2="q2")
+            drawn = saved(going.groupBy("q1", "q2").agg(F.min_by("s", F.xxhash64("s")).alias("path")), "drawn")  # one to one
+            chosen = drawn.select(F.col("q1").alias("w1"), F.col("q2").alias("w2"), "path")
+            joined = saved(going.join(chosen, (F.col("q1") == F.col("w1")) & (F.col("q2") == F.col("w2"))).select("s", "len", "x", "onto", "path"), "joined")
+            self.rounds += 1
+            new = joined.where("s = path")
+            paths.append(new.select("s", "x", "onto"))
+            marks += [new.select(F.col("s").alias("r"), F.col("len").alias("e")), new.where("onto is not null").select(F.col("onto").alias("r"), F.col("x").alias("e"))]
+            rest = joined.where("s <> path")
+            if rest.isEmpty():
+                break
+            ends = self.sequences.select(F.col("s").alias("path"), F.col("len").alias("path_len"))
+            rest = rest.join(ends, "path").select("s", "len", "path", (F.col("x") + 1).alias("low"), F.least("len", "path_len").alias("high"))
+            more = self.prefixes.shared(rest, "s", "path", "low", "high")
+            state = rest.join(more, "s", "left").select("s", "len", (F.col("low") + F.coalesce("more", F.lit(0))).alias("x"), F.col("path").alias("onto"))
+            state = saved(state, "state")
+            marks.append(state.where("x = len").select(F.col("onto").alias("r"), F.col("x").alias("e")))
+            if state.where("x < len").isEmpty():
+                break
+        self.paths = saved(reduce(DataFrame.unionByName, paths if self.paths is None else [self.paths, *paths]), "paths")
+        marks = reduce(DataFrame.unionByName, marks if self.marks is None else [self.marks, *marks])
+        self.marks = saved(marks.distinct().withColumn("block", F.floor(F.col("e") / BLOCK)), "marks")
+        # the node before on the path, or the place where the path begins
+        inside = self.marks.withColumn("before", F.lag("e").over(Window.partitionBy("r", "block").orderBy("e")))
+        tops = self.marks.groupBy("r", "block").agg(F.max("e").alias("top"))
         earlier = tops.withColumn("earlier", F.lag("top").over(Window.partitionBy("r").orderBy("block"))).drop("top")
         nodes = inside.join(earlier, ["r", "block"]).join(self.paths.select(F.col("s").alias("r"), F.col("x").alias("start")), "r")
         nodes = nodes.select("r", "e", F.coalesce("before", "earlier", "start").alias("p")).withColumn("f", F.expr(_fattest("p", "e")))
-        nodes = self._at(self._at(self._at(nodes, "r", F.col("f"), "h"), "r", F.col("e"), "end"), "r", F.col("p") + 1, "entry")
-        self.nodes = saved(nodes, "nodes")
-        for old in filter(None, before):
-            forget(old)
+        at = self.prefixes.at
+        nodes = at(at(at(nodes, "r", F.col("f"), k1="h1", k2="h2"), "r", F.col("e"), k1="end1", k2="end2"), "r", F.col("p") + 1, k1="entry1", k2="entry2")
+        self.nodes, self.marks = saved(nodes, "nodes"), self.marks.drop("block")
 
     def _located(self, todo: DataFrame) -> DataFrame:
-        """Where each sequence leaves the trie: depth ``x`` of path ``onto``; it is known to be at or below the given place."""
+        """The exit of each sequence from the trie: depth ``x`` of path ``onto``."""
+        at = self.prefixes.at
         handles = self.nodes.select(
             F.col("f").alias("hf"), F.col("h1").alias("hh1"), F.col("h2").alias("hh2"), F.col("r").alias("hr"), F.col("e").alias("he")
         )
-        state = todo.select("*", F.col("x").alias("lo"), F.col("len").alias("hi"), F.lit(None).cast("long").alias("r"), F.lit(None).cast("long").alias("e"), F.lit(None).cast("long").alias("f"))
+        nothing = F.lit(None).cast("long")
+        state = todo.select("s", "len", F.lit(0).cast("long").alias("lo"), F.col("len").alias("hi"), nothing.alias("r"), nothing.alias("e"), nothing.alias("f"))
         while True:
             for _ in range(STEPS):
                 state = state.withColumn("g", F.expr(f"if(lo < hi, {_fattest('lo', 'hi')}, null)"))
-                state = self._at(state, "s", F.col("g"), "g")
+                state = at(state, "s", F.col("g"), k1="g1", k2="g2")
                 state = state.join(handles, (F.col("g") == F.col("hf")) & (F.col("g1") == F.col("hh1")) & (F.col("g2") == F.col("hh2")), "left")
                 hit = F.col("hr").isNotNull()
                 state = state.select(
-                    "s", "len", "x", "onto",
+                    "s", "len",
                     F.when(hit, F.col("he")).otherwise(F.col("lo")).alias("lo"),
                     F.when(hit | F.col("g").isNull(), F.col("hi")).otherwise(F.col("g") - 1).alias("hi"),
                     F.coalesce("hr", "r").alias("r"), F.coalesce("he", "e").alias("e"), F.when(hit, F.col("g")).otherwise(F.col("f")).alias("f"),
@@ -183,30 +224,25 @@ class Trie:
                 break
         # the last hit is passed if the sequence has its whole prefix; then an edge below may begin with the next turn
         ends = self.nodes.select(F.col("r").alias("nr"), F.col("e").alias("ne"), "end1", "end2")
-        state = self._at(state, "s", F.col("e"), "own").join(ends, (F.col("r") == F.col("nr")) & (F.col("e") == F.col("ne")), "left")
+        state = at(state, "s", F.col("e"), k1="own1", k2="own2").join(ends, (F.col("r") == F.col("nr")) & (F.col("e") == F.col("ne")), "left")
         passed = F.coalesce((F.col("own1") == F.col("end1")) & (F.col("own2") == F.col("end2")), F.lit(False))
-        within = F.col("r").isNotNull() & ~passed
-        state = state.withColumns({"within": within, "onto": F.when(passed, F.col("r")).otherwise(F.col("onto")), "x": F.when(passed, F.col("e")).otherwise(F.col("x"))})
+        state = state.withColumns({"within": F.col("r").isNotNull() & ~passed, "x": F.when(passed, F.col("e")).otherwise(0)})
         entries = self.nodes.select(F.col("p").alias("np"), F.col("entry1").alias("ne1"), F.col("entry2").alias("ne2"), F.col("r").alias("below"), F.col("e").alias("below_e"))
-        state = self._at(state, "s", F.when(~F.col("within"), F.col("x") + 1), "own_next")
-        state = state.join(entries, (F.col("x") == F.col("np")) & (F.col("own_next1") == F.col("ne1")) & (F.col("own_next2") == F.col("ne2")), "left")
+        state = at(state, "s", F.when(~F.col("within"), F.col("x") + 1), k1="next1", k2="next2")
+        state = state.join(entries, (F.col("x") == F.col("np")) & (F.col("next1") == F.col("ne1")) & (F.col("next2") == F.col("ne2")), "left")
         state = state.select(
-            "s", "len", "x", "onto",
+            "s", "len",
             F.when(F.col("within"), F.col("r")).otherwise(F.col("below")).alias("edge"),
-            F.when(F.col("within"), F.col("f")).otherwise(F.col("x") + 1).alias("known"),
-            F.least("len", F.when(F.col("within"), F.col("e")).otherwise(F.col("below_e"))).alias("most"),
+            F.when(F.col("within"), F.col("f")).when(F.col("below").isNotNull(), F.col("x") + 1).otherwise(F.col("x")).alias("low"),
+            F.least("len", F.when(F.col("within"), F.col("e")).otherwise(F.col("below_e"))).alias("high"),
+            F.when(~F.col("within"), F.col("r")).alias("node"),
         )
         state = saved(state, "edges")
         # along the edge, prefixes are equal up to the place where the sequence leaves it
-        mine = self.prefixes.join(state.where("edge is not null and known < most").select("s", "edge", "known", "most"), "s").where("d > known and d <= most")
-        theirs = self.prefixes.select(F.col("s").alias("edge"), "d", F.col("k1").alias("t1"), F.col("k2").alias("t2"))
-        equal = mine.join(theirs, ["edge", "d"]).where("k1 = t1 and k2 = t2").groupBy("s").agg(F.count("*").alias("more"))
-        on_edge = F.col("edge").isNotNull()
-        return state.join(equal, "s", "left").select(
-            "s", "len",
-            F.when(on_edge, F.col("known") + F.coalesce("more", F.lit(0).cast("long"))).otherwise(F.col("x")).alias("x"),
-            F.coalesce("edge", "onto").alias("onto"),
-        )
+        more = self.prefixes.shared(state.where("edge is not null"), "s", "edge", "low", "high")
+        return saved(state.join(more, "s", "left").select(
+            "s", "len", (F.col("low") + F.coalesce("more", F.lit(0))).alias("x"), F.coalesce("edge", "node").alias("onto"),
+        ), "located")
 
 
 def _pieces(batches):
@@ -284,7 +320,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     kinds = saved(kinds, "kinds")
     whole = convs.agg(F.min("c").alias("low"), F.count("*").alias("n")).first()
     sequences = kinds.where("len > 0")
-    prefixes = saved(prefixes.join(sequences.select("s"), F.col("c") == F.col("s"), "left_semi").withColumnRenamed("c", "s"), "paths-of")
+    prefixes = Prefixes(prefixes.join(sequences.select("s"), F.col("c") == F.col("s"), "left_semi").withColumnRenamed("c", "s"))
     trie = Trie(sequences, prefixes).build() if not sequences.isEmpty() else None
 
     # digests of the members that end with each sequence; a single id needs no order
@@ -300,11 +336,8 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
         return _rows(conversations, [root])
 
     paths, nodes = trie.paths, trie.nodes.select("r", "e", "p", F.col("end1").alias("k1"), F.col("end2").alias("k2"))
-    upto = prefixes.select(F.col("s").alias("_s"), F.col("d").alias("_d"), "upto")
-
     def bytes_at(frame: DataFrame, who: str, depth, name: str) -> DataFrame:
-        joined = frame.withColumn("_at", depth).join(upto.withColumnRenamed("upto", name), (F.col(who) == F.col("_s")) & (F.col("_at") == F.col("_d")), "left")
-        return joined.withColumn(name, F.coalesce(name, F.lit(0).cast("long"))).drop("_s", "_d", "_at")
+        return prefixes.at(frame, who, depth, upto=name).withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
 
     # what each sequence brings: its copies, the bytes of its own edges, and whether its path ends in a leaf
     branches = saved(paths.groupBy(F.col("onto").alias("r"), F.col("x").alias("e")).agg(F.count("*").alias("branches")), "branches")
@@ -317,7 +350,9 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     ), "own")
 
     # members of each node: the sequences that have its prefix
-    passing = prefixes.select("s", F.col("d").alias("e"), "k1", "k2").join(nodes.select("r", "e", "k1", "k2"), ["e", "k1", "k2"]).select("r", "e", "s")
+    turn = F.explode(F.arrays_zip(F.sequence(F.lit(1), F.size("k1")).alias("i"), F.col("k1"), F.col("k2"))).alias("t")
+    passing = prefixes.chunks.select("s", "chunk", turn).select("s", (F.col("chunk") * CHUNK + F.col("t.i")).alias("e"), "t.k1", "t.k2")
+    passing = passing.join(nodes.select("r", "e", "k1", "k2"), ["e", "k1", "k2"]).select("r", "e", "s")
     stats = passing.join(own.drop("total"), "s").groupBy("r", "e").agg(
         F.min("s").alias("low"), F.sum("n").alias("n_convs"), F.sum("leaf").alias("n_leaves"), F.sum("all_bytes").alias("all_bytes"), F.sum("own_bytes").alias("own_bytes")
     )
