@@ -247,28 +247,37 @@ def suffix_order(data: np.ndarray, length: int) -> tuple[list[tuple[int, np.ndar
     n = len(data)
     padded = np.zeros(n + 8, np.uint8)
     padded[:n] = data
-    eight = np.lib.stride_tricks.sliding_window_view(padded, 8)[:n]
-    value = np.ascontiguousarray(eight).view(">u8").ravel().astype(np.uint64)
-    levels, size = [], 8
-    _, rank = np.unique(value, return_inverse=True)
-    levels.append((8, rank))
-
-    def joined(rank, by):
-        after = np.zeros(n, np.int64)
-        after[: n - by] = rank[by:] + 1
-        order = np.argsort(rank * (n + 2) + after, kind="stable")
-        both = (rank * (n + 2) + after)[order]
-        new = np.empty(n, np.int64)
-        new[order] = np.cumsum(np.diff(both, prepend=both[:1]) != 0)
-        return order, new
-
-    order = np.argsort(rank, kind="stable")
+    value = np.zeros(n, np.uint64)
+    for k in range(8):
+        value = (value << np.uint64(8)) | padded[k : k + n]
+    # a rank is the place of its group's first suffix, so that groups are refined each for itself
+    first = np.argsort(value)
+    new_group = np.concatenate([[True], np.diff(value[first]) != 0])
+    rank = np.empty(n, np.int64)
+    rank[first] = np.maximum.accumulate(np.where(new_group, np.arange(n), 0))
+    levels, size = [(8, rank)], 8
+    alone = np.empty(n, bool)
+    alone[first] = new_group & np.append(new_group[1:], True)
+    going = np.flatnonzero(~alone)
     while size < length:
         by = min(size, length - size)
-        order, rank = joined(rank, by)
+        rank = rank.copy()
+        if len(going):
+            after = np.zeros(len(going), np.int64)
+            inside = going + by < n
+            after[inside] = levels[-1][1][going[inside] + by] + 1
+            key = rank[going] * (n + 2) + after
+            sort = np.argsort(key)
+            going, key = going[sort], key[sort]
+            old = rank[going]
+            place = np.arange(len(going))
+            start = np.maximum.accumulate(np.where(np.concatenate([[True], np.diff(old) != 0]), place, 0))
+            new_group = np.concatenate([[True], np.diff(key) != 0])
+            rank[going] = old + np.maximum.accumulate(np.where(new_group, place, 0)) - start
+            going = going[~(new_group & np.append(new_group[1:], True))]
         size += by
         levels.append((size, rank))
-    return levels, order, rank
+    return levels, np.argsort(rank), rank
 
 
 def common_prefix(levels, data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -299,14 +308,15 @@ def longest_previous_factors(place: np.ndarray, lcp: np.ndarray) -> np.ndarray:
     """
 
     def smaller_before(place, lcp):
-        n = len(place)
-        to, least = np.arange(n) - 1, lcp.copy()
-        while len(going := np.flatnonzero((to >= 0) & (place[np.maximum(to, 0)] > place))):
-            # only a stop that has found its own may be followed; the first of them always has
-            done = (to < 0) | (place[np.maximum(to, 0)] < place)
-            ready = going[done[to[going]]]
-            least[ready] = np.minimum(least[ready], least[to[ready]])
-            to[ready] = to[to[ready]]
+        to, least = np.arange(len(place)) - 1, lcp.copy()
+        going = np.arange(1, len(place))
+        while len(going):
+            # what lies between a place and its stop is larger, so the stop's own stop may be taken, final or not
+            going = going[place[to[going]] > place[going]]
+            stop = to[going]
+            least[going] = np.minimum(least[going], least[stop])
+            to[going] = to[stop]
+            going = going[to[going] >= 0]
         return np.where(to >= 0, least, 0)
 
     if not len(place):
