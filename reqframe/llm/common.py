@@ -83,33 +83,33 @@ def components(links: DataFrame) -> DataFrame:
         state = now
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, usable, rows: int):
-    """A bounded training sample as an Arrow table ``text, label, weight``.
+#: Bytes of text that each class may add to a training sample.
+SAMPLE_BYTES = 24 << 20
 
-    Of the labelled rows that ``usable`` lets through, each class gives up to ``rows`` rows, those of
-    the smallest hash of their id; ``weight`` restores the classes' shares. Only ids are sorted, and
-    texts are read for the chosen ids alone. Null labels, texts and ids are left out; the largest
-    label counts if an id has several.
+
+def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, usable, rows: int, most: int = SAMPLE_BYTES) -> DataFrame:
+    """A bounded training sample ``text, label, weight``, one row an id.
+
+    Of the labelled ids that ``usable`` lets through, each class gives up to ``rows``, those of the smallest hash, as long as
+    their texts hold no more than ``most`` bytes together; ``weight`` restores the classes' shares. Ids are chosen from ids
+    and lengths alone, and texts are read for the chosen ids. Null labels, texts and ids are left out; the
+    largest label counts if an id has several, and the text of the smallest hash.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.where("doc_id is not null and label in (0, 1)").where(usable).groupBy("doc_id").agg(F.max("label").alias("label"))
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     counts = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
-    picks = [
-        known.where(F.col("label") == c)
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
-        .withColumn("weight", F.lit(max(1.0, counts.get(c, 0) / rows)))
-        for c in (0, 1)
-    ]
-    chosen = F.broadcast(picks[0].unionByName(picks[1]))  # 2 * rows ids at most
-    return docs.join(chosen, "doc_id").orderBy("doc_id", F.xxhash64("text")).select("text", "label", "weight").toArrow()
-
-
-#: Rows of a few bytes each (ids) that may be broadcast; their number is counted first.
-BROADCAST_IDS = 1_000_000
-
-
-def checked(ids: DataFrame) -> DataFrame:
-    """A frame of ids, to be broadcast if it was counted to be small, else joined by shuffle."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    picks = [known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for c in (0, 1)]
+    ids = F.broadcast(picks[0].unionByName(picks[1]))  # 2 * rows ids at most
+    # equal ids are one row before anything is sent: places and lengths first
+    place = docs.join(ids, "doc_id").select("doc_id", "label", F.xxhash64("text").alias("h"), F.octet_length("text").cast("long").alias("size"))
+    one = place.groupBy("doc_id", "label").agg(F.min("h").alias("h"), F.min_by("size", "h").alias("size")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    held, chosen = {0: 0, 1: 0}, []
+    for r in one:
+        held[r["label"]] += r["size"]
+        if held[r["label"]] <= most:
+            chosen.append((r["doc_id"], r["h"], r["label"], max(1.0, counts.get(r["label"], 0) / rows)))
+    spark = documents.sparkSession
+    chosen = F.broadcast(spark.createDataFrame(chosen, "doc_id long, h long, label int, weight double"))
+    found = docs.withColumn("h", F.xxhash64("text")).join(chosen, ["doc_id", "h"])
+    return found.groupBy("doc_id", "label", "weight").agg(F.min("text").alias("text")).orderBy("doc_id").select("text", "label", "weight")

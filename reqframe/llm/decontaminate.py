@@ -1,21 +1,21 @@
 """Benchmark decontamination by greedy string tiling.
 
 Tokens are maximal runs of word characters, lower-cased; in scripts written without spaces (Chinese,
-Japanese, Thai, Lao, Khmer, Burmese, Tibetan) each character is a token of its own. An item of fewer than
-``SEED`` tokens is one window of its whole length. Windows of ``SEED`` tokens are the seeds:
-a Karp-Rabin pass rolls over every text, and only windows whose fingerprint occurs in the benchmark
-leave the task, with their tokens, so that the join with the benchmark's windows is exact.
-
-For each document and item the shared windows are tiled greedily: the longest run of windows along
-one diagonal of (position in item, position in document) is marked, its tokens are taken out on both
-sides, what is left of the other runs competes again, until no run of ``SEED`` tokens is left. Tiles
-may lie in any order, so reordered passages count. An item whose marked share reaches ``COVERAGE``
-contaminates the document.
+Japanese, Thai, Lao, Khmer, Burmese, Tibetan) each character is a token of its own. A token is its 64-bit
+hash. Windows of ``SEED`` tokens are the seeds (an item of fewer tokens is one window of its whole length):
+a Karp-Rabin pass rolls over every text, and a bitmap of ``BITS`` bits of the benchmark's fingerprints, the same
+size whatever the benchmark's, says which windows may be seeds. Of a text only the stretches that such windows cover leave
+the task; its distinct fingerprints are joined with those of the items.
+
+For each text and item that share enough seeds the stretches are tiled greedily: the longest common run of unmarked
+tokens is searched by Karp-Rabin fingerprints at falling lengths, held against a table of the unmarked windows of the item;
+it is marked on both sides, and the search goes on until no run of ``SEED`` tokens is left. Windows of text and item are
+never paired, so repetitive texts cost no more than others. Tiles may lie in any order, so reordered passages
+count. An item whose marked share reaches ``COVERAGE`` contaminates the document.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
 
 import numpy as np
@@ -23,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reqframe.llm.common import saved
+
 SEED = 5
 COVERAGE = 0.5
-#: Fingerprints are sent to the tasks up to this many (8 bytes each); beyond it all windows are joined.
-FINGERPRINTS = 4_000_000
+#: Bits of the map of fingerprints that is sent to the tasks (16 MB).
+BITS = 1 << 27
 
 _WORD = re.compile(r"\w+")
 #: Letters of scripts that put no spaces between words.
@@ -75,95 +77,173 @@ def _rolled(code: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _windows(known: dict[int, np.ndarray] | None, id_name: str, sizes: list[int] | None = None):
-    """Windows of each text: id, position, the tokens joined, number of tokens of the text.
+def _size(count: int) -> int:
+    """Tokens of the seeds of an item."""
+    return min(SEED, count)
+
+
+def _coded_rows(batch, codes: dict):
+    for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        words = tokens(text)
+        if words:
+            yield key, _coded(words, codes)
+
+
+def _bit(prints: np.ndarray) -> np.ndarray:
+    return (prints * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(32)) % np.uint64(BITS)
+
+
+def _item_rows(batches):
+    """Items as token hashes, with their distinct seeds and how often each occurs."""
+    codes = _Codes()
+    for batch in batches:
+        out = []
+        for key, code in _coded_rows(batch, codes):
+            prints, times = np.unique(_rolled(code, _size(len(code))), return_counts=True)
+            out.append((key, code.tobytes(), len(code), _size(len(code)), prints.view(np.int64).tolist(), times.tolist()))
+        if out:
+            kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            columns = [pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["item_id", "item", "n_tokens", "size", "prints", "times"])
+
+
+def _bitmap(items: DataFrame) -> np.ndarray:
+    """The bits of all seeds' fingerprints, packed; put together by words of 64 bits, of which there are ``BITS / 64`` at most."""
+
+    def words(batches):
+        for batch in batches:
+            for prints in batch.column("prints").to_pylist():
+                bits = _bit(np.array(prints, np.int64).view(np.uint64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((bits >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (bits & np.uint64(63))).view(np.int64))], names=["word", "bits"]
+                )
+
+    got = items.select("prints").mapInArrow(words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(BITS // 64, np.uint64)
+    out[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _hit_rows(known, sizes: list[int]):
+    """Texts with windows that may be seeds: their distinct fingerprints, and the token hashes that such windows cover.
 
-    Items (no ``sizes``) have windows of ``SEED`` tokens, or one of all their tokens if they are shorter.
-    Documents have windows of all ``sizes`` whose fingerprints are known (any, if ``known`` is None); of
-    a short item's window, the first in the text.
+    Between stretches of ``codes`` stands one entry that ``apart`` marks; it matches nothing.
     """
 
     def run(batches):
         codes = _Codes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids, pos, gram, count = [], [], [], []
-                for key, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    words = tokens(text)
-                    code = _coded(words, codes) if known is not None else None
-                    for size in sizes if sizes is not None else [min(SEED, len(words))] if words else []:
-                        if known is None:
-                            hit = range(len(words) - size + 1)
-                        else:
-                            prints = _rolled(code, size)
-                            if not len(prints):
-                                continue
-                            found = np.minimum(np.searchsorted(known[size], prints), len(known[size]) - 1)
-                            hit = np.flatnonzero(known[size][found] == prints).tolist()
-                        seen = set()
-                        for p in hit:
-                            joined = " ".join(words[p : p + size])
-                            if size < SEED:
-                                if joined in seen:
-                                    continue
-                                seen.add(joined)
-                            ids.append(key)
-                            pos.append(p)
-                            gram.append(joined)
-                            count.append(len(words))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(pos, pa.int32()), pa.array(gram, pa.string()), pa.array(count, pa.int32())],
-                    names=[id_name, "pos", "gram", "n_tokens"],
-                )
+                out = []
+                for key, code in _coded_rows(batch.slice(at, 256), codes):
+                    covered, prints = np.zeros(len(code), bool), []
+                    for size in sizes:
+                        rolled = _rolled(code, size)
+                        bits = _bit(rolled)
+                        hit = np.flatnonzero((known.value[(bits >> np.uint64(6)).astype(np.int64)] >> (bits & np.uint64(63))) & np.uint64(1))
+                        for k in range(size):
+                            covered[hit + k] = True
+                        prints.append(rolled[hit])
+                    prints = np.unique(np.concatenate(prints))
+                    if not len(prints):
+                        continue
+                    ends = np.flatnonzero(covered[:-1] & ~covered[1:]) + 1
+                    covered[ends] = True
+                    apart = np.zeros(len(code), bool)
+                    apart[ends] = True
+                    out.append((key, prints.view(np.int64).tolist(), code[covered].tobytes(), np.packbits(apart[covered]).tobytes()))
+                if out:
+                    kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+                    columns = [pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "prints", "codes", "apart"])
 
     return run
 
 
-def tile(pairs: list[tuple[int, int]], seed: int = SEED) -> list[tuple[int, int, int]]:
-    """Greedy tiles ``(item position, document position, length)`` from equal windows.
+class _Prints:
+    """Fingerprints of windows of any length of a sequence, from one prefix sum."""
+
+    def __init__(self, code: np.ndarray):
+        n = len(code)
+        power = np.full(n + 1, _BASE, np.uint64)
+        power[0] = 1
+        self.up = np.cumprod(power)
+        power[1:] = np.uint64(pow(_BASE, -1, 2**64))
+        self.down = np.cumprod(power)
+        self.total = np.zeros(n + 1, np.uint64)
+        np.cumsum(code * self.up[:n], out=self.total[1:])
 
-    Longest first; ties by item position, then document position.
+    def of(self, start: np.ndarray, size: int) -> np.ndarray:
+        return (self.total[start + size] - self.total[start]) * self.down[start]
+
+
+def _free(marked: np.ndarray, size: int) -> np.ndarray:
+    """Starts of windows without a marked token."""
+    total = np.concatenate([[0], np.cumsum(marked)])
+    return np.flatnonzero(total[size:] == total[:-size]) if size <= len(marked) else np.zeros(0, np.int64)
+
+
+def tiles_of(item: np.ndarray, text: np.ndarray, apart: np.ndarray, least: int = SEED) -> list[tuple[int, int, int]]:
+    """Greedy tiles ``(item position, text position, length)`` of two sequences of token hashes.
+
+    Longest first; ties by item position, then text position. ``apart`` are entries of the text that match nothing.
     """
-    runs: list[tuple[int, int, int]] = []
-    last: dict[int, tuple[int, int]] = {}
-    for i, j in sorted(set(pairs)):
-        start, length = last.get(j - i, (None, 0))
-        if start is not None and start + length == i:
-            last[j - i] = (start, length + 1)
-        else:
-            if start is not None:
-                runs.append((start, start + j - i, length + seed - 1))
-            last[j - i] = (i, 1)
-    runs += [(start, start + d, length + seed - 1) for d, (start, length) in last.items()]
-    heap = [(-n, i, j) for i, j, n in runs]
-    heapq.heapify(heap)
-    used_i, used_j, tiles = set(), set(), []
-    while heap:
-        n, i, j = heapq.heappop(heap)
-        free = [k for k in range(-n) if i + k not in used_i and j + k not in used_j]
-        if len(free) == -n:
-            tiles.append((i, j, -n))
-            used_i.update(range(i, i - n))
-            used_j.update(range(j, j - n))
-            continue
-        start = 0
-        for k in range(1, len(free) + 1):  # what is left between marked tokens competes again
-            if k == len(free) or free[k] != free[k - 1] + 1:
-                if k - start >= seed:
-                    heapq.heappush(heap, (-(k - start), i + free[start], j + free[start]))
-                start = k
-    return tiles
+    in_item, in_text = _Prints(item), _Prints(text)
+    used_item, used_text = np.zeros(len(item), bool), apart.copy()
+    tiles = []
+
+    def shared(size: int):
+        """Unmarked windows of both that have a fingerprint in common."""
+        i, j = _free(used_item, size), _free(used_text, size)
+        x, y = in_item.of(i, size), in_text.of(j, size)
+        # the item's windows are the table, the shorter side
+        known = np.unique(x)
+        if not len(known) or not len(y):
+            return i[:0], j[:0], x[:0], y[:0]
+        j_in = known[np.minimum(np.searchsorted(known, y), len(known) - 1)] == y
+        i_in = np.isin(x, y[j_in])
+        return i[i_in], j[j_in], x[i_in], y[j_in]
+
+    most = min(len(item), len(text))
+    while True:
+        # the longest length of which there is a common unmarked run; every shorter one has some, too
+        low, high = least - 1, most
+        while low < high:
+            size = (low + high + 1) // 2
+            low, high = (size, high) if len(shared(size)[0]) else (low, size - 1)
+        if low < least:
+            return tiles
+        i, j, x, y = shared(low)
+        order = np.argsort(y, kind="stable")
+        keys, begin, times = np.unique(y[order], return_index=True, return_counts=True)
+        starts = dict(zip(keys.tolist(), begin.tolist(), strict=True))
+        ends = dict(zip(keys.tolist(), (begin + times).tolist(), strict=True))
+        at_text = j[order].tolist()
+        for p, key in zip(i.tolist(), x.tolist(), strict=True):
+            if used_item[p : p + low].any():
+                continue
+            # places that are passed over stay marked, so each is looked at once
+            k = starts[key]
+            while k < ends[key] and (used_text[(q := at_text[k])] or used_text[q : q + low].any()):
+                k += 1
+            starts[key] = k
+            if k < ends[key]:
+                used_item[p : p + low] = True
+                used_text[q : q + low] = True
+                tiles.append((p, q, low))
+        most = low
 
 
 def _tiled(batches):
     for batch in batches:
         marked, n_tiles, longest = [], [], []
-        for at, n in zip(batch.column("at").to_pylist(), batch.column("n_tokens").to_pylist(), strict=True):
-            tiles = tile([(x["ipos"], x["pos"]) for x in at], min(SEED, n))
+        for item, codes, apart, size in zip(*(batch.column(k).to_pylist() for k in ("item", "codes", "apart", "size")), strict=True):
+            text = np.frombuffer(codes, np.uint64)
+            gaps = np.unpackbits(np.frombuffer(apart, np.uint8), count=len(text)).astype(bool)
+            tiles = tiles_of(np.frombuffer(item, np.uint64), text, gaps, size)
             marked.append(sum(n for _, _, n in tiles))
             n_tiles.append(len(tiles))
-            longest.append(max(n for _, _, n in tiles))
+            longest.append(max([n for _, _, n in tiles], default=0))
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(k) for k in ("doc_id", "item_id", "n_tokens")), pa.array(n_tiles, pa.int32()), pa.array(longest, pa.int32()), pa.array(marked, pa.int32())],
             names=["doc_id", "item_id", "n_tokens", "n_tiles", "longest", "marked"],
@@ -175,36 +255,32 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
 
     One row for each pair whose tiles cover at least ``coverage`` of the item's tokens (``n_tokens``).
     An item shorter than ``SEED`` tokens must occur whole. Texts that are null or without tokens match
-    nothing; rows without an id are left out. Rows of one id count as one text (their windows are pooled); repeated
-    rows change nothing. Other columns are ignored. Empty tables give no rows.
+    nothing; rows without an id are left out. Each row is a text of its own; of the rows of one id, and of the items of one
+    id, the pair with the greatest coverage is given. Other columns are ignored. Empty tables give no rows.
     """
-    spark = documents.sparkSession
-    docs = documents.select(F.col("doc_id").cast("long").alias("id"), "text").where("id is not null and text is not null")
-    items = benchmark.select(F.col("item_id").cast("long").alias("id"), "text").where("id is not null and text is not null")
-    kinds = "pos int, gram string, n_tokens int"
-    seeds = items.mapInArrow(_windows(None, "item_id"), f"item_id long, {kinds}").distinct()
-    seeds = seeds.withColumnRenamed("pos", "ipos")
-
-    def prints(batches):
-        codes = _Codes()
-        for batch in batches:
-            for size in range(1, SEED + 1):
-                words = [w for w in map(tokens, batch.column("text").to_pylist()) if w and min(SEED, len(w)) == size]
-                if words:
-                    found = np.unique(np.concatenate([fingerprints(w, codes, size) for w in words])).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), size, np.int32)), pa.array(found)], names=["size", "print"])
-
-    distinct = items.mapInArrow(prints, "size int, print long").distinct()
-    got = distinct.limit(FINGERPRINTS + 1).toArrow()
-    size, found = got.column("size").to_numpy(), got.column("print").to_numpy().view(np.uint64)
-    if got.num_rows <= FINGERPRINTS:
-        known = {k: np.sort(found[size == k]) for k in np.unique(size).tolist()}
-        sizes = list(known)
-    else:
-        known, sizes = None, list(range(1, SEED + 1))
-    hits = docs.mapInArrow(_windows(known, "doc_id", sizes), f"doc_id long, {kinds}").drop("n_tokens")
-    shared = hits.join(seeds, "gram").groupBy("doc_id", "item_id", "n_tokens")
-    # a group is one document's windows of one item
-    at = shared.agg(F.collect_set(F.struct("ipos", "pos")).alias("at")).where(F.size("at") + (SEED - 1) * F.size("at") >= coverage * F.col("n_tokens"))
-    tiled = at.mapInArrow(_tiled, "doc_id long, item_id long, n_tokens int, n_tiles int, longest int, marked int")
-    return tiled.withColumn("coverage", F.col("marked") / F.col("n_tokens")).where(F.col("coverage") >= coverage)
+    docs = documents.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null and text is not null")
+    items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null and text is not null").distinct()
+    items = saved(
+        items.mapInArrow(_item_rows, "item_id long, item binary, n_tokens int, size int, prints array<long>, times array<long>").withColumn("entry", F.monotonically_increasing_id()),
+        "items",
+    )
+    sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # SEED of them at most
+    known = documents.sparkSession.sparkContext.broadcast(_bitmap(items))
+    hits = docs.mapInArrow(_hit_rows(known, sizes), "doc_id long, prints array<long>, codes binary, apart binary") if sizes else docs.select(
+        F.col("id").alias("doc_id"), F.array().cast("array<long>").alias("prints"), F.lit(b"").alias("codes"), F.lit(b"").alias("apart")
+    ).where("false")
+    hits = saved(hits.withColumn("row", F.monotonically_increasing_id()), "hits")
+    seeds = items.select("entry", "n_tokens", "size", F.explode(F.arrays_zip("prints", "times")).alias("x")).select("entry", "n_tokens", "size", "x.prints", "x.times")
+    shared = hits.select("row", F.explode("prints").alias("prints")).join(seeds, "prints").groupBy("row", "entry").agg(
+        F.sum("times").alias("windows"), F.first("n_tokens").alias("n"), F.first("size").alias("seed")
+    )
+    # as many windows cover at most SEED times as many tokens
+    pairs = shared.where(F.col("windows") * F.col("seed") >= coverage * F.col("n")).select("row", "entry")
+    both = pairs.join(items.drop("prints", "times"), "entry").join(hits.drop("prints"), "row")
+    tiled = both.select("doc_id", "item_id", "item", "n_tokens", "size", "codes", "apart").mapInArrow(
+        _tiled, "doc_id long, item_id long, n_tokens int, n_tiles int, longest int, marked int"
+    )
+    enough = tiled.withColumn("coverage", F.col("marked") / F.col("n_tokens")).where((F.col("coverage") >= coverage) & (F.col("marked") >= F.least("n_tokens", F.lit(SEED))))
+    rest = ["n_tokens", "n_tiles", "longest", "marked"]
+    best = enough.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", *rest)).alias("x"))
+    return best.select("doc_id", "item_id", *(f"x.{c}" for c in rest), "x.coverage")

@@ -3,14 +3,18 @@
 Vectors are scaled to length one and rotated onto the principal axes of the whole table (a sum of
 outer products, one matrix from each task). A tree of cuts along the leading axes, fitted on a
 bounded sample, deals the vectors into cells; a cell with more than ``TILE`` vectors is cut further
-by a hash of the vector, so no tile grows with a hot spot.
-
-Two unit vectors with cosine >= t are at most sqrt(2 - 2t) apart. A vector visits those cells only
-whose box along the cut axes comes that close. In a tile, products are summed over blocks of leading
-axes; after each block the rest is bounded by the product of the suffix norms, and a pair stops as
-soon as it cannot reach t. Pairs near the threshold are decided on the given components in double
-precision. A task holds one tile and one batch of visitors; it emits counts of links and a spanning
-forest of them, never the pairs.
+by a hash of the vector, so no tile grows with a hot spot. A tile travels as one packed row.
+
+Two unit vectors with cosine >= t are at most sqrt(2 - 2t) apart, so two tiles meet only if the boxes of
+their cells along the leading axes come that close. Where tiles meet, products are summed over blocks of
+leading axes; after each block the rest is bounded by the product of the suffix norms, and a pair stops as
+soon as it cannot reach t. The first block is the one that is cheapest on the sample, and its bound is one matrix
+product in single precision, with the suffix norms as one more axis and a margin for rounding. Pairs near the threshold
+are decided on the given components in double precision. A task holds a tile and a few visiting tiles; it
+emits counts of links and a spanning forest of them, never the pairs.
+
+Vectors without structure along few axes (as random ones) are far from all cells' borders' reach: then every
+tile meets every other, which costs a few nanoseconds a pair and grows with the square of the table.
 """
 
 from __future__ import annotations
@@ -24,11 +28,15 @@ from pyspark.sql import functions as F
 
 from reqframe.llm.common import components, saved
 
-TILE = 1024
+TILE = 2048
 SAMPLE = 4096
 DEPTH = 10  # at most 1,024 cells; larger cells are cut by hash
-BLOCKS = (8, 16, 32)
+BLOCKS = (8, 16, 24, 32, 48)
+AXES = 8  # leading axes of cuts and boxes
+VISITORS = 32  # consecutive tiles, about half of which visit another one together
 NEAR = 1e-9
+#: Bound on the rounding of a product of unit vectors in single precision.
+ROUNDING = 2e-5
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -60,22 +68,34 @@ def _moments(width: int):
     def run(batches):
         total = np.zeros((width, width))
         for batch in batches:
-            if batch.num_rows:
-                u = unit(_matrix(batch.column("vec"), width))
+            for at in range(0, batch.num_rows, 4096):
+                u = unit(_matrix(batch.column("vec").slice(at, 4096), width))
                 total += u.T @ u
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(width)), pa.array(list(total), pa.list_(pa.float64()))], names=["axis", "row"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array([r.tobytes() for r in total], pa.binary())], names=["axis", "row"])
 
     return run
 
 
+def _row_sums(key, table: pa.Table) -> pa.Table:
+    total = np.sum([np.frombuffer(r, np.float64) for r in table.column("row").to_pylist()], axis=0)
+    return pa.table({"axis": pa.array([key[0].as_py()], pa.int64()), "row": pa.array([total.tobytes()], pa.binary())})
+
+
+def principal_axes(nodes: DataFrame, width: int) -> np.ndarray:
+    """Columns: principal axes of the unit vectors, the strongest first. A matrix a task is summed row by row."""
+    rows = nodes.select("vec").mapInArrow(_moments(width), "axis long, row binary").groupBy("axis").applyInArrow(_row_sums, "axis long, row binary")
+    moment = np.zeros((width, width))
+    for r in rows.collect():
+        moment[r["axis"]] = np.frombuffer(r["row"], np.float64)
+    return np.linalg.eigh(moment)[1][:, ::-1].copy()
+
+
 class Cells:
     """Binary cuts along leading principal axes; a leaf is a cell."""
 
     def __init__(self, sample: np.ndarray, depth: int):
         self.cuts: list[tuple[int, float] | None] = []  # node k has children 2k+1 and 2k+2
-        axes = min(8, sample.shape[1])
+        axes = min(AXES, sample.shape[1])
         parts = [sample]
         for _ in range(depth):
             below = []
@@ -101,156 +121,215 @@ class Cells:
             node = 2 * node + 1 + (x[np.arange(len(x)), axis[node]] >= cut[node])
         return node - (2**self.depth - 1)
 
-    def near(self, x: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
-        """Row and cell of every cell whose box may hold a point within ``reach`` of the row.
 
-        Along a path the largest gap met on each axis counts, squared and summed over axes.
-        """
-        axes = max((c[0] for c in self.cuts), default=0) + 1
-        row, node, gap = np.arange(len(x)), np.zeros(len(x), np.int64), np.zeros((len(x), axes))
-        axis = np.array([c[0] for c in self.cuts] or [0])
-        cut = np.array([c[1] for c in self.cuts] or [0.0])
-        for _ in range(self.depth):
-            a = axis[node]
-            off = x[row, a] - cut[node]
-            at = np.arange(len(row))
-            rows, nodes, gaps = [], [], []
-            for child, beyond in ((1, np.maximum(off, 0)), (2, np.maximum(-off, 0))):
-                g = gap.copy()
-                g[at, a] = np.maximum(g[at, a], beyond)
-                ok = (g**2).sum(axis=1) <= reach**2 + NEAR
-                rows.append(row[ok])
-                nodes.append(2 * node[ok] + child)
-                gaps.append(g[ok])
-            row, node, gap = np.concatenate(rows), np.concatenate(nodes), np.concatenate(gaps)
-        return row, node - (2**self.depth - 1)
-
-
-def linked(a: np.ndarray, b: np.ndarray, raw_a: np.ndarray, raw_b: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+def _rest(x: np.ndarray, k: int) -> np.ndarray:
+    return np.sqrt((x[:, k:] ** 2).sum(axis=1))
+
+
+def _leading(x: np.ndarray, k: int) -> np.ndarray:
+    """The first k axes and the norm of the rest, in single precision: the product of two such rows bounds the cosine."""
+    return np.column_stack([x[:, :k], _rest(x, k)]).astype(np.float32)
+
+
+def first_block(sample: np.ndarray, least: float) -> int:
+    """How many axes are best taken at once: their cost and that of the sampled pairs that survive them."""
+    width = sample.shape[1]
+    ends = [e for e in BLOCKS if e < width] + [width]
+    a, b = sample[: len(sample) // 2][:512], sample[len(sample) // 2 :][:512]
+    if not len(a):
+        return ends[0]
+    share = [float((_leading(a, k) @ _leading(b, k).T >= least - ROUNDING).mean()) for k in ends]
+    return min(zip(ends, share, strict=True), key=lambda x: x[0] + 400 * x[1])[0]
+
+
+def linked(a: np.ndarray, b: np.ndarray, raw_a: np.ndarray, raw_b: np.ndarray, least: float, first: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Indices of the pairs of rotated unit rows with cosine >= ``least``."""
     width = a.shape[1]
     ends = [e for e in BLOCKS if e < width] + [width]
-    first = ends[0]
-    rest = lambda x, k: np.sqrt((x[:, k:] ** 2).sum(axis=1))
-    bound = a[:, :first] @ b[:, :first].T
-    i, j = np.nonzero(bound + np.outer(rest(a, first), rest(b, first)) >= least - NEAR)
-    part = bound[i, j]
-    for start, end in zip(ends, ends[1:], strict=False):
-        if not len(i):
-            break
-        tail_a, tail_b = rest(a, end), rest(b, end)
-        keep_i, keep_j, keep = [], [], []
-        for at in range(0, len(i), 1 << 17):  # bounded slices of the surviving pairs
-            p, q = i[at : at + (1 << 17)], j[at : at + (1 << 17)]
-            now = part[at : at + (1 << 17)] + np.einsum("ij,ij->i", a[p, start:end], b[q, start:end])
-            ok = now + tail_a[p] * tail_b[q] >= least - NEAR
-            keep_i.append(p[ok])
-            keep_j.append(q[ok])
-            keep.append(now[ok])
-        i, j, part = np.concatenate(keep_i), np.concatenate(keep_j), np.concatenate(keep)
-    close = np.flatnonzero(np.abs(part - least) <= NEAR)
-    if len(close):
-        x, y = raw_a[i[close]], raw_b[j[close]]
-        x, y = x / np.abs(x).max(axis=1, keepdims=True), y / np.abs(y).max(axis=1, keepdims=True)
-        dot = (x * y).sum(axis=1) / (np.sqrt((x**2).sum(axis=1)) * np.sqrt((y**2).sum(axis=1)))
-        part[close] = np.where(dot >= least, 2.0, -2.0)
-    ok = part >= least
-    return i[ok], j[ok]
-
-
-def _visits(width: int, axes: np.ndarray, cells: Cells, blocks: dict[int, int], reach: float):
-    """Each vector at home in its tile, and as a visitor of the tiles it may have links in."""
-    base = np.cumsum([0] + [blocks.get(c, 1) for c in range(2**cells.depth)])
+    first = ends[0] if first is None else first
+    ends = [e for e in ends if e >= first]
+    head = _leading(a, first)
+    i, j = [], []
+    for at in range(0, len(b), 1024):
+        x, y = np.nonzero(head @ _leading(b[at : at + 1024], first).T >= least - ROUNDING)
+        i.append(x)
+        j.append(y + at)
+    i, j = np.concatenate(i), np.concatenate(j)
+    keep_i, keep_j = [], []
+    for at in range(0, len(i), 1 << 16):  # bounded slices of the surviving pairs
+        p, q = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+        part = np.einsum("ij,ij->i", a[p, :first], b[q, :first])
+        for start, end in zip(ends, ends[1:], strict=False):
+            part += np.einsum("ij,ij->i", a[p, start:end], b[q, start:end])
+            ok = part + _rest(a[p], end) * _rest(b[q], end) >= least - NEAR
+            p, q, part = p[ok], q[ok], part[ok]
+        close = np.flatnonzero(np.abs(part - least) <= NEAR)
+        if len(close):
+            x, y = raw_a[p[close]], raw_b[q[close]]
+            x, y = x / np.abs(x).max(axis=1, keepdims=True), y / np.abs(y).max(axis=1, keepdims=True)
+            dot = (x * y).sum(axis=1) / (np.sqrt((x**2).sum(axis=1)) * np.sqrt((y**2).sum(axis=1)))
+            part[close] = np.where(dot >= least, 2.0, -2.0)
+        ok = part >= least
+        keep_i.append(p[ok])
+        keep_j.append(q[ok])
+    if not keep_i:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(keep_i), np.concatenate(keep_j)
+
+
+class Grid:
+    """Cells and their tiles: how many, where their numbers begin, and which cells' boxes come close."""
+
+    def __init__(self, cells: Cells, rows: list, reach: float):
+        """``rows``: cell, count, lowest and highest place along the leading axes."""
+        self.cells = cells
+        n = 2**cells.depth
+        count = np.zeros(n, np.int64)
+        width = len(rows[0][2]) if rows else 1
+        low, high = np.full((n, width), np.inf), np.full((n, width), -np.inf)
+        for cell, size, lo, hi in rows:
+            count[cell], low[cell], high[cell] = size, lo, hi
+        self.blocks = -(-count // TILE)
+        self.base = np.concatenate([[0], np.cumsum(self.blocks)])
+        self.near = []
+        for c in range(n):
+            gap = np.maximum(np.maximum(low - high[c], low[c] - high), 0) if count[c] else np.full((n, width), np.inf)
+            self.near.append(np.flatnonzero((count > 0) & ((gap**2).sum(axis=1) <= reach**2 + NEAR)) if count[c] else np.zeros(0, np.int64))
+
+    def tile(self, cell: np.ndarray, node: np.ndarray) -> np.ndarray:
+        return self.base[cell] + (node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % np.maximum(self.blocks[cell], 1)
+
+    def meets(self, tile: int) -> np.ndarray:
+        """Other tiles whose vectors may have links with a tile's."""
+        cell = int(np.searchsorted(self.base, tile, side="right")) - 1
+        found = [np.arange(self.base[c], self.base[c + 1]) for c in self.near[cell]]
+        found = np.concatenate(found) if found else np.zeros(0, np.int64)
+        return found[found != tile]
+
+
+def _cell_ends(width: int, axes: np.ndarray, cells: Cells):
+    """Count and box of each cell, of a task's vectors."""
+    k = min(AXES, width)
 
     def run(batches):
+        n = 2**cells.depth
+        count, low, high = np.zeros(n, np.int64), np.full((n, k), np.inf), np.full((n, k), -np.inf)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                x = unit(_matrix(part.column("vec"), width)) @ axes
-                ids = part.column("node").to_numpy(zero_copy_only=False)
+            for at in range(0, batch.num_rows, 4096):
+                x = unit(_matrix(batch.column("vec").slice(at, 4096), width)) @ axes
                 home = cells.of(x)
-                spread = np.array([blocks.get(int(c), 1) for c in home])
-                tile = base[home] + (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % spread
-                row, cell = cells.near(x, reach)
-                count = np.diff(base)[cell]
-                to = np.repeat(base[cell], count) + (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
-                row = np.repeat(row, count)
-                low, high = np.minimum(tile[row], to), np.maximum(tile[row], to)
-                # of two tiles, one receives the other's vectors: the higher one if their sum is even
-                ok = (low < high) & (to == np.where((low + high) % 2 == 0, high, low))
-                every = np.concatenate([np.arange(len(x)), row[ok]])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([tile, to[ok]])),
-                        pa.array(np.concatenate([np.zeros(len(x), np.int32), np.ones(ok.sum(), np.int32)])),
-                        pa.array(ids[every]),
-                        part.column("vec").take(pa.array(every)),
-                        part.column("copies").take(pa.array(every)),
-                    ],
-                    names=["tile", "visitor", "node", "vec", "copies"],
-                )
+                count += np.bincount(home, minlength=n)
+                np.minimum.at(low, home, x[:, :k])
+                np.maximum.at(high, home, x[:, :k])
+        got = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(got), pa.array(count[got]), *(pa.array(v[got, i]) for v in (low, high) for i in range(k))],
+            names=["cell", "n", *(f"{name}{i}" for name in ("low", "high") for i in range(k))],
+        )
+
+    return run
+
+
+def _homes(width: int, axes: np.ndarray, grid: Grid):
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                x = unit(_matrix(part.column("vec"), width)) @ axes
+                node = part.column("node").to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([pa.array(grid.tile(grid.cells.of(x), node)), part.column("node"), part.column("vec"), part.column("copies")], names=["tile", "node", "vec", "copies"])
 
     return run
 
 
-def _compare(width: int, axes: np.ndarray, least: float):
-    """Rows of a task come tile by tile, those at home first."""
+PACKED = "tile long, nodes binary, copies binary, vecs binary"
+
+
+def _packed(batches):
+    """Each tile as one row; rows come tile by tile."""
+    at, held = None, []
+
+    def row():
+        parts = [b"".join(x) for x in zip(*held, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), *(pa.array([x], pa.binary()) for x in parts)], names=["tile", "nodes", "copies", "vecs"])
+
+    for batch in batches:
+        tiles = batch.column("tile").to_numpy(zero_copy_only=False)
+        edges = np.flatnonzero(np.diff(tiles, prepend=tiles[:1] - 1)) if len(tiles) else []
+        for lo, hi in zip(edges, [*edges[1:], len(tiles)], strict=True):
+            if held and tiles[lo] != at:
+                yield row()
+                held = []
+            at = int(tiles[lo])
+            part = batch.slice(lo, hi - lo)
+            numbers = (part.column(k).to_numpy(zero_copy_only=False).astype(np.int64).tobytes() for k in ("node", "copies"))
+            held.append((*numbers, b"".join(part.column("vec").to_pylist())))
+    if held:
+        yield row()
+
+
+def _visits(grid: Grid):
+    """Each tile at home, alone and once for each group of its visitors, and as a visitor of others."""
 
     def run(batches):
-        at, home = None, None
-        names = ["kind", "a", "b"]
-
-        def seal(parts):
-            ids, raw, copies = (np.concatenate(x) for x in zip(*parts, strict=True))
-            return ids, raw, unit(raw) @ axes, copies
-
-        def emit(ids_a, ids_b, i, j, copies_a, copies_b, inside):
-            n_a = np.bincount(i, copies_b[j], len(ids_a)).astype(np.int64)
-            n_b = np.bincount(j, copies_a[i], len(ids_b)).astype(np.int64)
-            forest = _forest(ids_a[i], ids_b[j])
-            out_a, out_b = np.flatnonzero(n_a), np.flatnonzero(n_b)
-            kind = np.concatenate([np.zeros(len(out_a) + (0 if inside else len(out_b)), np.int32), np.ones(len(forest[0]), np.int32)])
-            a = [ids_a[out_a], forest[0]] if inside else [ids_a[out_a], ids_b[out_b], forest[0]]
-            b = [n_a[out_a], forest[1]] if inside else [n_a[out_a], n_b[out_b], forest[1]]
-            return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=names)
-
-        waiting, sealed = [], None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            tiles = batch.column("tile").to_numpy(zero_copy_only=False)
-            guest = batch.column("visitor").to_numpy(zero_copy_only=False)
-            ids = batch.column("node").to_numpy(zero_copy_only=False)
-            copies = batch.column("copies").to_numpy(zero_copy_only=False).astype(float)
-            raw = _matrix(batch.column("vec"), width)
-            edges = np.flatnonzero((np.diff(tiles, prepend=tiles[0] - 1) != 0) | (np.diff(guest, prepend=guest[0]) != 0))
-            for lo, hi in zip(edges, [*edges[1:], len(tiles)], strict=True):
-                if tiles[lo] != at:
-                    if waiting:
-                        ids_h, raw_h, x_h, c_h = seal(waiting)
-                        i, j = linked(x_h, x_h, raw_h, raw_h, least)
+            for r in range(batch.num_rows):
+                tile = batch.column("tile")[r].as_py()
+                others = grid.meets(tile)
+                # of two tiles, one receives the other: the higher one if their sum is even
+                receives = ((tile + others) % 2 == 0) == (tile > others)
+                groups = np.unique(others[receives] // VISITORS)
+                hosts = others[~receives]
+                home = np.concatenate([[tile], np.full(len(groups), tile), hosts])
+                group = np.concatenate([[-1], groups, np.full(len(hosts), tile // VISITORS)])
+                visitor = np.concatenate([np.zeros(1 + len(groups), np.int32), np.ones(len(hosts), np.int32)])
+                for at in range(0, len(home), 16):
+                    n = len(home[at : at + 16])
+                    same = pa.array(np.full(n, r))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(home[at : at + 16]), pa.array(group[at : at + 16]), pa.array(visitor[at : at + 16].astype(np.int32)), *(batch.column(k).take(same) for k in ("nodes", "copies", "vecs"))],
+                        names=["home", "grp", "visitor", "nodes", "copies", "vecs"],
+                    )
+
+    return run
+
+
+def _compare(width: int, axes: np.ndarray, least: float, first: int):
+    """Rows come group by group, the tile at home first."""
+    names = ["kind", "a", "b"]
+
+    def opened(batch, r):
+        nodes, copies = (np.frombuffer(batch.column(k)[r].as_py(), np.int64) for k in ("nodes", "copies"))
+        raw = np.frombuffer(batch.column("vecs")[r].as_py(), np.float64).reshape(-1, width)
+        return nodes, raw, unit(raw) @ axes, copies.astype(float)
+
+    def emit(ids_a, ids_b, i, j, copies_a, copies_b, inside):
+        n_a = np.bincount(i, copies_b[j], len(ids_a)).astype(np.int64)
+        n_b = np.bincount(j, copies_a[i], len(ids_b)).astype(np.int64)
+        forest = _forest(ids_a[i], ids_b[j])
+        out_a, out_b = np.flatnonzero(n_a), np.flatnonzero(n_b)
+        kind = np.concatenate([np.zeros(len(out_a) + (0 if inside else len(out_b)), np.int32), np.ones(len(forest[0]), np.int32)])
+        a = [ids_a[out_a], forest[0]] if inside else [ids_a[out_a], ids_b[out_b], forest[0]]
+        b = [n_a[out_a], forest[1]] if inside else [n_a[out_a], n_b[out_b], forest[1]]
+        return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=names)
+
+    def run(batches):
+        own = None
+        for batch in batches:
+            for r in range(batch.num_rows):
+                if not batch.column("visitor")[r].as_py():
+                    own = opened(batch, r)
+                    if batch.column("grp")[r].as_py() == -1:
+                        ids, raw, x, copies = own
+                        i, j = linked(x, x, raw, raw, least, first)
                         apart = i != j
-                        yield emit(ids_h, ids_h, i[apart], j[apart], c_h, c_h, True)
-                    at, waiting, sealed = tiles[lo], [], None
-                if not guest[lo]:
-                    waiting.append((ids[lo:hi], raw[lo:hi], copies[lo:hi]))
+                        yield emit(ids, ids, i[apart], j[apart], copies, copies, True)
                     continue
-                if not waiting and sealed is None:
-                    continue  # a tile without own vectors
-                if sealed is None:
-                    sealed = seal(waiting)
-                ids_h, raw_h, x_h, c_h = sealed
-                for s in range(lo, hi, 1024):
-                    e = min(hi, s + 1024)
-                    x = unit(raw[s:e]) @ axes
-                    i, j = linked(x_h, x, raw_h, raw[s:e], least)
-                    if len(i):
-                        yield emit(ids_h, ids[s:e], i, j, c_h, copies[s:e], False)
-        if waiting:
-            ids_h, raw_h, x_h, c_h = seal(waiting)
-            i, j = linked(x_h, x_h, raw_h, raw_h, least)
-            apart = i != j
-            yield emit(ids_h, ids_h, i[apart], j[apart], c_h, c_h, True)
+                ids, raw, x, copies = own
+                ids_v, raw_v, x_v, copies_v = opened(batch, r)
+                i, j = linked(x, x_v, raw, raw_v, least, first)
+                if len(i):
+                    yield emit(ids, ids_v, i, j, copies, copies_v, False)
 
     return run
 
@@ -292,7 +371,7 @@ def near_vectors(embeddings: DataFrame, least: float = 0.9) -> DataFrame:
     if not widths:
         return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     linked_rows = reduce(DataFrame.unionByName, [_linked_rows(usable.where(F.col("width") == w).drop("width"), w, least) for w in widths])
-    ids = linked_rows.groupBy("vec_id").agg(F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"), F.count("*").alias("times"))
+    ids = linked_rows.groupBy("vec_id").agg(F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     out = every.select("vec_id").join(ids, "vec_id", "left")
     return out.select(
         "vec_id",
@@ -303,43 +382,42 @@ def near_vectors(embeddings: DataFrame, least: float = 0.9) -> DataFrame:
 
 
 def _linked_rows(usable: DataFrame, width: int, least: float) -> DataFrame:
-    """``vec_id, n_links, component_id`` of usable vectors of one length."""
-    nodes = saved(usable.groupBy("vec").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "nodes")
-
-    rows = nodes.mapInArrow(_moments(width), "axis long, row array<double>")
-    sums = rows.groupBy("axis").agg(*[F.sum(F.col("row")[k]).alias(f"c{k}") for k in range(width)]).collect()
-    moment = np.zeros((width, width))
-    for r in sums:
-        moment[r[0]] = r[1:]
-    axes = np.linalg.eigh(moment)[1][:, ::-1].copy()
+    """``vec_id, n_links, component_id`` of usable vectors of one length, a row each."""
+    spark = usable.sparkSession
+    distinct = usable.groupBy("vec").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
+    # nodes are vectors, numbered, so that ids that repeat name nothing
+    nodes = saved(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    axes = principal_axes(nodes, width)
 
     total = nodes.count()
     taken = nodes.orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).select("vec").collect()
     sample = unit(np.frombuffer(b"".join(r[0] for r in taken), np.float64).reshape(-1, width)) @ axes if taken else np.empty((0, width))
     cells = Cells(sample, min(DEPTH, max(0, int(np.ceil(np.log2(max(total, 1) / TILE))))) if len(sample) else 0)
 
-    def cell_of(batches):
-        for batch in batches:
-            if batch.num_rows:
-                x = unit(_matrix(batch.column("vec"), width)) @ axes
-                yield pa.RecordBatch.from_arrays([pa.array(cells.of(x))], names=["cell"])
-
-    counts = nodes.select("vec").mapInArrow(cell_of, "cell long").groupBy("cell").count().where(f"count > {TILE}").collect()
-    blocks = {r[0]: -(-r[1] // TILE) for r in counts}
+    k = min(AXES, width)
+    ends = [f"{name}{i}" for name in ("low", "high") for i in range(k)]
+    spec = "cell long, n long, " + ", ".join(f"{c} double" for c in ends)
+    boxes = nodes.select("vec").mapInArrow(_cell_ends(width, axes, cells), spec).groupBy("cell")
+    boxes = boxes.agg(F.sum("n").alias("n"), *((F.min if c.startswith("low") else F.max)(c).alias(c) for c in ends)).collect()
     reach = float(np.sqrt(max(0.0, 2 - 2 * least)))
-    visits = nodes.mapInArrow(
-        _visits(width, axes, cells, blocks, reach), "tile long, visitor int, node long, vec binary, copies long"
-    )
-    tiles = 2**cells.depth + sum(n - 1 for n in blocks.values())
-    dealt = visits.repartition(max(1, min(tiles, 100_000)), "tile").sortWithinPartitions("tile", "visitor")
-    found = saved(dealt.mapInArrow(_compare(width, axes, least), "kind int, a long, b long"), "found")
+    grid = Grid(cells, [(r["cell"], r["n"], [r[f"low{i}"] for i in range(k)], [r[f"high{i}"] for i in range(k)]) for r in boxes], reach)
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    homes = nodes.select("node", "vec", "copies").mapInArrow(_homes(width, axes, grid), "tile long, node long, vec binary, copies long")
+    tiles = saved(homes.repartition(n, "tile").sortWithinPartitions("tile", "node").mapInArrow(_packed, PACKED), "tiles")
+    # as many partitions as there are groups of visits, so that a task holds a few tiles
+    found = int(grid.base[-1])
+    groups = found * (1 + -(-found // VISITORS))
+    visits = tiles.repartition(max(1, min(found, n)), "tile").mapInArrow(_visits(grid), "home long, grp long, visitor int, nodes binary, copies binary, vecs binary")
+    dealt = visits.repartition(max(1, min(groups, 20_000)), "home", "grp").sortWithinPartitions("home", "grp", "visitor")
+    compared = dealt.mapInArrow(_compare(width, axes, least, first_block(sample, least)), "kind int, a long, b long")
+    found = saved(compared, "found")
     label = components(found.where("kind = 1").select("a", "b"))
     more = found.where("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("others"))
 
-    own = nodes.join(more, "node", "left").join(label, "node", "left")
-    own = own.select(
-        F.col("vec").alias("key"),
-        (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "node").alias("component_id"),
+    own = saved(nodes.join(more, "node", "left").join(label, "node", "left").select("vec", "first_id", "copies", "others", F.coalesce("component", "node").alias("part")), "parts")
+    smallest = own.groupBy("part").agg(F.min("first_id").alias("component_id"))
+    own = own.join(smallest, "part").select(
+        F.col("vec").alias("key"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"
     )
     return usable.join(own, F.col("vec") == F.col("key")).select("vec_id", "n_links", "component_id")

@@ -29,6 +29,7 @@ from reqframe.llm.common import share
 PIECE = 2048  # characters compressed at a time
 SLICE = 1024  # characters that one document gives to a dictionary
 PIECES = 256
+MOST = 500  # languages
 LEVEL = 6
 MARGIN = 0.01
 LONGEST = 4  # dictionaries that gains are measured on
@@ -106,18 +107,27 @@ class Languages:
 def train(documents: DataFrame, pieces: int = PIECES) -> Languages:
     """Dictionaries from labelled rows outside the held-out fold (``crc32(doc_id) mod 4 = 2``).
 
-    Ids are ranked first, within salted groups and then within each language, so a language that
-    holds most rows is never sorted in one task; texts are read for the chosen ids alone.
+    Each language's ids of the smallest hashes give a slice each; ids alone are counted and chosen, and texts are read for the
+    chosen ones. Copies of an id count once, by the least slice. More than ``MOST`` languages are an error.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     usable = docs.where("doc_id is not null and lang is not null and text is not null").where(share("doc_id", 4) != 2)
-    ids = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-    salted = Window.partitionBy("lang", F.pmod("h", F.lit(64))).orderBy("h", "doc_id")
-    few = ids.withColumn("n", F.row_number().over(salted)).where(f"n <= {pieces}").drop("n")
-    chosen = few.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(f"n <= {pieces}")
-    # languages * pieces ids
+    # an id is one row whatever its copies; the smallest of hashes that are spread evenly are under a bound known from their number
+    ids = usable.select("lang", "doc_id").distinct()
+    counts = {r[0]: r[1] for r in ids.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MOST + 1).collect()}
+    if len(counts) > MOST:
+        raise ValueError(f"more than {MOST} languages are labelled")
+    if not counts:
+        return Languages({})
+    bound = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, (4 * pieces + 256) / n))])
+    placed = ids.withColumn("h", F.xxhash64("doc_id"))
+    few = placed.where(F.pmod("h", F.lit(1 << 40)) / float(1 << 40) <= F.element_at(bound, F.col("lang")))
+    order = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 40)), "doc_id")  # a few times ``pieces`` rows
+    chosen = few.withColumn("n", F.row_number().over(order)).where(f"n <= {pieces}")
+    # MOST * pieces ids at most
     at = F.when(F.length("text") > SLICE, F.pmod("h", F.length("text") - SLICE)).otherwise(F.lit(0)).cast("int") + 1
-    rows = usable.join(F.broadcast(chosen.drop("n")), ["doc_id", "lang"]).select("lang", "h", F.substring(F.col("text"), at, F.lit(SLICE)).alias("piece"))
+    rows = usable.join(F.broadcast(chosen.drop("n")), ["doc_id", "lang"]).select("lang", "doc_id", "h", F.substring(F.col("text"), at, F.lit(SLICE)).alias("piece"))
+    rows = rows.groupBy("lang", "doc_id", "h").agg(F.min("piece").alias("piece"))
     table = rows.orderBy("lang", "h", "piece").toArrow()
     samples: dict[str, list[bytes]] = {}
     for lang, piece in zip(table.column("lang").to_pylist(), table.column("piece").to_pylist(), strict=True):

@@ -7,8 +7,9 @@ exactly up to 2,048 and in steps of at most 1/1024 of themselves above, so the h
 number of cells whatever the texts are; a cell's bound is the longest length found in it.
 
 A batch of a bucket takes ``budget // bound`` rows (one, if a row alone exceeds the budget). A
-bucket's rows are dealt by hash into lanes whose number follows from the bucket's count, and batches
-form within lanes, so no bucket is ever gathered; each lane leaves one batch short at most.
+bucket's rows are dealt in turn, by their numbers within the input's tasks, into lanes whose number follows from the
+bucket's count, and batches form within lanes, so no bucket is ever gathered, whatever its rows are; each
+lane leaves one batch short at most.
 """
 
 from __future__ import annotations
@@ -73,11 +74,11 @@ def packed(documents: DataFrame, length: Column | None = None, buckets: int = BU
     ``bound`` is the bucket's padded length, ``padding`` what the row wastes of it, and ``(bucket, lane,
     batch)`` names its batch. Null and empty texts have length 0 and fill buckets like any row; rows
     longer than the budget are alone in their batch, never cut. A null doc_id and repeated rows are
-    packed like others; ties in the order of a lane are equal rows. Other columns are ignored. An
+    packed like others; ties in the order of a lane go by the rows' numbers. Other columns are ignored. An
     empty table gives no rows.
     """
     size = F.coalesce(F.octet_length(F.col("text").cast("string")) if length is None else length, F.lit(0)).cast("long")
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), size.alias("length"), F.xxhash64("doc_id", "text").alias("h"))
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), size.alias("length"), F.monotonically_increasing_id().alias("h"))
     histogram = rows.groupBy(cell(F.col("length")).alias("cell")).agg(
         F.max("length").alias("top"), F.count("*").alias("n"), F.sum("length").alias("total")
     )

@@ -122,8 +122,8 @@ def _quarters(g: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray]:
 class Model:
     """Cut points, one table for each feature, and tables for pairs of features."""
 
-    def __init__(self, cuts, base, tables, pairs):
-        self.cuts, self.base, self.tables, self.pairs = cuts, base, tables, pairs
+    def __init__(self, cuts, base, tables, pairs, coarse):
+        self.cuts, self.base, self.tables, self.pairs, self.coarse = cuts, base, tables, pairs, coarse
 
     def bins(self, x: np.ndarray) -> np.ndarray:
         return np.column_stack([np.searchsorted(c, x[:, f], side="right") for f, c in enumerate(self.cuts)])
@@ -134,7 +134,7 @@ class Model:
         for f, t in enumerate(self.tables):
             out += t[at[:, f]]
         for (f, g), t in self.pairs.items():
-            out += t[at[:, f] * COARSE // BINS, at[:, g] * COARSE // BINS]
+            out += t[self.coarse[f][at[:, f]], self.coarse[g][at[:, g]]]
         return out
 
     def score(self, texts: list[str | None]) -> np.ndarray:
@@ -144,11 +144,20 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logit(x), -40, 40)))
 
 
+def _coarser(rows: np.ndarray) -> np.ndarray:
+    """The coarse bin of each bin: one for each bin that has rows if these are few, else shares of the rows."""
+    used = rows > 0
+    if used.sum() <= COARSE:
+        return np.maximum(np.cumsum(used) - 1, 0)
+    middle = np.cumsum(rows) - rows / 2
+    return np.minimum((middle * COARSE / rows.sum()).astype(np.int64), COARSE - 1)
+
+
 def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Model:
     """Boost the single tables round by round, then those of the strongest pairs."""
     count = x.shape[1]
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) if len(x) else np.empty(0) for f in range(count)]
-    model = Model(cuts, 0.0, [np.zeros(BINS) for _ in range(count)], {})
+    model = Model(cuts, 0.0, [np.zeros(BINS) for _ in range(count)], {}, [np.zeros(BINS, np.int64) for _ in range(count)])
     if not len(x):
         return model
     weight = weight / weight.mean()
@@ -169,7 +178,8 @@ def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Model:
             step = RATE * _tree(np.bincount(at[:, f], g, BINS), np.bincount(at[:, f], h, BINS))
             model.tables[f] += step
             logit += step[at[:, f]]
-    coarse = at * COARSE // BINS
+    model.coarse = [_coarser(np.bincount(at[:, f], minlength=BINS)) for f in range(count)]
+    coarse = np.column_stack([c[at[:, f]] for f, c in enumerate(model.coarse)])
     grid = lambda f, g, v: np.bincount(coarse[:, f] * COARSE + coarse[:, g], v, COARSE**2).reshape(COARSE, COARSE)
     g, h = slopes()
     gains = sorted(((-_quarters(grid(a, b, g), grid(a, b, h))[0], a, b) for a in range(count) for b in range(a)))
@@ -184,11 +194,18 @@ def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Model:
     return model
 
 
+def _measured(batches):
+    for batch in batches:
+        x = [list(map(float, measure(t))) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column("label"), batch.column("weight")], names=["x", "label", "weight"])
+
+
 def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
     """A model fitted on labelled rows outside the held-out fold (``crc32(doc_id) mod 3 = 1``)."""
-    got = labelled_sample(documents, labels, "quality", share("doc_id", 3) != 1, rows)
-    texts = got.column("text").to_pylist()
-    x = np.array([measure(t) for t in texts]) if texts else np.empty((0, len(measure(""))))
+    chosen = labelled_sample(documents, labels, "quality", share("doc_id", 3) != 1, rows)
+    # texts are measured where they are; the driver gets numbers alone
+    got = chosen.mapInArrow(_measured, "x array<double>, label int, weight double").toArrow()
+    x = np.array(got.column("x").to_pylist()) if got.num_rows else np.empty((0, len(measure(""))))
     return fit(x, got.column("label").to_numpy().astype(float), got.column("weight").to_numpy())
 
 

@@ -109,6 +109,7 @@ class Automaton:
     accepts: list[int]
     start: int
     first_accepting: int
+    dead: int  # the state that no byte leads out of and that accepts nothing, or -1
 
 
 def _determinise(edges, starts: list[int], ends: list[set[int]], floating: bool) -> Automaton:
@@ -173,7 +174,9 @@ def _determinise(edges, starts: list[int], ends: list[set[int]], floating: bool)
     classes = len(sample)
     step = [place[block[grid[first[k], c]]] * classes for k in ranked for c in range(classes)]
     flags = [accepts[first[k]] for k in ranked]
-    return Automaton(classes, bytes(class_of), step, flags, place[block[0]] * classes, next((i for i, f in enumerate(flags) if f), len(flags)) * classes)
+    dead = next((k * classes for k, f in enumerate(flags) if not f and set(step[k * classes : (k + 1) * classes]) == {k * classes}), -1)
+    first = next((i for i, f in enumerate(flags) if f), len(flags)) * classes
+    return Automaton(classes, bytes(class_of), step, flags, place[block[0]] * classes, first, dead)
 
 
 class Scanner:
@@ -205,6 +208,8 @@ class Scanner:
         auto, at, best = self.backward[rule], self.backward[rule].start, first_end
         for i in range(first_end - 1, floor - 1, -1):
             at = auto.step[at + auto.class_of[data[i]]]
+            if at == auto.dead:
+                break
             flag = auto.accepts[at // auto.classes]
             if flag:
                 best = i

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reqframe.llm.common import checked, saved
+from reqframe.llm.common import saved
 
 END = 2
 SCALE = 18
@@ -468,10 +468,10 @@ def read_tokens(blocks: DataFrame, frequencies: DataFrame) -> DataFrame:
     frequency = np.zeros(int(symbol.max()) + 1 if len(symbol) else 1, np.int64)
     frequency[symbol] = got.column("frequency").to_numpy()
     rows = blocks.mapInArrow(_read(context.broadcast(frequency)), "part int, doc_id long, offset long, n_tokens long, ids binary")
-    parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("size"))  # one row for each task that wrote
+    parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("size"))  # one row for each task that wrote, so it can be sent to all
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select(F.col("part").alias("of"), F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
-    return rows.join(checked(starts), F.col("part") == F.col("of")).select("doc_id", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids")
+    return rows.join(F.broadcast(starts), F.col("part") == F.col("of")).select("doc_id", (F.col("base") + F.col("offset")).alias("start"), "n_tokens", "ids")
 
 
 def token_digests(documents: DataFrame, definition: str) -> DataFrame:

@@ -135,58 +135,60 @@ def fit(texts: list[str], labels: np.ndarray, weight: np.ndarray) -> Model:
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
     """A model fitted on labelled rows outside the held-out fold (``crc32(doc_id) mod 4 = 2``)."""
-    got = labelled_sample(documents, labels, "toxic", share("doc_id", 4) != 2, rows)
+    got = labelled_sample(documents, labels, "toxic", share("doc_id", 4) != 2, rows).toArrow()
     return fit(got.column("text").to_pylist(), got.column("label").to_numpy(), got.column("weight").to_numpy())
 
 
-def _scored(model: Model):
+OFFENDING = "array<struct<start:int,end:int,score:double>>"
+
+
+def _scored(model: Model, field: pa.DataType):
     def run(batches):
         for batch in batches:
-            score, at, worst = [], [], []
+            score, found = [], []
             for text in batch.column("text").to_pylist():
-                s, k, p = model.score(text)
-                lo, hi = _span(text, k) if s >= THRESHOLD else (None, None)
+                s, worst, _ = model.score(text)
                 score.append(s)
-                at.append((lo, hi))
-                worst.append(p)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(score, pa.float64()), pa.array([a for a, _ in at], pa.int64()), pa.array([b for _, b in at], pa.int64()), pa.array(worst, pa.float64())],
-                names=["doc_id", "score", "worst_start", "worst_end", "worst_score"],
-            )
+                found.append(offending(model, text, worst) if s >= THRESHOLD else [])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64()), pa.array(found, field)], names=["doc_id", "score", "offending"])
 
     return run
 
 
-def _span(text: str | None, number: int) -> tuple[int, int]:
-    """Code points of a sentence, end exclusive."""
-    start = 0
-    text = text or ""
-    for k, end in enumerate(re.finditer(r"[.!?\n]", text)):
-        if k == number:
-            return start, end.start()
+def spans(text: str | None) -> list[tuple[int, int]]:
+    """Code points of each sentence, end exclusive."""
+    text, out, start = text or "", [], 0
+    for end in re.finditer(r"[.!?\n]", text):
+        out.append((start, end.start()))
         start = end.end()
-    return start, len(text)
+    return [*out, (start, len(text))]
+
+
+def offending(model: Model, text: str | None, worst: int) -> list[dict]:
+    """The sentences that would be rejected on their own, and the likeliest one, in order."""
+    p, places = model.sentences(text), spans(text)
+    chosen = sorted({worst, *np.flatnonzero(p >= THRESHOLD).tolist()})
+    return [{"start": places[k][0], "end": places[k][1], "score": float(p[k])} for k in chosen]
 
 
 def toxic_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, held_out, score, predicted, worst_start, worst_end, worst_score``, a row per row.
+    """``doc_id, held_out, score, predicted, offending``, a row per row.
 
-    ``worst_*`` locate the likeliest sentence of a rejected text. Null and empty texts are one empty
+    ``offending`` locates the sentences of a rejected text that would be rejected on their own, and its likeliest one. Null and empty texts are one empty
     sentence and get the score of the bias. A null doc_id is carried through with a null ``held_out``;
     repeated rows are scored each; other columns are ignored. Without usable labels of both classes
     the weights are zero. An empty table gives no rows.
     """
     model = train(documents, labels)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = docs.mapInArrow(_scored(model), "doc_id long, score double, worst_start long, worst_end long, worst_score double")
+    item = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
+    out = docs.mapInArrow(_scored(model, item), f"doc_id long, score double, offending {OFFENDING}")
     return out.select(
         "doc_id",
         (share("doc_id", 4) == 2).alias("held_out"),
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
-        "worst_start",
-        "worst_end",
-        "worst_score",
+        "offending",
     )
 
 

@@ -59,6 +59,28 @@ def test_vectors_of_each_length_link_among_themselves(spark):
     assert got[200] == (0, 200, True)
 
 
+def test_repeated_ids_name_no_node(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (None, [1.0, 0.0]), (4, [-1.0, 0.0]), (4, [-1.0, 0.0])]
+    got = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got if r.vec_id) == [
+        (1, 2, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 2, 4, True), (4, 2, 4, True),
+    ]
+    assert [(r.n_links, r.component_id, r.kept) for r in got if r.vec_id is None] == [(0, None, True)]
+
+
+@pytest.mark.parametrize("tile", [4, 64])
+def test_tiles_that_meet_lose_no_link(spark, monkeypatch, tile):
+    """Vectors along few axes: most cells are apart, and every link is found all the same."""
+    monkeypatch.setattr(embedding_dedup, "TILE", tile)
+    monkeypatch.setattr(embedding_dedup, "VISITORS", 4)
+    rng = np.random.default_rng(8)
+    angle = rng.uniform(0, 2 * np.pi, 300)
+    x = np.column_stack([np.cos(angle), np.sin(angle), rng.normal(size=300) * 0.1, rng.normal(size=300) * 0.05])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = sorted(tuple(r) for r in embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 0.995).collect())
+    assert got == brute_links(rows, 0.995)
+
+
 def test_vectors_of_the_table(spark):
     table = spark.read.parquet(f"{SF}/embeddings.parquet")
     p = table.toPandas().sort_values("vec_id")
@@ -110,6 +132,28 @@ def test_quotations_equal_sql(spark, monkeypatch, span):
     assert quotation.reply_order(spark.createDataFrame([], spec)).count() == 0
 
 
+def covered(pairs, seed=5):
+    """Tokens of an item marked by plain greedy tiling of equal windows: the longest run of a diagonal first."""
+    pairs, used_i, used_j, total = set(pairs), set(), set(), 0
+    while True:
+        best = None
+        for i, j in sorted(pairs):
+            if (i - 1, j - 1) in pairs:
+                continue
+            n = 0
+            while (i + n, j + n) in pairs:
+                n += 1
+            if best is None or n > best[0]:
+                best = (n, i, j)
+        if best is None:
+            return total
+        n, i, j = best
+        total += n + seed - 1
+        used_i |= set(range(i, i + n + seed - 1))
+        used_j |= set(range(j, j + n + seed - 1))
+        pairs = {(i, j) for i, j in pairs if not used_i & set(range(i, i + seed)) and not used_j & set(range(j, j + seed))}
+
+
 def test_pipeline_equals_its_parts(spark):
     """Each decision recomputed plainly: scores row by row, all pairs of sets, all windows, all spans."""
     docs, labels, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels", "benchmark"))
@@ -136,7 +180,7 @@ def test_pipeline_equals_its_parts(spark):
             at.setdefault(tuple(words[j : j + 5]), []).append(j)
         for item in items:
             hits = [(i, j) for i in range(len(item) - 4) for j in at.get(tuple(item[i : i + 5]), [])]
-            if sum(n for _, _, n in decontaminate.tile(hits)) >= 0.5 * len(item):
+            if covered(hits) >= 0.5 * len(item):
                 return True
         return False
 
@@ -156,7 +200,8 @@ def test_stages_decide_by_row(spark, tmp_path):
         (7, two), (None, three), (None, three), (None, three + " end"),
         (3, None), (3, ""), (None, ""), (9, f"{one[::-1]} {item}"), (None, item), (9, "clean words only, and nothing more"),
     ]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).selectExpr("*", "'k' AS _row_key", "1 AS label", "2 AS length")
+    rows = [(*r, "k", 1, 2) for r in rows]
     order = lambda rows: sorted((tuple(r) for r in rows), key=str)
     got = corpus_pipeline.keep_one_of_each(spark, docs, str(tmp_path))
     assert got.columns == docs.columns
@@ -166,3 +211,23 @@ def test_stages_decide_by_row(spark, tmp_path):
     assert [r for r in kept if r not in near] == order([rows[0], rows[5], *rows[9:]])
     clean = corpus_pipeline.drop_benchmark_passages(spark, docs, str(tmp_path))
     assert order(clean.collect()) == order([*rows[:12], rows[14]])
+
+
+def test_empty_documents_go_through_all_stages(spark, tmp_path):
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_take_awkward_rows(spark, tmp_path):
+    """Nulls in any column, empty and very long texts, repeated rows, clashing names: every stage keeps the columns and the clean rows."""
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    long_text = " ".join(f"calm{i % 977}x{i % 31}" for i in range(60_000))
+    rows = [(None, None, None, None, None), (1, None, "en", "s", None), (1, "", None, None, 0), (1, "", None, None, 0), (2, long_text, "de", "s", len(long_text)), (3, "x", "fr", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "'s' AS score", "'b' AS bucket", "1 AS _row_key")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns and got.count() == len(rows)
+    assert sorted(r.length for r in corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()) == [0, 0, 0, 0, 1, len(long_text)]
