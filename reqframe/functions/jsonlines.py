@@ -76,6 +76,26 @@ def _too_large(raw: Column) -> Column:
     return F.when(raw.rlike(_LONG_NUMBER), infinite).otherwise(F.lit(False))
 
 
+# Fixed value: the levels of arrays and objects that strict JSON readers of this format allow.
+MAX_DEPTH = 127
+
+
+def _too_deep(raw: Column) -> Column:
+    """True if a line nests deeper than ``MAX_DEPTH``. Only lines with that many opening brackets are scanned:
+    texts are taken out, and the level is summed up along the brackets that are left."""
+    opening = F.length(raw) - F.length(F.translate(raw, "[{", ""))
+    no_texts = F.regexp_replace(F.regexp_replace(raw, r"\\.", ""), r'"[^"]*"', "")
+    brackets = F.split(F.regexp_replace(no_texts, r"[^\[\]{}]", ""), "")
+    start = F.struct(F.lit(0).alias("level"), F.lit(0).alias("most"))
+
+    def step(at: Column, bracket: Column) -> Column:
+        level = at["level"] + F.when(bracket.isin("[", "{"), 1).when(bracket.isin("]", "}"), -1).otherwise(0)
+        return F.struct(level.alias("level"), F.greatest(at["most"], level).alias("most"))
+
+    deep = F.aggregate(brackets, start, step, lambda at: at["most"]) > MAX_DEPTH
+    return F.when(opening > MAX_DEPTH, deep).otherwise(F.lit(False))
+
+
 def parse_lines(df: DataFrame, raw: str = "raw", out: str = "v", trim: bool = False) -> DataFrame:
     """Add ``out``: the VARIANT of each line, NULL where the text is not exactly one JSON value.
 
@@ -92,6 +112,7 @@ def parse_lines(df: DataFrame, raw: str = "raw", out: str = "v", trim: bool = Fa
         & F.is_valid_utf8(F.col(raw))
         & ~_half_pair(F.col(raw))
         & ~_too_large(F.col(raw))
+        & ~_too_deep(F.col(raw))
     )
     value = F.when(whole, F.try_variant_get("_sealed", "$[0]", "variant"))
     return computed_once(df.withColumn("_sealed", sealed), out, value).drop("_sealed")

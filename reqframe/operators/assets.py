@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,20 +96,30 @@ def inline_assets(lines: DataFrame, blobs: DataFrame) -> DataFrame:
         *identity,
         F.concat_ws(":", "_r.m", "_r.p").alias("_at"),
         local_path(F.col("_r.url")).alias("path"),
-        F.xxhash64(*identity, "_r.m", "_r.p").alias("_ref_id"),
     )
-    asked = join_on(blobs.select("path", "bytes"), refs.select("path"), "path", "left_semi")
+    # digests stand for images up to the last join: BIGINTs, so that the aggregations hash
     digest = F.sha2("bytes", 256)
-    stored = asked.groupBy("path").agg(F.first("bytes").alias("bytes"), (F.min(digest) < F.max(digest)).alias("_differ"))
+    words = {f"_d{i}": F.conv(F.substring(digest, 16 * i + 1, 16), 16, -10).cast("bigint") for i in range(4)}
+    stored = blobs.select("path", "bytes").withColumns({**words, "_at_path": F.xxhash64("path")})
+    asked = join_on(stored.drop("bytes"), refs.select("path"), "path", "left_semi")
+    ends = [end(w).alias(f"{w}{name}") for w in words for name, end in (("", F.min), ("_max", F.max))]
+    per_path = asked.groupBy("path").agg(*ends)
+    differ = reduce(or_, [F.col(w) < F.col(f"{w}_max") for w in words])
     clash = F.raise_error(F.concat(F.lit("different images under "), F.col("path")))
-    stored = stored.select("path", F.when(F.col("_differ"), clash).otherwise(F.col("bytes")).alias("bytes"))
-    loaded = join_on(refs, stored, "path", "inner", row_id="_ref_id", right_unique=True)
+    per_path = per_path.select("path", *[F.when(differ, clash.cast("bigint")).otherwise(F.col(w)).alias(w) for w in words])
+    # an image that is stored under many paths is encoded once, from the path of the least hash
+    one_each = asked.groupBy(*words).agg(F.min("_at_path").alias("_at_path"))
+    chosen = stored.join(one_each.select("_at_path", *[F.col(w).alias(f"{w}_one") for w in words]).hint("merge"), "_at_path")
+    chosen = chosen.where(reduce(and_, [F.col(w) == F.col(f"{w}_one") for w in words]))
     # Some sessions break base64 text into lines; a data URI has none.
     encoded = F.replace(F.base64("bytes"), F.lit("\r\n"), F.lit(""))
-    uri = F.concat(F.lit("data:"), mime_of(F.col("path")), F.lit(";base64,"), encoded)
+    images = chosen.select(*words, encoded.alias("_image"))
+    loaded = join_on(refs, per_path, "path", "inner", right_unique=True).join(images.hint("merge"), list(words))
+    uri = F.concat(F.lit("data:"), mime_of(F.col("path")), F.lit(";base64,"), F.col("_image"))
     # One group is the references of one line.
     per_line = loaded.groupBy(*identity).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("_at"), uri.alias("_uri")))).alias("_uris")
+        # a path that is listed twice gives equal entries
+        F.map_from_entries(F.array_distinct(F.collect_list(F.struct(F.col("_at"), uri.alias("_uri"))))).alias("_uris")
     )
     joined = found.join(per_line, identity, "left")
     wanted, got = F.coalesce(F.size("_refs"), F.lit(0)), F.coalesce(F.size("_uris"), F.lit(0))

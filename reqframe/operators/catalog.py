@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reqframe.functions.jsonlines import ascii_lower
 from reqframe.functions.results import is_active, is_terminal
 from reqframe.operators.joins import join_on
+from reqframe.operators.ranks import Ranked
 
 # File purposes, and the one that means every file.
 DEFAULT_PURPOSE = "batch"
@@ -51,7 +52,7 @@ def uuid_text(key: Column) -> Column:
     )
 
 
-def resolve_models(requests: DataFrame, models: DataFrame, key: str = "model", row_id: str | None = None) -> DataFrame:
+def resolve_models(requests: DataFrame, models: DataFrame, key: str = "model") -> DataFrame:
     """Add ``model_id`` to each row by its model key; NULL where nothing matches.
 
     A UUID-shaped key names an id, any other key an alias without regard to ASCII letter case. Among
@@ -64,7 +65,7 @@ def resolve_models(requests: DataFrame, models: DataFrame, key: str = "model", r
     by_uuid = F.concat(F.lit("id:"), uuid_text(F.col(key)))
     by_name = F.concat(F.lit("alias:"), ascii_lower(key))
     asked = requests.withColumn("_key", F.coalesce(by_uuid, by_name))
-    return join_on(asked, lookup, "_key", "left", row_id=row_id, right_unique=True).drop("_key")
+    return join_on(asked, lookup, "_key", "left", right_unique=True).drop("_key")
 
 
 def _newest_first(active_first: bool) -> list[Column]:
@@ -72,9 +73,14 @@ def _newest_first(active_first: bool) -> list[Column]:
     return [is_active("status").desc(), *order] if active_first else order
 
 
-def active_first(batches: DataFrame) -> DataFrame:
-    """All batches, active ones first, then newest first."""
-    return batches.orderBy(*_newest_first(True))
+def active_first(batches: DataFrame, path: str) -> Ranked:
+    """All batches, active ones first, then newest first, ordered once below ``path``."""
+    return Ranked.write(batches, _newest_first(True), path)
+
+
+def newest_first(rows: DataFrame, path: str) -> Ranked:
+    """All rows, newest first, ordered once below ``path``."""
+    return Ranked.write(rows, _newest_first(False), path)
 
 
 def cursor_page(
@@ -123,9 +129,9 @@ def page_info(page: DataFrame, position: list[Column] | None = None) -> DataFram
     )
 
 
-def offset_page(rows: DataFrame, order: list[Column], skip: int = 0, limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """Rows ``skip`` to ``skip + limit`` in the given order."""
-    return rows.orderBy(*order).offset(skip).limit(limit)
+def offset_page(ranked: Ranked, skip: int = 0, limit: int = DEFAULT_LIMIT) -> DataFrame:
+    """Rows ``skip`` to ``skip + limit`` of a set that was ordered once (``Ranked.write``), with their ``position``."""
+    return ranked.page(skip, limit)
 
 
 def progress(batches: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reqframe.functions.jsonlines import items_at, parsed, text_at
 from reqframe.functions.results import canonical, extract, with_content
-from reqframe.operators.joins import join_on, looked_at
+from reqframe.operators.joins import join_on
 
 SIDES = ("a", "b")
 # The 64-bit words of a content's digest.
@@ -143,25 +143,25 @@ def compare_runs(
 ) -> DataFrame:
     """One row per id of the first run: the prompt and every run's answer and token counts.
 
-    Requests and runs are stacked and grouped once by id, so there is no join. An id that
-    repeats within a run shows its first line. The prompt is the last message's content.
+    An id that repeats within a run shows its first line. The prompt is the last message's content. Requests and
+    runs are stacked and grouped once by id, places only; the contents of the chosen places are joined afterwards.
     """
     names = list(runs)
     messages = items_at("v", "body", "messages")
     last = F.try_element_at(messages, F.lit(-1))
     prompt = canonical(F.try_variant_get(last, "$.content", "variant"))
     stacked = parsed(requests).select(
-        F.lit("").alias("run"),
+        F.lit(-1).alias("run"),
         text_at("v", "custom_id").alias("custom_id"),
         _place(requests, position).alias("at"),
         prompt.alias("content"),
         F.lit(None).cast("bigint").alias("prompt_tokens"),
         F.lit(None).cast("bigint").alias("completion_tokens"),
     )
-    for name in names:
+    for i, name in enumerate(names):
         stacked = stacked.unionAll(
             extract(runs[name]).select(
-                F.lit(name),
+                F.lit(i),
                 "custom_id",
                 _place(runs[name], position),
                 F.when(~F.col("content_kind").isin("VOID"), F.col("content")),
@@ -169,29 +169,35 @@ def compare_runs(
                 "completion_tokens",
             )
         )
+    stacked = stacked.where(F.col("custom_id").isNotNull())
 
-    def first(name: str) -> Column:
-        mine = F.col("run") == name
-        row = F.struct("content", "prompt_tokens", "completion_tokens")
-        return F.min_by(row, F.when(mine, F.col("at")))
+    # places alone are aggregated: BIGINT buffers, which hash; contents travel once, to the ids' chosen lines
+    def first(run: int, value: str) -> Column:
+        return F.min(F.when(F.col("run") == run, F.col(value)))
 
-    grouped = (
-        stacked.where(F.col("custom_id").isNotNull())
-        .groupBy("custom_id")
-        .agg(
-            first("").alias("_request"),
-            *[first(name).alias(f"_{name}") for name in names],
-        )
-        .where(F.col(f"_{names[0]}").isNotNull())
+    chosen = stacked.groupBy("custom_id").agg(first(-1, "at").alias("_asked"), *[first(i, "at").alias(f"_at_{i}") for i in range(len(names))])
+    chosen = chosen.where(F.col("_at_0").isNotNull())
+    # one row a line: the prompt's and each run's chosen ones
+    places = F.array(
+        F.struct(F.lit(-1).alias("run"), F.col("_asked").alias("at")), *[F.struct(F.lit(i).alias("run"), F.col(f"_at_{i}").alias("at")) for i in range(len(names))]
     )
-    columns = [F.col("custom_id"), F.col("_request.content").alias("prompt")]
-    for name in names:
-        columns += [
-            F.coalesce(F.col(f"_{name}.content"), F.lit(NO_RESPONSE)).alias(f"{name}_content"),
-            F.col(f"_{name}.prompt_tokens").alias(f"{name}_prompt_tokens"),
-            F.col(f"_{name}.completion_tokens").alias(f"{name}_completion_tokens"),
-        ]
-    return grouped.select(*columns)
+    wanted = chosen.select("custom_id", F.explode(F.filter(places, lambda x: x["at"].isNotNull())).alias("_w")).select("custom_id", "_w.run", "_w.at")
+    lines = stacked.join(wanted.hint("merge"), ["custom_id", "run", "at"])
+    out = chosen.select("custom_id")
+    for i, name in [(-1, ""), *enumerate(names)]:
+        mine = lines.where(F.col("run") == i)
+        if i < 0:
+            mine = mine.select("custom_id", F.col("content").alias("prompt"))
+        else:
+            mine = mine.select(
+                "custom_id",
+                F.coalesce("content", F.lit(NO_RESPONSE)).alias(f"{name}_content"),
+                F.col("prompt_tokens").alias(f"{name}_prompt_tokens"),
+                F.col("completion_tokens").alias(f"{name}_completion_tokens"),
+            )
+        out = out.join(mine.hint("merge"), "custom_id", "left")
+    missing = {f"{name}_content": F.coalesce(f"{name}_content", F.lit(NO_RESPONSE)) for name in names}
+    return out.withColumns(missing)
 
 
 def match_results(requests: DataFrame, results: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -209,16 +215,7 @@ def match_results(requests: DataFrame, results: DataFrame, keep: Sequence[str] =
         "is_result",
         "is_error",
     )
-    return join_on(
-        left,
-        right,
-        "custom_id",
-        "left",
-        row_id="request_line",
-        right_row_id="result_line",
-        look_at=_ids(looked_at(requests)),
-        right_look_at=_ids(looked_at(results)),
-    )
+    return join_on(left, right, "custom_id", "left")
 
 
 def retry_set(requests: DataFrame, results: DataFrame) -> DataFrame:
@@ -232,5 +229,4 @@ def retry_set(requests: DataFrame, results: DataFrame) -> DataFrame:
         .select("custom_id")
     )
     left = parsed(requests).withColumn("custom_id", text_at("v", "custom_id")).drop("v")
-    look_at = _ids(looked_at(requests))
-    return join_on(left, failed, "custom_id", "left_semi", row_id="line", look_at=look_at)
+    return join_on(left, failed, "custom_id", "left_semi")

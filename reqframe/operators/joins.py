@@ -1,136 +1,40 @@
-"""Equi-joins that stay balanced when one key holds a large share of the rows."""
+"""Equi-joins whose plan is left to adaptive execution, which knows the sizes of what was shuffled."""
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from reqframe.session import broadcast_limit, plan_bytes
 
-# A key is hot when it holds more than 1/HOT_KEYS of the rows looked at, so there can never be
-# more than HOT_KEYS of them per side.
-HOT_KEYS = 500
-# Types whose values have a small fixed size.
-_FLAT = (BooleanType, DateType, NumericType, TimestampNTZType, TimestampType)
-# Share of the rows looked at. It decides only which keys are spread, never which rows join.
-LOOK_SHARE = 0.01
-
-
-def looked_at(df: DataFrame) -> DataFrame:
-    """The share of the rows that is enough to find hot keys."""
-    return df if LOOK_SHARE >= 1 else df.sample(LOOK_SHARE, seed=17)
-
-
-def hot_values(looked: DataFrame, key: str, most: int = HOT_KEYS) -> dict:
-    """The keys holding more than ``1/most`` of the given rows, with their shares; at most ``most``."""
-    counts = looked.select(key).where(F.col(key).isNotNull()).groupBy(key).count()
-    share = F.col("count") / counts.agg(F.sum("count")).scalar()
-    hot = counts.withColumn("share", share).where((F.col("share") > 1 / most) & (F.col("count") > 1))
-    return {value: part for value, _, part in hot.collect()}
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """The bytes of a frame's values, counted by a job. Catalyst's estimate knows nothing of rows that
-    are generated or texts that are built, so it can be far too low."""
-    wide = [f.name for f in df.schema if not isinstance(f.dataType, (StringType, BinaryType, *_FLAT))]
-    texts = [f.name for f in df.schema if isinstance(f.dataType, (StringType, BinaryType))]
-    sizes = [F.octet_length(c) for c in texts] + [F.octet_length(F.to_json(c)) for c in wide]
-    row = sum((F.coalesce(size, F.lit(0)) for size in sizes), F.lit(16 * len(df.columns)))
-    return df.agg(F.sum(row.cast("bigint"))).first()[0] or 0
-
-
-def _slices(hot: dict, also_hot: dict, parts: int) -> dict:
-    """How many slices each hot key is cut into, so that a slice is about one even partition.
-
-    Keys that are hot on both sides are cut on both, into a grid of that many cells.
-    """
-    even = {key: max(2, math.ceil(share * parts)) for key, share in hot.items()}
-    return {key: max(2, math.ceil(math.sqrt(n))) if key in also_hot else n for key, n in even.items()}
-
-
-def _slice_count(df: DataFrame, key: str, slices: dict) -> Column:
-    if not slices:
-        return F.lit(1)
-    kind = df.schema[key].dataType
-    table = F.create_map(*[x for value, n in slices.items() for x in (F.lit(value).cast(kind), F.lit(n))])
-    return F.coalesce(F.try_element_at(table, F.col(key)), F.lit(1))
-
-
-def _spread(rows: Column, slices: Column) -> Column:
-    return F.pmod(F.xxhash64(rows), slices).cast("int")
-
-
-def _copies(slices: Column) -> Column:
-    return F.explode(F.sequence(F.lit(0), slices - 1))
 
-
-def _among(key: str, values: list) -> Column:
-    return F.coalesce(F.col(key).isin(values), F.lit(False)) if values else F.lit(False)
-
-
-def join_on(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str = "inner",
-    row_id: str | None = None,
-    right_row_id: str | None = None,
-    right_unique: bool = False,
-    look_at: DataFrame | None = None,
-    right_look_at: DataFrame | None = None,
-) -> DataFrame:
+def join_on(left: DataFrame, right: DataFrame, key: str, how: str = "inner", right_unique: bool = False) -> DataFrame:
     """Join on one column with ``how`` in inner, left, left_semi, left_anti.
 
-    * The right side is broadcast when its bytes, counted after Catalyst's estimate let it through,
-      are under Spark's own limit. A side that only the estimate calls small is kept from it.
-    * Otherwise the hot keys are found from a sample. A row of a left-hot key goes to one of its
-      slices by its row id and meets a copy of its right rows there; a right-hot key is spread the
-      other way round. Every matching pair still meets exactly once. A key has as many slices as its
-      share of the rows is worth in shuffle partitions.
+    Nothing is counted or sampled before the join. Catalyst's estimate of rows that are generated, or of texts that
+    are parsed or built, can be far too low, so a side it calls small is not broadcast on its word: such a join is planned as a
+    shuffled one. Adaptive execution splits partitions that a hot key makes large, with copies of
+    the other side's.
 
-    ``row_id`` and ``right_row_id`` name columns that tell rows of one key apart.
-    ``right_unique`` states that the right side has one row per key, so only the left is hot.
-    ``look_at`` and ``right_look_at`` are samples of the sides' keys, for callers that can draw
-    them before costly steps; else the sides themselves are sampled.
+    ``right_unique`` states that the right side has one row per key. A left join to several rows per key is made of an
+    inner join and of the rows without a match, since only the kept side of an outer join can be split.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(how)
-    spark = left.sparkSession
-    limit = broadcast_limit(spark)
-    called_small = plan_bytes(right) <= limit
-    if called_small and measured_bytes(right) <= limit:
-        return left.join(F.broadcast(right), key, how)
     if how in ("left_semi", "left_anti"):
+        # combined before the shuffle, so a hot key of the right side is a row a task
         right, right_unique = right.select(key).distinct(), True
-    if called_small:
+    if plan_bytes(right) <= broadcast_limit(left.sparkSession) and not _as_read(right):
         right = right.hint("merge")
-
-    # With one right row per key only the left side can be lopsided.
-    left_hot = hot_values(look_at or looked_at(left), key)
-    right_hot = {} if right_unique else hot_values(right_look_at or looked_at(right), key)
-    if not left_hot and not right_hot:
+    if how != "left" or right_unique:
         return left.join(right, key, how)
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != key]
+    alone = left.join(right.select(key).distinct().hint("merge"), key, "left_anti").select(key, *[c for c in left.columns if c != key], *nothing)
+    return left.join(right, key, "inner").unionByName(alone)
+
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    left_slices = _slices(left_hot, right_hot, parts)
-    right_slices = _slices(right_hot, left_hot, parts)
-    left_id = F.col(row_id) if row_id else F.xxhash64(*[F.col(c) for c in left.columns])
-    right_id = F.col(right_row_id) if right_row_id else F.xxhash64(*[F.col(c) for c in right.columns])
-    # Rows without a key match nothing; spread them too instead of sending all to one task.
-    of_left = F.when(F.col(key).isNull(), F.lit(parts)).otherwise(_slice_count(left, key, left_slices))
-    spread_left = left.withColumn("_i", _spread(left_id, of_left))
-    spread_right = right.withColumn("_i", _copies(_slice_count(right, key, left_slices)))
-    on = [key, "_i"]
-    if right_hot:
-        spread_left = spread_left.withColumn("_j", _copies(_slice_count(left, key, right_slices)))
-        spread_right = spread_right.withColumn("_j", _spread(right_id, _slice_count(right, key, right_slices)))
-        on.append("_j")
-    if how != "left" or not right_hot:
-        return spread_left.join(spread_right, on, how).drop("_i", "_j")
-    # A right-hot key was seen on the right, so each of its left rows has a match; the copies
-    # whose slice happens to be empty carry no pair and no unmatched row either.
-    joined = spread_left.join(spread_right.withColumn("_hit", F.lit(True)), on, "left")
-    return joined.where(~_among(key, list(right_hot)) | F.col("_hit")).drop("_i", "_j", "_hit")
+def _as_read(df: DataFrame) -> bool:
+    """Whether rows are as files or the driver hold them, so that the estimate of their size can be believed."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    names = {line.strip(" :+-").split(" ")[0].split("(")[0] for line in plan.splitlines()}
+    return names <= {"Relation", "LocalRelation", "Filter", "Project", "Aggregate", "SubqueryAlias", "ReusedSubquery"} and "json" not in plan

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reqframe.functions.results import extract
 from reqframe.operators.joins import join_on
+from reqframe.operators.ranks import Ranked
+from reqframe.session import shared_dir
 
 # Fixed value: lines per chunk when none is given.
 CHUNK_SIZE = 1000
 
 # Samples up to this size are picked by a per-task top-k.
 TOP_K_LIMIT = 1_000
-# Lots that may be ordered together to find where a large sample ends.
-_ORDERED_AT_ONCE = 1_000_000
 
 
 def merge(*sets: DataFrame) -> DataFrame:
@@ -77,7 +79,7 @@ def concat_results(results: DataFrame, ids: DataFrame, batches: DataFrame | None
         missing = [r[0] for r in missing_outputs(ids, batches).select("id").distinct().limit(5).collect()]
         if missing:
             raise ValueError(f"no output file for {', '.join(map(str, missing))}")
-    return join_on(results, asked, "batch_id", "inner", row_id="line", right_row_id="ordinal")
+    return join_on(results, asked, "batch_id", "inner")
 
 
 def missing_outputs(ids: DataFrame, batches: DataFrame) -> DataFrame:
@@ -86,57 +88,24 @@ def missing_outputs(ids: DataFrame, batches: DataFrame) -> DataFrame:
     return join_on(ids, ready, "id", "left_anti")
 
 
-# Pages that end further in than this are found by counting instead of by a top-k.
-_TOP_K_PAGE = 10_000
-# Lines counted together for such a page.
-_PAGE_RANGE = 1_000_000
+def rank_results(results: DataFrame, path: str, position: str = "seq") -> Ranked:
+    """Result lines ordered once by ``position`` below ``path``, to be paged by any status; see :func:`results_page`."""
+    classes = {"completed": F.col("is_result"), "failed": F.col("is_error")}
+    columns = results.columns
+    marked = extract(results).select(*columns, "is_result", "is_error")
+    return Ranked.write(marked, [position], path, classes)
 
 
-def results_page(results: DataFrame, skip: int, limit: int, status: str | None = None, position: str = "seq") -> DataFrame:
-    """Result lines ``skip`` to ``skip + limit`` by ``position`` in the whole set, with ``incomplete`` and ``last_line``.
+def results_page(ranked: Ranked, skip: int, limit: int, status: str | None = None) -> DataFrame:
+    """Result lines ``skip`` to ``skip + limit`` of all, or of the ``completed`` or ``failed`` ones, with ``incomplete`` and ``last_line``.
 
-    Without a status the page is a plain range filter. With one (``completed`` or
-    ``failed``), positions are those among the matching lines.
-    """
-    if status is None:
-        upper = results.agg(F.coalesce(F.max(position) + 1, F.lit(0))).scalar()
-        page = results.where((F.col(position) >= skip) & (F.col(position) < skip + limit))
-        return page.withColumn("incomplete", upper > skip + limit).withColumn(
-            "last_line", F.least(upper, F.lit(skip + limit))
-        )
-    wanted = {"completed": "is_result", "failed": "is_error"}[status]
-    matching = extract(results).where(F.col(wanted)).select(*results.columns)
-    if skip + limit <= _TOP_K_PAGE:
-        some = matching.orderBy(position).limit(skip + limit + 1)
-        ranked = some.withColumn("_n", F.row_number().over(Window.orderBy(position)))
-        ranked = ranked.withColumn("_found", F.max("_n").over(Window.partitionBy()))
-    else:
-        ranked = _ranked_ranges(matching, skip, limit, position)
-    return (
-        ranked.where((F.col("_n") > skip) & (F.col("_n") <= skip + limit))
-        .withColumn("incomplete", F.col("_found") > skip + limit)
-        .withColumn("last_line", F.least("_found", F.lit(skip + limit)).cast("bigint"))
-        .drop("_n", "_found")
-    )
-
-
-def _ranked_ranges(matching: DataFrame, skip: int, limit: int, position: str) -> DataFrame:
-    """The matching lines of the position ranges a page touches, with rank ``_n`` and ``_found``.
-
-    Counts per range, one row for a million lines, tell which ranges hold the page; only their
-    lines are ranked, each range for itself.
+    Only the ranges that the page touches are read; the set's size is known from its counts.
     """
-    span = F.expr(f"`{position}` div {_PAGE_RANGE}")
-    sizes = matching.groupBy(span.alias("_range")).agg(F.count(F.lit(1)).alias("_size"))
-    upto = F.sum("_size").over(Window.orderBy("_range"))
-    counted = sizes.select(
-        "_range", (upto - F.col("_size")).alias("_before"), upto.alias("_upto"), F.sum("_size").over(Window.partitionBy()).alias("_found")
-    )
-    touched = counted.where((F.col("_upto") > skip) & (F.col("_before") < skip + limit))
-    # Every touched range holds a line of the page, so there are at most ``limit`` of them.
-    inside = matching.withColumn("_range", span).join(F.broadcast(touched), "_range")
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy(position))
-    return inside.withColumn("_n", rank + F.col("_before")).drop("_range", "_before", "_upto")
+    if status not in (None, "completed", "failed"):
+        raise ValueError(status)
+    total = ranked.total(status)
+    page = ranked.page(skip, limit, status).drop("position", "is_result", "is_error")
+    return page.withColumn("incomplete", F.lit(total > skip + limit)).withColumn("last_line", F.lit(min(total, skip + limit)).cast("bigint"))
 
 
 def draw(seed: int, *key: str) -> Column:
@@ -148,41 +117,58 @@ def draw(seed: int, *key: str) -> Column:
 def sample(lines: DataFrame, count: int, *key: str, seed: int = 0, top_k: int = TOP_K_LIMIT) -> DataFrame:
     """Exactly ``min(count, n)`` lines without replacement; ``key`` names a line uniquely.
 
-    The lines with the lowest lots win. A small sample keeps ``count`` rows per task. For a large
-    one the last lot that is in is found first, from lots and keys alone; the lines themselves are
-    then filtered where they are, and none is shuffled or collected.
+    The lines with the lowest lots win. A small sample keeps ``count`` rows per task. For a large one a first pass
+    over lots alone sketches their order, which bounds the last lot that is in from both sides; a second pass keeps
+    the lines up to the upper bound, and only those between the bounds are put in order.
     """
     if count < 1:
         raise ValueError("sample count must be at least 1")
     drawn = lines.withColumn("_lot", draw(seed, *key))
     if count <= top_k:
         return drawn.orderBy("_lot", *key).limit(count).drop("_lot")
-    place = F.struct("_lot", *key)
-    last = _last_place(drawn.select("_lot", *key), count, place)
-    return lines if last is None else drawn.where(place <= last.scalar()).drop("_lot")
-
-
-def _last_place(lots: DataFrame, count: int, place: Column) -> DataFrame | None:
-    """One row with the ``count``-th lowest place, or None if there are fewer.
-
-    Counts by the next two digits of the lot, 256 rows at most, lead to the range that holds it;
-    ranges are refined until one is small enough to order.
-    """
-    prefix, need = "", count
-    while True:
-        inside = lots.where(F.col("_lot").startswith(prefix))
-        digits = F.left("_lot", F.lit(len(prefix) + 2)).alias("digits")
-        sizes = inside.groupBy(digits).agg(F.count(F.lit(1)).alias("n")).orderBy("digits").collect()
-        for size in sizes:
-            if need <= size["n"]:
-                break
-            need -= size["n"]
-        else:
-            return None
-        prefix = size["digits"]
-        if size["n"] <= _ORDERED_AT_ONCE:
-            inside = lots.where(F.col("_lot").startswith(prefix))
-            return inside.orderBy(place).limit(need).agg(F.max(place))
+    number = F.conv(F.left("_lot", F.lit(15)), 16, 10).cast("bigint")
+    drawn = drawn.withColumn("_place", number)
+    low, high = _lot_bounds(drawn.select("_place"), count)
+    if high is None:
+        return lines
+    kept = drawn.where(F.col("_place") <= high)
+    inside = _kept(kept, lines.sparkSession)
+    sizes = inside.agg(F.count("*").alias("n"), F.count_if(F.col("_place") <= low).alias("low")).first()
+    if sizes["n"] < count:
+        # a bound that the sketch got wrong costs a pass, never lines
+        inside = _kept(drawn, lines.sparkSession)
+    need = count - sizes["low"]
+    if need <= 0:
+        low, need = -1, count
+    band = inside.where(F.col("_place") > low)
+    order = F.struct("_place", "_lot", *key)
+    last = band.select("_place", "_lot", *key).orderBy("_place", "_lot", *key).limit(need).agg(F.max(order).alias("last"))
+    return inside.where((F.col("_place") <= low) | (order <= last.scalar())).drop("_lot", "_place")
+
+
+def _kept(lines: DataFrame, spark) -> DataFrame:
+    """Lines written once below the cluster's shared folder: what is left of the set after its second pass."""
+    path = f"{shared_dir(spark)}/sample-{uuid.uuid4().hex}"
+    lines.write.parquet(path)
+    return spark.read.schema(lines.schema).parquet(path)
+
+
+# Places in the order of all lots at which the sketch is read, and its greatest error in rank as a share.
+_STEPS = 1000
+_ACCURACY = 20_000
+
+
+def _lot_bounds(places: DataFrame, count: int) -> tuple[int, int | None]:
+    """``(low, high)``: fewer than ``count`` lots are up to low, at least ``count`` up to high; no high if there are fewer lots."""
+    steps = [i / _STEPS for i in range(_STEPS + 1)]
+    got = places.agg(F.count("*").alias("n"), F.percentile_approx("_place", steps, _ACCURACY).alias("at")).first()
+    if count >= got["n"]:
+        return -1, None
+    error = got["n"] / _ACCURACY + 1
+    ranks = [(p * got["n"], lot) for p, lot in zip(steps, got["at"], strict=True)]
+    low = max([lot for rank, lot in ranks if rank + error < count], default=-1)
+    high = min([lot for rank, lot in ranks if rank - error >= count], default=(1 << 60) - 1)
+    return low, high
 
 
 def require_lines(lines: DataFrame) -> DataFrame:

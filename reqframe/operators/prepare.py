@@ -201,16 +201,17 @@ def prepare_directory(
 ) -> None:
     """Rewrite every ``.jsonl`` file of a folder, or one file, into the new folder ``target``.
 
-    One job covers all files; each keeps its name and its line order.
+    One job covers all files; each keeps its name and its line order, files without lines too.
     """
     scan = scan_lines(spark, source)
-    indexed = index_lines(scan).drop("pos")
-    lines = prepare(indexed, **options)
-    if added:
-        whole = append_lines(lines.drop("file_ord", "seq"), added, file_list(scan))
-        write_by_file(whole, target, ("section", "line"))
-    else:
-        write_by_file(lines, target, rows=indexed.agg(F.coalesce(F.max("seq") + 1, F.lit(0))).first()[0])
+    files = file_list(scan)
+    lines = prepare(index_lines(scan).drop("pos"), **options)
+    if not added:
+        write_by_file(lines, target, files)
+        return
+    whole = append_lines(lines.drop("file_ord", "seq"), added, files)
+    place = F.when(F.col("section") == 0, F.col("line")).otherwise(F.col("line") + F.lit(1 << 61))
+    write_by_file(whole.withColumn("place", place), target, files, "place")
 
 
 def append_lines(lines: DataFrame, added: Sequence[str], files: DataFrame | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reqframe.functions.money import cost_text
+from reqframe.operators.stats import measured
 
 # Fixed value: what a plain report shows for a missing value.
 NOTHING = "-"
@@ -74,9 +75,29 @@ def analytics_json(analytics: DataFrame) -> DataFrame:
     return as_json(text.select("batch_id", F.struct(*inner).alias("analytics")))
 
 
-def diff_json(summary: DataFrame) -> DataFrame:
-    """The comparison as JSON; a side's warnings appear only if it has any."""
+def stats_json(lines: DataFrame) -> DataFrame:
+    """Request statistics of a set as JSON: ``lines, models`` (requests by model), ``estimated_input_tokens, parse_errors``.
+
+    Lines are reduced to one row a model before they become one object.
+    """
+    per_model = measured(lines).groupBy("model").agg(
+        F.count("*").alias("n"), F.count_if("_bad").alias("bad"), F.sum("_bytes").alias("bytes")
+    )
+    named = F.collect_list(F.when(F.col("model").isNotNull(), F.struct("model", "n")))
+    whole = per_model.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("lines"),
+        F.map_from_entries(F.array_sort(named)).alias("models"),
+        F.expr("coalesce(sum(bytes) div 4, 0)").alias("estimated_input_tokens"),
+        F.coalesce(F.sum("bad"), F.lit(0)).alias("parse_errors"),
+    )
+    return as_json(whole)
+
+
+def diff_json(summary: DataFrame, file_a: str, file_b: str) -> DataFrame:
+    """The comparison of two named sets as JSON; a side's warnings appear only if it has any."""
     columns = [
+        F.lit(file_a).alias("file_a"),
+        F.lit(file_b).alias("file_b"),
         "entries_a",
         "entries_b",
         "common",

@@ -48,7 +48,8 @@ def _tokens(column: str) -> Column:
     return F.expr(f"sum({column}) div {BYTES_PER_TOKEN}")
 
 
-def _measured(lines: DataFrame, *keep: str) -> DataFrame:
+def measured(lines: DataFrame, *keep: str) -> DataFrame:
+    """What statistics need of each line: ``_bad``, ``model``, ``_bytes`` of its prompt, ``_max`` tokens."""
     return parsed(lines).select(
         *keep,
         F.col("v").isNull().alias("_bad"),
@@ -64,7 +65,7 @@ def request_stats(lines: DataFrame, *by: str) -> DataFrame:
     One row, or one for each value of the ``by`` columns (such as ``file``). Bytes are summed
     over all lines and divided once.
     """
-    return _measured(lines, *by).groupBy(*by).agg(
+    return measured(lines, *by).groupBy(*by).agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_if("_bad").alias("parse_errors"),
         F.coalesce(_tokens("_bytes"), F.lit(0)).alias("estimated_input_tokens"),
@@ -85,7 +86,7 @@ def cost_by_model(lines: DataFrame, prices: DataFrame, window: str = "24h") -> D
     model nor the price table's size matters. An unknown model keeps a NULL cost.
     """
     per_model = (
-        _measured(lines)
+        measured(lines)
         .where(F.col("model").isNotNull())
         .groupBy("model")
         .agg(

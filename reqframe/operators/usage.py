@@ -126,7 +126,7 @@ def batch_analytics_list(log: DataFrame, ids: DataFrame) -> DataFrame:
     Only the requested batches are aggregated. An id without requests has zero counts.
     """
     wanted = ids.select(F.col("id").alias("batch_id")).distinct()
-    analytics = batch_analytics(join_on(log, wanted, "batch_id", "left_semi", row_id="id"))
+    analytics = batch_analytics(join_on(log, wanted, "batch_id", "left_semi"))
     asked = ids.select("ordinal", F.col("id").alias("batch_id"))
     rows = asked.join(analytics, "batch_id", "left").fillna(
         0, ["total_requests", "total_prompt_tokens", "total_completion_tokens", "total_tokens"]

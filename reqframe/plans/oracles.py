@@ -151,14 +151,34 @@ def _in_order(model: str) -> str:
     return f"""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS seq, {_DOC} AS custom_id, {model} AS model FROM documents"""
 
 
+_EIGHTHS = """parts AS (SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1)
+        // (SELECT greatest(1, ceil(count(*) / {}.0))::BIGINT FROM documents) AS part FROM documents)"""
+
 ORACLES: dict[str, str] = {
     "scan_directory": _in_order("'m-' || lang"),
     "split_then_merge": _in_order("'m-' || lang"),
     "prepare_folder": _in_order("'m-new'"),
     "read_id_list": """SELECT 0::BIGINT AS ordinal, 'first' AS id UNION ALL SELECT 1, 'second'
         UNION ALL SELECT row_number() OVER (ORDER BY doc_id) + 1, 'doc-' || doc_id FROM documents""",
-    "report_json": f"""SELECT entries_a, entries_b, common, identical AS identical_responses, different AS different_responses,
-        only_in_a, only_in_b FROM (WITH {_A}, {_B}, {_LAST} {_DIFF_COUNTS})""",
+    "prepared_files": f"""WITH {_EIGHTHS.format(8)}
+        SELECT 'set [' || part || '] a+b%20.jsonl' AS file, count(*) FILTER (NOT contains({_DOC}, 'doc-00000')) + 1 AS lines FROM parts GROUP BY part
+        UNION ALL SELECT 'set [9] empty.jsonl', 1""",
+    "split_files": f"""WITH {_EIGHTHS.format(7)}
+        SELECT printf('my ids-%03d.jsonl', part + 1) AS file, count(*) AS lines, sum(strlen({_DOC}) + 1)::BIGINT AS bytes FROM parts GROUP BY part""",
+    "report_json": f"""SELECT '{{"file_a":"run a.jsonl","file_b":"run b.jsonl","entries_a":' || entries_a || ',"entries_b":' || entries_b
+        || ',"common":' || common || ',"identical_responses":' || identical || ',"different_responses":' || different
+        || ',"only_in_a":' || only_in_a || ',"only_in_b":' || only_in_b
+        || CASE WHEN duplicates_a > 0 THEN ',"warnings_a":{{"parse_errors":0,"missing_id":0,"duplicates":' || duplicates_a || '}}' ELSE '' END
+        || CASE WHEN duplicates_b > 0 THEN ',"warnings_b":{{"parse_errors":0,"missing_id":0,"duplicates":' || duplicates_b || '}}' ELSE '' END
+        || '}}' AS value FROM (WITH {_A}, {_B}, {_LAST} {_DIFF_COUNTS})""",
+    "stats_report_json": """WITH lines AS (
+            SELECT lang, strlen(text) AS size, false AS bad FROM documents
+            UNION ALL SELECT CASE WHEN source NOT IN ('src2', 'src3', 'src4', 'src5', 'src7', 'src8') THEN lang END,
+                CASE WHEN source NOT IN ('src2', 'src4', 'src5', 'src7', 'src8') THEN strlen(text) ELSE 0 END, source IN ('src4', 'src5')
+            FROM documents WHERE source <> 'src6'),
+        models AS (SELECT 'm-' || lang AS model, count(*) AS n FROM lines WHERE lang IS NOT NULL GROUP BY lang)
+        SELECT '{"lines":' || count(*) || ',"models":{' || (SELECT string_agg('"' || model || '":' || n, ',' ORDER BY model) FROM models)
+            || '},"estimated_input_tokens":' || (sum(size) // 4)::BIGINT || ',"parse_errors":' || count(*) FILTER (bad) || '}' AS value FROM lines""",
     "build_requests": _chat(more=f", 'POST' AS method, {_CHAT} AS url, 'user' AS role"),
     "build_numbered": "SELECT printf('request-%04d', row_number() OVER (ORDER BY doc_id) - 1) AS custom_id, doc_id FROM documents",
     "build_chat": """SELECT 'turn-' || conv_id || '-' || turn AS custom_id, 'Speak as the ' || role AS system,
@@ -174,12 +194,15 @@ ORACLES: dict[str, str] = {
         FROM documents WHERE source <> 'src6'""",
     "multimodal_stats": """SELECT count(*) AS lines, 0::BIGINT AS parse_errors,
         (sum(strlen(url)) // 4)::BIGINT AS estimated_input_tokens FROM pages""",
-    "requests_per_model": "SELECT 'm-' || lang AS model, count(*) AS requests FROM documents GROUP BY lang",
+    "requests_per_model": """SELECT 'm-' || lang AS model, count(*) AS requests, row_number() OVER (ORDER BY 'm-' || lang) - 1 AS position
+        FROM documents GROUP BY lang""",
     "cost_estimate": f"""{_estimate('24h')} SELECT model, request_count, input_tokens AS estimated_input_tokens,
         output_tokens AS estimated_output_tokens, CAST(cost AS VARCHAR) AS estimated_cost FROM estimate""",
     "cost_estimate_totals": f"""{_estimate('1h')} SELECT sum(request_count)::BIGINT AS total_requests,
         sum(input_tokens)::BIGINT AS total_estimated_input_tokens, sum(output_tokens)::BIGINT AS total_estimated_output_tokens,
         {_COST} AS total_estimated_cost FROM estimate""",
+    "validate_depth": """SELECT 'nested.jsonl' AS file, doc_id + 1 AS line, 0 AS rule, 'Invalid JSON' AS message
+        FROM documents WHERE 112 + n_chars % 30 > 127""",
     "validate_errors": f"""WITH {_FOUND} SELECT source || '.jsonl' AS file, doc_id + 1 AS line,
         unnest(generate_series(0, len(messages) - 1)) AS rule, unnest(messages) AS message FROM found WHERE len(messages) > 0""",
     "validate_files": f"""WITH {_FOUND} SELECT source || '.jsonl' AS file, sum(len(messages))::BIGINT AS errors,
@@ -262,16 +285,24 @@ ORACLES: dict[str, str] = {
     "requests_filtered": f"""WITH {_LOG} SELECT id, model, status_code, 3 * prompt AS total_tokens,
         strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM log WHERE model = 'm-purchase' AND status_code = 200
         AND ts >= TIMESTAMP '2024-01-03 00:00:00' AND ts < TIMESTAMP '2024-01-25 00:00:00'""",
-    "requests_page": f"WITH {_LOG} SELECT id, model, duration_ms FROM log ORDER BY ts DESC, id DESC LIMIT 20 OFFSET 40",
+    "requests_page": f"""WITH {_LOG}, placed AS (SELECT *, row_number() OVER (ORDER BY ts DESC, id DESC) - 1 AS position FROM log)
+        SELECT position, id, model, duration_ms FROM placed WHERE position >= 40 AND position < 60""",
+    "requests_deep_page": f"""WITH {_LOG}, placed AS (
+            SELECT *, row_number() OVER (ORDER BY ts DESC, id DESC) - 1 AS position, count(*) OVER () // 2 AS half FROM log)
+        SELECT position, id, model, duration_ms FROM placed WHERE position >= half AND position < half + 50""",
     "batch_progress": f"""WITH {_BATCHES} SELECT id, status, ended AS done, CASE WHEN total > 0 THEN ended::DOUBLE / total END AS progress,
         ended || '/' || total AS progress_text FROM batches""",
     "results_progress": """SELECT 'batch-' || source AS id, count(*) AS total, count(*) FILTER (source <> 'src4') AS completed,
         count(*) FILTER (source = 'src4') AS failed, 1.0::DOUBLE AS progress, count(*) || '/' || count(*) AS progress_text
         FROM documents GROUP BY source""",
+    "results_progress_retried": """SELECT 'batch-' || source AS id, count(*) AS total, count(*) FILTER (source <> 'src4' OR lang = 'en') AS completed,
+        count(*) FILTER (source = 'src4' AND lang IS DISTINCT FROM 'en') AS failed, 1.0::DOUBLE AS progress,
+        count(*) || '/' || count(*) AS progress_text FROM documents GROUP BY source""",
     "watch_verdict": f"""WITH {_BATCHES} SELECT count(*) AS watched, count(*) FILTER (status <> 'completed') AS open,
         count(*) FILTER (status = 'completed' AND failed > 0) AS ended_badly,
         count(*) FILTER (status = 'completed' AND failed > 0) > 0 AS run_failed FROM batches""",
-    "batches_active_first": f"WITH {_BATCHES} SELECT id, status, created_at FROM batches",
+    "batches_active_first": f"""WITH {_BATCHES} SELECT id, status, created_at,
+        row_number() OVER (ORDER BY status IN ('in_progress', 'validating') DESC, created_at DESC, id DESC) - 1 AS position FROM batches""",
     "batches_cursor_page": f"""WITH {_BATCHES}, c AS (SELECT created_at AS cc, id AS ci FROM batches WHERE id = 5),
             rest AS (SELECT id, status, created_at FROM batches, c WHERE created_at < cc OR (created_at = cc AND id < ci))
         SELECT id, status, created_at, (SELECT count(*) FROM rest) > 50 AS has_more FROM rest
@@ -282,7 +313,8 @@ ORACLES: dict[str, str] = {
         SELECT (SELECT count(*) FROM batches) > 20 AS has_more, arg_max(id, (created_at, id)) AS first_id,
                arg_min(id, (created_at, id)) AS last_id, count(*) AS rows FROM p""",
     "files_by_purpose": f"WITH {_FILES} SELECT * FROM files WHERE purpose = 'batch'",
-    "files_listed": f"WITH {_FILES} SELECT *, false AS has_more FROM files",
+    "files_listed": f"""WITH {_FILES} SELECT *, row_number() OVER (ORDER BY created_at DESC, id DESC) - 1 AS position,
+        false AS has_more FROM files""",
     "models_by_type": f"WITH {_MODELS} SELECT * FROM models WHERE lower(model_type) = 'promo'",
     "resolve_models": f"""WITH {_MODELS}, asked AS (
             SELECT upper({_MODEL_ID.format('l_partkey')}) AS model, {_MODEL_ID.format('l_partkey')} AS as_id, NULL AS as_alias FROM lineitem
@@ -294,6 +326,8 @@ ORACLES: dict[str, str] = {
         FROM a JOIN documents d ON d.doc_id = a.doc_id""",
     "stream_progress": """SELECT 'batch-' || source AS batch_id, count(*) AS done, count(*) FILTER (source = 'src4') AS failed,
         count(*) AS total, 100::BIGINT AS percent FROM documents GROUP BY source""",
+    "stream_progress_retried": """SELECT 'batch-' || source AS batch_id, count(*) AS done,
+        count(*) FILTER (source = 'src4' AND lang IS DISTINCT FROM 'en') AS failed FROM documents GROUP BY source""",
     "stream_terminal": """SELECT DISTINCT l_orderkey || '-' || l_returnflag AS batch_id,
         CASE WHEN l_returnflag = 'R' THEN 'batch.failed' ELSE 'batch.completed' END AS event FROM lineitem WHERE l_linestatus = 'F'""",
 }

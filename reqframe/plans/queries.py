@@ -5,21 +5,22 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reqframe.functions.jsonlines import computed_once, parse_lines, parsed, text_at
 from reqframe.functions.money import cost_text
 from reqframe.operators import build, catalog, compare, layout, results, stats, usage, validate
 from reqframe.operators.prepare import append_lines, prepare, prepare_directory
-from reqframe.operators.reports import as_plain, diff_json
+from reqframe.operators.ranks import Ranked
+from reqframe.operators.reports import as_plain, diff_json, stats_json
 from reqframe.plans import views
 from reqframe.plans.views import Tables
 from reqframe.session import shared_dir
 from reqframe.sources.ids import read_ids
-from reqframe.sources.lines import read_lines
+from reqframe.sources.lines import file_list, read_lines, scan_lines
 from reqframe.sources.literal import literal_rows
-from reqframe.sources.sinks import write_chunks, write_ordered
+from reqframe.sources.sinks import write_chunks, write_files
 from reqframe.sources.tables import spread
 from reqframe.streaming import events as stream_events
 from reqframe.streaming import results as tailing
@@ -118,7 +119,8 @@ def multimodal_stats(t: Tables) -> DataFrame:
 
 @query
 def requests_per_model(t: Tables) -> DataFrame:
-    return stats.requests_per_model(views.requests(t))
+    """Models in their order, with their place in it."""
+    return Ranked.write(stats.requests_per_model(views.requests(t)), ["model"], f"{_workspace(t)}/ranked").listing()
 
 
 def _estimate(t: Tables, window: str) -> DataFrame:
@@ -142,6 +144,12 @@ def validate_errors(t: Tables) -> DataFrame:
     return found.select("file", "line", F.col("rule").cast("bigint").alias("rule"), "message")
 
 
+@query
+def validate_depth(t: Tables) -> DataFrame:
+    """Lines that nest deeper than strict readers allow, and lines that just do not."""
+    return validate.validation_errors(views.nested_lines(t)).select("file", "line", "rule", "message")
+
+
 @query
 def validate_files(t: Tables) -> DataFrame:
     return validate.file_verdicts(views.dirty_lines(t))
@@ -283,15 +291,19 @@ def results_missing(t: Tables) -> DataFrame:
     return layout.missing_outputs(_source_ids(t), outputs)
 
 
+def _ranked_results(t: Tables) -> Ranked:
+    return layout.rank_results(views.results_a(t), f"{_workspace(t)}/ranked")
+
+
 @query
 def results_page(t: Tables) -> DataFrame:
-    page = layout.results_page(views.results_a(t), 100, 250)
+    page = layout.results_page(_ranked_results(t), 100, 250)
     return parse_lines(page).select("pos", text_at("v", "custom_id").alias("custom_id"), "incomplete", "last_line")
 
 
 @query
 def results_page_failed(t: Tables) -> DataFrame:
-    page = layout.results_page(views.results_a(t), 10, 25, "failed")
+    page = layout.results_page(_ranked_results(t), 10, 25, "failed")
     return parse_lines(page).select(
         "pos", text_at("v", "custom_id").alias("custom_id"), "incomplete", "last_line"
     )
@@ -416,8 +428,15 @@ def requests_filtered(t: Tables) -> DataFrame:
 @query
 def requests_page(t: Tables) -> DataFrame:
     log = views.request_log(t)
-    page = catalog.offset_page(log, [F.col("timestamp").desc(), F.col("id").desc()], skip=40, limit=20)
-    return page.select("id", "model", "duration_ms")
+    ranked = Ranked.write(log, [F.col("timestamp").desc(), F.col("id").desc()], f"{_workspace(t)}/ranked")
+    return catalog.offset_page(ranked, skip=40, limit=20).select("position", "id", "model", "duration_ms")
+
+
+@query
+def requests_deep_page(t: Tables) -> DataFrame:
+    """A page from the middle of the log: only the ranges it touches are read."""
+    ranked = Ranked.write(views.request_log(t), [F.col("timestamp").desc(), F.col("id").desc()], f"{_workspace(t)}/ranked")
+    return catalog.offset_page(ranked, skip=ranked.total() // 2, limit=50).select("position", "id", "model", "duration_ms")
 
 
 # --- catalogues ------------------------------------------------------------------------------
@@ -436,6 +455,23 @@ def results_progress(t: Tables) -> DataFrame:
     return catalog.progress_from_results(found, totals).select("id", "total", "completed", "failed", "progress", "progress_text")
 
 
+def _retried_results(t: Tables) -> DataFrame:
+    """The results, and a second line for each document in two languages: a failed request may have succeeded since."""
+    again = F.when(F.col("lang") == "en", views.success_raw()).otherwise(views.results_a_raw())
+    second = computed_once(views.documents(t).where("lang in ('en', 'de')"), "raw", again).select(
+        F.concat(F.lit("batch-"), "source").alias("batch_id"), F.col("doc_id").alias("line"), F.col("doc_id").alias("pos"), "raw"
+    )
+    return _batched_results(t).unionByName(second)
+
+
+@query
+def results_progress_retried(t: Tables) -> DataFrame:
+    """Progress by request where errors were followed by a second attempt."""
+    totals = t.documents.groupBy(F.concat(F.lit("batch-"), "source").alias("id")).agg(F.count(F.lit(1)).alias("total"))
+    found = results.result_columns(_retried_results(t))
+    return catalog.progress_from_results(found, totals).select("id", "total", "completed", "failed", "progress", "progress_text")
+
+
 @query
 def watch_verdict(t: Tables) -> DataFrame:
     failing = F.when(F.col("request_counts.failed") > 0, "failed").otherwise(F.col("status"))
@@ -445,7 +481,8 @@ def watch_verdict(t: Tables) -> DataFrame:
 
 @query
 def batches_active_first(t: Tables) -> DataFrame:
-    return catalog.active_first(views.batches(t)).select("id", "status", "created_at")
+    ranked = catalog.active_first(views.batches(t), f"{_workspace(t)}/ranked")
+    return ranked.listing().select("position", "id", "status", "created_at")
 
 
 @query
@@ -473,7 +510,9 @@ def files_by_purpose(t: Tables) -> DataFrame:
 
 @query
 def files_listed(t: Tables) -> DataFrame:
-    return catalog.cursor_page(catalog.files_by_purpose(views.files(t), "all"), everything=True)
+    """All files, newest first, with their place in the listing."""
+    listed = catalog.newest_first(catalog.files_by_purpose(views.files(t), "all"), f"{_workspace(t)}/ranked")
+    return listed.listing().withColumn("has_more", F.lit(False))
 
 
 @query
@@ -493,10 +532,19 @@ def resolve_models(t: Tables) -> DataFrame:
 # --- files -----------------------------------------------------------------------------------
 
 
+def _file_of(t: Tables) -> Column:
+    """Eight file names with characters that folders, patterns or addresses would give a meaning."""
+    size = max(1, -(-t.documents.count() // 8))
+    return F.concat(F.lit("set ["), F.expr(f"pos div {size}").cast("string"), F.lit("] a+b%20.jsonl"))
+
+
+EMPTY_FILE = "set [9] empty.jsonl"
+
+
 def _written(t: Tables, lines: DataFrame, column: str = "raw") -> str:
-    """A new folder with numbered lines in eight files."""
-    folder, rows = f"{_workspace(t)}/lines", t.documents.count()
-    write_ordered(lines, folder, rows, "pos", column, rows_per_file=max(1, -(-rows // 8)))
+    """A new folder with numbered lines in eight files, and one without lines."""
+    folder = f"{_workspace(t)}/lines"
+    write_files(lines, folder, _file_of(t), "pos", column, empty=[EMPTY_FILE])
     return folder
 
 
@@ -534,17 +582,47 @@ def split_then_merge(t: Tables) -> DataFrame:
     """Chunks written as folders and read back as one set."""
     size = max(1, -(-t.documents.count() // 7))
     folder = f"{_workspace(t)}/chunks"
-    write_chunks(layout.chunks(views.indexed_requests(t), size, F.lit("documents")), folder, size)
+    write_chunks(layout.chunks(views.indexed_requests(t), size, F.lit("documents")), folder)
     return _scanned(t, folder)
 
 
+def _files_in(t: Tables, folder: str) -> DataFrame:
+    """``file, lines, bytes`` of a folder's files, those without lines too."""
+    scan = scan_lines(t.spark, folder)
+    counts = scan.groupBy("file").agg(F.count("*").alias("lines"), F.sum(F.octet_length("raw") + 1).alias("bytes"))
+    named = file_list(scan).join(counts, "file", "left").fillna(0, ["lines", "bytes"])
+    return named.withColumn("file", F.element_at(F.split("file", "/"), -1))
+
+
+@query
+def prepared_files(t: Tables) -> DataFrame:
+    """The files of a rewritten folder, with a line added to each, and how many lines they hold."""
+    source = _written(t, views.indexed_requests(t))
+    target = f"{_workspace(t)}/prepared"
+    prepare_directory(t.spark, source, target, added=['{"custom_id":"added"}'], remove="doc-00000")
+    return _files_in(t, target).select("file", "lines")
+
+
+@query
+def split_files(t: Tables) -> DataFrame:
+    """The files of a set that was split, and how large they are; one that is too large for a part is cut by bytes."""
+    size = max(1, -(-t.documents.count() // 7))
+    folder = f"{_workspace(t)}/chunks"
+    ids = views.indexed_requests(t).select("file", "pos", F.format_string("doc-%06d", "doc_id").alias("raw"))
+    write_chunks(layout.chunks(ids, size, F.lit("my ids")), folder)
+    return _files_in(t, folder)
+
+
 @query
 def report_json(t: Tables) -> DataFrame:
-    """The JSON form of the comparison, read back."""
-    text = diff_json(compare.diff_summary(views.results_a(t), views.results_b(t)))
-    counts = ["entries_a", "entries_b", "common", "identical_responses", "different_responses", "only_in_a", "only_in_b"]
-    fields = ", ".join(f"{name} bigint" for name in counts)
-    return text.select(F.from_json("value", fields).alias("r")).select("r.*")
+    """The JSON form of the comparison."""
+    return diff_json(compare.diff_summary(views.results_a(t), views.results_b(t)), "run a.jsonl", "run b.jsonl")
+
+
+@query
+def stats_report_json(t: Tables) -> DataFrame:
+    """The JSON form of the request statistics, lines that are no JSON included."""
+    return stats_json(views.dirty_lines(t).where(~validate.is_blank("raw")).unionByName(views.requests(t)))
 
 
 # --- streams ---------------------------------------------------------------------------------
@@ -578,6 +656,26 @@ def stream_progress(t: Tables) -> DataFrame:
     return tailing.latest_progress(counts, totals)
 
 
+@query
+def stream_progress_retried(t: Tables) -> DataFrame:
+    """Two drains: results with errors, then second attempts and the ends of the batches. State goes on between them."""
+    folder = _workspace(t)
+    ends = t.spark.readStream.schema("batch_id string").parquet(f"{folder}/ended")
+    t.spark.createDataFrame([], "batch_id string").write.parquet(f"{folder}/ended")
+
+    def drain() -> None:
+        stream = tailing.result_stream(t.spark, f"{folder}/landing")
+        tailing.track_progress(stream, f"{folder}/out", f"{folder}/checkpoint", ends=ends).awaitTermination()
+
+    tailing.land_results(_batched_results(t), f"{folder}/landing")
+    drain()
+    tailing.land_results(_retried_results(t), f"{folder}/landing")
+    t.documents.select(F.concat(F.lit("batch-"), "source").alias("batch_id")).distinct().write.mode("append").parquet(f"{folder}/ended")
+    drain()
+    counts = t.spark.read.schema("batch_id string, done bigint, failed bigint, epoch bigint").parquet(f"{folder}/out")
+    return tailing.latest_progress(counts)
+
+
 @query
 def stream_terminal(t: Tables) -> DataFrame:
     """Status snapshots from order lines; one event per batch that ended."""

@@ -94,10 +94,14 @@ def _error(cid: Column) -> Column:
     return _json(custom_id=cid, error=F.struct(F.lit("overloaded").alias("code")))
 
 
+def success_raw() -> Column:
+    """A result in the nested shape."""
+    return _json(custom_id=doc_id(), response=F.struct(_body(F.col("text")).alias("body")))
+
+
 def results_a_raw() -> Column:
     """Nested shape; documents of src4 came back as errors."""
-    good = _json(custom_id=doc_id(), response=F.struct(_body(F.col("text")).alias("body")))
-    return F.when(F.col("source") == "src4", _error(doc_id())).otherwise(good)
+    return F.when(F.col("source") == "src4", _error(doc_id())).otherwise(success_raw())
 
 
 def results_a(t: Tables) -> DataFrame:
@@ -154,6 +158,14 @@ def dirty_lines(t: Tables) -> DataFrame:
     return _as_lines(documents(t).withColumn("_good", good), F.col("doc_id"), F.concat("source", F.lit(".jsonl")), raw)
 
 
+def nested_lines(t: Tables) -> DataFrame:
+    """Request lines whose nesting, by the length of their document, is about as deep as is allowed."""
+    levels = (F.lit(110) + F.col("n_chars") % 30).cast("int")
+    whole = _json(custom_id=doc_id(), method=F.lit(METHOD), url=F.lit(CHAT_URL), body=F.struct(model().alias("model"), F.lit("[{").alias("x")))
+    raw = F.replace(whole, F.lit('"[{"'), F.concat(F.repeat(F.lit("["), levels), F.lit('"[{"'), F.repeat(F.lit("]"), levels)))
+    return _as_lines(documents(t), F.col("doc_id"), F.lit("nested.jsonl"), raw)
+
+
 def multimodal_requests(t: Tables) -> DataFrame:
     """One request per page: a text part, the page as an image reference, a finished data URI."""
 

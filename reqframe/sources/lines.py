@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from urllib.parse import unquote, urlsplit
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,14 +29,15 @@ def is_dir(spark: SparkSession, path: str) -> bool:
     return fs.getFileStatus(hadoop_path).isDirectory()
 
 
-def _path_of(spark: SparkSession, path: str) -> str:
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """The files of a folder that hold lines: ``*.jsonl``, else the parts that a line sink wrote; not those below."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    return fs.makeQualified(hadoop_path).toUri().getPath()
-
-
-def _parent(uri: str) -> str:
-    return unquote(urlsplit(uri).path).rsplit("/", 1)[0]
+    names = {s.getPath().getName(): s.getPath().toString() for s in fs.listStatus(hadoop_path) if s.isFile()}
+    for shape in (r".*\.jsonl", r"part.*\.txt"):
+        if chosen := sorted(n for n in names if re.fullmatch(shape, n, re.DOTALL) and not n.startswith((".", "_"))):
+            return [names[n] for n in chosen]
+    return []
 
 
 def _as_named(path: str) -> str:
@@ -44,44 +45,31 @@ def _as_named(path: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
-def _written_by_name(uri: str, root: str) -> bool:
-    """Whether a file lies in a folder that a sink made for one file or chunk."""
-    above, _, name = _parent(uri).rpartition("/")
-    return above == root and name.startswith(("file=", "chunk_name="))
+def _decoded(uri: Column) -> Column:
+    """The path that a file's URI spells. A plus sign means itself."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
 
 def scan_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Raw lines of one file, of a directory's ``*.jsonl`` children, or of several files.
 
-    A directory that a line sink wrote is read by its ``part-*.txt`` children, in their order; one
-    written by file or chunk, by the parts of its ``file=`` or ``chunk_name=`` folders. Characters
-    that a pattern would give a meaning (``[``, ``*``) are part of the names.
+    A directory without such files is read by the ``part*.txt`` children that a line sink wrote, in their order. Only
+    the directory itself is listed. Characters that a pattern would give a meaning (``[``, ``*``) are part of the names.
 
-    Columns: ``file``, ``block`` (byte offset of the scan split) and ``raw``. Lines end at
-    ``\\n``; one trailing ``\\r`` is dropped.
+    Columns: ``file`` (path as it is named, not its URI), ``block`` (byte offset of the scan split) and ``raw``. Lines
+    end at ``\\n``; one trailing ``\\r`` is dropped.
     """
-    reader = spark.read.option("lineSep", "\n")
-    folder = isinstance(path, str) and is_dir(spark, path)
-    if folder:
-        # Without this, sub-folders named like partitions would add columns.
-        reader = reader.option("pathGlobFilter", "{*.jsonl,part-*.txt}").option("recursiveFileLookup", True)
-    paths = [path] if isinstance(path, str) else list(dict.fromkeys(path))
-    if not isinstance(path, str) and any([is_dir(spark, p) for p in paths]):
-        raise IsADirectoryError("a list of paths must name files")
-    text = reader.text([_as_named(p) for p in paths])
-    found = text.inputFiles()
-    if folder:
-        root = _path_of(spark, path)
-        chosen = [f for f in found if _parent(f) == root]
-        if not chosen:
-            chosen = [f for f in found if _written_by_name(f, root)]
-        if chosen and len(chosen) < len(found):
-            text = spark.read.option("lineSep", "\n").text([_as_named(unquote(f)) for f in chosen])
-        found = chosen
-    if not found:
+    if not isinstance(path, str):
+        paths = list(dict.fromkeys(path))
+        if any([is_dir(spark, p) for p in paths]):
+            raise IsADirectoryError("a list of paths must name files")
+    else:
+        paths = _children(spark, path) if is_dir(spark, path) else [path]
+    if not paths:
         raise ValueError(f"no .jsonl files found in {path}")
+    text = spark.read.option("lineSep", "\n").text([_as_named(p) for p in paths])
     return text.select(
-        F.col("_metadata.file_path").alias("file"),
+        _decoded(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.expr(r"CASE WHEN endswith(value, '\r') THEN left(value, length(value) - 1) ELSE value END").alias("raw"),
     )
@@ -89,7 +77,7 @@ def scan_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 def _input_files(scan: DataFrame) -> list[str]:
     """The scan's files, spelled as the ``file`` column spells them (no empty authority)."""
-    return sorted(f.replace(":///", ":/", 1) for f in scan.inputFiles())
+    return sorted(unquote(f).replace(":///", ":/", 1) for f in scan.inputFiles())
 
 
 def file_list(scan: DataFrame) -> DataFrame:

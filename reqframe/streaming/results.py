@@ -15,19 +15,17 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from reqframe.functions.jsonlines import is_blank, parse_lines
 from reqframe.functions.results import extract
+from reqframe.sources.sinks import PART_BYTES, sized_parts
 
-# Lines of a batch that a landed part file may hold.
-_LINES_PER_PART = 1_000_000
-
-
-def land_results(lines: DataFrame, landing: str) -> None:
+def land_results(lines: DataFrame, landing: str, part_bytes: int = PART_BYTES) -> None:
     """Write result lines (``batch_id, pos, raw``) as part files the way a producer would.
 
     Lines are gathered by batch, so that each task does not leave a small file for every batch,
-    but in slices, so that a very large batch is written by many tasks.
+    but in parts by bytes, so that a very large batch is written by many tasks.
     """
-    part = (F.col("pos") / _LINES_PER_PART).cast("int")
-    placed = lines.repartition("batch_id", part).select("batch_id", F.col("raw").alias("value"))
+    sized = lines.withColumn("size", F.octet_length("raw") + F.lit(1))
+    parts = sized_parts(sized, "batch_id", "pos", "size", part_bytes)
+    placed = parts.repartition("batch_id", "_part").select("batch_id", F.col("raw").alias("value"))
     placed.write.mode("append").partitionBy("batch_id").text(landing, lineSep="\n")
 
 

@@ -11,7 +11,7 @@ from reqframe.operators.compare import (
     only_in_a,
     retry_set,
 )
-from reqframe.operators.joins import hot_values, join_on
+from reqframe.operators.joins import join_on
 from reqframe.operators.results import outcome_counts, result_columns, structured
 from tests.test_validate_stats import req
 
@@ -133,18 +133,15 @@ def test_match_and_retry(lines):
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("unique", [True, False])
-def test_spread_join_equals_plain_join(spark, monkeypatch, how, unique):
-    monkeypatch.setattr(joins, "broadcast_limit", lambda _: -1)
-    monkeypatch.setattr(joins, "LOOK_SHARE", 1.0)
+def test_join_equals_plain_join(spark, monkeypatch, how, unique):
     left_key = F.expr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL WHEN id % 5 = 0 THEN 'hot2' ELSE concat('k', id) END")
     left = spark.range(3000).select(F.col("id").alias("l"), left_key.alias("key"))
     right_key = "concat('k', id)" if unique else "CASE WHEN id % 2 = 0 THEN 'hot' WHEN id % 11 = 0 THEN NULL ELSE concat('k', id % 400) END"
     right = spark.range(900).select(F.col("id").alias("r"), F.expr(right_key).alias("key"))
     if unique:
         right = right.unionAll(spark.sql("select 9999L r, 'hot' key"))
-    assert "hot" in hot_values(left, "key", 10) and "hot2" in hot_values(left, "key", 10)
     plain = left.join(right, "key", how)
-    ours = join_on(left, right, "key", how, row_id="l", right_row_id="r", right_unique=unique)
+    ours = join_on(left, right, "key", how, right_unique=unique)
     assert ours.columns == plain.columns
     assert ours.exceptAll(plain).count() == 0 and plain.exceptAll(ours).count() == 0
     assert ours.count() == plain.count()
@@ -154,20 +151,45 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_generated_side_is_measured_before_it_is_broadcast(spark, monkeypatch):
-    """Catalyst takes built texts and generated rows for small; the join goes by their bytes."""
+def test_only_sides_as_read_are_broadcast_on_an_estimate(spark, tmp_path):
+    """Catalyst takes built texts and generated rows for small; no job counts them before the join."""
     left = spark.range(1000).withColumnRenamed("id", "key")
     tall = spark.range(200).select(F.explode(F.sequence(F.lit(0), F.lit(4))).alias("n"), (F.col("id") * 5 + F.col("n")).alias("key"))
-    right = tall.select("key", F.repeat(F.lit("x"), 20_000).alias("text"))
-    assert joins.plan_bytes(right) <= joins.broadcast_limit(spark) < joins.measured_bytes(right)
-    joined = join_on(left, right, "key", right_unique=True)
+    joined = join_on(left, tall, "key", right_unique=True)
+    assert joins.plan_bytes(tall) <= joins.broadcast_limit(spark)
     assert "BroadcastHashJoin" not in plan_of(joined) and joined.count() == 1000
-    assert "BroadcastHashJoin" in plan_of(join_on(left, tall, "key"))
-
-
-def test_slices_follow_the_share():
-    assert joins._slices({"a": 0.5, "b": 0.01}, {}, 1000) == {"a": 500, "b": 10}
-    assert joins._slices({"a": 0.4}, {"a": 0.4}, 1000) == {"a": 20}
+    tall.write.parquet(str(tmp_path / "t"))
+    assert "BroadcastHashJoin" in plan_of(join_on(left, spark.read.parquet(str(tmp_path / "t")), "key"))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_adaptive_execution_splits_a_hot_key(spark, how):
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.expr("CASE WHEN id % 2 = 0 THEN -1 ELSE id END")
+        left = spark.range(0, 40_000, 1, 8).select(key.alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+        right = spark.range(0, 3000).select((F.col("id") - 1).alias("key"), F.explode(F.array(F.lit(1))).alias("r"))
+        joined = join_on(left, right, "key", how, right_unique=True)
+        rows = joined.collect()
+        assert len(rows) == (21_500 - 1 if how == "inner" else 40_000)
+        assert "skew=true" in plan_of(joined)
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+
+
+def test_compared_contents_are_in_no_aggregation(lines):
+    requests = lines(req("a", "p1"))
+    plan = plan_of(compare_runs(requests, {"one": lines(res_a("a", "x")), "two": lines(res_a("a", "y"))}))
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    assert not any("content" in line for line in plan.splitlines() if "HashAggregate" in line)
 
 
 def test_diff_aggregates_by_hash(spark, lines):

@@ -113,9 +113,40 @@ def test_names_are_no_patterns(spark, put_file, tmp_path):
     assert [r.raw for r in read_lines(spark, str(tmp_path / "set [1]")).orderBy("seq").collect()] == ["3", "1", "2"]
 
 
-def test_rewritten_folder_is_a_source(spark, put_file, tmp_path):
-    for name in ("a b.jsonl", "c[2].jsonl"):
-        put_file(f"in/{name}", '{"custom_id":"%s","body":{}}\n' % name)
+def test_rewritten_folder_keeps_names(spark, put_file, tmp_path):
+    names = ["Z.jsonl", "[b].jsonl", "a b.jsonl", "c[2]%20+.jsonl", "x=y é.jsonl"]
+    for name in names:
+        put_file(f"in/{name}", '\n{"custom_id":"%s","body":{}}\n{"custom_id":"last"}\n' % name)
+    put_file("in/empty.jsonl", "")
+    put_file("in/blank.jsonl", " \n\n")
     prepare_directory(spark, str(tmp_path / "in"), str(tmp_path / "out"), model="m")
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")) == sorted([*names, "blank.jsonl", "empty.jsonl"])
+    assert (tmp_path / "out/empty.jsonl").read_text() == (tmp_path / "out/blank.jsonl").read_text() == ""
+    assert (tmp_path / "out/a b.jsonl").read_text() == '{"body":{"model":"m"},"custom_id":"a b.jsonl"}\n{"custom_id":"last"}\n'
     rows = parse_lines(read_lines(spark, str(tmp_path / "out"))).orderBy("seq")
-    assert [r[0] for r in rows.select(text_at("v", "custom_id")).collect()] == ["a b.jsonl", "c[2].jsonl"]
+    ids = [r[0] for r in rows.select(text_at("v", "custom_id")).collect()]
+    assert [i for i in ids if i != "last"] == sorted(names)
+    files = [r.file.rsplit("/", 1)[-1] for r in rows.select("file", "line").where("line = 1").collect()]
+    assert files == sorted(names)
+    prepare_directory(spark, str(tmp_path / "in"), str(tmp_path / "more"), added=["[1]", " 2 "])
+    assert (tmp_path / "more/empty.jsonl").read_text() == "[1]\n2\n"
+    assert (tmp_path / "more/Z.jsonl").read_text().splitlines()[1:] == ['{"custom_id":"last"}', "[1]", "2"]
+
+
+def test_only_the_folder_itself_is_listed(spark, put_file, tmp_path):
+    put_file("in/a.jsonl", "1\n")
+    put_file("in/deep/b.jsonl", "2\n")
+    put_file("in/.hidden.jsonl", "3\n")
+    scan = scan_lines(spark, str(tmp_path / "in"))
+    assert [r.raw for r in scan.collect()] == ["1"] and len(scan.inputFiles()) == 1
+
+
+@pytest.mark.parametrize("opening, closing", [("[", "]"), ('{"a":', "}")])
+def test_nesting_depth(spark, opening, closing):
+    """127 levels pass and 128 do not, as in strict readers; brackets in texts are no levels."""
+    def nested(levels, inner='"[[{"'):
+        return opening * levels + inner + closing * levels
+
+    texts = [nested(126), nested(127), nested(128), nested(200), '"' + "[" * 300 + '"', "[" + ",".join(["[1]"] * 300) + "]", '["\\\"",' + nested(127) + "]"]
+    df = parse_lines(spark.createDataFrame([(t,) for t in texts], "raw string"))
+    assert [r[0] for r in df.select(F.col("v").isNotNull()).collect()] == [True, True, False, False, True, True, False]

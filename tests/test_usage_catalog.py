@@ -5,10 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from reqframe.operators import catalog, reports, usage
+from reqframe.functions.results import extract
 from reqframe.operators.compare import diff_summary
+from reqframe.operators.ranks import Ranked
 from reqframe.sources.catalog import read_catalog
 from reqframe.sources.ids import read_ids
-from tests.test_compare import res_a
+from tests.test_compare import err, res_a
 
 
 @pytest.fixture(scope="module")
@@ -89,11 +91,18 @@ def test_plain_requests(log):
 
 
 def test_diff_json(lines):
-    got = json.loads(reports.diff_json(diff_summary(lines(res_a("a", "x"), "{"), lines(res_a("a", "x")))).first().value)
+    got = json.loads(reports.diff_json(diff_summary(lines(res_a("a", "x"), "{"), lines(res_a("a", "x"))), "one", "two").first().value)
     assert got["identical_responses"] == 1 and "warnings_b" not in got
+    assert (got["file_a"], got["file_b"]) == ("one", "two")
     assert got["warnings_a"] == {"parse_errors": 1, "missing_id": 0, "duplicates": 0}
 
 
+def test_stats_json(lines):
+    set_of = lines({"body": {"model": "b", "messages": [{"content": "12345678"}]}}, {"body": {"model": "a"}}, {"body": {"model": "b"}}, "{", {"x": 1})
+    assert reports.stats_json(set_of).first().value == '{"lines":5,"models":{"a":1,"b":2},"estimated_input_tokens":2,"parse_errors":1}'
+    assert reports.stats_json(set_of.where("false")).first().value == '{"lines":0,"models":{},"estimated_input_tokens":0,"parse_errors":0}'
+
+
 def test_report_sink(spark, log, tmp_path):
     reports.write_report(reports.as_json(log, ["id", "model"]), str(tmp_path / "r"))
     rows = [json.loads(x) for p in (tmp_path / "r").glob("part-*") for x in p.read_text().splitlines()]
@@ -125,8 +134,16 @@ def page(df):
     return [r.id for r in rows], {r.has_more for r in rows}
 
 
-def test_pages(batches):
-    assert [r.id for r in catalog.active_first(batches).collect()] == ["b", "e", "c", "d", "a"]
+def test_progress_counts_requests(lines):
+    landed = extract(lines(err("x"), res_a("x", "1"), res_a("x", "2"), err("y"), err("y"), {"error": "e"}, {"error": "e"})).withColumn("batch_id", F.lit("b"))
+    totals = landed.sparkSession.createDataFrame([("b", 4), ("c", 2), ("d", 0)], "id string, total bigint")
+    rows = {r.id: (r.completed, r.failed, r.progress, r.progress_text) for r in catalog.progress_from_results(landed, totals).collect()}
+    assert rows == {"b": (1, 3, 1.0, "4/4"), "c": (0, 0, 0.0, "0/2"), "d": (0, 0, None, "0/0")}
+
+
+def test_pages(batches, tmp_path):
+    listed = catalog.active_first(batches, str(tmp_path / "active")).listing().orderBy("position")
+    assert [(r.position, r.id) for r in listed.collect()] == list(enumerate(["b", "e", "c", "d", "a"]))
     assert page(catalog.cursor_page(batches, 2)) == (["c", "b"], {True})
     assert page(catalog.cursor_page(batches, 2, after="b")) == (["d", "a"], {True})
     assert page(catalog.cursor_page(batches, 2, after="a")) == (["e"], {False})
@@ -142,8 +159,10 @@ def test_pages(batches):
     for bad in (0, 101):
         with pytest.raises(ValueError):
             catalog.cursor_page(batches, bad)
-    order = [F.col("id")]
-    assert [r.id for r in catalog.offset_page(batches, order, 1, 2).collect()] == ["b", "c"]
+    ranked = Ranked.write(batches, ["id"], str(tmp_path / "ids"))
+    assert [(r.position, r.id) for r in catalog.offset_page(ranked, 1, 2).orderBy("position").collect()] == [(1, "b"), (2, "c")]
+    newest = catalog.newest_first(batches, str(tmp_path / "newest")).page(0, 9).orderBy("position")
+    assert [r.id for r in newest.collect()] == ["c", "b", "d", "a", "e"]
 
 
 def test_files_and_models(spark):
