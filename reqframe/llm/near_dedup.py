@@ -24,8 +24,8 @@ Buckets are never expanded into pairs; links are found by contraction. In each r
 that holds several components is held against one node of another of them; confirmed links contract
 components at once, refused pairs are remembered, and rounds go on while they close buckets. That joins large
 groups of copies by linear work. What is left are buckets whose components are not linked through such nodes:
-their registers meet in blocks of about ``BLOCK`` nodes a side, across components only, and each node hands on
-its best few pairs. If it had more, a further round takes several times as many, of buckets still open. So no
+their registers meet in blocks of about ``BLOCK`` nodes a side, across components only, pairs that pass the estimate by half
+the bits of their shingles if both sets are small enough to carry, and each node hands on its best few pairs. If it had more, a further round takes several times as many, of buckets still open. So no
 pair of a bucket stays untested unless its nodes are linked already, and pairs between linked nodes are not listed.
 """
 
@@ -47,10 +47,13 @@ MANTISSA = 10
 ROWS = 6
 BANDS = 42
 EMPTY = 0xFFFF
-#: Nodes of a bucket that are compared in one task, nodes compared at a time, and pairs of a node in the first round.
+#: Nodes of a bucket that are compared in one task, nodes compared at a time, pairs of a node in the first round, and how many times more in the next.
 BLOCK = 4096
 SIDE = 512
-MOST = 4
+MOST = 16
+MORE = 16
+#: Sets up to this size are held against one another by 32 bits of each shingle before a pair is handed on.
+HALVES = 1024
 #: A round of contraction is followed by another if it leaves at most this share of the rows of open buckets.
 GAIN = 0.9
 SMALL = 64
@@ -279,6 +282,7 @@ def _across(similarity: float, hot, most: int):
         side = group.column("side").to_numpy()
         node, part, n = (group.column(k).to_numpy() for k in ("node", "part", "n"))
         regs = _registers_of(group, "regs")
+        halves = [None if x is None else np.frombuffer(x, np.uint32) for x in group.column("halves").to_pylist()]
         same = group.column("low")[0].as_py() == group.column("high")[0].as_py()
         left = np.arange(len(node)) if same else np.flatnonzero(side == 0)
         right = left if same else np.flatnonzero(side == 1)
@@ -302,6 +306,9 @@ def _across(similarity: float, hot, most: int):
                     ok, score = _compared(one, regs[k], np.full(len(k), n[i], float), n[k].astype(float), similarity)
                     if rare:
                         ok &= np.array([below[i].isdisjoint(below[x]) for x in k.tolist()], bool)
+                    if halves[i] is not None:
+                        for x in np.flatnonzero(ok).tolist():
+                            ok[x] = halves[k[x]] is None or _may_share(halves[i], halves[k[x]], percent)
                     mine.append(k[ok])
                     equal.append(score[ok])
             if mine and len(j := np.concatenate(mine)):
@@ -332,6 +339,22 @@ def _across(similarity: float, hot, most: int):
     return run
 
 
+def _upper_halves(batches):
+    """The upper 32 bits of the shingles of each set with at most ``HALVES`` of them."""
+    for batch in batches:
+        out = []
+        for x in batch.column("shingles").to_pylist():
+            out.append((_set_of(x) >> np.uint64(32)).astype(np.uint32).tobytes() if len(x) <= 8 * HALVES else None)
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], names=["node", "halves"])
+
+
+def _may_share(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets of upper halves leave room for the similarity: no common shingle is missed, few are taken for common."""
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    common = int((b[at] == a).sum())
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
 def _whole_sets(batches):
     """The shingles of each text, with the key of their set."""
     hashes = WordHashes()
@@ -455,13 +478,16 @@ def near_groups(documents: DataFrame, similarity: float = 0.75) -> DataFrame:
     while 0 < left <= GAIN * before:
         partner = F.when(F.col("part") == F.col("p1"), F.col("m2")).otherwise(F.col("m1"))
         offers = links.opened.select(F.least("node", partner).alias("a"), F.greatest("node", partner).alias("b"), "node")
-        shared = links.untested(offers.groupBy("a", "b", "node").count())
+        shared = offers.groupBy("a", "b", "node").count()
         best = shared.groupBy("node").agg(F.max(F.struct("count", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
-        best = saved(best, "stars")
+        best = saved(links.untested(best), "stars")
         if not links.test(best, estimated=False):
             break
         before, left = left, links.open().count()
 
+    halves = whole.mapInArrow(_upper_halves, "node long, halves binary")
+    sketches = nodes.select("node", "n", "regs", "small").join(halves, "node")
+
     # what is left: all pairs across components, the best of each node first
     most = MOST
     while True:
@@ -476,14 +502,14 @@ def near_groups(documents: DataFrame, similarity: float = 0.75) -> DataFrame:
             (F.col("block") > F.col("other")).cast("int").alias("side"),
             "node",
             "part",
-        ).join(nodes.select("node", "n", "regs", "small"), "node")
+        ).join(sketches, "node")
         dealt = dealt.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
         found = dealt.mapInArrow(_across(similarity, hot, most), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
         found = saved(found, "across")
         contracted = links.test(saved(links.untested(found.select("a", "b")), "pairs"), estimated=True)
         if found.where("more").isEmpty():
             break
-        most *= MOST
+        most *= MORE
         if contracted:
             links.open()
     label = links.label.withColumnRenamed("part", "component")
