@@ -427,7 +427,8 @@ def repeated_spans(texts: DataFrame, keep_first: bool) -> DataFrame:
     """
     long_texts = texts.where(F.octet_length("text") >= LENGTH)
     places = long_texts.select("tk", "text").mapInArrow(_scanned(False), "gram long, place long")
-    grams = places.groupBy("gram").agg(F.min("place").alias("one"), F.max("place").alias("two")).where("one < two").select("gram")
+    # written, so that both sides of the joins below are shuffled for them and a hot gram can be split
+    grams = saved(places.groupBy("gram").agg(F.min("place").alias("one"), F.max("place").alias("two")).where("one < two").select("gram"), "grams")
     spots = long_texts.select("tk", "text").mapInArrow(_scanned(True), "gram long, tk binary, spot long").join(grams, "gram")
     # a text's spots are fewer than its bytes
     listed = spots.groupBy("tk").agg(F.collect_list(F.struct("gram", "spot")).alias("spots"))
@@ -436,7 +437,7 @@ def repeated_spans(texts: DataFrame, keep_first: bool) -> DataFrame:
     place = F.struct("first_id", "tk", "spot")
     distinct = contexts.groupBy("gram", "context").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     distinct = saved(distinct.select("gram", "context", "first", F.expr("first < last").alias("many")), "distinct")
-    kinds = distinct.groupBy("gram").agg(F.count("*").alias("kinds"))
+    kinds = saved(distinct.groupBy("gram").agg(F.count("*").alias("kinds")), "kinds")
 
     # one context in several places: every string repeats
     alone = distinct.join(kinds.where("kinds = 1").select("gram"), "gram").where("many").select("gram", "context")
