@@ -76,7 +76,7 @@ def _moments(width: int):
     return run
 
 
-def _row_sums(key, table: pa.Table) -> pa.Table:
+def _row_sums(key, table):
     total = np.sum([np.frombuffer(r, np.float64) for r in table.column("row").to_pylist()], axis=0)
     return pa.table({"axis": pa.array([key[0].as_py()], pa.int64()), "row": pa.array([total.tobytes()], pa.binary())})
 
