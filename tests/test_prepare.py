@@ -137,6 +137,17 @@ def _with_image(url):
     return json.dumps(req("p", [part]))
 
 
+def test_image_bytes_are_in_no_aggregation(spark, lines):
+    """Digests stand for images, and equal images under two paths are encoded once."""
+    requests = lines(req("1", [image("a.png"), image("b.png")]), req("2", [image("b.png")]))
+    blobs = spark.createDataFrame([("a.png", bytearray(b"same")), ("b.png", bytearray(b"same")), ("b.png", bytearray(b"same")), ("c.png", bytearray(b"x"))], "path string, bytes binary")
+    done = prepare(requests, blobs=blobs)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    urls = [[p["image_url"]["url"] for p in json.loads(r.raw)["body"]["messages"][0]["content"]] for r in done.orderBy("line").collect()]
+    assert urls == [["data:image/png;base64,c2FtZQ=="] * 2, ["data:image/png;base64,c2FtZQ=="]]
+
+
 def test_images_of_a_file_listed_twice(spark, put_file):
     path = put_file("i.jsonl", _with_image("a.png") + "\n" + _with_image("b.png") + "\n")
     blobs = spark.createDataFrame([(p, bytearray(p.encode())) for p in ("a.png", "b.png", "c.png")], "path string, bytes binary")
