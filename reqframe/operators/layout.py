@@ -52,10 +52,15 @@ def merge_summary(lines: DataFrame) -> DataFrame:
     return lines.agg(F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("lines"))
 
 
-def chunks(lines: DataFrame, size: int = CHUNK_SIZE, stem: Column | None = None) -> DataFrame:
-    """Add ``chunk`` (from 1) and ``chunk_name`` (``stem-001``) by the lines' dense positions."""
+def chunks(lines: DataFrame, size: int = CHUNK_SIZE, stem: Column | None = None, required: bool = False) -> DataFrame:
+    """Add ``chunk`` (from 1) and ``chunk_name`` (``stem-001``) by the lines' dense positions.
+
+    With ``required`` a set without lines is an error, as it is for one who splits a file by hand.
+    """
     if size < 1:
         raise ValueError("chunk size must be at least 1")
+    if required:
+        require_lines(lines)
     if stem is None:
         stem = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"(?<=.)\.[^.]*$", "")
     chunk = F.expr(f"pos div {size}") + 1
@@ -114,8 +119,8 @@ def draw(seed: int, *key: str) -> Column:
     return F.md5(F.concat_ws(":", *parts).cast("binary"))
 
 
-def sample(lines: DataFrame, count: int, *key: str, seed: int = 0, top_k: int = TOP_K_LIMIT) -> DataFrame:
-    """Exactly ``min(count, n)`` lines without replacement; ``key`` names a line uniquely.
+def sample(lines: DataFrame, count: int, *key: str, seed: int = 0, top_k: int = TOP_K_LIMIT, required: bool = False) -> DataFrame:
+    """Exactly ``min(count, n)`` lines without replacement; ``key`` names a line uniquely. With ``required`` no lines are an error.
 
     The lines with the lowest lots win. A small sample keeps ``count`` rows per task. For a large one a first pass
     over lots alone sketches their order, which bounds the last lot that is in from both sides; a second pass keeps
@@ -123,6 +128,8 @@ def sample(lines: DataFrame, count: int, *key: str, seed: int = 0, top_k: int =
     """
     if count < 1:
         raise ValueError("sample count must be at least 1")
+    if required:
+        require_lines(lines)
     drawn = lines.withColumn("_lot", draw(seed, *key))
     if count <= top_k:
         return drawn.orderBy("_lot", *key).limit(count).drop("_lot")

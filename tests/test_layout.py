@@ -150,6 +150,12 @@ def test_sample_survives_wrong_bounds(spark, monkeypatch, bounds):
 def test_sample_errors(lines):
     with pytest.raises(ValueError):
         sample(lines("1"), 0, "line")
+    nothing = lines("1").where("false")
+    assert sample(nothing, 3, "line").count() == chunks(nothing).count() == 0
+    for refused in (lambda: sample(nothing, 3, "line", required=True), lambda: chunks(nothing, required=True)):
+        with pytest.raises(ValueError, match="no lines"):
+            refused()
+    assert sample(lines("1"), 3, "line", required=True).count() == 1
 
 
 def test_concat(spark, lines):
