@@ -144,8 +144,12 @@ def progress_changes(stream: DataFrame, ends: DataFrame | None = None, slices: i
         every = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
         end = ends.select("batch_id", every.alias("slice"), F.lit(0).cast("bigint").alias("digest"), F.lit(_END).alias("kind"))
         rows = rows.unionByName(end)
-    rows = rows.withColumn("at", F.current_timestamp()).withWatermark("at", grace)
-    return rows.groupBy("batch_id", "slice").applyInPandasWithState(_counted, _PROGRESS, _STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    rows = rows.withColumn("at", F.current_timestamp())
+    if ends is not None:
+        rows = rows.withWatermark("at", grace)
+    # without ends nothing is ever due, and no trigger has to look for it
+    timeout = GroupStateTimeout.NoTimeout if ends is None else GroupStateTimeout.EventTimeTimeout
+    return rows.groupBy("batch_id", "slice").applyInPandasWithState(_counted, _PROGRESS, _STATE, "update", timeout)
 
 
 def track_progress(
