@@ -26,7 +26,6 @@ texts are cut into overlapping stretches for hashing only. Other columns are ign
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 
 import numpy as np
