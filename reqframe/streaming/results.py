@@ -49,17 +49,23 @@ def result_stream(spark: SparkSession, landing: str, files_per_trigger: int | No
     )
 
 
-def drop_relanded(stream: DataFrame) -> DataFrame:
+def drop_relanded(stream: DataFrame, within: str | None = None) -> DataFrame:
     """Guard against producers that land the same part twice: equal lines of a batch pass once.
 
     Needed only for such producers, as the file log already delivers each part exactly once.
     Repeated ids are no duplicates: an error line and the success of its retry are different
-    lines and both pass. No time bound applies, as a part with an old time may hold new lines:
-    the state keeps a digest of every line, so use the RocksDB state store for long streams. The
-    digest in the key spreads a large batch.
+    lines and both pass. The state keeps a digest of every line; the digest in the key spreads a large batch.
+
+    ``within`` (``"2 days"``) bounds that state: a digest is dropped by the first trigger that is so much later than the one
+    that read its line, and a line that is landed again after that passes again. Time is that of triggers, so a
+    part with an old time may hold new lines all the same.
     """
     keyed = stream.withColumn("_digest", F.sha2("raw", 256))
-    return keyed.dropDuplicates(["batch_id", "_digest"]).drop("_digest")
+    key = ["batch_id", "_digest"]
+    if within is None:
+        return keyed.dropDuplicates(key).drop("_digest")
+    seen = keyed.withColumn("_seen", F.current_timestamp()).withWatermark("_seen", within)
+    return seen.dropDuplicatesWithinWatermark(key).drop("_digest", "_seen")
 
 
 def tail_results(

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from reqframe.operators.results import result_columns
@@ -60,6 +61,26 @@ def test_relanded_part_is_dropped_on_request(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
 
 
+@pytest.mark.parametrize("within, again, held", [("1 hour", 0, 31), ("1 millisecond", 1, 2)])
+def test_relanded_lines_are_remembered_for_a_while(spark, tmp_path, within, again, held):
+    """A later trigger forgets what is older than the bound, and only that."""
+    landing, out, point = (str(tmp_path / n) for n in ("in", "out", "cp"))
+
+    def run():
+        query = tail_results(drop_relanded(result_stream(spark, landing), within), out, point)
+        drain(query)
+        return spark.read.parquet(out).count(), [op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]][-1]
+
+    land(spark, landing, "b", *[res_a(str(i), "1") for i in range(30)])
+    assert run()[0] == 30
+    # the first trigger reads the time that the watermark goes by, so what is old goes in the next
+    land(spark, landing, "b", res_a("x", "new"))
+    run()
+    land(spark, landing, "b", res_a("1", "1"))
+    count, rows = run()
+    assert count == 31 + again and rows <= held
+
+
 def test_progress_equals_batch_counts(spark, tmp_path):
     landing, out, point = (str(tmp_path / n) for n in ("in", "out", "cp"))
     totals = spark.createDataFrame([("a", 4), ("b", 0)], "batch_id string, total bigint")
