@@ -30,6 +30,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -403,24 +404,32 @@ def _united(runs: np.ndarray) -> np.ndarray:
 
 
 def _spans_of(keep_first: bool):
-    """Spans of the text that a spot's repeated strings cover, united."""
+    """Spans ``tk, begin, end`` of the text that a spot's repeated strings cover."""
 
     def run(batches):
-        names = ["spot", "is_first", "whole", "far", "near", "anywhere", "earlier"]
         for batch in batches:
-            spans = []
-            for spot, is_first, whole, far, near, anywhere, earlier in zip(*(batch.column(k).to_pylist() for k in names), strict=True):
-                anchor, *own = _unspot(spot)
-                runs = earlier if keep_first and is_first and not whole else None if keep_first else anywhere
-                runs = np.array([own if far is None else (far, near)]) if runs is None else np.frombuffer(runs, "<i4").reshape(-1, 2).astype(np.int64)
-                spans.append(_united(np.column_stack([anchor - runs[:, 0], anchor - runs[:, 1] + LENGTH])).astype("<i8").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("tk"), pa.array(spans, pa.binary())], names=["tk", "span"])
+            number = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("spot", "is_first", "whole")}
+            anchor, *own = _unspot(number["spot"])
+            given = [pc.is_valid(batch.column(k)).to_numpy(zero_copy_only=False) for k in ("far", "near")]
+            ends = [pc.fill_null(batch.column(k), 0).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("far", "near")]
+            far, near = (np.where(g, x, o) for g, x, o in zip(given, ends, own, strict=True))
+            runs = batch.column("earlier" if keep_first else "anywhere")
+            # all of a row's strings, or runs of them
+            every = ~(number["is_first"] & ~number["whole"]) if keep_first else ~pc.is_valid(runs).to_numpy(zero_copy_only=False)
+            some = np.flatnonzero(~every)
+            packed = runs.take(pa.array(some)).to_pylist()
+            pairs = np.frombuffer(b"".join(packed), "<i4").reshape(-1, 2).astype(np.int64)
+            row = np.concatenate([np.flatnonzero(every), np.repeat(some, np.fromiter(map(len, packed), np.int64, len(packed)) // 8)])
+            far, near = np.concatenate([far[every], pairs[:, 0]]), np.concatenate([near[every], pairs[:, 1]])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("tk").take(pa.array(row)), pa.array(anchor[row] - far), pa.array(anchor[row] - near + LENGTH)], names=["tk", "begin", "end"]
+            )
 
     return run
 
 
 def repeated_spans(texts: DataFrame, keep_first: bool) -> DataFrame:
-    """``tk, spans``: byte spans of each distinct text to remove, united; texts without any are left out.
+    """``tk, begins, ends``: byte spans of each distinct text to remove, which may overlap; texts without any are left out.
 
     With ``keep_first`` only strings that also start at an earlier place count, otherwise those that start anywhere else.
     """
@@ -476,12 +485,13 @@ def repeated_spans(texts: DataFrame, keep_first: bool) -> DataFrame:
     for more in parts[1:]:
         every = every.unionByName(more)
     firsts = distinct.select("gram", "context", "first")
-    every = every.join(firsts, ["gram", "context"])
+    every = saved(every.join(firsts, ["gram", "context"]), "every")
     covered = contexts.join(every, ["gram", "context"]).select(
         "tk", "spot", (place == F.col("first")).alias("is_first"), "whole", "far", "near", "anywhere", "earlier"
     )
-    spans = covered.mapInArrow(_spans_of(keep_first), "tk binary, span binary")
-    return spans.where(F.octet_length("span") > 0).groupBy("tk").agg(F.collect_list("span").alias("spans"))
+    spans = covered.mapInArrow(_spans_of(keep_first), "tk binary, begin long, end long")
+    # in one order, as both lists take the rows as they come
+    return spans.groupBy("tk").agg(F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends"))
 
 
 def _arrow(spark, schema: str) -> pa.Schema:
@@ -494,8 +504,9 @@ def _cut(keep_first: bool):
     def run(batches):
         for batch in batches:
             rows = []
-            for tk, first_id, text, n_docs, spans in zip(*(batch.column(k).to_pylist() for k in ("tk", "first_id", "text", "n_docs", "spans")), strict=True):
-                runs = np.frombuffer(b"".join(spans or []), "<i8").reshape(-1, 2)
+            bounds = [[np.array(x or (), np.int64) for x in batch.column(k).to_pylist()] for k in ("begins", "ends")]
+            for tk, first_id, text, n_docs, begins, ends in zip(*(batch.column(k).to_pylist() for k in ("tk", "first_id", "text", "n_docs")), *bounds, strict=True):
+                runs = np.column_stack([begins, ends])
                 if n_docs > 1 and not keep_first and len(text) >= LENGTH:
                     runs = np.array([[0, len(text)]])
                 runs = _united(runs)
@@ -520,7 +531,7 @@ def deduplicated(documents: DataFrame, keep_first: bool = True) -> tuple[DataFra
     """
     texts = texts_of(documents)
     spans = repeated_spans(texts, keep_first)
-    cut = texts.join(spans, "tk", "left").select("tk", "first_id", "text", "n_docs", "spans").mapInArrow(
+    cut = texts.join(spans, "tk", "left").select("tk", "first_id", "text", "n_docs", "begins", "ends").mapInArrow(
         _cut(keep_first), "tk binary, first_id long, n_docs long, n_bytes long, edges array<long>, kept binary"
     )
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
