@@ -166,6 +166,11 @@ def nested_lines(t: Tables) -> DataFrame:
     return _as_lines(documents(t), F.col("doc_id"), F.lit("nested.jsonl"), raw)
 
 
+def _page_path() -> Column:
+    """Where a page is stored: below its id, as an address may have been fetched more than once."""
+    return F.when(F.col("url").isNotNull(), F.concat_ws("/", "page_id", "url"))
+
+
 def multimodal_requests(t: Tables) -> DataFrame:
     """One request per page: a text part, the page as an image reference, a finished data URI."""
 
@@ -180,7 +185,7 @@ def multimodal_requests(t: Tables) -> DataFrame:
 
     parts = F.array(
         part("text", F.col("url"), None),
-        part("image_url", None, F.col("url")),
+        part("image_url", None, _page_path()),
         part("image_url", None, F.lit("data:image/png;base64,AA==")),
     )
     message = F.struct(F.lit("user").alias("role"), parts.alias("content"))
@@ -197,7 +202,7 @@ def multimodal_requests(t: Tables) -> DataFrame:
 
 
 def blobs(t: Tables) -> DataFrame:
-    return t.pages.select(F.col("url").alias("path"), F.encode("html", "UTF-8").alias("bytes"))
+    return t.pages.select(_page_path().alias("path"), F.encode("html", "UTF-8").alias("bytes"))
 
 
 def structured_results(t: Tables) -> DataFrame:

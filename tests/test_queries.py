@@ -22,6 +22,18 @@ def test_query_agrees_with_sql(spark, con, name):
     assert check.compare(spark, con, SF, name) == ""
 
 
+def test_pages_fetched_twice_from_one_address(spark, tmp_path):
+    import duckdb
+
+    rows = [(1, "http://x/a.jpg", "<p>one</p>"), (2, "http://x/a.jpg", "<p>two</p>"), (3, "http://x/b", "<p>one</p>")]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    pages = duckdb.connect()
+    pages.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    pages.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    for name in ("inline_assets", "multimodal_stats"):
+        assert check.compare(spark, pages, str(tmp_path), name) == ""
+
+
 def test_every_query_has_sql():
     assert set(REGISTRY) == set(ORACLES)
     assert REGISTRY.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
