@@ -17,15 +17,15 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     return spark.read.parquet(path)
 
 
-# A table below this size may sit in one or two row groups, which only as many tasks can read.
-_SPREAD_BELOW = 1 << 30
+# A table below this size, the default one of a row group, may sit in one row group, which only one task can read.
+_SPREAD_BELOW = 128 << 20
 
 
 def spread(table: DataFrame, key: str) -> DataFrame:
     """Hand a small table to all cores before per-row JSON work; large tables are left alone.
 
-    The shuffle is bounded by the size checked here. A table of normal size already has more
-    row groups than the cluster has cores and gains nothing from it.
+    The shuffle is bounded by the size checked here, but comes once for every use of the table. A larger
+    one has several row groups, and more of them as it grows.
     """
     if plan_bytes(table) >= _SPREAD_BELOW:
         return table

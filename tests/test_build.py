@@ -87,3 +87,12 @@ def test_prepare_directory(spark, put_file, tmp_path):
     assert got == [{**r, "body": {**r["body"], "z": {"": {"y": 1}}}} for r in body["b"]]
     assert (tmp_path / "out2" / "empty.jsonl").read_text() == ""
     assert parse_lines(read_lines(spark, str(tmp_path / "in"))).where("v is null").count() == 0
+
+
+def test_only_tables_of_a_row_group_are_dealt_out(spark):
+    from reqframe.sources.tables import spread
+
+    def shuffles(rows):
+        return "RepartitionByExpression" in spread(spark.range(rows), "id")._jdf.queryExecution().optimizedPlan().toString()
+
+    assert shuffles(1000) and not shuffles(20_000_000)
