@@ -14,10 +14,14 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from reqframe.session import plan_bytes
+
 #: No part is larger, unless it is one line.
 PART_BYTES = 256 << 20
 # Lines whose bytes are summed up before anything is ordered, and such blocks that are summed up in turn.
 _BLOCK = 4096
+# Bytes of Parquet that the sums of blocks may have to be sent to all tasks: some 100,000 blocks.
+_SENT = 1 << 20
 
 
 def write_lines(df: DataFrame, path: str, column: str = "raw") -> None:
@@ -25,12 +29,15 @@ def write_lines(df: DataFrame, path: str, column: str = "raw") -> None:
     df.select(F.col(column).alias("value")).write.text(path, lineSep="\n")
 
 
-def sized_parts(df: DataFrame, name: str, position: str, size: str, part_bytes: int = PART_BYTES) -> DataFrame:
+def sized_parts(df: DataFrame, name: str, position: str, size: str, working: str, part_bytes: int = PART_BYTES) -> DataFrame:
     """Add ``_part``, a text that tells parts apart: of each ``name`` the lines in ``position`` order, cut by bytes.
 
     ``position`` are integers from 0, dense or not, that may repeat; a part's lines follow one another. Bytes are
     summed up by blocks of positions, and blocks of blocks, so that no name has to fit in one task; only blocks
     that are too large for a part are cut line by line.
+
+    The blocks are written to ``working``, a new folder, so that their size is known: few of them are sent to the lines, which
+    then stay where they are but for those that are cut; many are joined by shuffle.
     """
     half = max(1, part_bytes // 2)
     placed = df.withColumn("_block", F.expr(f"{position} div {_BLOCK}"))
@@ -43,7 +50,9 @@ def sized_parts(df: DataFrame, name: str, position: str, size: str, part_bytes:
     above = sums.groupBy(name, "_above").agg(F.sum("_bytes").alias("_all")).withColumn("_start", before("_all", [name], "_above"))
     blocks = sums.withColumn("_within", before("_bytes", [name, "_above"], "_block")).join(above.drop("_all"), [name, "_above"])
     blocks = blocks.select(name, "_block", (F.col("_start") + F.col("_within")).alias("_start"), (F.col("_bytes") > half).alias("_heavy"))
-    located = placed.join(blocks, [name, "_block"])
+    blocks.write.parquet(working)
+    blocks = df.sparkSession.read.schema(blocks.schema).parquet(working)
+    located = placed.join(blocks if plan_bytes(blocks) <= _SENT else blocks.hint("merge"), [name, "_block"])
 
     def key(*columns: Column) -> Column:
         return F.md5(F.concat_ws("/", F.col(name), *columns).cast("binary"))
@@ -123,7 +132,7 @@ def write_files(
         staged = f"{target.staging}/lines"
         chosen = lines.select(name.alias("name"), F.col(position).cast("bigint").alias("position"), F.col(column).alias("value"))
         chosen.withColumn("size", F.octet_length("value") + F.lit(1)).write.parquet(staged)
-        rows = sized_parts(spark.read.parquet(staged), "name", "position", "size", part_bytes)
+        rows = sized_parts(spark.read.parquet(staged), "name", "position", "size", f"{target.staging}/blocks", part_bytes)
         found = rows.groupBy("name", "_part").agg(F.min("position").alias("first")).orderBy("name", "first", "_part").collect()
         parts = f"{target.staging}/parts"
         placed = rows.repartition(max(1, len(found)), "_part").sortWithinPartitions("_part", "position")

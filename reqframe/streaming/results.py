@@ -6,6 +6,8 @@ file once, so a part file must be complete and must not grow.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -15,16 +17,19 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from reqframe.functions.jsonlines import is_blank, parse_lines
 from reqframe.functions.results import extract
+from reqframe.session import shared_dir
 from reqframe.sources.sinks import PART_BYTES, sized_parts
 
 def land_results(lines: DataFrame, landing: str, part_bytes: int = PART_BYTES) -> None:
     """Write result lines (``batch_id, pos, raw``) as part files the way a producer would.
 
     Lines are gathered by batch, so that each task does not leave a small file for every batch,
-    but in parts by bytes, so that a very large batch is written by many tasks.
+    but in parts by bytes, so that a very large batch is written by many tasks. Each line is moved once. The sizes of
+    the parts are kept in the folder that the cluster shares.
     """
     sized = lines.withColumn("size", F.octet_length("raw") + F.lit(1))
-    parts = sized_parts(sized, "batch_id", "pos", "size", part_bytes)
+    working = f"{shared_dir(lines.sparkSession)}/landing-{uuid.uuid4().hex}"
+    parts = sized_parts(sized, "batch_id", "pos", "size", working, part_bytes)
     placed = parts.repartition("batch_id", "_part").select("batch_id", F.col("raw").alias("value"))
     placed.write.mode("append").partitionBy("batch_id").text(landing, lineSep="\n")
 

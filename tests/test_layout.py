@@ -209,3 +209,20 @@ def test_pages_read_the_ranges_they_touch(spark, tmp_path):
             assert len(touched_files(again.page(skip, limit, of))) <= 2
     assert [r.id for r in ranked.listing().orderBy("position").collect()] == plain
     assert ranked.total() == 10_000 and ranked.total("odd") == 5_000
+
+
+def test_lines_stay_where_they_are_while_parts_are_dealt(spark, tmp_path, monkeypatch):
+    lines = spark.range(9000).selectExpr("if(id % 3 = 0, 'a', 'b') AS name", "id AS position", "cast(10 + id % 7 AS bigint) AS size")
+
+    def parts(working, part_bytes):
+        placed = sinks.sized_parts(lines, "name", "position", "size", str(tmp_path / working), part_bytes)
+        return placed._jdf.queryExecution().executedPlan().toString(), sorted(map(tuple, placed.collect()))
+
+    for part_bytes in (1 << 20, 600):
+        monkeypatch.setattr(sinks, "_SENT", 1 << 20)
+        sent, found = parts(f"sent-{part_bytes}", part_bytes)
+        monkeypatch.setattr(sinks, "_SENT", -1)
+        shuffled, same = parts(f"shuffled-{part_bytes}", part_bytes)
+        assert found == same and len(found) == 9000
+        assert "SortMergeJoin" not in sent and "SortMergeJoin" in shuffled
+        assert len({p for *_, p in found}) > 2 or part_bytes > 600
