@@ -13,6 +13,8 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from collections.abc import Iterable
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -76,54 +78,80 @@ class Model:
         return float(-np.expm1(np.log1p(-p).sum())), worst, float(p[worst])
 
 
-def fit(texts: list[str], labels: np.ndarray, weight: np.ndarray) -> Model:
-    """Descend the noisy-or's log loss (Adam, full batches); features in under three texts are left out."""
+SLICE = 256  # texts numbered at a time while fitting
+STRIDE = 1 << 17  # words summed at a time
+
+
+def _add(total: np.ndarray, at: np.ndarray, values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Adds ``values[of]`` to ``total`` at ``at``, in order, without copies as long as the sample."""
+    for k in range(0, len(at), STRIDE):
+        np.add.at(total, at[k : k + STRIDE].astype(np.intp), values[of[k : k + STRIDE]])
+    return total
+
+
+def fit(texts: Iterable[str], labels: np.ndarray, weight: np.ndarray) -> Model:
+    """Descend the noisy-or's log loss (Adam, full batches); features in under three texts are left out.
+
+    ``texts`` are read once and not kept: what stays is eight bytes for each distinct word of a sentence.
+    """
     index: dict[str, int] = {}
-    word, sentence, document = array("i"), array("i"), array("i")
-    count = 0
-    for d, text in enumerate(texts):
-        fresh = True  # the next word begins a sentence
-        for t in _TOKEN.findall(text.lower()):
-            if t in _ENDS:
-                fresh = True
-                continue
-            if fresh:
-                document.append(d)
-                count += 1
-                fresh = False
-            word.append(index.setdefault(t, len(index)))
-            sentence.append(count - 1)
+    word, sentence, document, in_documents = array("i"), array("i"), array("i"), array("i")
+    texts, total, count = iter(texts), 0, 0
+    while part := list(islice(texts, SLICE)):
+        words, places, owners = array("q"), array("q"), array("q")
+        for d, text in enumerate(part, total):
+            fresh = True  # the next word begins a sentence
+            for t in _TOKEN.findall(text.lower()):
+                if t in _ENDS:
+                    fresh = True
+                    continue
+                if fresh:
+                    document.append(d)
+                    count += 1
+                    fresh = False
+                words.append(index.setdefault(t, len(index)))
+                places.append(count - 1)
+                owners.append(d)
+        total += len(part)
+        # a sentence counts each word once, and so does a text
+        w, s, d = (np.frombuffer(x, np.int64) for x in (words, places, owners))
+        once = np.unique(s << 32 | w)
+        sentence.frombytes((once >> 32).astype(np.int32).tobytes())
+        word.frombytes((once & 0xFFFFFFFF).astype(np.int32).tobytes())
+        once = np.unique(d << 32 | w) & 0xFFFFFFFF
+        in_documents.extend([0] * (len(index) - len(in_documents)))
+        held = np.frombuffer(in_documents, np.int32)
+        held += np.bincount(once, minlength=len(held)).astype(np.int32)
+        del held
     weights, bias = np.zeros(1 << BITS), -4.0
-    if not texts or not index or labels.min() == labels.max():
+    if not total or not index or labels.min() == labels.max():
         rate = float(np.average(labels, weights=weight)) if len(labels) else 0.0
         return Model(float(np.log((rate + 1e-4) / (1 - rate + 1e-4))) - 4.0, weights)
-    document = np.array(document)
-    once = np.unique(np.array(sentence).astype(np.int64) * len(index) + np.array(word))
-    del word, sentence
-    sentence, word = once // len(index), once % len(index)
+    word, sentence, document = (np.frombuffer(x, np.int32) for x in (word, sentence, document))
     feature, sizes = array("i"), array("i")
     for w in index:
         feature.extend(got := features(w))
         sizes.append(len(got))
-    owner, feature = np.repeat(np.arange(len(sizes)), np.array(sizes)), np.array(feature)
+    kinds = len(index)
+    del index
+    owner, feature = np.repeat(np.arange(kinds, dtype=np.int32), np.frombuffer(sizes, np.int32)), np.frombuffer(feature, np.int32)
     # texts that hold each word, then each feature (an upper count: words of one feature add up)
-    pairs = np.unique(word.astype(np.int64) * len(texts) + document[sentence])
-    in_texts = np.bincount(feature, np.bincount(pairs // len(texts), minlength=len(index))[owner], 1 << BITS)
+    in_texts = _add(np.zeros(1 << BITS), feature, np.frombuffer(in_documents, np.int32), owner)
     known = in_texts[feature] >= 3
     owner, feature = owner[known], feature[known]
     sentences, y = len(document), labels.astype(float)
     scale = weight / weight.sum()
     m, v, mb, vb = np.zeros(1 << BITS), np.zeros(1 << BITS), 0.0, 0.0
     for step in range(1, EPOCHS + 1):
-        value = np.bincount(owner, weights[feature], len(index))
-        logit = bias + np.bincount(sentence, value[word], sentences)
+        value = _add(np.zeros(kinds), owner, weights, feature)
+        logit = bias + _add(np.zeros(sentences), sentence, value, word)
         p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-        none = np.bincount(document, np.log1p(-np.minimum(p, 1 - 1e-12)), len(texts))
+        none = np.bincount(document, np.log1p(-np.minimum(p, 1 - 1e-12)), total)
         none = np.minimum(none, -1e-9)
         factor = scale * np.where(y == 1, np.exp(none) / np.expm1(none), 1.0)
         slope = factor[document] * p
-        by_word = np.bincount(word, slope[sentence], len(index))
-        grad = np.bincount(feature, by_word[owner], 1 << BITS) + L2 * weights
+        by_word = _add(np.zeros(kinds), word, slope, sentence)
+        grad = _add(np.zeros(1 << BITS), feature, by_word, owner) + L2 * weights
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         rate = 0.15
         weights -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
@@ -136,7 +164,8 @@ def fit(texts: list[str], labels: np.ndarray, weight: np.ndarray) -> Model:
 def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
     """A model fitted on labelled rows outside the held-out fold (``crc32(doc_id) mod 4 = 2``)."""
     got = labelled_sample(documents, labels, "toxic", share("doc_id", 4) != 2, rows).toArrow()
-    return fit(got.column("text").to_pylist(), got.column("label").to_numpy(), got.column("weight").to_numpy())
+    texts = (text for batch in got.to_batches(SLICE) for text in batch.column("text").to_pylist())
+    return fit(texts, got.column("label").to_numpy(), got.column("weight").to_numpy())
 
 
 OFFENDING = "array<struct<start:int,end:int,score:double>>"

@@ -231,3 +231,25 @@ def test_stages_take_awkward_rows(spark, tmp_path):
         got = stage(spark, docs, str(tmp_path))
         assert got.columns == docs.columns and got.count() == len(rows)
     assert sorted(r.length for r in corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()) == [0, 0, 0, 0, 1, len(long_text)]
+
+
+def test_stages_give_python_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(1, "a few words", "en", "web", 11)], columns)
+    wide = spark.range(0, 6000, 1, 1).selectExpr("repeat('x', 3000) AS text")
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.keep_one_of_each, corpus_pipeline.drop_benchmark_passages, corpus_pipeline.redact_secrets):
+        spark.conf.unset(key)
+        try:
+            stage(spark, docs, SF)
+            got = [r.n for r in wide.mapInArrow(sizes, "n long").collect()]
+        finally:
+            spark.conf.unset(key)
+        assert sum(got) == 6000 and max(got) * 3000 < 6 << 20, stage

@@ -541,3 +541,21 @@ def test_packed_long_texts_stay_close_to_the_least_padding(spark):
         top = max(sizes)
         best = min(sum(min(b for b in (*s, top) if b >= x) - x for x in sizes) for r in range(3) for s in itertools.combinations(sorted(set(sizes))[:-1], r))
         assert best <= sum(r.padding for r in got) <= best + slack * top * len(sizes)
+
+
+def test_fitting_holds_few_bytes_a_word(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(toxicity, "EPOCHS", 2)
+    monkeypatch.setattr(toxicity, "BITS", 12)
+    vocabulary = [f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}" for k in range(4000)]
+    rng = random.Random(3)
+    texts = [". ".join(" ".join(rng.sample(vocabulary, 25)) for _ in range(20)) for _ in range(1500)]
+    labels, weight = np.arange(len(texts)) % 2, np.ones(len(texts))
+    tracemalloc.start()
+    try:
+        toxicity.fit(texts, labels, weight)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 24 * 1500 * 500
