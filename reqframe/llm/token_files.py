@@ -41,6 +41,7 @@ LANES = 32
 STEPS = 256
 BLOCK = 32_768
 GROUP = 1 << 21  # tokens coded together
+TEXTS = 16  # texts cut into words together: few enough for their words to stay in the processor's cache
 LOW = np.uint64(1 << 31)
 
 BLOCK_SCHEMA = (
@@ -59,6 +60,49 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+class _Pieces(dict):
+    """Ids (uint32 bytes) of pieces of text, found when a piece is first asked for and kept.
+
+    ``mark`` is the space that stands before each piece, as the model writes it, or empty.
+    """
+
+    _SHAPE = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]*)(\n?)([^\W\d_]*)([!-&(-/:-@\[-^`{-~]*)")
+
+    def __init__(self, tokenizer, mark: str, heads: _Pieces | None = None):
+        self.tokenizer, self.tokenize, self.mark, self.old = tokenizer, tokenizer.model.tokenize, mark, {}
+        self.heads = self if heads is None else heads  # pieces without a space before them
+        self.letters = _byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self._word(piece) if piece.isalpha() else self._cut(piece)
+        self[piece] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word of letters alone, straight from the model, as the splitter would hand it over."""
+        if not word.isascii():
+            word = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenize(self.mark + word)]).tobytes()
+
+    def _cut(self, piece: str) -> bytes:
+        """A piece of letters, ASCII marks, a line end, letters and marks is cut there; others go through the whole tokenizer."""
+        shape = self._SHAPE.fullmatch(piece)
+        if shape is not None:
+            a, b, c, d, e = shape.groups()
+            # some numerals count as letters in a Python pattern
+            if (a + d).isalpha():
+                heads = self.heads
+                return self[a] + heads[b] + heads[c] + (heads[d] if d else b"") + heads[e]
+        return array("I", self.tokenizer.encode(" " + piece if self.mark else piece, add_special_tokens=False).ids).tobytes()
+
+    def renew(self) -> None:
+        """What has not been asked for since the last call is let go."""
+        self.old = dict(self)
+        self.clear()
+
+
 class Encoder:
     """Texts to ids (uint32) with a tokenizer given as JSON.
 
@@ -71,7 +115,6 @@ class Encoder:
     WORDS = 500_000
     _APART = re.compile(r"(?<=\S)(?= )")
     _RUNS = re.compile(r"(?:\A|\s) ")
-    _SHAPE = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]*)(\n?)([^\W\d_]*)([!-&(-/:-@\[-^`{-~]*)")
     _PAIRS = tuple(f"{chr(c)} " for c in range(128) if chr(c).isspace())  # the same without wide spaces
     _WIDE = tuple(chr(c) for c in range(128, 0x3001) if chr(c).isspace())
 
@@ -82,9 +125,11 @@ class Encoder:
         store = tokenizers.__dict__.setdefault("_reqframe_words", {})
         if definition not in store:
             store.clear()
-            store[definition] = (tokenizers.Tokenizer.from_str(definition), {}, {}, {}, {})
+            tokenizer = tokenizers.Tokenizer.from_str(definition)
+            heads = _Pieces(tokenizer, "")
+            store[definition] = (tokenizer, _Pieces(tokenizer, _byte_letters()[32], heads), heads)
         # words: after a space; heads: without one
-        self.tokenizer, self.words, self.old, self.heads, self.old_heads = store[definition]
+        self.tokenizer, self.words, self.heads = store[definition]
         spec = json.loads(definition)
         pre = spec.get("pre_tokenizer") or {}
         self.by_word = (
@@ -96,60 +141,10 @@ class Encoder:
             and all(x.get("special") for x in spec.get("added_tokens", []))
         )
         self.added = [x["content"] for x in spec.get("added_tokens", [])]
-        self.letters = _byte_letters()
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _model(self, words: list[str], space: bool) -> Iterator[bytes]:
-        """Ids of words of letters alone, straight from the model, as the splitter would hand them over."""
-        mark = self.letters[32]
-        # one translation for all; a space stands between words and nowhere else
-        plain = " ".join(words)
-        if not plain.isascii():
-            plain = plain.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-            plain = plain.replace(mark, " ")
-        tokenize, before = self.tokenizer.model.tokenize, mark if space else ""
-        for shown in plain.split(" ") if words else ():
-            yield array("I", [t.id for t in tokenize(before + shown)]).tobytes()
-
-    def _learn(self, tails: set[str], heads: set[str]) -> None:
-        """Ids of new pieces: ``tails`` stand behind a space, ``heads`` do not.
-
-        A piece of letters, ASCII marks, a line end, letters and marks is cut there and its parts are
-        looked up or learned; other pieces go through the whole tokenizer.
-        """
-        for pieces, new, old in ((tails, self.words, self.old), (heads, self.heads, self.old_heads)):
-            known = pieces & old.keys()
-            new.update((k, old[k]) for k in known)
-            pieces -= known
-        letters = set(filter(str.isalpha, tails))
-        first = set(filter(str.isalpha, heads))
-        rest, cut, marks = [], [], {""}
-        for pieces, mine, before, store in ((tails - letters, letters, " ", self.words), (heads - first, first, "", self.heads)):
-            for piece, shape in zip(pieces, map(self._SHAPE.fullmatch, pieces), strict=True):
-                # some numerals count as letters in a Python pattern
-                if shape is None or not (shape[1] + shape[4]).isalpha():
-                    rest.append((store, piece, before + piece))
-                    continue
-                parts = shape.groups()
-                mine.add(parts[0])
-                marks.update((parts[1], parts[2], parts[4]))
-                if parts[3]:
-                    first.add(parts[3])
-                cut.append((store, piece, parts))
-        for words, new, old, space in ((letters, self.words, self.old, True), (first, self.heads, self.old_heads, False)):
-            for word in words & old.keys():
-                new.setdefault(word, old[word])
-            unseen = list(words.difference(new))
-            new.update(zip(unseen, self._model(unseen, space), strict=True))
-        rest += [(self.heads, m, m) for m in marks.difference(self.heads)]
-        for (store, piece, _), ids in zip(rest, self._whole([r[2] for r in rest]), strict=True):
-            store[piece] = ids
-        words, heads = self.words, self.heads
-        for store, piece, (a, b, c, d, e) in cut:
-            store[piece] = (words if store is words else heads)[a] + heads[b] + heads[c] + (heads[d] if d else b"") + heads[e]
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian uint32."""
         if not self.by_word:
@@ -172,20 +167,12 @@ class Encoder:
                 head, *rest = text.split(" ")
             heads.append(head)
             pieces.append(rest)
-        for new, old in ((self.words, self.old), (self.heads, self.old_heads)):
-            if len(new) > self.WORDS:
-                old.clear()
-                old.update(new)
-                new.clear()
-        fresh = set().union(*pieces).difference(self.words)
-        fresh_heads = {h for h in set(heads).difference(self.heads) if h and h[0] != " "}
-        if fresh or fresh_heads:
-            self._learn(fresh, fresh_heads)
+        for known in (self.words, self.heads):
+            if len(known) > self.WORDS:
+                known.renew()
+        head, word = self.heads.__getitem__, self.words.__getitem__
         odd = {h: ids for h in set(heads) if h[:1] in ("", " ") for ids in (self._whole([h])[0] if h else b"",)}
-        return [
-            b"".join([odd[h] if h in odd else self.heads[h], *map(self.words.__getitem__, p)])
-            for h, p in zip(heads, pieces, strict=True)
-        ]
+        return [b"".join([odd[h] if h in odd else head(h), *map(word, p)]) for h, p in zip(heads, pieces, strict=True)]
 
 
 def _tokenized(definition, end: int):
@@ -206,7 +193,8 @@ def _tokenized(definition, end: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = [x + tail for x in encoder.encode([x or "" for x in part.column("text").to_pylist()])]
+                texts = [x or "" for x in part.column("text").to_pylist()]
+                ids = [x + tail for k in range(0, len(texts), TEXTS) for x in encoder.encode(texts[k : k + TEXTS])]
                 planes = [np.frombuffer(x, np.uint8).reshape(-1, 4).T.tobytes() for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("tie"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([squeeze.compress(x) for x in planes], pa.binary())],

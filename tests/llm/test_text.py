@@ -287,6 +287,19 @@ def test_word_cache_equals_whole_texts():
         assert encoder.encode([text])[0] == encoder._whole([text])[0]
 
 
+def test_words_are_learned_one_by_one_and_let_go(monkeypatch):
+    monkeypatch.setattr(token_files.Encoder, "WORDS", 20)
+    encoder, rng = token_files.Encoder(tokenizer_definition()), random.Random(4)
+    encoder.words.clear(), encoder.heads.clear()
+    for piece in ("thing", "thing.\nThe", "été,", "²x", "", "a.b"):
+        assert encoder.words[piece] == encoder._whole([" " + piece])[0] and encoder.heads[piece] == encoder._whole([piece])[0]
+    pieces = [a + b for a in ("été", "foo", "Bar", "x1", "日本", "ß") for b in ("", ",", ".\nThe", "!é", "s", "  ", "\t")]
+    for _ in range(200):
+        texts = [" ".join(rng.choice(pieces) for _ in range(rng.randint(0, 20))) for _ in range(rng.randint(1, 9))]
+        assert encoder.encode(texts) == encoder._whole(texts)
+    assert len(encoder.words) < 20 + 9 * 20 and len(encoder.words.old) < 20 + 9 * 20
+
+
 def test_added_tokens_in_a_text_equal_the_unmodified_library():
     import json
 
