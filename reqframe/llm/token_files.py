@@ -23,12 +23,14 @@ from __future__ import annotations
 import gc
 import json
 import re
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,7 +43,7 @@ LANES = 32
 STEPS = 256
 BLOCK = 32_768
 GROUP = 1 << 21  # tokens coded together
-TEXTS = 16  # texts cut into words together: few enough for their words to stay in the processor's cache
+TEXT_BYTES = 4 << 20  # text that is cut together: its different words are looked up once
 LOW = np.uint64(1 << 31)
 
 BLOCK_SCHEMA = (
@@ -60,6 +62,17 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+def _kinds() -> np.ndarray:
+    """The kind of each byte: 1 ASCII letter, 2 ASCII mark but ``'`` and ``_``, 4 line end, 8 space, 16 other white space, 0 all else."""
+    kinds = np.zeros(256, np.uint8)
+    for k, found in ((1, string.ascii_letters), (2, string.punctuation), (0, "'_"), (16, "\t\v\f\r\x1c\x1d\x1e\x1f"), (8, " "), (4, "\n")):
+        kinds[list(found.encode())] = k
+    return kinds
+
+
+_KINDS = _kinds()
+
+
 class _Pieces(dict):
     """Ids (uint32 bytes) of pieces of text, found when a piece is first asked for and kept.
 
@@ -107,16 +120,12 @@ class Encoder:
     """Texts to ids (uint32) with a tokenizer given as JSON.
 
     A byte-level BPE splits text by a pattern that always breaks before a space after a character that
-    is no white space, around a single line end, and between a letter and a mark. For those, each word
-    is tokenized once and kept, up to ``2 * WORDS`` of them; other tokenizers get texts whole, and so do
+    is no white space, around a single line end, and between a letter and a mark. There texts are cut,
+    and each piece is tokenized once and kept, up to ``2 * WORDS`` of them; other tokenizers get texts whole, and so do
     texts that hold the string of an added token, which becomes that token's id as in the library.
     """
 
-    WORDS = 500_000
-    _APART = re.compile(r"(?<=\S)(?= )")
-    _RUNS = re.compile(r"(?:\A|\s) ")
-    _PAIRS = tuple(f"{chr(c)} " for c in range(128) if chr(c).isspace())  # the same without wide spaces
-    _WIDE = tuple(chr(c) for c in range(128, 0x3001) if chr(c).isspace())
+    WORDS = 250_000
 
     def __init__(self, definition: str):
         import tokenizers
@@ -156,23 +165,59 @@ class Encoder:
                 whole = iter(self._whole([text for text, held in zip(texts, holds, strict=True) if held]))
                 parts = iter(self.encode([text for text, held in zip(texts, holds, strict=True) if not held]))
                 return [next(whole if held else parts) for held in holds]
-        heads, pieces = [], []
-        wide = any(map(together.__contains__, self._WIDE))
-        for text in texts:
-            if self._RUNS.search(text) if wide else text[:1] == " " or any(map(text.__contains__, self._PAIRS)):
-                # the first piece may begin with a space that belongs to no cut: it is learned alone
-                head, *rest = self._APART.split(text)
-                rest = [p[1:] for p in rest]
-            else:
-                head, *rest = text.split(" ")
-            heads.append(head)
-            pieces.append(rest)
         for known in (self.words, self.heads):
             if len(known) > self.WORDS:
                 known.renew()
-        head, word = self.heads.__getitem__, self.words.__getitem__
-        odd = {h: ids for h in set(heads) if h[:1] in ("", " ") for ids in (self._whole([h])[0] if h else b"",)}
-        return [b"".join([odd[h] if h in odd else head(h), *map(word, p)]) for h, p in zip(heads, pieces, strict=True)]
+        return self._by_piece(texts)
+
+    @staticmethod
+    def _cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Where pieces begin in UTF-8 texts that lie one after the other, and the end.
+
+        Both sides of a cut are ASCII, but for a space after any other character, which may be a wide space.
+        """
+        kind = _KINDS[data]
+        before, here = kind[:-1], kind[1:]
+        cut = np.zeros(len(data) + 1, bool)
+        cut[1:-1] = ((here == 8) & (before < 4)) | ((before | here) == 3)
+        ends = np.flatnonzero(kind[1:-1] == 4) + 1
+        ends = ends[(kind[ends - 1] - 1 < 2) & (kind[ends + 1] - 1 < 2)]
+        cut[ends] = cut[ends + 1] = True
+        cut[starts] = True
+        return np.flatnonzero(cut)
+
+    def _by_piece(self, texts: list[str]) -> list[bytes]:
+        """Texts are cut together, each different piece is looked up once, and its ids are copied to all its places."""
+        held = pa.array(texts, pa.large_string())
+        _, offsets, data = held.buffers()
+        starts = np.frombuffer(offsets, np.int64, len(texts) + 1)
+        if not starts[-1]:
+            return [b""] * len(texts)
+        at = self._cuts(np.frombuffer(data, np.uint8, starts[-1]), starts)
+        coded = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), data).dictionary_encode()
+        pieces, words, heads = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.words, self.heads
+        known = pa.array([words[p[1:]] if p[0] == " " else heads[p] for p in pieces], pa.large_binary())
+        _, offsets, ids = known.take(coded.indices).buffers()
+        ends = np.frombuffer(offsets, np.int64, len(at))[np.searchsorted(at, starts)].tolist()
+        out = [ids[a:b].to_pybytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        # a cut after a wide space may be none of the pattern's
+        wide = [k for k, p in enumerate(pieces) if p[-1] > "\x7f" and p[-1].isspace()]
+        if wide:
+            places = at[:-1][np.isin(coded.indices.to_numpy(), wide)]
+            again = np.unique(np.searchsorted(starts, places, side="right") - 1).tolist()
+            for k, found in zip(again, self._whole([texts[k] for k in again]), strict=True):
+                out[k] = found
+        return out
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of ``TEXT_BYTES`` of text, or of one longer text."""
+    sizes = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy())
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(sizes, TEXT_BYTES + (sizes[at - 1] if at else 0), side="right")))
+        yield batch.slice(at, to - at)
+        at = to
 
 
 def _tokenized(definition, end: int):
@@ -191,10 +236,8 @@ def _tokenized(definition, end: int):
         squeeze = zstandard.ZstdCompressor(level=1)
         tail = np.array([end], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                texts = [x or "" for x in part.column("text").to_pylist()]
-                ids = [x + tail for k in range(0, len(texts), TEXTS) for x in encoder.encode(texts[k : k + TEXTS])]
+            for part in _parts(batch):
+                ids = [x + tail for x in encoder.encode([x or "" for x in part.column("text").to_pylist()])]
                 planes = [np.frombuffer(x, np.uint8).reshape(-1, 4).T.tobytes() for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("tie"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([squeeze.compress(x) for x in planes], pa.binary())],
@@ -409,6 +452,8 @@ def write_tokens(documents: DataFrame, definition: str, end: int = END) -> tuple
     rows of one doc_id are ordered by a hash of their text.
     """
     context = documents.sparkSession.sparkContext
+    # Spark's 10,000 rows (64 MB) would be held several times over in each task
+    documents.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", TEXT_BYTES)
     docs = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), F.col("text").cast("string").alias("text")
     )

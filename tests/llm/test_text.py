@@ -300,6 +300,42 @@ def test_words_are_learned_one_by_one_and_let_go(monkeypatch):
     assert len(encoder.words) < 20 + 9 * 20 and len(encoder.words.old) < 20 + 9 * 20
 
 
+def test_texts_cut_together_equal_whole_texts():
+    encoder, rng = token_files.Encoder(tokenizer_definition()), random.Random(9)
+    bits = ["a", "The", " ", " ", "  ", "\n", "\n", "é", "é,", "!", ",", "...", "'s", "'", "_", "12", "\t", "\r", "\x1c", "\x7f", "\x00", "\x85", "\u00a0", "\u2003", "\u3000", "\u200b", "’", "“", "日本", "²", "\u0301", "😀"]
+    for _ in range(1500):
+        texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(rng.randint(0, 7))]
+        assert encoder.encode(texts) == encoder._whole(texts)
+
+
+def test_a_repeated_word_is_looked_up_once():
+    encoder = token_files.Encoder(tokenizer_definition())
+
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, piece):
+            self.asked += 1
+            return known[piece]
+
+    known, encoder.words = encoder.words, Counted()
+    texts = ["x" + " house, garden" * 1000] * 9
+    assert encoder.encode(texts) == encoder._whole(texts)
+    assert 2 <= encoder.words.asked <= 4
+
+
+def test_texts_reach_the_encoder_in_bounded_parts(spark):
+    import pyarrow as pa
+
+    big = token_files.TEXT_BYTES
+    texts = ["a" * (big // 2), "b" * (big // 2), "c", None, "d" * 2 * big, "", "e"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    assert [p.column("text").to_pylist() for p in token_files._parts(batch)] == [texts[:2], texts[2:4], texts[4:5], texts[5:]]
+    assert not list(token_files._parts(batch.slice(0, 0)))
+    token_files.write_tokens(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), tokenizer_definition())
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= big
+
+
 def test_added_tokens_in_a_text_equal_the_unmodified_library():
     import json
 
