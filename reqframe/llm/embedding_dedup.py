@@ -3,15 +3,18 @@
 Vectors are scaled to length one and rotated onto the principal axes of the whole table (a sum of
 outer products, one matrix from each task). A tree of cuts along the leading axes, fitted on a
 bounded sample, deals the vectors into cells; a cell with more than ``TILE`` vectors is cut further
-by a hash of the vector, so no tile grows with a hot spot. A tile travels as one packed row.
+by a hash of the vector, so no tile grows with a hot spot. Consecutive tiles are written as one packed row, a
+pack. Packs meet in a Cartesian product that reads their files again and shuffles nothing: what is written
+grows with the table, however many tiles meet, and only what is read and compared grows with the meetings.
 
 Two unit vectors with cosine >= t are at most sqrt(2 - 2t) apart, so two tiles meet only if the boxes of
 their cells along the leading axes come that close. Where tiles meet, products are summed over blocks of
 leading axes; after each block the rest is bounded by the product of the suffix norms, and a pair stops as
 soon as it cannot reach t. The first block is the one that is cheapest on the sample, and its bound is one matrix
 product in single precision, with the suffix norms as one more axis and a margin for rounding. Pairs near the threshold
-are decided on the given components in double precision. A task holds a tile and a few visiting tiles; it
-emits counts of links and a spanning forest of them, never the pairs.
+are decided on the given components in double precision. A Python worker holds two packs at a time; it
+emits counts of links and a spanning forest of them, never the pairs. Vectors are kept in single precision where that
+holds all their components, and later joins know them by their SHA-256.
 
 Vectors without structure along few axes (as random ones) are far from all cells' borders' reach: then every
 tile meets every other, which costs a few nanoseconds a pair and grows with the square of the table.
@@ -26,25 +29,47 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reqframe.llm.common import components, saved
+from reqframe.llm.common import components, forget, saved
 
 TILE = 2048
 SAMPLE = 4096
 DEPTH = 10  # at most 1,024 cells; larger cells are cut by hash
 BLOCKS = (8, 16, 24, 32, 48)
 AXES = 8  # leading axes of cuts and boxes
-VISITORS = 32  # consecutive tiles, about half of which visit another one together
+VISITORS = 32  # consecutive tiles that visit others together, as one pack, at most
+PACK = 16 << 20  # bytes of a pack's vectors as doubles, unless one tile has more
+PACKS = 24  # packs that a table has at least if it has as many tiles, so that there is work for all cores
+MEETINGS = 20_000  # tasks of the product of packs at most
 NEAR = 1e-9
 #: Bound on the rounding of a product of unit vectors in single precision.
 ROUNDING = 2e-5
+#: What a pair that survives the first block costs, in axes of a pair in it (some 700 and 0.04 nanoseconds).
+SURVIVOR = 16_000
+
+
+def _coded(x: np.ndarray) -> bytes:
+    """A vector in single precision if that holds all its components; equal vectors give equal bytes."""
+    with np.errstate(over="ignore"):
+        single = x.astype(np.float32)
+    return (single if (single == x).all() else x).tobytes()
+
+
+def _decoded(parts: list[bytes], width: int) -> np.ndarray:
+    """Rows of doubles, of vectors of one length as ``_coded`` gives them."""
+    single = np.fromiter(map(len, parts), np.int64, len(parts)) == 4 * width
+    out = np.empty((len(parts), width))
+    for kind, where in ((np.float32, single), (np.float64, ~single)):
+        if where.any():
+            out[where] = np.frombuffer(b"".join(p for p, ok in zip(parts, where, strict=True) if ok), kind).reshape(-1, width)
+    return out
 
 
 def _matrix(column, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, width)
+    return _decoded(column.to_pylist(), width)
 
 
 def _valid(batches):
-    """Usable vectors as binary rows of doubles, and their lengths."""
+    """Usable vectors as binary rows, and their lengths."""
     for batch in batches:
         ids, width, out = [], [], []
         for key, value in zip(batch.column("vec_id").to_pylist(), batch.column("embedding").to_pylist(), strict=True):
@@ -54,7 +79,7 @@ def _valid(batches):
             if np.isfinite(x).all() and x.any():
                 ids.append(key)
                 width.append(len(x))
-                out.append((x + 0.0).tobytes())
+                out.append(_coded(x))
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(width, pa.int32()), pa.array(out, pa.binary())], names=["vec_id", "width", "vec"])
 
 
@@ -139,19 +164,17 @@ def first_block(sample: np.ndarray, least: float) -> int:
     if not len(a):
         return ends[0]
     share = [float((_leading(a, k) @ _leading(b, k).T >= least - ROUNDING).mean()) for k in ends]
-    return min(zip(ends, share, strict=True), key=lambda x: x[0] + 400 * x[1])[0]
+    return min(zip(ends, share, strict=True), key=lambda x: x[0] + SURVIVOR * x[1])[0]
 
 
-def linked(a: np.ndarray, b: np.ndarray, raw_a: np.ndarray, raw_b: np.ndarray, least: float, first: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Indices of the pairs of rotated unit rows with cosine >= ``least``."""
-    width = a.shape[1]
-    ends = [e for e in BLOCKS if e < width] + [width]
-    first = ends[0] if first is None else first
-    ends = [e for e in ends if e >= first]
-    head = _leading(a, first)
+def linked(a: np.ndarray, b: np.ndarray, raw_a: np.ndarray, raw_b: np.ndarray, head_a: np.ndarray, head_b: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of the pairs of rotated unit rows with cosine >= ``least``; heads are their ``_leading`` rows."""
+    width, first = a.shape[1], head_a.shape[1] - 1
+    ends = [e for e in (*BLOCKS, width) if first <= e < width] + [width]
     i, j = [], []
     for at in range(0, len(b), 1024):
-        x, y = np.nonzero(head @ _leading(b[at : at + 1024], first).T >= least - ROUNDING)
+        near = head_a @ head_b[at : at + 1024].T >= least - ROUNDING
+        x, y = np.divmod(np.flatnonzero(near), near.shape[1])  # much faster than nonzero() of the matrix
         i.append(x)
         j.append(y + at)
     i, j = np.concatenate(i), np.concatenate(j)
@@ -178,10 +201,10 @@ def linked(a: np.ndarray, b: np.ndarray, raw_a: np.ndarray, raw_b: np.ndarray, l
 
 
 class Grid:
-    """Cells and their tiles: how many, where their numbers begin, and which cells' boxes come close."""
+    """Cells, their tiles and packs of tiles: how many, where their numbers begin, and which cells' boxes come close."""
 
-    def __init__(self, cells: Cells, rows: list, reach: float):
-        """``rows``: cell, count, lowest and highest place along the leading axes."""
+    def __init__(self, cells: Cells, rows: list, reach: float, dims: int):
+        """``rows``: cell, count, lowest and highest place along the leading axes. ``dims``: components of a vector."""
         self.cells = cells
         n = 2**cells.depth
         count = np.zeros(n, np.int64)
@@ -191,20 +214,30 @@ class Grid:
             count[cell], low[cell], high[cell] = size, lo, hi
         self.blocks = -(-count // TILE)
         self.base = np.concatenate([[0], np.cumsum(self.blocks)])
-        self.near = []
-        for c in range(n):
-            gap = np.maximum(np.maximum(low - high[c], low[c] - high), 0) if count[c] else np.full((n, width), np.inf)
-            self.near.append(np.flatnonzero((count > 0) & ((gap**2).sum(axis=1) <= reach**2 + NEAR)) if count[c] else np.zeros(0, np.int64))
+        self.near = np.zeros((n, n), bool)
+        for c in np.flatnonzero(count):
+            gap = np.maximum(np.maximum(low - high[c], low[c] - high), 0)
+            self.near[c] = (count > 0) & ((gap**2).sum(axis=1) <= reach**2 + NEAR)
+        self.n_tiles = int(self.base[-1])
+        largest = int((count / np.maximum(self.blocks, 1)).max())
+        self.together = max(1, min(VISITORS, PACK // max(1, 8 * dims * largest), self.n_tiles // PACKS))
+        self.n_packs = max(1, -(-self.n_tiles // self.together))
 
     def tile(self, cell: np.ndarray, node: np.ndarray) -> np.ndarray:
         return self.base[cell] + (node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % np.maximum(self.blocks[cell], 1)
 
-    def meets(self, tile: int) -> np.ndarray:
-        """Other tiles whose vectors may have links with a tile's."""
-        cell = int(np.searchsorted(self.base, tile, side="right")) - 1
-        found = [np.arange(self.base[c], self.base[c + 1]) for c in self.near[cell]]
-        found = np.concatenate(found) if found else np.zeros(0, np.int64)
-        return found[found != tile]
+    def cell_of(self, tiles: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.base, tiles, side="right") - 1
+
+    def receives(self, pack: int) -> np.ndarray:
+        """The packs that are compared with one: itself, and half of those with tiles that may have links with its own."""
+        own = np.arange(pack * self.together, min(self.n_tiles, (pack + 1) * self.together))
+        cells = np.flatnonzero(self.near[np.unique(self.cell_of(own))].any(axis=0))
+        found = [np.arange(self.base[c] // self.together, (self.base[c + 1] - 1) // self.together + 1) for c in cells]
+        others = np.unique(np.concatenate([np.zeros(0, np.int64), *found]))
+        others = others[others != pack]
+        # of two packs, one receives the other: the higher one if their sum is even
+        return np.concatenate([[pack], others[((pack + others) % 2 == 0) == (pack > others)]])
 
 
 def _cell_ends(width: int, axes: np.ndarray, cells: Cells):
@@ -242,94 +275,103 @@ def _homes(width: int, axes: np.ndarray, grid: Grid):
     return run
 
 
-PACKED = "tile long, nodes binary, copies binary, vecs binary"
-
+COLUMNS = ["pack", "tiles", "nodes", "copies", "vecs"]
+PACKED = "pack long, receives array<long>, tiles binary, nodes binary, copies binary, vecs binary"
 
-def _packed(batches):
-    """Each tile as one row; rows come tile by tile."""
-    at, held = None, []
 
-    def row():
-        parts = [b"".join(x) for x in zip(*held, strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), *(pa.array([x], pa.binary()) for x in parts)], names=["tile", "nodes", "copies", "vecs"])
+def _packed(width: int, grid: Grid):
+    """Each pack as one row, with the tile of each vector; rows come tile by tile."""
 
-    for batch in batches:
-        tiles = batch.column("tile").to_numpy(zero_copy_only=False)
-        edges = np.flatnonzero(np.diff(tiles, prepend=tiles[:1] - 1)) if len(tiles) else []
-        for lo, hi in zip(edges, [*edges[1:], len(tiles)], strict=True):
-            if held and tiles[lo] != at:
-                yield row()
-                held = []
-            at = int(tiles[lo])
-            part = batch.slice(lo, hi - lo)
-            numbers = (part.column(k).to_numpy(zero_copy_only=False).astype(np.int64).tobytes() for k in ("node", "copies"))
-            held.append((*numbers, b"".join(part.column("vec").to_pylist())))
-    if held:
-        yield row()
-
-
-def _visits(grid: Grid):
-    """Each tile at home, alone and once for each group of its visitors, and as a visitor of others."""
+    def row(pack, held):
+        tiles, nodes, copies, vecs = zip(*held, strict=True)
+        vecs = [v for part in vecs for v in part]
+        if any(len(v) != 4 * width for v in vecs):
+            vecs = [_decoded(vecs, width).tobytes()]
+        parts = (b"".join(x) for x in (tiles, nodes, copies, vecs))
+        receives = pa.array([grid.receives(pack)], pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array([pack], pa.int64()), receives, *(pa.array([x], pa.binary()) for x in parts)], names=["pack", "receives", *COLUMNS[1:]])
 
     def run(batches):
+        at, held = None, []
         for batch in batches:
-            for r in range(batch.num_rows):
-                tile = batch.column("tile")[r].as_py()
-                others = grid.meets(tile)
-                # of two tiles, one receives the other: the higher one if their sum is even
-                receives = ((tile + others) % 2 == 0) == (tile > others)
-                groups = np.unique(others[receives] // VISITORS)
-                hosts = others[~receives]
-                home = np.concatenate([[tile], np.full(len(groups), tile), hosts])
-                group = np.concatenate([[-1], groups, np.full(len(hosts), tile // VISITORS)])
-                visitor = np.concatenate([np.zeros(1 + len(groups), np.int32), np.ones(len(hosts), np.int32)])
-                for at in range(0, len(home), 16):
-                    n = len(home[at : at + 16])
-                    same = pa.array(np.full(n, r))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(home[at : at + 16]), pa.array(group[at : at + 16]), pa.array(visitor[at : at + 16].astype(np.int32)), *(batch.column(k).take(same) for k in ("nodes", "copies", "vecs"))],
-                        names=["home", "grp", "visitor", "nodes", "copies", "vecs"],
-                    )
+            packs = batch.column("tile").to_numpy(zero_copy_only=False) // grid.together
+            edges = np.flatnonzero(np.diff(packs, prepend=packs[:1] - 1)) if len(packs) else []
+            for lo, hi in zip(edges, [*edges[1:], len(packs)], strict=True):
+                if held and packs[lo] != at:
+                    yield row(at, held)
+                    held = []
+                at = int(packs[lo])
+                part = batch.slice(lo, hi - lo)
+                numbers = (part.column(k).to_numpy(zero_copy_only=False).astype(np.int64).tobytes() for k in ("tile", "node", "copies"))
+                held.append((*numbers, part.column("vec").to_pylist()))
+        if held:
+            yield row(at, held)
 
     return run
 
 
-def _compare(width: int, axes: np.ndarray, least: float, first: int):
-    """Rows come group by group, the tile at home first."""
-    names = ["kind", "a", "b"]
-
-    def opened(batch, r):
-        nodes, copies = (np.frombuffer(batch.column(k)[r].as_py(), np.int64) for k in ("nodes", "copies"))
-        raw = np.frombuffer(batch.column("vecs")[r].as_py(), np.float64).reshape(-1, width)
-        return nodes, raw, unit(raw) @ axes, copies.astype(float)
-
-    def emit(ids_a, ids_b, i, j, copies_a, copies_b, inside):
-        n_a = np.bincount(i, copies_b[j], len(ids_a)).astype(np.int64)
-        n_b = np.bincount(j, copies_a[i], len(ids_b)).astype(np.int64)
-        forest = _forest(ids_a[i], ids_b[j])
-        out_a, out_b = np.flatnonzero(n_a), np.flatnonzero(n_b)
-        kind = np.concatenate([np.zeros(len(out_a) + (0 if inside else len(out_b)), np.int32), np.ones(len(forest[0]), np.int32)])
-        a = [ids_a[out_a], forest[0]] if inside else [ids_a[out_a], ids_b[out_b], forest[0]]
-        b = [n_a[out_a], forest[1]] if inside else [n_a[out_a], n_b[out_b], forest[1]]
-        return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=names)
+class Pack:
+    """A pack of tiles, opened: vectors as given, rotated and their leading rows, and the links counted so far."""
+
+    def __init__(self, batch, r: int, prefix: str, width: int, axes: np.ndarray, first: int):
+        held = {k: np.frombuffer(batch.column(prefix + k)[r].as_buffer(), np.int64) for k in ("tiles", "nodes", "copies")}
+        vecs = batch.column(f"{prefix}vecs")[r].as_buffer()
+        self.number = batch.column(f"{prefix}pack")[r].as_py()
+        self.nodes, self.copies = held["nodes"].copy(), held["copies"].astype(float)
+        kind = np.float32 if vecs.size == 4 * width * len(self.nodes) else np.float64
+        self.raw = np.frombuffer(vecs, kind).reshape(-1, width).astype(np.float64)
+        self.x = unit(self.raw) @ axes
+        self.head = _leading(self.x, first)
+        self.tiles, start = np.unique(held["tiles"], return_index=True)
+        self.slices = [slice(a, b) for a, b in zip(start, [*start[1:], len(self.nodes)], strict=True)]
+        self.n_links = np.zeros(len(self.nodes), np.int64)
+
+    def links(self, other: Pack, p: int, q: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the linked vectors of tile ``p`` and of the other pack's tile ``q``; both packs count them."""
+        a, b = self.slices[p], other.slices[q]
+        i, j = linked(self.x[a], other.x[b], self.raw[a], other.raw[b], self.head[a], other.head[b], least)
+        if self is other and p == q:
+            apart = i < j
+            i, j = i[apart], j[apart]
+        i, j = i + a.start, j + b.start
+        self.n_links += np.bincount(i, other.copies[j], len(self.nodes)).astype(np.int64)
+        other.n_links += np.bincount(j, self.copies[i], len(other.nodes)).astype(np.int64)
+        return i, j
+
+    def counted(self) -> pa.RecordBatch:
+        """The links counted so far, a row a vector that has some."""
+        found = np.flatnonzero(self.n_links)
+        return _found(0, self.nodes[found], self.n_links[found])
+
+
+def _found(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Rows of kind 0, a node and a number of links, or 1, a link."""
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b)], names=["kind", "a", "b"])
+
+
+def _compare(width: int, axes: np.ndarray, grid: Grid, least: float, first: int):
+    """Rows are two packs that meet, mostly the same first one as in the row before."""
 
     def run(batches):
         own = None
         for batch in batches:
             for r in range(batch.num_rows):
-                if not batch.column("visitor")[r].as_py():
-                    own = opened(batch, r)
-                    if batch.column("grp")[r].as_py() == -1:
-                        ids, raw, x, copies = own
-                        i, j = linked(x, x, raw, raw, least, first)
-                        apart = i != j
-                        yield emit(ids, ids, i[apart], j[apart], copies, copies, True)
-                    continue
-                ids, raw, x, copies = own
-                ids_v, raw_v, x_v, copies_v = opened(batch, r)
-                i, j = linked(x, x_v, raw, raw_v, least, first)
-                if len(i):
-                    yield emit(ids, ids_v, i, j, copies, copies_v, False)
+                if own is None or own.number != batch.column("pack")[r].as_py():
+                    if own is not None:
+                        yield own.counted()
+                    own = Pack(batch, r, "", width, axes, first)
+                other = own if own.number == batch.column("v_pack")[r].as_py() else Pack(batch, r, "v_", width, axes, first)
+                near = grid.near[np.ix_(grid.cell_of(own.tiles), grid.cell_of(other.tiles))]
+                forest = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+                for p, q in zip(*np.nonzero(np.triu(near) if other is own else near), strict=True):
+                    i, j = own.links(other, p, q, least)
+                    if len(i):
+                        forest.append(_forest(own.nodes[i], other.nodes[j]))
+                yield _found(1, *_forest(*map(np.concatenate, zip(*forest, strict=True))))
+                if other is not own:
+                    yield other.counted()
+        if own is not None:
+            yield own.counted()
 
     return run
 
@@ -381,9 +423,13 @@ def near_vectors(embeddings: DataFrame, least: float = 0.9) -> DataFrame:
     )
 
 
+def _digest(column: str):
+    """SHA-256 of a vector's bytes."""
+    return F.unhex(F.sha2(F.col(column), 256))
+
+
 def _linked_rows(usable: DataFrame, width: int, least: float) -> DataFrame:
     """``vec_id, n_links, component_id`` of usable vectors of one length, a row each."""
-    spark = usable.sparkSession
     distinct = usable.groupBy("vec").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
     # nodes are vectors, numbered, so that ids that repeat name nothing
     nodes = saved(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
@@ -391,7 +437,7 @@ def _linked_rows(usable: DataFrame, width: int, least: float) -> DataFrame:
 
     total = nodes.count()
     taken = nodes.orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).select("vec").collect()
-    sample = unit(np.frombuffer(b"".join(r[0] for r in taken), np.float64).reshape(-1, width)) @ axes if taken else np.empty((0, width))
+    sample = unit(_decoded([bytes(r[0]) for r in taken], width)) @ axes if taken else np.empty((0, width))
     cells = Cells(sample, min(DEPTH, max(0, int(np.ceil(np.log2(max(total, 1) / TILE))))) if len(sample) else 0)
 
     k = min(AXES, width)
@@ -400,24 +446,26 @@ def _linked_rows(usable: DataFrame, width: int, least: float) -> DataFrame:
     boxes = nodes.select("vec").mapInArrow(_cell_ends(width, axes, cells), spec).groupBy("cell")
     boxes = boxes.agg(F.sum("n").alias("n"), *((F.min if c.startswith("low") else F.max)(c).alias(c) for c in ends)).collect()
     reach = float(np.sqrt(max(0.0, 2 - 2 * least)))
-    grid = Grid(cells, [(r["cell"], r["n"], [r[f"low{i}"] for i in range(k)], [r[f"high{i}"] for i in range(k)]) for r in boxes], reach)
+    grid = Grid(cells, [(r["cell"], r["n"], [r[f"low{i}"] for i in range(k)], [r[f"high{i}"] for i in range(k)]) for r in boxes], reach, width)
 
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     homes = nodes.select("node", "vec", "copies").mapInArrow(_homes(width, axes, grid), "tile long, node long, vec binary, copies long")
-    tiles = saved(homes.repartition(n, "tile").sortWithinPartitions("tile", "node").mapInArrow(_packed, PACKED), "tiles")
-    # as many partitions as there are groups of visits, so that a task holds a few tiles
-    found = int(grid.base[-1])
-    groups = found * (1 + -(-found // VISITORS))
-    visits = tiles.repartition(max(1, min(found, n)), "tile").mapInArrow(_visits(grid), "home long, grp long, visitor int, nodes binary, copies binary, vecs binary")
-    dealt = visits.repartition(max(1, min(groups, 20_000)), "home", "grp").sortWithinPartitions("home", "grp", "visitor")
-    compared = dealt.mapInArrow(_compare(width, axes, least, first_block(sample, least)), "kind int, a long, b long")
-    found = saved(compared, "found")
+    # a file a pack
+    dealt = homes.repartitionById(grid.n_packs, F.expr(f"cast(tile div {grid.together} as int)")).sortWithinPartitions("tile", "node")
+    packs = saved(dealt.mapInArrow(_packed(width, grid), PACKED), "packs")
+    # both sides are read from these files by each task: nothing is shuffled, however many packs meet
+    guests = packs.select(*(F.col(c).alias(f"v_{c}") for c in COLUMNS)).coalesce(grid.n_packs)
+    hosts = packs.coalesce(max(1, MEETINGS // grid.n_packs))
+    met = hosts.hint("shuffle_replicate_nl").join(guests, F.array_contains("receives", F.col("v_pack"))).drop("receives")
+    found = saved(met.mapInArrow(_compare(width, axes, grid, least, first_block(sample, least)), "kind int, a long, b long"), "found")
     label = components(found.where("kind = 1").select("a", "b"))
     more = found.where("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("others"))
 
-    own = saved(nodes.join(more, "node", "left").join(label, "node", "left").select("vec", "first_id", "copies", "others", F.coalesce("component", "node").alias("part")), "parts")
+    own = nodes.select("node", _digest("vec").alias("key"), "first_id", "copies").join(more, "node", "left").join(label, "node", "left")
+    own = saved(own.select("key", "first_id", "copies", "others", F.coalesce("component", "node").alias("part")), "parts")
+    for done in (nodes, packs, found):
+        forget(done)
     smallest = own.groupBy("part").agg(F.min("first_id").alias("component_id"))
     own = own.join(smallest, "part").select(
-        F.col("vec").alias("key"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"
+        "key", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"
     )
-    return usable.join(own, F.col("vec") == F.col("key")).select("vec_id", "n_links", "component_id")
+    return usable.select("vec_id", _digest("vec").alias("key")).join(own, "key").select("vec_id", "n_links", "component_id")

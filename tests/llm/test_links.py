@@ -1,6 +1,7 @@
 """Vectors, quotations, components and the pipeline."""
 
 import math
+import time
 
 import duckdb
 import numpy as np
@@ -81,6 +82,44 @@ def test_tiles_that_meet_lose_no_link(spark, monkeypatch, tile):
     assert got == brute_links(rows, 0.995)
 
 
+def shuffled(spark):
+    """Bytes that all tasks so far have shuffled."""
+    time.sleep(0.5)  # executors' sums are brought up to date at intervals, as tasks end
+    spark.range(1).count()
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty()
+    seen = sc.statusStore().executorList(False)
+    return sum(seen.apply(k).totalShuffleWrite() for k in range(seen.size()))
+
+
+@pytest.mark.parametrize("meetings", [3, 20_000])
+def test_tiles_that_all_meet_are_not_shuffled_to_each_other(spark, monkeypatch, meetings):
+    """Some 64 tiles without structure along few axes: what is shuffled follows the table, not the meetings."""
+    monkeypatch.setattr(embedding_dedup, "TILE", 8)
+    monkeypatch.setattr(embedding_dedup, "VISITORS", 2)
+    monkeypatch.setattr(embedding_dedup, "MEETINGS", meetings, raising=False)
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(40, 64)), 10, axis=0) + rng.normal(size=(400, 64)) * 0.15
+    x[::2] = x[::2].astype(np.float32)  # single precision holds these, and not the others
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.9
+    assert near.sum() > 2000 and near.argmax(axis=1).max() > 350
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    before = shuffled(spark)
+    got = sorted(tuple(r) for r in embedding_dedup.near_vectors(frame).collect())
+    after = shuffled(spark)
+    assert [r[1] for r in got] == (near.sum(axis=1) - 1).tolist()
+    assert [r[2] for r in got] == [i // 10 * 10 for i in range(400)]
+    assert 0 < after - before < 6 * x.nbytes
+
+
+def test_vectors_in_single_precision_are_read_back_exactly():
+    rows = np.array([[1.0, 0.5, -2.0], [0.1, 1e300, 1e-300], [np.float32(0.1), 2.0**100, 0.0], [1e39, 1.0, 1.0]])
+    parts = [embedding_dedup._coded(r) for r in rows]
+    assert [len(p) for p in parts] == [12, 24, 12, 24]
+    assert (embedding_dedup._decoded(parts, 3) == rows).all()
+
+
 def test_vectors_of_the_table(spark):
     table = spark.read.parquet(f"{SF}/embeddings.parquet")
     p = table.toPandas().sort_values("vec_id")
